@@ -16,22 +16,15 @@ def distinct_union(frames: list[DataFrame], column: str) -> DataFrame:
     return reduce(DataFrame.union, frames).distinct().toDF(column)
 
 
-def monthly_ratio(
-    df: DataFrame, by: list[str], flag: str, total: str, flagged: str, rate: str
-) -> DataFrame:
-    """Rows, flagged rows and their percentage per group."""
+def share_by(df: DataFrame, by: list[str], total: str, flagged: str, rate: str) -> DataFrame:
+    """Sum partial counts per group and add the percentage of ``flagged`` in ``total``."""
     return (
         df.groupBy(*by)
-        .agg(F.count(F.lit(1)).alias(total), F.sum(flag).alias(flagged))
+        .agg(F.sum(total).alias(total), F.sum(flagged).alias(flagged))
         .withColumn(rate, percent(flagged, total))
     )
 
 
-def rescale(df: DataFrame, flagged: str, total: str, rate: str) -> DataFrame:
-    """Add the percentage to already aggregated counts."""
-    return df.withColumn(rate, percent(flagged, total))
-
-
 def since_latest(df: DataFrame, at: str, months: int) -> DataFrame:
     """Rows in the ``months`` months up to the latest ``at`` of the whole frame, both ends included.
 
@@ -50,13 +43,16 @@ def topk_share(
     total: str = "total_count",
     share: str = "pct_of_total",
     rank: str = "item_rank",
+    weight: str | None = None,
 ) -> DataFrame:
     """The ``k`` most frequent items per group with their share of the group's total; ties by item.
 
     Rows are counted first, so ranking sees one row per (group, item), and Spark applies the rank limit
-    before the shuffle as well. The group totals are summed from the same counts.
+    before the shuffle as well. The group totals are summed from the same counts. ``weight`` names a column of
+    counts if ``df`` is already partly aggregated.
     """
-    counts = df.groupBy(*by, item).agg(F.count(F.lit(1)).alias(count))
+    amount = F.count(F.lit(1)) if weight is None else F.sum(weight)
+    counts = df.groupBy(*by, item).agg(amount.alias(count))
     totals = counts.groupBy(*by).agg(F.sum(count).alias(total))
     order = W.partitionBy(*by).orderBy(F.col(count).desc(), F.col(item).asc_nulls_last())
     top = counts.withColumn(rank, F.row_number().over(order)).filter(F.col(rank) <= k)

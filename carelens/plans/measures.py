@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from carelens.functions.numbers import ratio
+from carelens.functions.numbers import ratio, round2
 from carelens.functions.text import same_text
 from carelens.operators.aggregates import bucket, rolling_sum, year_over_year
 
@@ -144,15 +144,17 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
 def lease_metrics(
     fact_revenue: DataFrame, dates: DataFrame, communities: DataFrame, regions: DataFrame
 ) -> DataFrame:
-    """Average rent, revenue and lease count per region and month, reduced per (community, day) first."""
+    """Average rent, revenue (both in cents) and lease count per region and month, reduced per (community, day)
+    first."""
     daily = fact_revenue.groupBy("community_key", "date_key").agg(
         F.sum("monthly_rate").alias("revenue"), F.count("monthly_rate").alias("rates"),
         F.count(F.lit(1)).alias("leases"),
     )
     rows = with_region(daily.join(dates.select("date_key", "year", "month"), "date_key"), communities, regions)
+    revenue = round2(F.sum("revenue"))
     return rows.groupBy("region", "year", "month").agg(
-        ratio(F.sum("revenue"), F.sum("rates")).alias("avg_monthly_rent"),
-        F.sum("revenue").alias("revenue"),
+        round2(ratio(revenue, F.sum("rates"))).alias("avg_monthly_rent"),
+        revenue.alias("revenue"),
         F.sum("leases").alias("leases"),
     )
 

@@ -77,9 +77,10 @@ def discover_files(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def csv_options(feed: str) -> dict[str, str]:
+def csv_options(feed: str, pattern: str | None = None) -> dict[str, str]:
+    """Reader options of a feed; ``pattern`` replaces the default file name pattern ``<feed>_*.csv``."""
     return {
-        "pathGlobFilter": f"{feed}_*.csv",
+        "pathGlobFilter": pattern or f"{feed}_*.csv",
         "escape": '"',
         "multiLine": str(feed in FREE_TEXT_FEEDS).lower(),
         "mode": "PERMISSIVE",
@@ -124,13 +125,15 @@ def with_lineage(df: DataFrame, feed: str) -> DataFrame:
     return df.select(*FEEDS[feed], "source_file", F.current_timestamp().alias("ingestion_timestamp"))
 
 
-def read_feed(spark: SparkSession, folder: str, feed: str, by_name: bool = True) -> DataFrame:
+def read_feed(
+    spark: SparkSession, folder: str, feed: str, by_name: bool = True, pattern: str | None = None
+) -> DataFrame:
     """All files of one feed as raw rows with lineage.
 
     ``by_name`` reads each file by its own header. Without it the read is a single pass that fails if a
     header differs from the feed's schema.
     """
-    reader = spark.read.options(**csv_options(feed))
+    reader = spark.read.options(**csv_options(feed, pattern))
     if by_name:
         cells = as_cells(reader.option("header", False).schema(cell_schema()).csv(folder))
         return with_lineage(resolve_by_name(cells, feed), feed)

@@ -32,9 +32,10 @@ def start_feed(
     checkpoints: str,
     feed: str,
     max_files_per_batch: int | None = None,
+    pattern: str | None = None,
 ) -> StreamingQuery:
     """Start loading the unseen files of one feed; the query ends when they are all loaded."""
-    reader = spark.readStream.options(**csv_options(feed)).option("header", False)
+    reader = spark.readStream.options(**csv_options(feed, pattern)).option("header", False)
     if max_files_per_batch:
         reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
     cells = as_cells(reader.schema(cell_schema()).csv(folder))

@@ -167,9 +167,13 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def derive(source: DataFrame, feed: str) -> DataFrame:
+    """The raw rows of a feed from its source table."""
+    return source.selectExpr(*[f"{expr} AS {name}" for name, expr in DERIVED[feed][1].items()])
+
+
 def bronze(spark: SparkSession, sf_dir: str, feed: str) -> DataFrame:
-    table, columns = DERIVED[feed]
-    return load(spark, sf_dir, table).selectExpr(*[f"{expr} AS {name}" for name, expr in columns.items()])
+    return derive(load(spark, sf_dir, DERIVED[feed][0]), feed)
 
 
 def bronze_sql(feed: str) -> str:

@@ -7,6 +7,7 @@ are left out of the results and checked for uniqueness by ``fact_row_ids``.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,7 +27,7 @@ from carelens.plans.silver import CLEANERS
 from carelens.session import materialise
 from carelens.sources.feeds import FEEDS, LINEAGE
 from carelens.sources.reference_data import dim_community_region
-from carelens.workload.feeds import AS_OF, bronze
+from carelens.workload.feeds import AS_OF, DERIVED, derive, load
 from carelens.workload.oracle import sql
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,9 +38,13 @@ class Layers:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+        self._sources: dict[str, DataFrame] = {}
 
     def bronze(self, feed: str) -> DataFrame:
-        return bronze(self.spark, self.sf_dir, feed)
+        table = DERIVED[feed][0]
+        if table not in self._sources:
+            self._sources[table] = load(self.spark, self.sf_dir, table)
+        return derive(self._sources[table], feed)
 
     def silver(self, feed: str, **options) -> DataFrame:
         return CLEANERS[feed](self.bronze(feed), **options)
@@ -49,9 +54,16 @@ class Layers:
         """Cleaned feeds for consumers that only take distinct values; repeats need not be removed first."""
         return {f: self.silver(f) if f == "pcc_residents" else self.silver(f, dedupe=None) for f in FEEDS}
 
+    def prepare(self, *names: str) -> None:
+        """Write several dimensions side by side."""
+        self.value_sets  # noqa: B018  (shared by the builders below)
+        missing = [n for n in names if n not in self.__dict__]
+        with ThreadPoolExecutor(max(1, len(missing))) as pool:
+            list(pool.map(lambda name: getattr(self, name), missing))
+
     @cached_property
     def communities(self) -> DataFrame:
-        return materialise(g.dim_community(self.value_sets), "dim_community")
+        return g.dim_community(self.value_sets)
 
     @cached_property
     def dates(self) -> DataFrame:
@@ -59,11 +71,11 @@ class Layers:
 
     @cached_property
     def employees(self) -> DataFrame:
-        return materialise(g.dim_employee(self.value_sets["adp_shifts"]), "dim_employee")
+        return g.dim_employee(self.value_sets["adp_shifts"])
 
     @cached_property
     def residents(self) -> DataFrame:
-        return materialise(g.dim_resident(self.silver("pcc_residents"), self.communities), "dim_resident")
+        return g.dim_resident(self.value_sets["pcc_residents"], self.communities)
 
     @cached_property
     def history(self) -> DataFrame:
@@ -75,26 +87,32 @@ class Layers:
 
     @cached_property
     def labor(self) -> DataFrame:
+        self.prepare("communities", "dates", "employees")
         return g.fact_labor(self.silver("adp_shifts"), self.communities, self.employees, self.dates)
 
     @cached_property
     def reviews(self) -> DataFrame:
+        self.prepare("communities", "dates")
         return g.fact_reviews(self.silver("gbp_reviews"), self.communities, self.dates)
 
     @cached_property
     def leads(self) -> DataFrame:
+        self.prepare("communities", "dates")
         return g.fact_leads(self.silver("hubspot_leads"), self.communities, self.dates)
 
     @cached_property
     def revenue(self) -> DataFrame:
+        self.prepare("communities", "dates")
         return g.fact_revenue(self.silver("yardi_leases"), self.residents, self.communities, self.dates, AS_OF)
 
     @cached_property
     def occupancy(self) -> DataFrame:
+        self.prepare("communities", "dates")
         return g.fact_occupancy(self.silver("yardi_units"), self.communities, self.dates)
 
     @cached_property
     def incidents(self) -> DataFrame:
+        self.prepare("communities", "dates")
         return g.fact_incidents(self.silver("pcc_incidents"), self.residents, self.communities, self.dates)
 
     # views
@@ -238,7 +256,7 @@ _PNW = "community_id IN (SELECT community_id FROM dim_community_region WHERE reg
 
 register(
     "report_occupancy",
-    f"SELECT * FROM v_occupancy WHERE {_PNW} AND (year, month) >= (1996, 11) AND (year, month) <= (1998, 2) "
+    f"SELECT * FROM v_occupancy WHERE {_PNW} AND make_date(year, month, 1) BETWEEN DATE '1996-11-01' AND DATE '1998-02-01' "
     "ORDER BY year, month, community_id",
 )(lambda t: r.occupancy(t.occupancy_view(), t.regions, REGIONAL, start="1996-11", end="1998-02"))
 register(
@@ -528,13 +546,12 @@ register("page_incident_severity", "SELECT severity, count(*) AS row_count FROM
 register(
     "page_lease_metrics",
     "SELECT region, CAST(year(date_key) AS INTEGER) AS year, CAST(month(date_key) AS INTEGER) AS month, "
-    "round(avg(monthly_rate), 2) AS avg_monthly_rent, round(sum(monthly_rate), 2) AS revenue, count(*) AS leases "
+    "round(round(sum(monthly_rate), 2) / count(monthly_rate), 2) AS avg_monthly_rent, "
+    "round(sum(monthly_rate), 2) AS revenue, count(*) AS leases "
     "FROM fact_revenue JOIN dim_community USING (community_key) LEFT JOIN dim_community_region USING (community_id) "
     "GROUP BY ALL",
 )(
     lambda t: m.lease_metrics(t.revenue, t.dates, t.communities, t.regions)
-    .withColumn("avg_monthly_rent", round2("avg_monthly_rent"))
-    .withColumn("revenue", round2("revenue"))
 )
 register(
     "page_lease_duration_buckets",
