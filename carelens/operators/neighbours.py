@@ -42,7 +42,8 @@ def with_neighbour(
     ties = ties or []
     payload = F.struct(*columns)
 
-    hot = hot_keys(df, keys, hot_rows).withColumn("_hot", F.lit(True))
+    # Broadcast: at most rows / hot_rows keys. A shuffled join here would bring a hot key's rows together again.
+    hot = F.broadcast(hot_keys(df, keys, hot_rows).withColumn("_hot", F.lit(True)))
     marked = df.join(hot, keys, "left").withColumn(
         "_chunk", F.when(F.col("_hot"), _day_number(at)).otherwise(F.lit(0))
     )

@@ -652,7 +652,9 @@ def _dq_rules(s: Source) -> DataFrame:
     "SELECT 'Negative Balance' AS \"Check\", CASE WHEN n = 0 THEN 'PASS' ELSE 'FAIL' END AS \"Status\", CASE WHEN n = 0 THEN "
     "'Low' ELSE 'High' END AS \"Severity\", CASE WHEN n = 0 THEN 'None' ELSE 'Raise to Client' END AS \"Recommendation\", "
     "CASE WHEN n = 0 THEN '' ELSE n || ' customers' END AS \"Details\" FROM (SELECT count(*) AS n FROM customer WHERE "
-    "c_acctbal < 0) UNION ALL SELECT 'Missing Segment', 'PASS', 'Low', 'None', ''",
+    "c_acctbal < 0) UNION ALL SELECT "
+    "'Missing Segment', CASE WHEN n = 0 THEN 'PASS' ELSE 'FAIL' END, CASE WHEN n = 0 THEN 'Low' ELSE 'Medium' END, CASE WHEN "
+    "n = 0 THEN 'None' ELSE 'Fix Pipeline' END, '' FROM (SELECT count(*) AS n FROM customer WHERE trim(c_mktsegment) = '')",
 )
 def _dq_results(s: Source) -> DataFrame:
     rules = [
@@ -681,9 +683,10 @@ def _duplicate_keys(s: Source) -> DataFrame:
 
 @register(
     "reconcile_counts",
-    "SELECT 'Row Count - lines' AS \"Check\", 'FAIL' AS \"Status\", 'High' AS \"Severity\", 'Investigate ETL' AS "
-    "\"Recommendation\", 'All=' || count(*) || ', Keys=' || count(DISTINCT (l_orderkey, l_linenumber)) AS \"Details\" "
-    "FROM lineitem",
+    "SELECT 'Row Count - lines' AS \"Check\", CASE WHEN a = k THEN 'PASS' ELSE 'FAIL' END AS \"Status\", CASE WHEN a = k "
+    "THEN 'Low' ELSE 'High' END AS \"Severity\", CASE WHEN a = k THEN 'None' ELSE 'Investigate ETL' END AS "
+    "\"Recommendation\", 'All=' || a || ', Keys=' || k AS \"Details\" FROM (SELECT count(*) AS a, "
+    "count(DISTINCT (l_orderkey, l_linenumber)) AS k FROM lineitem)",
 )
 def _reconcile_counts(s: Source) -> DataFrame:
     keys = s.lineitem.select("l_orderkey", "l_linenumber").distinct()
@@ -692,8 +695,10 @@ def _reconcile_counts(s: Source) -> DataFrame:
 
 @register(
     "reconcile_sums",
-    "SELECT 'Quantity' AS \"Check\", 'PASS' AS \"Status\", 'Low' AS \"Severity\", 'None' AS \"Recommendation\", '' AS "
-    '"Details"',
+    "SELECT 'Quantity' AS \"Check\", CASE WHEN ok THEN 'PASS' ELSE 'FAIL' END AS \"Status\", CASE WHEN ok THEN 'Low' ELSE "
+    "'High' END AS \"Severity\", CASE WHEN ok THEN 'None' ELSE 'Check Pipeline' END AS \"Recommendation\", '' AS \"Details\" "
+    "FROM (SELECT abs((SELECT sum(l_quantity) FROM lineitem) - (SELECT sum(q) FROM (SELECT sum(l_quantity) AS q FROM lineitem "
+    "GROUP BY l_orderkey))) < 0.01 AS ok)",
 )
 def _reconcile_sums(s: Source) -> DataFrame:
     per_order = s.lineitem.groupBy("l_orderkey").agg(F.sum("l_quantity").alias("quantity"))

@@ -29,9 +29,9 @@ _LINEAGE = "source_file, ingestion_timestamp"
 BLOCKS["s_adp_shifts"] = rf"""
 SELECT DISTINCT {_trimmed("shift_id", "community_id", "employee_id")}, upper(trim(role)) AS role,
   {_dates("shift_date")}, CAST(hours_worked AS DOUBLE) AS hours_worked,
-  TRY_CAST(regexp_extract(hourly_rate, chr(39) || CASE upper(trim(role)) WHEN 'RN' THEN 'RN'
-    WHEN 'CAREGIVER' THEN 'Caregiver' WHEN 'MED TECH' THEN 'Med Tech' END || chr(39) || ': ([0-9.]+)', 1)
-    AS DOUBLE) AS hourly_rate, {_LINEAGE}
+  TRY_CAST(CASE upper(trim(role)) WHEN 'RN' THEN regexp_extract(hourly_rate, 'RN.: ([0-9.]+)', 1)
+    WHEN 'CAREGIVER' THEN regexp_extract(hourly_rate, 'Caregiver.: ([0-9.]+)', 1)
+    WHEN 'MED TECH' THEN regexp_extract(hourly_rate, 'Med Tech.: ([0-9.]+)', 1) END AS DOUBLE) AS hourly_rate, {_LINEAGE}
 FROM b_adp_shifts WHERE shift_id IS NOT NULL"""
 
 BLOCKS["s_gbp_reviews"] = f"""
