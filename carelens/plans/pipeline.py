@@ -2,6 +2,9 @@
 
 Tables are written between layers, so that no later job parses CSV again and every join sees true table sizes.
 Tables of one layer that do not depend on each other are written side by side.
+
+Each run writes its silver and gold tables to ``runs/<run id>``. Readers open the last run whose log row says
+SUCCESS (:func:`open_latest`), so they never see a half-written run, and a rerun does not delete files under them.
 """
 
 from __future__ import annotations
@@ -21,7 +24,7 @@ from carelens.plans import gold as g
 from carelens.plans.silver import CLEANERS, UNREADABLE
 from carelens.plans.validation import validate
 from carelens.plans.views import build_views
-from carelens.sources.export import append_run_log, export_checks, export_tables, replace_table
+from carelens.sources.export import RUN_LOG_SCHEMA, append_run_log, export_checks, export_tables, replace_table
 from carelens.sources.feeds import FEEDS
 from carelens.sources.reference_data import dim_community_region
 from carelens.streaming.ingest import ingest, processed_files, read_bronze
@@ -101,6 +104,36 @@ def build_gold(
     return dims | facts
 
 
+GOLD_TABLES = (
+    "dim_community", "dim_resident", "dim_resident_scd", "dim_date", "dim_employee", "dim_community_region",
+    "fact_labor", "fact_reviews", "fact_leads", "fact_revenue", "fact_occupancy", "fact_incidents",
+)
+
+
+def publish_views(tables: Tables) -> None:
+    """Build the KPI views and register them in the session by name."""
+    tables.views = build_views(tables.silver, tables.gold)
+    for name, view in tables.views.items():
+        view.createOrReplaceTempView(name)
+
+
+def open_latest(spark: SparkSession, root: str) -> Tables:
+    """The tables and views of the last successful run."""
+    runs = spark.read.schema(RUN_LOG_SCHEMA).json(f"{root}/logs/pipeline_run").filter("status = 'SUCCESS'")
+    newest = runs.orderBy(F.col("finished_at").desc()).select("run_id").first()
+    if newest is None:
+        raise LookupError(f"no successful run under {root}")
+    home = f"{root}/runs/{newest['run_id']}"
+    tables = Tables(
+        bronze={feed: read_bronze(spark, f"{root}/bronze", feed) for feed in FEEDS},
+        silver={feed: spark.read.parquet(f"{home}/silver/silver_{feed}") for feed in FEEDS},
+        gold={name: spark.read.parquet(f"{home}/gold/{name}") for name in GOLD_TABLES},
+        checks=spark.read.parquet(f"{home}/checks"),
+    )
+    publish_views(tables)
+    return tables
+
+
 def run_pipeline(
     spark: SparkSession,
     raw: str,
@@ -126,14 +159,15 @@ def run_pipeline(
         "rows_rejected": {},
         "tables_loaded": {},
         "duration_seconds": None,
+        "finished_at": None,
         "error": None,
     }
-    tables = Tables()
+    tables, home = Tables(), f"{root}/runs/{run_id}"
     try:
         begun = spark.range(1).select(F.current_timestamp().alias("t")).first()["t"]
         ingest(spark, raw, f"{root}/bronze", f"{root}/checkpoints", max_files_per_batch=max_files_per_batch)
         tables.bronze = {feed: read_bronze(spark, f"{root}/bronze", feed) for feed in FEEDS}
-        ledger = replace_table(processed_files(tables.bronze), f"{root}/processed_files")
+        ledger = replace_table(processed_files(tables.bronze), f"{home}/processed_files")
         is_new = F.col("processed_at") >= F.lit(begun)
         per_feed = ledger.groupBy("dataset").agg(
             F.count_if(is_new).alias("new"),
@@ -147,20 +181,17 @@ def run_pipeline(
             log["rows_loaded"][row["dataset"]] = row["loaded"]
             log["tables_loaded"][row["dataset"]] = row["held"]
 
-        refused = f"{root}/quarantine" if quarantine_rows else None
-        silver = build_silver(tables.bronze, f"{root}/silver", corrected, refused)
+        refused = f"{home}/quarantine" if quarantine_rows else None
+        silver = build_silver(tables.bronze, f"{home}/silver", corrected, refused)
         tables.silver = {name.removeprefix("silver_"): df for name, df in silver.items()}
         if refused:
             for feed in UNREADABLE:
                 log["rows_rejected"][feed] = spark.read.parquet(f"{refused}/{feed}").count()
 
-        tables.gold = build_gold(spark, tables.silver, f"{root}/gold", as_of, corrected)
-        tables.views = build_views(tables.silver, tables.gold)
-        for name, view in tables.views.items():
-            view.createOrReplaceTempView(name)
-
+        tables.gold = build_gold(spark, tables.silver, f"{home}/gold", as_of, corrected)
+        publish_views(tables)
         checks = validate(tables.bronze, tables.silver, tables.gold, as_of)
-        tables.checks = replace_table(checks, f"{root}/reports/checks")
+        tables.checks = replace_table(checks, f"{home}/checks")
         export_checks(tables.checks, f"{root}/reports")
         if export_to:
             export_tables(tables.gold, export_to)
@@ -169,5 +200,6 @@ def run_pipeline(
         raise
     finally:
         log["duration_seconds"] = round(time.time() - started, 2)
+        log["finished_at"] = datetime.now(timezone.utc).isoformat()
         append_run_log(spark, log, f"{root}/logs/pipeline_run")
     return tables

@@ -39,11 +39,13 @@ def export_checks(results: DataFrame, out: str) -> None:
     summarise(results).write.mode("overwrite").json(f"{out}/validation_summary_json")
 
 
+RUN_LOG_SCHEMA = (
+    "run_id string, run_timestamp string, status string, files_processed long, files_skipped long, "
+    "rows_loaded map<string,long>, rows_rejected map<string,long>, tables_loaded map<string,long>, "
+    "duration_seconds double, finished_at string, error string"
+)
+
+
 def append_run_log(spark: SparkSession, row: dict, path: str) -> None:
     """Append one run's facts as a JSON row."""
-    schema = (
-        "run_id string, run_timestamp string, status string, files_processed long, files_skipped long, "
-        "rows_loaded map<string,long>, rows_rejected map<string,long>, tables_loaded map<string,long>, "
-        "duration_seconds double, error string"
-    )
-    spark.createDataFrame([row], schema).write.mode("append").json(path)
+    spark.createDataFrame([row], RUN_LOG_SCHEMA).write.mode("append").json(path)
