@@ -26,20 +26,69 @@ class Rule:
     details: str | None = None
 
 
-def _result(name, ok: Column, severity, recommendation, fail_details: Column, pass_details: Column):
-    as_column = lambda v: v if isinstance(v, Column) else F.lit(v)
+def table_metrics(tables: list[tuple[DataFrame, dict[str, Column]]]) -> DataFrame:
+    """Aggregates of several tables side by side in one row: one scan per table, however many metrics it has."""
+    rows = [df.agg(*[metric.alias(name) for name, metric in metrics.items()]) for df, metrics in tables]
+    names = [name for _, metrics in tables for name in metrics]
+    merged = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), rows)
+    return merged.agg(*[F.max(name).alias(name) for name in names])
+
+
+def row_count() -> Column:
+    return F.count(F.lit(1))
+
+
+def total(column: str | Column) -> Column:
+    """Sum; zero for an empty table."""
+    return F.coalesce(F.sum(column), F.lit(0.0))
+
+
+def violations(rule: Rule) -> Column:
+    return F.count_if(F.expr(rule.broken))
+
+
+def _result(name: str, ok: Column, severity: str, recommendation: str, failed: Column, passed: Column) -> Column:
     return F.struct(
-        as_column(name).alias("Check"),
+        F.lit(name).alias("Check"),
         F.when(ok, "PASS").otherwise("FAIL").alias("Status"),
-        F.when(ok, "Low").otherwise(as_column(severity)).alias("Severity"),
-        F.when(ok, "None").otherwise(as_column(recommendation)).alias("Recommendation"),
-        F.when(ok, pass_details).otherwise(fail_details).alias("Details"),
+        F.when(ok, "Low").otherwise(severity).alias("Severity"),
+        F.when(ok, "None").otherwise(recommendation).alias("Recommendation"),
+        F.when(ok, passed).otherwise(failed).alias("Details"),
     )
 
 
+def rule_check(rule: Rule, count: str) -> Column:
+    """The result of a rule, given the column that holds its violations."""
+    n = F.col(count)
+    text = F.lit("") if rule.details is None else F.concat(n.cast("string"), F.lit(f" {rule.details}"))
+    return _result(rule.name, n == 0, rule.severity, rule.recommendation, text, F.lit(""))
+
+
+def count_check(table: str, layers: dict[str, str], severity="High", recommendation="Investigate ETL") -> Column:
+    """Row counts of the layers must agree: ``{layer: column with its count}``."""
+    first, *others = layers.values()
+    agree = reduce(lambda a, b: a & b, [F.col(first) == F.col(other) for other in others])
+    text = F.concat_ws(", ", *[F.concat(F.lit(f"{name}="), F.col(c).cast("string")) for name, c in layers.items()])
+    return _result(f"Row Count - {table}", agree, severity, recommendation, text, text)
+
+
+def sum_check(
+    name: str, left: str, right: str, tolerance: float, severity: str, recommendation: str, with_details: bool = False
+) -> Column:
+    """Two sums must agree within ``tolerance``."""
+    ok = F.abs(F.col(left) - F.col(right)) < tolerance
+    values = F.concat_ws(" vs ", F.col(left).cast("string"), F.col(right).cast("string"))
+    return _result(name, ok, severity, recommendation, values if with_details else F.lit(""), F.lit(""))
+
+
+def check_results(metrics: DataFrame, checks: list[Column]) -> DataFrame:
+    """One result row per check, in the order given, from a one-row frame of metrics."""
+    return metrics.select(F.inline(F.array(*checks)))
+
+
 def count_violations(df: DataFrame, rules: list[Rule]) -> DataFrame:
     """``(rule, violations)``: all rules of a table in one scan."""
-    counts = df.agg(*[F.count_if(F.expr(r.broken)).alias(f"_{i}") for i, r in enumerate(rules)])
+    counts = df.agg(*[violations(r).alias(f"_{i}") for i, r in enumerate(rules)])
     pairs = [
         F.struct(F.lit(r.name).alias("rule"), F.col(f"_{i}").alias("violations")) for i, r in enumerate(rules)
     ]
@@ -48,38 +97,19 @@ def count_violations(df: DataFrame, rules: list[Rule]) -> DataFrame:
 
 def evaluate_rules(df: DataFrame, rules: list[Rule]) -> DataFrame:
     """Check results for the rules of one table, from one scan."""
-    counts = df.agg(*[F.count_if(F.expr(r.broken)).alias(f"_{i}") for i, r in enumerate(rules)])
-    results = []
-    for i, rule in enumerate(rules):
-        n = F.col(f"_{i}")
-        text = F.lit("") if rule.details is None else F.concat(n.cast("string"), F.lit(f" {rule.details}"))
-        results.append(_result(rule.name, n == 0, rule.severity, rule.recommendation, text, F.lit("")))
-    return counts.select(F.inline(F.array(*results)))
-
-
-def _side(df: DataFrame, value: Column, check: str, side: str) -> DataFrame:
-    return df.agg(value.alias("value")).select(
-        F.lit(check).alias("_check"), F.lit(side).alias("_side"), F.col("value")
-    )
+    counts = df.agg(*[violations(r).alias(f"_{i}") for i, r in enumerate(rules)])
+    return check_results(counts, [rule_check(r, f"_{i}") for i, r in enumerate(rules)])
 
 
-def reconcile_counts(groups: dict[str, dict[str, DataFrame]], severity="High", recommendation="Investigate ETL"):
+def reconcile_counts(groups: dict[str, dict[str, DataFrame]]) -> DataFrame:
     """Row counts of the layers of each table must agree: ``{table: {layer: frame}}``."""
-    sides = [
-        _side(df, F.count(F.lit(1)), table, layer)
-        for table, layers in groups.items()
-        for layer, df in layers.items()
+    tables = [
+        (df, {f"{table}_{layer}": row_count()}) for table, layers in groups.items() for layer, df in layers.items()
     ]
-    layers = list(next(iter(groups.values())))
-    wide = (
-        reduce(DataFrame.unionByName, sides)
-        .groupBy("_check")
-        .agg(*[F.max(F.when(F.col("_side") == layer, F.col("value"))).alias(layer) for layer in layers])
-    )
-    agree = reduce(lambda a, b: a & b, [F.col(layers[0]) == F.col(layer) for layer in layers[1:]])
-    text = F.concat_ws(", ", *[F.concat(F.lit(f"{layer}="), F.col(layer).cast("string")) for layer in layers])
-    name = F.concat(F.lit("Row Count - "), F.col("_check"))
-    return wide.select(_result(name, agree, severity, recommendation, text, text).alias("_r")).select("_r.*")
+    checks = [
+        count_check(table, {layer: f"{table}_{layer}" for layer in layers}) for table, layers in groups.items()
+    ]
+    return check_results(table_metrics(tables), checks)
 
 
 def reconcile_sums(
@@ -92,25 +122,10 @@ def reconcile_sums(
     with_details: bool = False,
 ) -> DataFrame:
     """Sums of a column on two sides must agree within ``tolerance``; an empty side counts as zero."""
-    total = lambda c: F.coalesce(F.sum(c), F.lit(0.0))
-    wide = (
-        _side(left[0], total(left[1]), check, "left")
-        .unionByName(_side(right[0], total(right[1]), check, "right"))
-        .groupBy("_check")
-        .agg(
-            F.max(F.when(F.col("_side") == "left", F.col("value"))).alias("left"),
-            F.max(F.when(F.col("_side") == "right", F.col("value"))).alias("right"),
-        )
-    )
-    ok = F.abs(F.col("left") - F.col("right")) < tolerance
-    text = (
-        F.concat_ws(" vs ", F.col("left").cast("string"), F.col("right").cast("string"))
-        if with_details
-        else F.lit("")
+    metrics = table_metrics([(left[0], {"left": total(left[1])}), (right[0], {"right": total(right[1])})])
+    return check_results(
+        metrics, [sum_check(check, "left", "right", tolerance, severity, recommendation, with_details)]
     )
-    return wide.select(
-        _result(F.col("_check"), ok, severity, recommendation, text, F.lit("")).alias("_r")
-    ).select("_r.*")
 
 
 def summarise(results: DataFrame) -> DataFrame:

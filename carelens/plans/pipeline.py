@@ -24,13 +24,11 @@ from carelens.plans import gold as g
 from carelens.plans.silver import CLEANERS, UNREADABLE
 from carelens.plans.validation import validate
 from carelens.plans.views import build_views
-from carelens.sources.export import RUN_LOG_SCHEMA, append_run_log, export_checks, export_tables, replace_table
+from carelens.sources.export import RUN_LOG_SCHEMA, WRITERS, append_run_log, export_checks, export_tables, replace_table
 from carelens.sources.feeds import FEEDS
 from carelens.sources.reference_data import dim_community_region
 from carelens.streaming.ingest import ingest, processed_files, read_bronze
 
-WRITERS = 8
-
 
 @dataclass
 class Tables:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,9 +9,14 @@ from carelens.functions.dates import parse_day
 from carelens.operators.quality import (
     RESULT_COLUMNS,
     Rule,
-    evaluate_rules,
-    reconcile_counts,
-    reconcile_sums,
+    check_results,
+    count_check,
+    row_count,
+    rule_check,
+    sum_check,
+    table_metrics,
+    total,
+    violations,
 )
 
 # Feed -> the gold table that must hold as many rows.
@@ -27,8 +30,7 @@ GOLD_OF_FEED = {
     "pcc_residents": "dim_resident",
 }
 
-# Check names in report order, severities, recommendations and bounds.
-ROW_CHECKS = tuple(f"Row Count - {table}" for table in GOLD_OF_FEED.values())
+# Rule names, severities, recommendations and bounds.
 RULES_ON_RESIDENTS = {
     "discharge": Rule(
         "Discharge Before Admit", "discharge_date < admit_date", "High", "Raise to Client", "residents"
@@ -40,10 +42,6 @@ RATING_RULE = Rule("Invalid Rating", "rating < 1 OR rating > 5", "Medium", "Rais
 FUTURE_RULE = Rule(
     "Future Dated Incidents", "incident_date > {as_of}", "Medium", "Raise to Client", "future records"
 )
-CHECK_ORDER = (
-    *ROW_CHECKS, "Revenue Reconciliation", "Shift Hours", "Discharge Before Admit", "Future Dated Incidents",
-    "Acuity Range", "Negative Hours", "Invalid Rating",
-)
 REVENUE_TOLERANCE = 0.01
 HOURS_TOLERANCE = 0.1
 ACUITY_BOUNDS = (1, 5)
@@ -70,35 +68,34 @@ def validate(
     as_of=None,
     acuity_bounds: tuple[int, int] = ACUITY_BOUNDS,
 ) -> DataFrame:
-    """All checks as one DataFrame in report order. Rules on the same table share one scan."""
-    layers = {
-        table: {"Bronze": bronze[feed], "Silver": silver[feed], "Gold": gold[table]}
-        for feed, table in GOLD_OF_FEED.items()
+    """All checks as one DataFrame in report order; every table is scanned once for all its checks."""
+    discharge, acuity = resident_rules(acuity_bounds)
+    future = future_rule(as_of)
+    extra = {
+        ("Bronze", "adp_shifts"): {"raw_hours": total(F.col("hours_worked").cast("double"))},
+        ("Gold", "adp_shifts"): {"fact_hours": total("hours_worked"), "negative_hours": violations(HOURS_RULE)},
+        ("Silver", "yardi_leases"): {"silver_revenue": total("monthly_rate")},
+        ("Gold", "yardi_leases"): {"fact_revenue": total("monthly_rate")},
+        ("Silver", "pcc_incidents"): {"future": violations(future)},
+        ("Gold", "gbp_reviews"): {"rating": violations(RATING_RULE)},
+        ("Gold", "pcc_residents"): {"discharge": violations(discharge), "acuity": violations(acuity)},
     }
-    raw_hours = bronze["adp_shifts"].select(F.col("hours_worked").cast("double").alias("hours_worked"))
-    results = [
-        reconcile_counts(layers),
-        reconcile_sums(
-            "Revenue Reconciliation",
-            (silver["yardi_leases"], "monthly_rate"),
-            (gold["fact_revenue"], "monthly_rate"),
-            REVENUE_TOLERANCE,
-            "High",
-            "Check Revenue Transformation",
-            with_details=True,
-        ),
-        reconcile_sums(
-            "Shift Hours",
-            (raw_hours, "hours_worked"),
-            (gold["fact_labor"], "hours_worked"),
-            HOURS_TOLERANCE,
-            "Medium",
-            "Check Pipeline",
+    tables = []
+    for feed, table in GOLD_OF_FEED.items():
+        for layer, df in (("Bronze", bronze[feed]), ("Silver", silver[feed]), ("Gold", gold[table])):
+            tables.append((df, {f"{layer}_{feed}": row_count(), **extra.get((layer, feed), {})}))
+    layers = ("Bronze", "Silver", "Gold")
+    checks = [
+        *[count_check(table, {x: f"{x}_{feed}" for x in layers}) for feed, table in GOLD_OF_FEED.items()],
+        sum_check(
+            "Revenue Reconciliation", "silver_revenue", "fact_revenue", REVENUE_TOLERANCE, "High",
+            "Check Revenue Transformation", with_details=True,
         ),
-        evaluate_rules(gold["dim_resident"], resident_rules(acuity_bounds)),
-        evaluate_rules(silver["pcc_incidents"], [future_rule(as_of)]),
-        evaluate_rules(gold["fact_labor"], [HOURS_RULE]),
-        evaluate_rules(gold["fact_reviews"], [RATING_RULE]),
-    ]
-    position = F.array_position(F.array(*[F.lit(c) for c in CHECK_ORDER]), F.col("Check"))
-    return reduce(DataFrame.unionByName, results).orderBy(position).select(*RESULT_COLUMNS)
+        sum_check("Shift Hours", "raw_hours", "fact_hours", HOURS_TOLERANCE, "Medium", "Check Pipeline"),
+        rule_check(discharge, "discharge"),
+        rule_check(future, "future"),
+        rule_check(acuity, "acuity"),
+        rule_check(HOURS_RULE, "negative_hours"),
+        rule_check(RATING_RULE, "rating"),
+    ]
+    return check_results(table_metrics(tables), checks).select(*RESULT_COLUMNS)

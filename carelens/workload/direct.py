@@ -61,7 +61,9 @@ def _month(column: str):
     return F.trunc(_day(column), "month")
 
 
-N = F.count(F.lit(1))
+def _rows():
+    return F.count(F.lit(1))
+
 
 # expressions and cleaning
 
@@ -78,7 +80,7 @@ def _clean_text_events(s: Source) -> DataFrame:
     raw = s.events.select("user_id", _day("ts").alias("day"), F.concat(F.lit("  "), "event_type", F.lit(" ")).alias("raw"))
     return raw.groupBy(
         clean_upper("raw").alias("level"), canonical("raw", _GROUPS, clean("raw")).alias("level_group"), "user_id", "day"
-    ).agg(N.alias("row_count"))
+    ).agg(_rows().alias("row_count"))
 
 
 @register(
@@ -111,7 +113,7 @@ def _safe_dates(s: Source) -> DataFrame:
 )
 def _strict_numbers(s: Source) -> DataFrame:
     text = (F.col("l_quantity") / 4).cast("string")
-    return s.lineitem.groupBy("l_returnflag").agg(F.sum(whole_number(text)).alias("quarters"), N.alias("row_count"))
+    return s.lineitem.groupBy("l_returnflag").agg(F.sum(whole_number(text)).alias("quarters"), _rows().alias("row_count"))
 
 
 @register(
@@ -218,7 +220,7 @@ def _fan_out(s: Source, match_flag: bool) -> DataFrame:
     Lines are reduced to (supplier, flag) first; each reduced row then meets the same dimension rows that its
     lines would have met.
     """
-    lines = s.lineitem.groupBy("l_suppkey", "l_returnflag").agg(N.alias("n"), F.sum("l_quantity").alias("quantity"))
+    lines = s.lineitem.groupBy("l_suppkey", "l_returnflag").agg(_rows().alias("n"), F.sum("l_quantity").alias("quantity"))
     dim = s.lineitem.select("l_suppkey", "l_returnflag").distinct()
     on = ["l_suppkey", "l_returnflag"] if match_flag else ["l_suppkey"]
     joined = lines.join(dim, on, "left") if match_flag else lines.drop("l_returnflag").join(dim, on, "left")
@@ -277,7 +279,7 @@ def _monthly_rate(s: Source) -> DataFrame:
     """Share of lines that were not returned, per supplier nation and month."""
     per_supplier = s.lineitem.groupBy(
         F.col("l_suppkey").alias("s_suppkey"), F.year("l_shipdate").alias("year"), F.month("l_shipdate").alias("month")
-    ).agg(N.alias("total_lines"), F.count_if(F.col("l_returnflag") != "R").alias("kept_lines"))
+    ).agg(_rows().alias("total_lines"), F.count_if(F.col("l_returnflag") != "R").alias("kept_lines"))
     nations = s.nation.select(F.col("n_nationkey").alias("s_nationkey"), "n_name")
     homes = s.supplier.select("s_suppkey", "s_nationkey").join(nations, "s_nationkey").select("s_suppkey", "n_name")
     return share_by(
@@ -294,7 +296,7 @@ def _monthly_rate(s: Source) -> DataFrame:
 def _avg_duration_trailing12(s: Source) -> DataFrame:
     lines = since_latest(s.lineitem.select("l_orderkey", _day("l_shipdate").alias("ship_day")), "ship_day", 12)
     epoch = F.unix_date("ship_day")
-    per_order = lines.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(N.alias("n"), F.sum(epoch).alias("ship"))
+    per_order = lines.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(_rows().alias("n"), F.sum(epoch).alias("ship"))
     orders = s.orders.select("o_orderkey", F.col("o_custkey").alias("c_custkey"), _day("o_orderdate").alias("day"))
     total_days = F.sum(F.col("ship") - F.col("n") * F.unix_date("day"))
     per_customer = per_order.join(orders, "o_orderkey").groupBy("c_custkey").agg(
@@ -310,7 +312,7 @@ def _avg_duration_trailing12(s: Source) -> DataFrame:
 def _top3(s: Source, orders: DataFrame) -> DataFrame:
     per_customer = orders.groupBy(
         F.col("o_custkey").alias("c_custkey"), F.date_format("day", "yyyy-MM").alias("period"), "o_orderpriority"
-    ).agg(N.alias("n"))
+    ).agg(_rows().alias("n"))
     nations = s.customer.select("c_custkey", F.col("c_nationkey").alias("n_nationkey")).join(
         s.nation.select("n_nationkey", "n_name"), "n_nationkey"
     )
@@ -357,7 +359,7 @@ def _cost_per_unit_month(s: Source) -> DataFrame:
     cost = cost.join(sellers, "s_suppkey").groupBy("n_name", "year", "month").agg(round2(F.sum("cost")).alias("cost"))
     units = s.orders.groupBy(
         F.col("o_custkey").alias("c_custkey"), F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month")
-    ).agg(N.alias("units"))
+    ).agg(_rows().alias("units"))
     buyers = s.customer.select("c_custkey", F.col("c_nationkey").alias("n_nationkey")).join(nations, "n_nationkey")
     units = units.join(buyers, "c_custkey").groupBy("n_name", "year", "month").agg(F.sum("units").alias("units"))
     return cost.join(units, ["n_name", "year", "month"]).withColumn("cost_per_unit", round2(ratio("cost", "units")))
@@ -372,7 +374,7 @@ def _cost_per_unit_month(s: Source) -> DataFrame:
 def _rate_per_100(s: Source) -> DataFrame:
     return (
         s.events.groupBy("user_id", _day("ts").alias("day"))
-        .agg(F.count_if(F.col("event_type") == "error").alias("errors"), N.alias("events"))
+        .agg(F.count_if(F.col("event_type") == "error").alias("errors"), _rows().alias("events"))
         .filter("errors > 0")
         .withColumn("error_rate", percent("errors", "events"))
     )
@@ -519,7 +521,7 @@ def _revenue_by_region(s: Source) -> DataFrame:
     return (
         per_customer.join(homes.select("c_custkey", "r_name"), "c_custkey")
         .groupBy("r_name")
-        .agg(round2(F.sum("amount")).alias("revenue"), N.alias("customer_count"))
+        .agg(round2(F.sum("amount")).alias("revenue"), _rows().alias("customer_count"))
     )
 
 
@@ -553,10 +555,10 @@ def _severity_hist(s: Source) -> DataFrame:
 def _trend_month(s: Source) -> DataFrame:
     """Reduced per (month, supplier) first, so suppliers are counted without a distinct aggregate."""
     per_supplier = s.lineitem.groupBy(_month("l_shipdate").alias("month_start"), "l_suppkey").agg(
-        N.alias("n"), F.sum("l_extendedprice").alias("amount")
+        _rows().alias("n"), F.sum("l_extendedprice").alias("amount")
     )
     return per_supplier.groupBy("month_start").agg(
-        F.sum("n").alias("line_count"), N.alias("suppliers"), round2(F.sum("amount")).alias("revenue")
+        F.sum("n").alias("line_count"), _rows().alias("suppliers"), round2(F.sum("amount")).alias("revenue")
     )
 
 
@@ -568,7 +570,7 @@ def _trend_month(s: Source) -> DataFrame:
 )
 def _duration_buckets(s: Source) -> DataFrame:
     lines = s.lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey"), _day("l_shipdate").alias("ship_day")).agg(
-        N.alias("n")
+        _rows().alias("n")
     )
     orders = s.orders.select("o_orderkey", _day("o_orderdate").alias("order_day"))
     days = F.abs(F.date_diff("ship_day", "order_day"))
@@ -590,7 +592,7 @@ def _sliced_orders(s: Source) -> DataFrame:
     )
     segments = s.customer.select("c_custkey", F.col("c_mktsegment").alias("region"))
     kept = m.slice_rows(rows.join(segments, "c_custkey"), region="Machinery", year=1998)
-    return kept.groupBy(F.col("region").alias("c_mktsegment"), "year", "month").agg(N.alias("row_count"))
+    return kept.groupBy(F.col("region").alias("c_mktsegment"), "year", "month").agg(_rows().alias("row_count"))
 
 
 # row security on customers
@@ -744,7 +746,7 @@ def _quarantine_split(s: Source) -> DataFrame:
     ]
     kept, refused = quality.quarantine(s.lineitem.select("l_returnflag", "l_quantity", "l_discount"), rules)
     sides = [(kept, "kept"), (refused, "quarantined")]
-    counts = [df.groupBy("l_returnflag", F.lit(side).alias("side")).agg(N.alias("row_count")) for df, side in sides]
+    counts = [df.groupBy("l_returnflag", F.lit(side).alias("side")).agg(_rows().alias("row_count")) for df, side in sides]
     return counts[0].unionByName(counts[1])
 
 
@@ -772,7 +774,7 @@ _BY_MONTH = (
 def _by_month(df: DataFrame) -> DataFrame:
     total = F.sum(F.col("monthly_rate").cast("double"))
     return df.groupBy(F.substring("move_in_date", 1, 7).alias("period")).agg(
-        N.alias("row_count"), round2(total).alias("total")
+        _rows().alias("row_count"), round2(total).alias("total")
     )
 
 
@@ -795,7 +797,7 @@ register("incremental_ingest", _BY_MONTH)(lambda s: _by_month(_ingest_twice(s)))
 def _processed_files(s: Source) -> DataFrame:
     loaded = _ingest_twice(s)
     ledger = processed_files({"yardi_leases": loaded}).groupBy("dataset").agg(F.sum("rows_loaded").alias("row_count"))
-    return ledger.withColumn("repeated", repeated_loads(loaded).agg(N).scalar())
+    return ledger.withColumn("repeated", repeated_loads(loaded).agg(_rows()).scalar())
 
 
 @register("full_reload", _BY_MONTH)
@@ -818,4 +820,4 @@ def _parquet_export(s: Source) -> DataFrame:
     out = scratch_path(s.spark, "export")
     export_tables({"dim_customer": s.customer, "orders": s.orders}, out)
     exported = s.spark.read.schema(s.customer.schema).parquet(f"{out}/dim_customer.parquet")
-    return exported.groupBy("c_nationkey").agg(N.alias("row_count"), round2(F.sum("c_acctbal")).alias("balance"))
+    return exported.groupBy("c_nationkey").agg(_rows().alias("row_count"), round2(F.sum("c_acctbal")).alias("balance"))

@@ -141,6 +141,14 @@ def test_positive_flag_counts_null_as_zero(spark):
         ("{'RN': '46'}", "RN", 46.0),
         ("{'RN': 46}", "LPN", None),
         ("{'RN': 46}", None, None),
+        ("{'RN': 46}", "Driver", None),
+        ("{'LPN': 30, 'RN' : 46 }", "RN", 46.0),
+        ("{'RN': 46, 'LPN': 30}", "RN", 46.0),
+        ("{'Senior RN': 50}", "RN", None),
+        ('{"RN": 46}', "RN", 46.0),
+        ("{'RN': 46", "RN", None),
+        ("16.5", "RN", None),
+        ("{'RN': forty}", "RN", None),
         ("16.5 per hour", "RN", None),
         (None, "RN", None),
     ],
