@@ -25,7 +25,7 @@ from carelens.plans.silver import CLEANERS, UNREADABLE
 from carelens.plans.validation import validate
 from carelens.plans.views import build_views
 from carelens.sources.export import RUN_LOG_SCHEMA, WRITERS, append_run_log, export_checks, export_tables, replace_table
-from carelens.sources.feeds import FEEDS
+from carelens.sources.feeds import BROADCAST_FILES, FEEDS
 from carelens.sources.reference_data import dim_community_region
 from carelens.streaming.ingest import ingest, processed_files, read_bronze
 
@@ -140,7 +140,7 @@ def run_pipeline(
     corrected: bool = False,
     export_to: str | None = None,
     quarantine_rows: bool = False,
-    max_files_per_batch: int | None = None,
+    max_files_per_batch: int = BROADCAST_FILES,
 ) -> Tables:
     """Load new files from ``raw`` and rebuild everything under ``root`` (both on shared storage).
 

@@ -40,8 +40,8 @@ LINEAGE = ("source_file", "ingestion_timestamp")
 #: Feeds whose quoted text may contain line breaks; their files are read whole, one task per file.
 FREE_TEXT_FEEDS = frozenset({"gbp_reviews"})
 
-#: The widest header a feed file may have when it is read by name.
-MAX_COLUMNS = 64
+#: Headers of at most this many files are broadcast (a header is a few hundred bytes); beyond it they are joined.
+BROADCAST_FILES = 10_000
 
 
 def feed_schema(feed: str) -> T.StructType:
@@ -87,33 +87,43 @@ def csv_options(feed: str, pattern: str | None = None) -> dict[str, str]:
     }
 
 
-def cell_schema() -> T.StructType:
+def max_columns(feed: str) -> int:
+    """The widest header a file of the feed may have when it is read by name."""
+    return 2 * len(FEEDS[feed]) + 8
+
+
+def cell_schema(feed: str) -> T.StructType:
     """Positional text columns, for files whose column order is not known yet."""
-    return T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(MAX_COLUMNS)])
+    return T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(max_columns(feed))])
 
 
-def as_cells(raw: DataFrame) -> DataFrame:
-    """``(cells, _path, source_file)`` from a positional read."""
+def as_cells(raw: DataFrame, feed: str) -> DataFrame:
+    """``(cells, _path, _start, source_file)`` from a positional read."""
     return raw.select(
-        F.array(*[f"_c{i}" for i in range(MAX_COLUMNS)]).alias("cells"),
+        F.array(*[f"_c{i}" for i in range(max_columns(feed))]).alias("cells"),
         F.col("_metadata.file_path").alias("_path"),
+        F.col("_metadata.file_block_start").alias("_start"),
         F.col("_metadata.file_name").alias("source_file"),
     )
 
 
-def resolve_by_name(cells: DataFrame, feed: str) -> DataFrame:
+def resolve_by_name(cells: DataFrame, feed: str, few_files: bool = False) -> DataFrame:
     """Give positional rows their feed columns, using the header row of the file each row came from.
 
     Headers are matched after :func:`normalise_header`, so order, case and extra columns may differ from file
-    to file; a missing column becomes NULL. There is one header row per file. A file without the feed's key
-    column fails the read: its rows cannot be placed and must not vanish.
+    to file; a missing column becomes NULL. There is one header row per file, in the file's first block. A file
+    without the feed's key column fails the read: its rows cannot be placed and must not vanish.
+
+    ``few_files`` states that there are at most ``BROADCAST_FILES`` files, so that rows stay where they were read.
     """
     columns = FEEDS[feed]
+    key = columns[0]
+    names_key = F.exists("cells", lambda c: (F.length(c) < len(key) + 16) & (normalise_header(c) == key))
+    is_header = (F.col("_start") == 0) & F.coalesce(names_key, F.lit(False))
     names = F.transform("cells", normalise_header)
-    is_header = F.coalesce(F.array_contains(names, columns[0]), F.lit(False))
     headers = cells.filter(is_header).groupBy("_path").agg(F.first(names).alias("_names"))
-    placed = cells.filter(~is_header).join(headers, "_path", "left")
-    missing = F.raise_error(F.concat(F.lit(f"no {columns[0]} header in "), "source_file"))
+    placed = cells.filter(~is_header).join(F.broadcast(headers) if few_files else headers, "_path", "left")
+    missing = F.raise_error(F.concat(F.lit(f"no {key} header in "), "source_file"))
     header = F.when(F.col("_names").isNull(), missing.cast("array<string>")).otherwise(F.col("_names"))
     return placed.withColumn("_names", header).select(
         *[F.get("cells", F.array_position("_names", c).cast("int") - 1).alias(c) for c in columns],
@@ -135,8 +145,9 @@ def read_feed(
     """
     reader = spark.read.options(**csv_options(feed, pattern))
     if by_name:
-        cells = as_cells(reader.option("header", False).schema(cell_schema()).csv(folder))
-        return with_lineage(resolve_by_name(cells, feed), feed)
+        raw = reader.option("header", False).schema(cell_schema(feed)).csv(folder)
+        few_files = len(raw.inputFiles()) <= BROADCAST_FILES
+        return with_lineage(resolve_by_name(as_cells(raw, feed), feed, few_files), feed)
     strict = reader.option("header", True).option("enforceSchema", False).schema(feed_schema(feed)).csv(folder)
     return with_lineage(strict.select("*", F.col("_metadata.file_name").alias("source_file")), feed)
 

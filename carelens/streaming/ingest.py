@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from carelens.sources.feeds import (
+    BROADCAST_FILES,
     FEEDS,
     as_cells,
     bronze_schema,
@@ -31,17 +32,20 @@ def start_feed(
     bronze: str,
     checkpoints: str,
     feed: str,
-    max_files_per_batch: int | None = None,
+    max_files_per_batch: int = BROADCAST_FILES,
     pattern: str | None = None,
 ) -> StreamingQuery:
-    """Start loading the unseen files of one feed; the query ends when they are all loaded."""
+    """Start loading the unseen files of one feed; the query ends when they are all loaded.
+
+    A run with more new files than ``max_files_per_batch`` loads them in several batches.
+    """
     reader = spark.readStream.options(**csv_options(feed, pattern)).option("header", False)
-    if max_files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
-    cells = as_cells(reader.schema(cell_schema()).csv(folder))
+    reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
+    cells = as_cells(reader.schema(cell_schema(feed)).csv(folder), feed)
+    few_files = max_files_per_batch <= BROADCAST_FILES
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        rows = with_lineage(resolve_by_name(batch, feed), feed)
+        rows = with_lineage(resolve_by_name(batch, feed, few_files), feed)
         rows.write.mode("overwrite").parquet(f"{bronze}/{feed}/batch_id={batch_id}")
 
     return (
@@ -59,7 +63,7 @@ def ingest(
     bronze: str,
     checkpoints: str,
     feeds=tuple(FEEDS),
-    max_files_per_batch: int | None = None,
+    max_files_per_batch: int = BROADCAST_FILES,
 ) -> None:
     """Load the unseen files of all feeds; the feeds run side by side."""
     running = [start_feed(spark, folder, bronze, checkpoints, f, max_files_per_batch) for f in feeds]
