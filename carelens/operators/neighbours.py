@@ -5,15 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from carelens.operators.skew import HOT_ROWS, hot_keys
 
 _LAST_CHUNK = 2**31 - 1
 
 
-def _day_number(at: str) -> Column:
-    """Days since the epoch; rows without a date come last."""
-    return F.coalesce(F.unix_date(F.col(at).cast("date")), F.lit(_LAST_CHUNK))
+def _chunk_number(df: DataFrame, at: str) -> Column:
+    """The day of a date, or the hour of a timestamp, counted from the epoch; rows without one come last."""
+    number = F.unix_date(F.col(at).cast("date"))
+    if not isinstance(df.schema[at].dataType, T.DateType):
+        number = number * 24 + F.hour(at)
+    return F.coalesce(number, F.lit(_LAST_CHUNK))
 
 
 def with_neighbour(
@@ -31,10 +35,10 @@ def with_neighbour(
     Rows are ordered by ``at`` (a date or timestamp, NULLs last), then by ``ties``. ``into`` is NULL where
     there is no such row.
 
-    An ordinary key is one window group. The rows of a hot key are first cut into one group per day, so that
-    no task has to sort the whole key. The edge row of each (hot key, day) is then the only thing still
-    needed from a neighbouring day: those edges are aggregated before they are shuffled, there is at most one
-    per day and key, and a second window over them links each day to the nearest day that has rows.
+    An ordinary key is one window group. The rows of a hot key are first cut into one group per day (per hour,
+    if ``at`` is a timestamp), so that no task has to sort the whole key. The edge row of each group is then the
+    only thing still needed from a neighbouring group: edges are aggregated before they are shuffled, there is at
+    most one per key and day, and a second window over them links each day to the nearest one that has rows.
     """
     if direction not in ("next", "previous"):
         raise ValueError(f"direction must be 'next' or 'previous', got {direction!r}")
@@ -45,7 +49,7 @@ def with_neighbour(
     # Broadcast: at most rows / hot_rows keys. A shuffled join here would bring a hot key's rows together again.
     hot = F.broadcast(hot_keys(df, keys, hot_rows).withColumn("_hot", F.lit(True)))
     marked = df.join(hot, keys, "left").withColumn(
-        "_chunk", F.when(F.col("_hot"), _day_number(at)).otherwise(F.lit(0))
+        "_chunk", F.when(F.col("_hot"), _chunk_number(df, at)).otherwise(F.lit(0))
     )
     order = [F.col(at).asc_nulls_last(), *[F.col(c).asc_nulls_first() for c in ties]]
     inside = marked.withColumn("_inside", step(payload).over(W.partitionBy(*keys, "_chunk").orderBy(*order)))

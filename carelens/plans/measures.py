@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from carelens.functions.numbers import ratio, round2
 from carelens.functions.text import same_text
 from carelens.operators.aggregates import bucket, rolling_sum, year_over_year
+from carelens.plans.views import by_community_month
 
 # Our choice of upper bounds for lease duration buckets, in days.
 DURATION_BOUNDS = [30, 90, 180, 365]
@@ -159,6 +160,28 @@ def lease_metrics(
     )
 
 
+def monthly_trends(
+    fact_occupancy: DataFrame,
+    fact_revenue: DataFrame,
+    fact_incidents: DataFrame,
+    dates: DataFrame,
+    communities: DataFrame,
+) -> DataFrame:
+    """Occupancy, revenue and incidents per community and month; a month with only one of them is kept.
+
+    Each fact is reduced to community months before the three are brought together.
+    """
+    parts = [
+        (fact_occupancy, {"total_units": F.count(F.lit(1)), "occupied_units": F.sum("occupied_flag")}),
+        (fact_revenue, {"revenue": F.sum("monthly_rate")}),
+        (fact_incidents, {"incidents": F.count(F.lit(1))}),
+    ]
+    months = [by_community_month(fact, dates, communities, sums) for fact, sums in parts]
+    rows = months[0].unionByName(months[1], allowMissingColumns=True).unionByName(months[2], allowMissingColumns=True)
+    names = [name for _, sums in parts for name in sums]
+    return rows.groupBy("community_id", "year", "month").agg(*[F.max(name).alias(name) for name in names])
+
+
 def duration_buckets(df: DataFrame, days: str, bounds: list[int] | None = None) -> DataFrame:
     """Rows per duration bucket."""
     label = bucket(F.col(days), bounds or DURATION_BOUNDS).alias("duration_bucket")

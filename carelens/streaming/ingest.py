@@ -100,3 +100,13 @@ def repeated_loads(ledger_rows: DataFrame) -> DataFrame:
         .agg(F.count_distinct("ingestion_timestamp").alias("loads"))
         .filter("loads > 1")
     )
+
+
+def file_count_differences(loaded: DataFrame, delivered: DataFrame) -> DataFrame:
+    """Files whose loaded row count differs from the delivered one, both counted per ``source_file``.
+
+    ``delivered`` is a fresh batch read of the folder. Repeated loads, lost files and changed files all show.
+    """
+    sides = [df.groupBy("source_file").agg(F.count(F.lit(1)).alias(n)) for df, n in ((loaded, "loaded"), (delivered, "delivered"))]
+    merged = sides[0].join(sides[1], "source_file", "full").fillna(0, ["loaded", "delivered"])
+    return merged.filter("loaded <> delivered")

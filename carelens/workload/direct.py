@@ -25,7 +25,7 @@ from carelens.plans import measures as m
 from carelens.session import scratch_path
 from carelens.sources.export import export_tables
 from carelens.sources.feeds import read_feed
-from carelens.streaming.ingest import processed_files, read_bronze, repeated_loads, start_feed
+from carelens.streaming.ingest import file_count_differences, processed_files, read_bronze, repeated_loads, start_feed
 from carelens.workload.feeds import bronze, load
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -800,6 +800,20 @@ def _processed_files(s: Source) -> DataFrame:
     return ledger.withColumn("repeated", repeated_loads(loaded).agg(_rows()).scalar())
 
 
+register(
+    "file_count_differences",
+    "SELECT strftime(o_orderdate, '%Y-%m') AS source_file, count(*) AS loaded, count(*) - count(*) FILTER "
+    "(o_orderstatus = 'P' AND o_orderdate < '1996-01-01') AS delivered FROM orders GROUP BY 1 HAVING loaded <> delivered",
+)(
+    lambda s: file_count_differences(
+        *[
+            rows.select(F.date_format("o_orderdate", "yyyy-MM").alias("source_file"))
+            for rows in (s.orders, s.orders.filter("NOT (o_orderstatus = 'P' AND o_orderdate < '1996-01-01')"))
+        ]
+    )
+)
+
+
 @register("full_reload", _BY_MONTH)
 def _full_reload(s: Source) -> DataFrame:
     """Two deliveries with different column order, case and an extra column, read by name."""

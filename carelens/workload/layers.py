@@ -93,9 +93,14 @@ class Layers:
     def residents(self) -> DataFrame:
         return g.dim_resident(self.value_sets["pcc_residents"], self.communities)
 
+    @cached_property
+    def care_history(self) -> DataFrame:
+        """Written first: the history builder reads it more than once."""
+        return materialise(self.silver("pcc_care_history"), "care_history")
+
     @cached_property
     def history(self) -> DataFrame:
-        return g.dim_resident_scd(self.silver("pcc_care_history"), keyed=g.content_key)
+        return g.dim_resident_scd(self.care_history, keyed=g.content_key)
 
     @cached_property
     def regions(self) -> DataFrame:
@@ -217,7 +222,7 @@ register(
 register("gold_dim_community", "SELECT * FROM dim_community")(lambda t: t.communities)
 register("gold_dim_resident", "SELECT * FROM dim_resident")(lambda t: t.residents)
 register("gold_dim_resident_scd", "SELECT * FROM dim_resident_scd")(
-    lambda t: g.dim_resident_scd(t.silver("pcc_care_history"))
+    lambda t: g.dim_resident_scd(t.care_history)
 )
 register("gold_dim_date", "SELECT * FROM dim_date")(lambda t: g.dim_date(t.value_sets))
 register("gold_dim_date_corrected", "SELECT * FROM dim_date_corrected")(
@@ -578,6 +583,29 @@ register(
     "WHEN lease_duration_days > 365 THEN '366+' END AS duration_bucket, count(*) AS row_count "
     "FROM fact_revenue GROUP BY ALL",
 )(lambda t: m.duration_buckets(t.revenue, "lease_duration_days"))
+register(
+    "page_trends",
+    "SELECT community_id, year, month, total_units, occupied_units, round(revenue, 2) AS revenue, incidents FROM v_occupancy "
+    "FULL JOIN (SELECT community_id, CAST(year(date_key) AS INTEGER) AS year, CAST(month(date_key) AS INTEGER) AS month, "
+    "sum(monthly_rate) AS revenue FROM fact_revenue JOIN dim_community USING (community_key) GROUP BY ALL) "
+    "USING (community_id, year, month) FULL JOIN (SELECT community_id, CAST(year(date_key) AS INTEGER) AS year, "
+    "CAST(month(date_key) AS INTEGER) AS month, count(*) AS incidents FROM fact_incidents JOIN dim_community "
+    "USING (community_key) GROUP BY ALL) USING (community_id, year, month)",
+)(
+    lambda t: m.monthly_trends(t.occupancy, t.revenue, t.incidents, t.dates, t.communities).withColumn(
+        "revenue", round2("revenue")
+    )
+)
+register(
+    "validation_expected_dedupe",
+    "SELECT 'Row Count - dim_resident' AS \"Check\", CASE WHEN s = g THEN 'PASS' ELSE 'FAIL' END AS \"Status\", "
+    "'Silver=' || s || ', Gold=' || g AS \"Details\" FROM (SELECT (SELECT count(*) FROM s_pcc_residents) AS s, "
+    "(SELECT count(*) FROM dim_resident) AS g)",
+)(
+    lambda t: val.validate(*_tables(t), as_of=AS_OF, expected_dedupe=("pcc_residents",))
+    .filter(F.col("Check") == "Row Count - dim_resident")
+    .select("Check", "Status", "Details")
+)
 register(
     "page_monthly_trends",
     f"SELECT year, month, CAST(sum(total_units) AS BIGINT) AS total_units, CAST(sum(occupied_units) AS BIGINT) AS "

@@ -80,6 +80,16 @@ def test_neighbours_match_brute_force_with_hot_and_cold_keys(spark, direction, h
     assert got.count() == len(rows)
 
 
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+def test_neighbours_of_a_hot_key_by_timestamp(spark, kind):
+    rng = random.Random(5)
+    rows = [("hot", i, f"2024-0{rng.randrange(1, 4)}-{rng.randrange(1, 29):02d} {rng.randrange(24):02d}:{rng.randrange(60):02d}:00") for i in range(300)]
+    df = spark.createDataFrame(rows, "k string, i int, t string").withColumn("at", F.col("t").cast(kind))
+    got = {r["i"]: r["n"] and r["n"]["i"] for r in with_neighbour(df, ["k"], "at", ["i"], "n", "next", ["i"], 10).collect()}
+    order = [i for _, i, _ in sorted(rows, key=lambda r: (r[2], r[1]))]
+    assert got == dict(zip(order, [*order[1:], None], strict=True))
+
+
 def test_neighbours_reject_unknown_direction(spark):
     with pytest.raises(ValueError, match="direction"):
         with_neighbour(spark.range(1), ["id"], "id", ["id"], "n", "sideways")

@@ -10,6 +10,7 @@ from carelens.operators.security import ACCESS_KEYS
 from carelens.plans import measures, reports
 from carelens.plans.pipeline import open_latest, run_pipeline
 from carelens.plans.silver import clean_shifts, split_unreadable_rates
+from carelens.plans.validation import validate
 from carelens.plans.views import census_occupancy
 from carelens.sources.feeds import feed_schema
 
@@ -139,6 +140,14 @@ def test_checks(run):
     assert details["Shift Hours"] == ("Medium", "Check Pipeline", "")
 
 
+def test_expected_dedupe_and_acuity_bounds(run):
+    t = run[1]
+    got = {r["Check"]: r for r in validate(t.bronze, t.silver, t.gold, AS_OF, (1, 10), ("pcc_residents",)).collect()}
+    assert got["Row Count - dim_resident"]["Status"] == "PASS"
+    assert got["Row Count - dim_resident"]["Details"] == "Silver=2, Gold=2"
+    assert got["Acuity Range"]["Status"] == "PASS"
+
+
 def test_outputs(run, spark):
     root, _ = run
     exported = {p.name for p in (root / "exports").iterdir()}

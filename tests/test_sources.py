@@ -86,6 +86,10 @@ def test_incremental_ingest(spark, tmp_path, rows):
         ("yardi_leases_2025_02.csv", "yardi_leases", 1),
     ]
     assert ing.repeated_loads(tables["yardi_leases"]).count() == 0
+    delivered = feeds.read_feed(spark, str(raw), "yardi_leases")
+    assert ing.file_count_differences(tables["yardi_leases"], delivered).count() == 0
+    twice = tables["yardi_leases"].unionByName(tables["yardi_leases"].filter("source_file LIKE '%01.csv'"))
+    assert rows(ing.file_count_differences(twice, delivered)) == [("yardi_leases_2025_01.csv", 10, 5)]
 
 
 def test_a_batch_that_is_repeated_replaces_its_own_rows(spark, tmp_path):
