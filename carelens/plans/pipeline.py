@@ -24,8 +24,9 @@ from carelens.plans import gold as g
 from carelens.plans.silver import CLEANERS, UNREADABLE
 from carelens.plans.validation import validate
 from carelens.plans.views import build_views
+from carelens.session import size_shuffles
 from carelens.sources.export import RUN_LOG_SCHEMA, WRITERS, append_run_log, export_checks, export_tables, replace_table
-from carelens.sources.feeds import BROADCAST_FILES, FEEDS
+from carelens.sources.feeds import BROADCAST_FILES, FEEDS, discover_files
 from carelens.sources.reference_data import dim_community_region
 from carelens.streaming.ingest import ingest, processed_files, read_bronze
 
@@ -162,6 +163,8 @@ def run_pipeline(
     }
     tables, home = Tables(), f"{root}/runs/{run_id}"
     try:
+        held = discover_files(spark, raw).filter("feed IS NOT NULL").agg(F.coalesce(F.sum("length"), F.lit(0)).alias("b"))
+        size_shuffles(spark, held.first()["b"])
         begun = spark.range(1).select(F.current_timestamp().alias("t")).first()["t"]
         ingest(spark, raw, f"{root}/bronze", f"{root}/checkpoints", max_files_per_batch=max_files_per_batch)
         tables.bronze = {feed: read_bronze(spark, f"{root}/bronze", feed) for feed in FEEDS}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -98,11 +100,19 @@ def cell_schema(feed: str) -> T.StructType:
 
 
 def as_cells(raw: DataFrame, feed: str) -> DataFrame:
-    """``(cells, _path, _start, source_file)`` from a positional read."""
+    """``(cells, _header, _path, source_file)`` from a positional read; ``_header`` marks the header rows.
+
+    A header row is in the first block of its file and holds the name of the feed's key column. The length is
+    compared first, so that almost no data value is normalised.
+    """
+    columns = [F.col(f"_c{i}") for i in range(max_columns(feed))]
+    key = FEEDS[feed][0]
+    names_key = [F.length(c).between(len(key), len(key) + 16) & (normalise_header(c) == key) for c in columns]
+    found = F.coalesce(reduce(lambda a, b: a | b, [F.coalesce(n, F.lit(False)) for n in names_key]), F.lit(False))
     return raw.select(
-        F.array(*[f"_c{i}" for i in range(max_columns(feed))]).alias("cells"),
+        F.array(*columns).alias("cells"),
+        ((F.col("_metadata.file_block_start") == 0) & found).alias("_header"),
         F.col("_metadata.file_path").alias("_path"),
-        F.col("_metadata.file_block_start").alias("_start"),
         F.col("_metadata.file_name").alias("source_file"),
     )
 
@@ -111,24 +121,21 @@ def resolve_by_name(cells: DataFrame, feed: str, few_files: bool = False) -> Dat
     """Give positional rows their feed columns, using the header row of the file each row came from.
 
     Headers are matched after :func:`normalise_header`, so order, case and extra columns may differ from file
-    to file; a missing column becomes NULL. There is one header row per file, in the file's first block. A file
-    without the feed's key column fails the read: its rows cannot be placed and must not vanish.
+    to file; a missing column becomes NULL. Positions are worked out once per file. A file without the feed's key
+    column fails the read: its rows cannot be placed and must not vanish.
 
     ``few_files`` states that there are at most ``BROADCAST_FILES`` files, so that rows stay where they were read.
     """
     columns = FEEDS[feed]
-    key = columns[0]
-    names_key = F.exists("cells", lambda c: (F.length(c) < len(key) + 16) & (normalise_header(c) == key))
-    is_header = (F.col("_start") == 0) & F.coalesce(names_key, F.lit(False))
     names = F.transform("cells", normalise_header)
-    headers = cells.filter(is_header).groupBy("_path").agg(F.first(names).alias("_names"))
-    placed = cells.filter(~is_header).join(F.broadcast(headers) if few_files else headers, "_path", "left")
-    missing = F.raise_error(F.concat(F.lit(f"no {key} header in "), "source_file"))
-    header = F.when(F.col("_names").isNull(), missing.cast("array<string>")).otherwise(F.col("_names"))
-    return placed.withColumn("_names", header).select(
-        *[F.get("cells", F.array_position("_names", c).cast("int") - 1).alias(c) for c in columns],
-        "source_file",
-    )
+    headers = cells.filter("_header").groupBy("_path").agg(F.first(names).alias("_names"))
+    places = [(F.array_position("_names", c) - 1).cast("int").alias(f"_at_{c}") for c in columns]
+    headers = headers.select("_path", *places)
+    placed = cells.filter("NOT _header").join(F.broadcast(headers) if few_files else headers, "_path", "left")
+    missing = F.raise_error(F.concat(F.lit(f"no {columns[0]} header in "), "source_file")).cast("string")
+    first = F.when(F.col(f"_at_{columns[0]}").isNull(), missing).otherwise(F.get("cells", F.col(f"_at_{columns[0]}")))
+    rest = [F.get("cells", F.col(f"_at_{c}")).alias(c) for c in columns[1:]]
+    return placed.select(first.alias(columns[0]), *rest, "source_file")
 
 
 def with_lineage(df: DataFrame, feed: str) -> DataFrame:

@@ -107,6 +107,8 @@ def file_count_differences(loaded: DataFrame, delivered: DataFrame) -> DataFrame
 
     ``delivered`` is a fresh batch read of the folder. Repeated loads, lost files and changed files all show.
     """
-    sides = [df.groupBy("source_file").agg(F.count(F.lit(1)).alias(n)) for df, n in ((loaded, "loaded"), (delivered, "delivered"))]
-    merged = sides[0].join(sides[1], "source_file", "full").fillna(0, ["loaded", "delivered"])
+    rows = F.count(F.lit(1))
+    ours = loaded.groupBy("source_file").agg(rows.alias("loaded"))
+    theirs = delivered.groupBy("source_file").agg(rows.alias("delivered"))
+    merged = ours.join(theirs, "source_file", "full").fillna(0, ["loaded", "delivered"])
     return merged.filter("loaded <> delivered")
