@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelens.llm import byte_bpe, decontaminate, importance, line_dedup, simhash, sketches, token_counts
+from carelens.llm import block_labeller, byte_bpe, decontaminate, importance, line_dedup, simhash, sketches, token_counts, toxicity, warc
 from carelens.llm.common import ship
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -97,3 +97,29 @@ def _byte_bpe(table):
 @register("op10_bottom_k")
 def _bottom_k(table):
     return sketches.edited_copies(table("documents"))
+
+
+WARC_SQL = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+d AS (SELECT page_id, octet_length(b) AS n, sha256(b) AS h FROM p),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY h) AS first_id FROM d)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, h AS payload_digest,
+       CASE WHEN n >= 100 AND page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 100 AND page_id <> first_id THEN first_id END AS refers_to
+FROM f
+"""
+
+
+@register("op6_warc", WARC_SQL)
+def _warc(table):
+    return warc.round_trip(table("pages"))
+
+
+@register("op8_toxicity_chain")
+def _toxicity(table):
+    return toxicity.classify(table("documents"), table("labels"))
+
+
+@register("op7_block_labeller")
+def _block_labeller(table):
+    return block_labeller.main_text(table("pages"))
