@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html import unescape
 from typing import NamedTuple
 
@@ -22,6 +23,9 @@ ENDED_BY = {
     "th": {"td", "th", "tr", "tbody", "tfoot"}, "option": {"option", "optgroup"}, "p": BLOCK - {"option", "optgroup"},
 }
 
+#: Elements of a path that describe a block; text is kept at any depth.
+DEPTH = 64
+
 _TAG = re.compile(
     r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>"']*(?:"[^"]*"[^>"']*|'[^']*'[^>"']*)*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?/][^>]*>""", re.S
 )
@@ -30,7 +34,7 @@ _PART = re.compile(r"[a-z]+|[A-Z]+(?![a-z])|[A-Z][a-z]+")
 
 
 class Block(NamedTuple):
-    """``path``: names of the elements above, outermost first, each a tag with words of its class and id; ``text`` with single
+    """``path``: names of the (at most :data:`DEPTH` innermost) elements above, outermost first, each a tag with words of its class and id; ``text`` with single
     spaces; ``linked``: how many of its characters stand in links."""
 
     path: tuple[tuple[str, ...], ...]
@@ -51,15 +55,18 @@ def blocks(html: str) -> list[Block]:
     out: list[Block] = []
     stack: list[tuple[str, ...]] = []
     text: list[str] = []
-    links = linked = 0
-    at, size = 0, len(html)
+    opened: Counter[str] = Counter()
+    linked, at, size = 0, 0, len(html)
+
+    def pop() -> None:
+        opened[stack.pop()[0]] -= 1
 
     def add(piece: str) -> None:
         nonlocal linked
         if piece:
             piece = unescape(piece) if "&" in piece else piece
             text.append(piece)
-            if links:
+            if opened["a"]:
                 linked += len(piece)
 
     def flush() -> None:
@@ -67,7 +74,7 @@ def blocks(html: str) -> list[Block]:
         if text:
             joined = " ".join("".join(text).split())
             if joined:
-                out.append(Block(tuple(stack), joined, linked))
+                out.append(Block(tuple(stack[-DEPTH:]), joined, linked))
             text.clear()
         linked = 0
 
@@ -91,21 +98,21 @@ def blocks(html: str) -> list[Block]:
             if tag in BLOCK:
                 flush()
                 while stack and stack[-1][0] not in BLOCK:  # inline elements left open
-                    links -= stack.pop()[0] == "a"
+                    pop()
                 while stack and tag in ENDED_BY.get(stack[-1][0], ()):
-                    stack.pop()
+                    pop()
             elif tag == "br":
                 text.append("\n")
             if tag not in VOID:
                 stack.append(_element(tag, attributes))
-                links += tag == "a"
-        else:
+                opened[tag] += 1
+        elif opened[tag]:
             if tag in BLOCK:
                 flush()
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == tag:
-                    links -= sum(e[0] == "a" for e in stack[i:])
-                    del stack[i:]
+                    while len(stack) > i:
+                        pop()
                     break
                 if tag not in BLOCK and stack[i][0] in BLOCK:
                     break

@@ -143,7 +143,8 @@ def remove_repeats(df: DataFrame, min_words: int = MIN_WORDS, doc_id: str = "doc
         "left",
     ).select(*map(quoted, df.columns), quoted(removed))
     position = df.columns.index(text)
-    schema = T.StructType([*df.schema.fields, T.StructField(removed, T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())])))])
+    names = joined.columns
+    numbered = joined.toDF(*(f"c{i}" for i in range(len(names))))  # whatever their names, such as with dots
 
     def run(batches):
         for batch in batches:
@@ -155,7 +156,7 @@ def remove_repeats(df: DataFrame, min_words: int = MIN_WORDS, doc_id: str = "doc
             columns[-1] = pa.array([[{"start": a, "end": b} for a, b in s] for s in made], batch.schema.field(batch.num_columns - 1).type)
             yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
 
-    return joined.mapInArrow(run, schema)
+    return numbered.mapInArrow(run, numbered.schema).toDF(*names)
 
 
 def outermost(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
