@@ -16,9 +16,14 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+#: Year, month and day with one kind of separator, all three present; a time of day may follow and is dropped.
+_DAY = r"^(\d{1,4})([-/ ])(\d{1,2})\2(\d{1,2})(?:[ T]\d{1,2}:\d{2}:\d{2}(?:\.\d+)?)?$"
+
+
 def safe_date(c) -> Column:
-    """Parse year-first text with ``-`` or ``/``; anything unreadable becomes NULL."""
-    return F.translate(_col(c), "/", "-").try_cast("date")
+    """Parse year-first text with ``-``, ``/`` or a space; anything unreadable, such as a year or a month alone, becomes NULL."""
+    text = F.trim(_col(c))
+    return F.when(text.rlike(_DAY), F.regexp_replace(text, _DAY, "000$1-$3-$4").try_cast("date"))
 
 
 def month_index(c) -> Column:

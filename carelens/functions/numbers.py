@@ -53,26 +53,39 @@ def positive_flag(c) -> Column:
     return F.when(_col(c) > 0, 1).otherwise(0)
 
 
-def rate_for(text, key) -> Column:
-    """The entry of a flat rate dictionary such as ``{'RN': 46, 'Med Tech': None}`` for a per-row key, as DOUBLE.
-
-    A missing entry, ``None`` and text that is not a dictionary give NULL. The value is cut out by position
-    after its quoted key; parsing each row's dictionary to a map costs several times as much.
-    """
-    flat = F.replace(F.replace(_col(text), F.lit('"'), F.lit("'")), F.lit(" "))
-    marker = F.concat(F.lit("'"), F.replace(_col(key), F.lit(" ")), F.lit("':"))
-    after = F.call_function("substring_index", flat, marker, F.lit(-1))
-    value = F.substring_index(F.substring_index(after, ",", 1), "}", 1)
-    # Without the marker the whole text remains, and its leading brace makes the cast give NULL.
-    return F.when(flat.startswith("{") & flat.endswith("}"), F.replace(value, F.lit("'")).try_cast("double"))
+def is_unreadable(c, kind: str) -> Column:
+    """True for text that is present but is no finite number, or for kind ``"int"`` none that rounds into the range of INT."""
+    number = F.trim(_col(c)).try_cast("double")
+    wrong = number.isNull() | F.isnan(number) | (F.abs(number) == float("inf"))
+    if kind == "int":
+        wrong = wrong | ~F.round(number).between(-(2**31), 2**31 - 1)
+    return _col(c).isNotNull() & F.coalesce(wrong, F.lit(True))
 
 
 def rate_entries(text) -> Column:
-    """Parse a rate dictionary to a map of strings; unreadable text gives NULL."""
+    """Parse a flat rate dictionary such as ``{'RN': 46, 'Med Tech': None}`` to a map of strings; unreadable text gives NULL."""
+    flat = _col(text).rlike(r"^\s*\{[^{}]*\}\s*$")
     as_json = F.regexp_replace(_col(text), r":\s*None\b", ": null")
-    return F.from_json(as_json, "map<string,string>", {"allowSingleQuotes": "true"})
+    return F.when(flat, F.from_json(as_json, "map<string,string>", {"allowSingleQuotes": "true"}))
 
 
-def rate_is_unreadable(text) -> Column:
-    """True for rate text that is present but is not a dictionary."""
-    return _col(text).isNotNull() & rate_entries(text).isNull()
+def rate_for(text, key, lenient: bool = False) -> Column:
+    """The entry of a rate dictionary for a per-row key, as DOUBLE. A missing entry or ``None`` gives NULL.
+
+    Text that is not a dictionary, and an entry that is not a number, fail the job; with ``lenient`` they give NULL.
+    """
+    entries = rate_entries(text)
+    value = F.try_element_at(entries, _col(key))
+    if lenient:
+        return F.trim(value).try_cast("double")
+    refuse = F.raise_error(F.concat(F.lit("unreadable rate: "), _col(text))).cast("double")
+    return F.when(_col(text).isNotNull() & entries.isNull(), refuse).otherwise(F.trim(value).cast("double"))
+
+
+def rate_is_unreadable(text, key=None) -> Column:
+    """True for rate text that is present but is not a dictionary, or whose entry for ``key`` is no finite number."""
+    entries = rate_entries(text)
+    wrong = entries.isNull()
+    if key is not None:
+        wrong = wrong | F.coalesce(is_unreadable(F.try_element_at(entries, _col(key)), "double"), F.lit(False))
+    return _col(text).isNotNull() & wrong

@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from itertools import accumulate
-
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from carelens.session import materialise
@@ -12,26 +11,32 @@ from carelens.session import materialise
 _POSITION_BITS = 33  # documented layout of monotonically_increasing_id: partition above, position below
 
 
+def slot(df: DataFrame, order: list[Column], label: str) -> DataFrame:
+    """Rows dealt to ranges of the sort order, with ``_slot``: (range, position in it).
+
+    The table is written once, so that a retry cannot move the boundaries.
+    """
+    sorted_ranges = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    return materialise(sorted_ranges.withColumn("_slot", F.monotonically_increasing_id()), label)
+
+
+def slot_part() -> Column:
+    return F.shiftright("_slot", _POSITION_BITS)
+
+
 def dense_key(df: DataFrame, name: str, order: list[Column | str]) -> DataFrame:
-    """Add ``name`` = 1, 2, 3, ... in the sort order given, without a single-task window.
+    """Add ``name`` = 1, 2, 3, ... in the sort order given, without a single-task window over the rows.
 
-    Rows are range-partitioned and sorted, and each row's (partition, position) is frozen by writing the
-    table once; a retry can then not move the boundaries. The key is the position plus the row count of all
-    earlier partitions. Only these counts, one number per partition, reach the driver.
+    The key is a row's position in its range plus the row count of all earlier ranges. The counts stay a table, of one row
+    per range; they are summed and joined there, so neither the driver nor the plan grows with their number.
     """
     order = [F.col(c).asc_nulls_last() if isinstance(c, str) else c for c in order]
-    placed = materialise(
-        df.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .withColumn("_slot", F.monotonically_increasing_id()),
-        name,
-    )
-    part = F.shiftright("_slot", _POSITION_BITS).cast("int")
-    sizes = {r["part"]: r["n"] for r in placed.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).collect()}
-    before = list(accumulate((sizes.get(p, 0) for p in range(max(sizes, default=0))), initial=0))
+    placed = slot(df, order, name).withColumn("_part", slot_part())
+    sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = F.sum("_n").over(W.orderBy("_part").rowsBetween(W.unboundedPreceding, W.currentRow)) - F.col("_n")
+    starts = sizes.select("_part", earlier.alias("_start"))
     position = F.col("_slot").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
-    start = F.element_at(F.array(*[F.lit(n).cast("long") for n in before]), part + 1)
-    return placed.select((start + position + 1).alias(name), *df.columns)
+    return placed.join(starts, "_part").select((F.col("_start") + position + 1).alias(name), *df.columns)
 
 
 def hash_key(*columns: str) -> Column:

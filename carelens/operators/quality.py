@@ -14,17 +14,21 @@ RESULT_COLUMNS = ("Check", "Status", "Severity", "Recommendation", "Details")
 
 @dataclass(frozen=True)
 class Rule:
-    """A condition that no row should meet. ``broken`` is a SQL predicate; NULL counts as kept.
+    """A condition that no row should meet. ``broken`` is a predicate, as SQL or as a column; NULL counts as kept.
 
     ``details`` is a suffix such as ``"residents"`` for the text ``"3 residents"``, or None for no text.
     """
 
     name: str
-    broken: str
+    broken: str | Column
     severity: str
     recommendation: str
     details: str | None = None
 
+    @property
+    def predicate(self) -> Column:
+        return F.expr(self.broken) if isinstance(self.broken, str) else self.broken
+
 
 def table_metrics(tables: list[tuple[DataFrame, dict[str, Column]]]) -> DataFrame:
     """Aggregates of several tables side by side in one row: one scan per table, however many metrics it has."""
@@ -44,7 +48,7 @@ def total(column: str | Column) -> Column:
 
 
 def violations(rule: Rule) -> Column:
-    return F.count_if(F.expr(rule.broken))
+    return F.count_if(rule.predicate)
 
 
 def _result(name: str, ok: Column, severity: str, recommendation: str, failed: Column, passed: Column) -> Column:
@@ -64,11 +68,19 @@ def rule_check(rule: Rule, count: str) -> Column:
     return _result(rule.name, n == 0, rule.severity, rule.recommendation, text, F.lit(""))
 
 
-def count_check(table: str, layers: dict[str, str], severity="High", recommendation="Investigate ETL") -> Column:
-    """Row counts of the layers must agree: ``{layer: column with its count}``."""
+def count_check(
+    table: str, layers: dict[str, str], severity="High", recommendation="Investigate ETL", left_out: dict[str, str] | None = None
+) -> Column:
+    """Row counts of the layers must agree: ``{layer: column with its count}``.
+
+    ``left_out`` names counts of rows that were left out on the way from the first layer to the second.
+    """
+    left_out = left_out or {}
     first, *others = layers.values()
-    agree = reduce(lambda a, b: a & b, [F.col(first) == F.col(other) for other in others])
-    text = F.concat_ws(", ", *[F.concat(F.lit(f"{name}="), F.col(c).cast("string")) for name, c in layers.items()])
+    kept = reduce(lambda a, c: a - F.col(c), left_out.values(), F.col(first))
+    agree = reduce(lambda a, b: a & b, [kept == F.col(other) for other in others])
+    named = {**layers, **left_out}
+    text = F.concat_ws(", ", *[F.concat(F.lit(f"{name}="), F.col(c).cast("string")) for name, c in named.items()])
     return _result(f"Row Count - {table}", agree, severity, recommendation, text, text)
 
 
@@ -140,7 +152,7 @@ def summarise(results: DataFrame) -> DataFrame:
 def quarantine(df: DataFrame, rules: list[Rule]) -> tuple[DataFrame, DataFrame]:
     """Split into (kept, quarantined); quarantined rows name every rule they break in ``broken_rules``."""
     broken = F.filter(
-        F.array(*[F.when(F.expr(r.broken), F.lit(r.name)) for r in rules]), lambda name: name.isNotNull()
+        F.array(*[F.when(r.predicate, F.lit(r.name)) for r in rules]), lambda name: name.isNotNull()
     )
     tagged = df.withColumn("broken_rules", broken)
     empty = F.size("broken_rules") == 0

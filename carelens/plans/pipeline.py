@@ -15,20 +15,20 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from carelens.operators.quality import quarantine
 from carelens.plans import gold as g
-from carelens.plans.silver import CLEANERS, UNREADABLE
+from carelens.plans.silver import CLEANERS, repeated_rows, unreadable_rules
 from carelens.plans.validation import validate
 from carelens.plans.views import build_views
-from carelens.session import size_shuffles
 from carelens.sources.export import RUN_LOG_SCHEMA, WRITERS, append_run_log, export_checks, export_tables, replace_table
-from carelens.sources.feeds import BROADCAST_FILES, FEEDS, discover_files
+from carelens.sources.feeds import FEEDS
 from carelens.sources.reference_data import dim_community_region
-from carelens.streaming.ingest import ingest, processed_files, read_bronze
+from carelens.streaming.ingest import MAX_FILES, ingest, processed_files, read_bronze
 
 
 @dataclass
@@ -49,27 +49,31 @@ def write_all(builders: dict[str, Callable[[], DataFrame]], folder: str) -> dict
         return {name: job.result() for name, job in pending.items()}
 
 
-def build_silver(
-    bronze: dict[str, DataFrame], folder: str, corrected: bool = False, quarantine_to: str | None = None
-) -> dict[str, DataFrame]:
-    """Clean and write every feed.
+def accepted_rows(bronze: dict[str, DataFrame], folder: str) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+    """Raw rows that can be cleaned, and the others, which are written under ``folder`` with the rules they break."""
+    split = {feed: quarantine(bronze[feed], unreadable_rules(feed)) for feed in FEEDS}
+    refused = write_all({feed: lambda feed=feed: split[feed][1] for feed in FEEDS}, folder)
+    return {feed: kept for feed, (kept, _) in split.items()}, refused
+
+
+def build_silver(bronze: dict[str, DataFrame], folder: str, corrected: bool = False) -> dict[str, DataFrame]:
+    """Clean and write every feed; text that is not a number fails the job.
 
     ``corrected`` counts rows repeated in several files once and orders resident snapshots by their month.
-    With ``quarantine_to``, rows with unreadable numbers are written there; otherwise they fail the job.
     """
 
     def build(feed: str) -> DataFrame:
-        raw = bronze[feed]
-        if quarantine_to and feed in UNREADABLE:
-            raw, refused = quarantine(raw, UNREADABLE[feed])
-            replace_table(refused, f"{quarantine_to}/{feed}")
         if feed == "pcc_residents":
-            return CLEANERS[feed](raw, by_snapshot_month=corrected)
-        return CLEANERS[feed](raw, dedupe="business" if corrected else "rows")
+            return CLEANERS[feed](bronze[feed], by_snapshot_month=corrected)
+        return CLEANERS[feed](bronze[feed], dedupe=_dedupe_of(corrected))
 
     return write_all({f"silver_{feed}": lambda feed=feed: build(feed) for feed in FEEDS}, folder)
 
 
+def _dedupe_of(corrected: bool) -> str:
+    return "business" if corrected else "rows"
+
+
 def build_gold(
     spark: SparkSession, silver: dict[str, DataFrame], folder: str, as_of=None, corrected: bool = False
 ) -> dict[str, DataFrame]:
@@ -141,7 +145,7 @@ def run_pipeline(
     corrected: bool = False,
     export_to: str | None = None,
     quarantine_rows: bool = False,
-    max_files_per_batch: int = BROADCAST_FILES,
+    max_files_per_batch: int = MAX_FILES,
 ) -> Tables:
     """Load new files from ``raw`` and rebuild everything under ``root`` (both on shared storage).
 
@@ -163,8 +167,6 @@ def run_pipeline(
     }
     tables, home = Tables(), f"{root}/runs/{run_id}"
     try:
-        held = discover_files(spark, raw).filter("feed IS NOT NULL").agg(F.coalesce(F.sum("length"), F.lit(0)).alias("b"))
-        size_shuffles(spark, held.first()["b"])
         begun = spark.range(1).select(F.current_timestamp().alias("t")).first()["t"]
         ingest(spark, raw, f"{root}/bronze", f"{root}/checkpoints", max_files_per_batch=max_files_per_batch)
         tables.bronze = {feed: read_bronze(spark, f"{root}/bronze", feed) for feed in FEEDS}
@@ -182,20 +184,24 @@ def run_pipeline(
             log["rows_loaded"][row["dataset"]] = row["loaded"]
             log["tables_loaded"][row["dataset"]] = row["held"]
 
-        refused = f"{home}/quarantine" if quarantine_rows else None
-        silver = build_silver(tables.bronze, f"{home}/silver", corrected, refused)
-        tables.silver = {name.removeprefix("silver_"): df for name, df in silver.items()}
+        accepted, refused = accepted_rows(tables.bronze, f"{home}/quarantine") if quarantine_rows else (tables.bronze, None)
         if refused:
-            for feed in UNREADABLE:
-                log["rows_rejected"][feed] = spark.read.parquet(f"{refused}/{feed}").count()
+            counts = [df.agg(F.lit(feed).alias("feed"), F.count(F.lit(1)).alias("n")) for feed, df in refused.items()]
+            log["rows_rejected"] = {r["feed"]: r["n"] for r in reduce(DataFrame.union, counts).collect()}
+        silver = build_silver(accepted, f"{home}/silver", corrected)
+        tables.silver = {name.removeprefix("silver_"): df for name, df in silver.items()}
 
         tables.gold = build_gold(spark, tables.silver, f"{home}/gold", as_of, corrected)
         publish_views(tables)
-        checks = validate(tables.bronze, tables.silver, tables.gold, as_of)
+        expected = {}
+        if refused or corrected:
+            repeats = {f: repeated_rows(accepted[f], f, _dedupe_of(corrected)) for f in FEEDS if f != "pcc_residents"}
+            expected = {"expected_dedupe": ("pcc_residents",), "rejected": refused or {}, "repeats": repeats}
+        checks = validate(tables.bronze, tables.silver, tables.gold, as_of, **expected)
         tables.checks = replace_table(checks, f"{home}/checks")
-        export_checks(tables.checks, f"{root}/reports")
+        export_checks(tables.checks, f"{home}/reports")
         if export_to:
-            export_tables(tables.gold, export_to)
+            export_tables(tables.gold, f"{export_to}/{run_id}")
     except Exception as error:
         log["status"], log["error"] = "FAILED", str(error)
         raise

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from carelens.functions.dates import file_month, safe_date
-from carelens.functions.numbers import decimal_number, rate_for, rate_is_unreadable, whole_number
+from carelens.functions.numbers import decimal_number, is_unreadable, rate_for, rate_is_unreadable, whole_number
 from carelens.functions.text import care_level, clean, clean_upper, present_flag, role_name
 from carelens.operators.latest import dedupe_business_rows, latest_per_key
 from carelens.operators.quality import Rule
@@ -169,25 +169,29 @@ CLEANERS = {
 }
 
 
-def _not_a_number(column: str) -> str:
-    return f"{column} IS NOT NULL AND try_cast(trim({column}) AS double) IS NULL"
+# Columns that are cast to numbers, by feed.
+_NUMBERS = {
+    "adp_shifts": {"hours_worked": "double"},
+    "gbp_reviews": {"rating": "int"},
+    "pcc_incidents": {"severity": "int"},
+    "pcc_residents": {"acuity_score": "int"},
+    "yardi_leases": {"monthly_rate": "double"},
+    "yardi_units": {"monthly_rent": "double"},
+}
 
 
-#: Raw rows that the strict casts would refuse; split them off with ``quality.quarantine`` before cleaning.
-UNREADABLE = {
-    feed: [Rule(f"Unreadable {c}", _not_a_number(c), "High", "Quarantine Records") for c in columns]
-    for feed, columns in {
-        "adp_shifts": ("hours_worked",),
-        "gbp_reviews": ("rating",),
-        "pcc_incidents": ("severity",),
-        "pcc_residents": ("acuity_score",),
-        "yardi_leases": ("monthly_rate",),
-        "yardi_units": ("monthly_rent",),
-    }.items()
-}
+def unreadable_rules(feed: str) -> list[Rule]:
+    """Raw rows that cleaning would drop or fail on; split them off with ``quality.quarantine`` before cleaning."""
+    key = FEEDS[feed][0]
+    rules = {f"Missing {key}": F.col(key).isNull()}
+    rules |= {f"Unreadable {c}": is_unreadable(c, kind) for c, kind in _NUMBERS.get(feed, {}).items()}
+    if feed == "adp_shifts":
+        rules["Unreadable hourly_rate"] = rate_is_unreadable("hourly_rate", role_name("role"))
+    return [Rule(name, broken, "High", "Quarantine Records") for name, broken in rules.items()]
 
 
-def split_unreadable_rates(bronze: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Shifts whose rate text is a dictionary, and those where it is present but is not."""
-    unreadable = F.coalesce(rate_is_unreadable("hourly_rate"), F.lit(False))
-    return bronze.filter(~unreadable), bronze.filter(unreadable)
+def repeated_rows(bronze: DataFrame, feed: str, dedupe: str = "rows") -> DataFrame:
+    """How often each cleaned row occurs in accepted raw rows (``copies``, above 1 only): what ``dedupe`` takes out."""
+    cleaned = CLEANERS[feed](bronze, dedupe=None)
+    columns = [c for c in cleaned.columns if dedupe == "rows" or c not in LINEAGE]
+    return cleaned.groupBy(*columns).agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1").select("copies")

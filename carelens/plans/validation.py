@@ -68,16 +68,24 @@ def validate(
     as_of=None,
     acuity_bounds: tuple[int, int] = ACUITY_BOUNDS,
     expected_dedupe: tuple[str, ...] = (),
+    rejected: dict[str, DataFrame] | None = None,
+    repeats: dict[str, DataFrame] | None = None,
 ) -> DataFrame:
     """All checks as one DataFrame in report order; every table is scanned once for all its checks.
 
     Feeds in ``expected_dedupe`` shrink from raw to cleaned by design (monthly snapshots of the same resident):
     only their cleaned and gold counts are compared. By default all three layers must agree.
+
+    A run that quarantines or removes repeats on purpose says so: ``rejected`` has the quarantined rows of each feed and
+    ``repeats`` the ``copies`` of its repeated rows (:func:`~carelens.plans.silver.repeated_rows`). Then raw rows must equal cleaned,
+    rejected and repeated ones together, and the hours of cleaned shifts are held against the facts.
     """
+    adjusted = rejected is not None or repeats is not None
+    rejected, repeats = rejected or {}, repeats or {}
     discharge, acuity = resident_rules(acuity_bounds)
     future = future_rule(as_of)
     extra = {
-        ("Bronze", "adp_shifts"): {"raw_hours": total(F.col("hours_worked").cast("double"))},
+        ("Silver" if adjusted else "Bronze", "adp_shifts"): {"raw_hours": total(F.col("hours_worked").cast("double"))},
         ("Gold", "adp_shifts"): {"fact_hours": total("hours_worked"), "negative_hours": violations(HOURS_RULE)},
         ("Silver", "yardi_leases"): {"silver_revenue": total("monthly_rate")},
         ("Gold", "yardi_leases"): {"fact_revenue": total("monthly_rate")},
@@ -90,11 +98,21 @@ def validate(
         for layer, df in (("Bronze", bronze[feed]), ("Silver", silver[feed]), ("Gold", gold[table])):
             tables.append((df, {f"{layer}_{feed}": row_count(), **extra.get((layer, feed), {})}))
 
+        if feed in rejected:
+            tables.append((rejected[feed], {f"Rejected_{feed}": row_count()}))
+        if feed in repeats:
+            tables.append((repeats[feed], {f"Repeated_{feed}": F.coalesce(F.sum(F.col("copies") - 1), F.lit(0))}))
+
+    def left_out(feed: str) -> dict[str, str]:
+        if feed in expected_dedupe:
+            return {}
+        return {n: f"{n}_{feed}" for n, some in (("Rejected", rejected), ("Repeated", repeats)) if feed in some}
+
     def layers(feed: str) -> tuple[str, ...]:
         return ("Silver", "Gold") if feed in expected_dedupe else ("Bronze", "Silver", "Gold")
 
     checks = [
-        *[count_check(table, {x: f"{x}_{feed}" for x in layers(feed)}) for feed, table in GOLD_OF_FEED.items()],
+        *[count_check(table, {x: f"{x}_{feed}" for x in layers(feed)}, left_out=left_out(feed)) for feed, table in GOLD_OF_FEED.items()],
         sum_check(
             "Revenue Reconciliation", "silver_revenue", "fact_revenue", REVENUE_TOLERANCE, "High",
             "Check Revenue Transformation", with_details=True,

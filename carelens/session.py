@@ -30,17 +30,6 @@ def build_session(app: str = "carelens", master: str | None = None, **conf) -> S
     return builder.getOrCreate()
 
 
-def size_shuffles(spark: SparkSession, input_bytes: int, partition_bytes: int = 256 << 20) -> int:
-    """Set the initial number of shuffle partitions for an input size, and return it.
-
-    AQE merges small partitions but never splits an ordinary one, so at 100 TB the initial number must be large
-    (about 370,000 of 256 MB) and at small sizes it does not matter.
-    """
-    partitions = max(spark.sparkContext.defaultParallelism, -(-input_bytes // partition_bytes))
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(partitions))
-    return partitions
-
-
 def shared_root(spark: SparkSession) -> str:
     """The folder all executors can reach, named by ``spark.checkpoint.dir``.
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import csv
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,12 +41,10 @@ FEEDS = {
 #: Columns added to every raw row.
 LINEAGE = ("source_file", "ingestion_timestamp")
 
-#: Feeds whose quoted text may contain line breaks; their files are read whole, one task per file.
+#: Feeds whose quoted text may contain line breaks. Their files are read whole, one task per file, unless the delivery is
+#: declared to be free of them (``line_breaks=False``).
 FREE_TEXT_FEEDS = frozenset({"gbp_reviews"})
 
-#: Headers of at most this many files are broadcast (a header is a few hundred bytes); beyond it they are joined.
-BROADCAST_FILES = 10_000
-
 
 def feed_schema(feed: str) -> T.StructType:
     """All feed columns as text: raw data is kept as delivered and typed later."""
@@ -79,87 +79,80 @@ def discover_files(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def csv_options(feed: str, pattern: str | None = None) -> dict[str, str]:
-    """Reader options of a feed; ``pattern`` replaces the default file name pattern ``<feed>_*.csv``."""
-    return {
-        "pathGlobFilter": pattern or f"{feed}_*.csv",
-        "escape": '"',
-        "multiLine": str(feed in FREE_TEXT_FEEDS).lower(),
-        "mode": "PERMISSIVE",
-    }
-
+def feed_pattern(feed: str) -> str:
+    return f"{feed}_*.csv"
 
-def max_columns(feed: str) -> int:
-    """The widest header a file of the feed may have when it is read by name."""
-    return 2 * len(FEEDS[feed]) + 8
 
+def csv_options(feed: str, line_breaks: bool | None = None) -> dict[str, str]:
+    """Reader options of a feed; ``line_breaks`` says whether quoted text holds any (default: :data:`FREE_TEXT_FEEDS`)."""
+    multi_line = feed in FREE_TEXT_FEEDS if line_breaks is None else line_breaks
+    return {"header": "true", "enforceSchema": "true", "escape": '"', "multiLine": str(multi_line).lower(), "mode": "PERMISSIVE"}
 
-def cell_schema(feed: str) -> T.StructType:
-    """Positional text columns, for files whose column order is not known yet."""
-    return T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(max_columns(feed))])
 
+def header_layouts(lines: DataFrame) -> dict[tuple[str, ...], list[str]]:
+    """Normalised header -> files, from a text read.
 
-def as_cells(raw: DataFrame, feed: str) -> DataFrame:
-    """``(cells, _header, _path, source_file)`` from a positional read; ``_header`` marks the header rows.
-
-    A header row is in the first block of its file and holds the name of the feed's key column. The length is
-    compared first, so that almost no data value is normalised.
+    A file's header is its first line that is not blank, whatever it says. Only the first block of a file is looked at, and one
+    line per file reaches the driver, which lists the files for the read anyway.
     """
-    columns = [F.col(f"_c{i}") for i in range(max_columns(feed))]
-    key = FEEDS[feed][0]
-    names_key = [F.length(c).between(len(key), len(key) + 16) & (normalise_header(c) == key) for c in columns]
-    found = F.coalesce(reduce(lambda a, b: a | b, [F.coalesce(n, F.lit(False)) for n in names_key]), F.lit(False))
-    return raw.select(
-        F.array(*columns).alias("cells"),
-        ((F.col("_metadata.file_block_start") == 0) & found).alias("_header"),
-        F.col("_metadata.file_path").alias("_path"),
-        F.col("_metadata.file_name").alias("source_file"),
+    at = lines.select(
+        F.col("_metadata.file_path").alias("path"), F.monotonically_increasing_id().alias("at"), "value",
+        F.col("_metadata.file_block_start").alias("block"),
     )
+    first = at.filter("block = 0 AND trim(value) <> ''").groupBy("path").agg(F.min_by("value", "at").alias("line"))
+    layouts: dict[tuple[str, ...], list[str]] = {}
+    for path, line in sorted(first.collect()):
+        names = next(csv.reader([line.lstrip("\ufeff")]), [])
+        layouts.setdefault(tuple(map(normalise_header, names)), []).append(unquote(path))
+    return layouts
 
 
-def resolve_by_name(cells: DataFrame, feed: str, few_files: bool = False) -> DataFrame:
-    """Give positional rows their feed columns, using the header row of the file each row came from.
-
-    Headers are matched after :func:`normalise_header`, so order, case and extra columns may differ from file
-    to file; a missing column becomes NULL. Positions are worked out once per file. A file without the feed's key
-    column fails the read: its rows cannot be placed and must not vanish.
-
-    ``few_files`` states that there are at most ``BROADCAST_FILES`` files, so that rows stay where they were read.
-    """
-    columns = FEEDS[feed]
-    names = F.transform("cells", normalise_header)
-    headers = cells.filter("_header").groupBy("_path").agg(F.first(names).alias("_names"))
-    places = [(F.array_position("_names", c) - 1).cast("int").alias(f"_at_{c}") for c in columns]
-    headers = headers.select("_path", *places)
-    placed = cells.filter("NOT _header").join(F.broadcast(headers) if few_files else headers, "_path", "left")
-    missing = F.raise_error(F.concat(F.lit(f"no {columns[0]} header in "), "source_file")).cast("string")
-    first = F.when(F.col(f"_at_{columns[0]}").isNull(), missing).otherwise(F.get("cells", F.col(f"_at_{columns[0]}")))
-    rest = [F.get("cells", F.col(f"_at_{c}")).alias(c) for c in columns[1:]]
-    return placed.select(first.alias(columns[0]), *rest, "source_file")
+def read_layout(spark: SparkSession, paths: list[str] | str, names: tuple[str, ...], feed: str, options: dict[str, str]) -> DataFrame:
+    """Files of one header, of any width, in one scan: the feed's columns by name (missing ones NULL) and ``source_file``."""
+    key = FEEDS[feed][0]
+    if key not in names:
+        some = paths if isinstance(paths, str) else ", ".join(p.rsplit("/", 1)[-1] for p in paths[:5])
+        raise ValueError(f"no {key} header in {some}")
+    schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(len(names))])
+    raw = spark.read.options(**options).schema(schema).csv(paths)
+    columns = [(F.col(f"_c{names.index(c)}") if c in names else F.lit(None).cast("string")).alias(c) for c in FEEDS[feed]]
+    return raw.select(*columns, F.col("_metadata.file_name").alias("source_file"))
 
 
 def with_lineage(df: DataFrame, feed: str) -> DataFrame:
     return df.select(*FEEDS[feed], "source_file", F.current_timestamp().alias("ingestion_timestamp"))
 
 
+def read_files(spark: SparkSession, paths: list[str] | str, feed: str, pattern: str | None = None, line_breaks: bool | None = None) -> DataFrame:
+    """Files (or folders) of one feed, each read by its own header.
+
+    Headers are matched after :func:`normalise_header`, so order, case, width and extra columns may differ from file to file; of two
+    equal names the first counts. Files with the same header are one scan; there are as many scans as different headers. A file
+    without the feed's key column fails the read: its rows cannot be placed and must not vanish.
+    """
+    glob = {} if pattern is None else {"pathGlobFilter": pattern}
+    layouts = header_layouts(spark.read.options(**glob).text(paths))
+    options = csv_options(feed, line_breaks) | glob
+    if len(layouts) == 1:
+        found = [read_layout(spark, paths, *layouts, feed, options)]
+    else:
+        found = [read_layout(spark, files, names, feed, options) for names, files in layouts.items()]
+    if not found:
+        return spark.createDataFrame([], bronze_schema(feed))
+    return with_lineage(reduce(DataFrame.union, found), feed)
+
+
 def read_feed(
-    spark: SparkSession, folder: str, feed: str, by_name: bool = True, pattern: str | None = None
+    spark: SparkSession, folder: str, feed: str, by_name: bool = True, pattern: str | None = None, line_breaks: bool | None = None
 ) -> DataFrame:
-    """All files of one feed as raw rows with lineage.
+    """All files of one feed as raw rows with lineage; ``pattern`` replaces the default file name pattern.
 
-    ``by_name`` reads each file by its own header. Without it the read is a single pass that fails if a
-    header differs from the feed's schema.
+    ``by_name`` reads each file by its own header (:func:`read_files`). Without it headers are not looked up first, and the read
+    fails if one differs from the feed's schema.
     """
-    reader = spark.read.options(**csv_options(feed, pattern))
+    pattern = pattern or feed_pattern(feed)
     if by_name:
-        raw = reader.option("header", False).schema(cell_schema(feed)).csv(folder)
-        few_files = len(raw.inputFiles()) <= BROADCAST_FILES
-        return with_lineage(resolve_by_name(as_cells(raw, feed), feed, few_files), feed)
-    strict = reader.option("header", True).option("enforceSchema", False).schema(feed_schema(feed)).csv(folder)
+        return read_files(spark, folder, feed, pattern, line_breaks)
+    options = csv_options(feed, line_breaks) | {"enforceSchema": "false", "pathGlobFilter": pattern}
+    strict = spark.read.options(**options).schema(feed_schema(feed)).csv(folder)
     return with_lineage(strict.select("*", F.col("_metadata.file_name").alias("source_file")), feed)
-
-
-def full_reload(spark: SparkSession, folder: str, bronze: str, feeds=tuple(FEEDS), by_name: bool = True) -> None:
-    """Replace the raw tables with the current content of the folder."""
-    for feed in feeds:
-        read_feed(spark, folder, feed, by_name).write.mode("overwrite").parquet(f"{bronze}/{feed}/batch_id=0")

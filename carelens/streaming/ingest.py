@@ -1,12 +1,16 @@
 """Incremental loading of unseen feed files.
 
-The file source's checkpoint is the ledger of seen files. Each run processes what is new and stops. A batch is
-written to its own ``batch_id=N`` folder in overwrite mode, so repeating a batch after a failure replaces the
-folder instead of adding rows: files and ledger cannot disagree.
+The file source's checkpoint is the ledger of seen files. Each run processes what is new and stops. The stream carries file
+names only; a batch reads its files once, by their headers, and is written to its own ``batch_id=N`` folder in overwrite mode,
+so repeating a batch after a failure replaces the folder instead of adding rows: files and ledger cannot disagree.
+
+A raw table is a version: rows under ``<feed>/<version>`` and a ledger of the same name. :func:`full_reload` loads everything into
+a new version and then switches to it, ledger included, so a following ingest neither repeats nor loses a file.
 """
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -14,16 +18,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from carelens.sources.feeds import (
-    BROADCAST_FILES,
-    FEEDS,
-    as_cells,
-    bronze_schema,
-    cell_schema,
-    csv_options,
-    resolve_by_name,
-    with_lineage,
-)
+from carelens.sources.feeds import FEEDS, bronze_schema, feed_pattern, read_files
+
+#: Files loaded in one batch; a run with more loads them in several.
+MAX_FILES = 10_000
+FIRST_VERSION = "first"
+_FILES = "path string, modificationTime timestamp, length long, content binary"
+
+
+def current_version(spark: SparkSession, bronze: str, feed: str) -> str:
+    """The version that readers see: the last one switched to."""
+    try:
+        switched = spark.read.schema("at timestamp, version string").json(f"{bronze}/versions/{feed}")
+        return switched.agg(F.max_by("version", "at")).first()[0] or FIRST_VERSION
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return FIRST_VERSION
 
 
 def start_feed(
@@ -32,25 +43,26 @@ def start_feed(
     bronze: str,
     checkpoints: str,
     feed: str,
-    max_files_per_batch: int = BROADCAST_FILES,
+    max_files_per_batch: int = MAX_FILES,
     pattern: str | None = None,
+    line_breaks: bool | None = None,
+    version: str | None = None,
 ) -> StreamingQuery:
-    """Start loading the unseen files of one feed; the query ends when they are all loaded.
-
-    A run with more new files than ``max_files_per_batch`` loads them in several batches.
-    """
-    reader = spark.readStream.options(**csv_options(feed, pattern)).option("header", False)
-    reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
-    cells = as_cells(reader.schema(cell_schema(feed)).csv(folder), feed)
-    few_files = max_files_per_batch <= BROADCAST_FILES
+    """Start loading the unseen files of one feed into a version (default: the current one); the query ends when they are loaded."""
+    version = version or current_version(spark, bronze, feed)
+    files = spark.readStream.format("binaryFile").schema(_FILES).option("pathGlobFilter", pattern or feed_pattern(feed))
+    names = files.option("maxFilesPerTrigger", max_files_per_batch).load(folder).select("path")
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        rows = with_lineage(resolve_by_name(batch, feed, few_files), feed)
-        rows.write.mode("overwrite").parquet(f"{bronze}/{feed}/batch_id={batch_id}")
+        paths = [r["path"] for r in batch.collect()]  # at most max_files_per_batch names
+        if paths:
+            read_files(batch.sparkSession, paths, feed, line_breaks=line_breaks).write.mode("overwrite").parquet(
+                f"{bronze}/{feed}/{version}/batch_id={batch_id}"
+            )
 
     return (
-        cells.writeStream.queryName(f"ingest_{feed}")
-        .option("checkpointLocation", f"{checkpoints}/{feed}")
+        names.writeStream.queryName(f"ingest_{feed}_{uuid.uuid4().hex}")
+        .option("checkpointLocation", f"{checkpoints}/{feed}/{version}")
         .trigger(availableNow=True)
         .foreachBatch(write_batch)
         .start()
@@ -63,7 +75,7 @@ def ingest(
     bronze: str,
     checkpoints: str,
     feeds=tuple(FEEDS),
-    max_files_per_batch: int = BROADCAST_FILES,
+    max_files_per_batch: int = MAX_FILES,
 ) -> None:
     """Load the unseen files of all feeds; the feeds run side by side."""
     running = [start_feed(spark, folder, bronze, checkpoints, f, max_files_per_batch) for f in feeds]
@@ -71,11 +83,29 @@ def ingest(
         query.awaitTermination()
 
 
+def full_reload(
+    spark: SparkSession, folder: str, bronze: str, checkpoints: str, feeds=tuple(FEEDS), max_files_per_batch: int = MAX_FILES,
+    pattern: str | None = None,
+) -> None:
+    """Replace the raw tables with the current content of the folder.
+
+    Each feed is loaded into a fresh version with a ledger of its own. Only when all are complete do readers and later ingests
+    switch; a reload that fails changes nothing.
+    """
+    version = uuid.uuid4().hex
+    running = [start_feed(spark, folder, bronze, checkpoints, f, max_files_per_batch, pattern, version=version) for f in feeds]
+    for query in running:
+        query.awaitTermination()
+    for feed in feeds:
+        switched = spark.range(1).select(F.current_timestamp().alias("at"), F.lit(version).alias("version"))
+        switched.write.mode("append").json(f"{bronze}/versions/{feed}")
+
+
 def read_bronze(spark: SparkSession, bronze: str, feed: str) -> DataFrame:
     """The raw table of a feed; empty when none of its files has arrived yet."""
     schema = bronze_schema(feed)
     try:
-        return spark.read.schema(schema).parquet(f"{bronze}/{feed}").select(*schema.names)
+        return spark.read.schema(schema).parquet(f"{bronze}/{feed}/{current_version(spark, bronze, feed)}").select(*schema.names)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise

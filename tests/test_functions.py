@@ -154,7 +154,34 @@ def test_positive_flag_counts_null_as_zero(spark):
     ],
 )
 def test_rate_for(spark, raw, key, rate):
-    assert one(spark, numbers.rate_for("a", "k"), a=raw, k=key) == rate
+    assert one(spark, numbers.rate_for("a", "k", lenient=True), a=raw, k=key) == rate
+
+
+@pytest.mark.parametrize("raw", ["{'RN': 4 6}", "{'RN': 46, junk}", "{'RN': 46", "46", "{'RN': 46} {}", "{'RN': 'forty'}"])
+def test_a_malformed_rate_is_refused(spark, raw):
+    assert one(spark, numbers.rate_for("a", "k", lenient=True), a=raw, k="RN") is None
+    assert one(spark, numbers.rate_is_unreadable("a", F.lit("RN")), a=raw) is True
+    with pytest.raises(Exception, match="unreadable rate|CAST_INVALID_INPUT"):
+        one(spark, numbers.rate_for("a", "k"), a=raw, k="RN")
+
+
+@pytest.mark.parametrize(
+    ("text", "kind", "bad"),
+    [("4.5", "int", False), (" 7 ", "double", False), ("abc", "double", True), ("", "int", True), ("NaN", "double", True), ("Infinity", "double", True),
+     ("99999999999", "int", True), ("99999999999", "double", False), ("2147483647.4", "int", False), ("2147483647.5", "int", True), (None, "int", False)],
+)
+def test_unreadable_numbers(spark, text, kind, bad):
+    assert one(spark, numbers.is_unreadable("a", kind), a=text) is bad
+
+
+@pytest.mark.parametrize("text", ["2025", "2025-03", "2025/03", "+2025-01-01", "2025-01-05Tfoo", "2025-01/05", "20250105", "2025-02-30", "x", "2025-01-05Z"])
+def test_partial_and_odd_dates_are_null(spark, text):
+    assert one(spark, dates.safe_date("a"), a=text) is None
+
+
+@pytest.mark.parametrize("text", ["2025-01-05", " 2025/1/05 ", "2025 01 5", "2025-01-05 10:00:00", "2025-01-05T10:00:00"])
+def test_spellings_of_a_day(spark, text):
+    assert str(one(spark, dates.safe_date("a"), a=text)) == "2025-01-05"
 
 
 def test_unreadable_rates_are_detected(spark):

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from carelens.operators import aggregates, census, history, keys, latest, profile, quality, security
+from carelens.operators.keys import slot, slot_part
 from carelens.operators.neighbours import with_neighbour
 from carelens.operators.skew import hot_keys
 
@@ -90,6 +91,27 @@ def test_neighbours_of_a_hot_key_by_timestamp(spark, kind):
     assert got == dict(zip(order, [*order[1:], None], strict=True))
 
 
+@pytest.mark.parametrize("kind", ["one day", "no date", "no key"])
+@pytest.mark.parametrize("direction", ["next", "previous"])
+def test_no_group_is_oversized_whatever_makes_a_key_hot(spark, kind, direction):
+    day = None if kind == "no date" else D(2024, 1, 1)
+    rows = [(None if kind == "no key" else "hot", day, i) for i in range(2000)] + [("cold", D(2024, 1, i + 1), i) for i in range(5)]
+    df = spark.createDataFrame(rows, "k string, d date, i int").repartition(4)
+    out = with_neighbour(df, ["k"], "d", ["i"], "n", direction, ["i"], 100)
+    got = {(r["k"], r["i"]): r["n"] and r["n"]["i"] for r in out.collect()}
+    step = 1 if direction == "next" else -1
+    last = 1999 if direction == "next" else 0
+    key = None if kind == "no key" else "hot"
+    assert {i: got[key, i] for i in range(2000)} == {i: None if i == last else i + step for i in range(2000)}
+    assert sum(v is None for (k, _), v in got.items() if k == "cold") == 1
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # else so few rows become one partition
+    try:
+        ranges = slot(df, [F.col("k"), F.col("d"), F.col("i")], "check").groupBy(slot_part()).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert max(r["count"] for r in ranges) < 1000
+
+
 def test_neighbours_reject_unknown_direction(spark):
     with pytest.raises(ValueError, match="direction"):
         with_neighbour(spark.range(1), ["id"], "id", ["id"], "n", "sideways")

@@ -9,10 +9,8 @@ from pyspark.sql import functions as F
 from carelens.operators.security import ACCESS_KEYS
 from carelens.plans import measures, reports
 from carelens.plans.pipeline import open_latest, run_pipeline
-from carelens.plans.silver import clean_shifts, split_unreadable_rates
 from carelens.plans.validation import validate
 from carelens.plans.views import census_occupancy
-from carelens.sources.feeds import feed_schema
 
 AS_OF = "2025-06-30"
 D = date
@@ -150,13 +148,13 @@ def test_expected_dedupe_and_acuity_bounds(run):
 
 def test_outputs(run, spark):
     root, _ = run
-    exported = {p.name for p in (root / "exports").iterdir()}
+    exported = {p.name for p in (root / "exports").glob("*/*")}
     assert exported == {
         "dim_community.parquet", "dim_community_region.parquet", "dim_date.parquet", "dim_employee.parquet",
         "dim_resident.parquet", "dim_resident_scd.parquet", "fact_incidents.parquet", "fact_labor.parquet",
         "fact_leads.parquet", "fact_occupancy.parquet", "fact_reviews.parquet", "fact_revenue.parquet",
     }
-    reports_dir = root / "lake" / "reports"
+    reports_dir = next((root / "lake" / "runs").glob("*/reports"))
     summary = spark.read.json(str(reports_dir / "validation_summary_json")).first().asDict()
     assert summary == {"Total Checks": 14, "Passed": 6, "Failed": 8}
     assert spark.read.option("header", True).csv(str(reports_dir / "validation_summary_csv")).count() == 14
@@ -201,23 +199,38 @@ def test_failure_is_logged_and_raised(spark, tmp_path):
     assert log["status"] == "FAILED" and "CAST_INVALID_INPUT" in log["error"]
 
 
-def test_quarantine_keeps_the_run_going(spark, tmp_path):
-    write(tmp_path / "raw", "2025_01", {"yardi_units": ["U1,C001,AL,lots,2025-01-01", "U2,C001,AL,7,2025-01-01"]})
-    tables = run_pipeline(spark, str(tmp_path / "raw"), str(tmp_path / "lake"), AS_OF, quarantine_rows=True)
-    assert [r["unit_id"] for r in tables.silver["yardi_units"].collect()] == ["U2"]
-    assert json.loads(json.dumps(_log(tmp_path / "lake", spark)[0]))["rows_rejected"]["yardi_units"] == 1
+BAD_NUMBERS = {
+    "adp_shifts": [
+        "S1,C001,E1,RN,2025-01-01,8,{'RN': 46}", "S2,C001,E1,RN,2025-01-01,abc,{'RN': 46}", "S3,C001,E1,RN,2025-01-01,NaN,{'RN': 46}",
+        "S4,C001,E1,RN,2025-01-01,8,{'RN': 4 6}", "S5,C001,E1,RN,2025-01-01,8,\"{'RN': 46, junk}\"", ",C001,E1,RN,2025-01-01,8,{'RN': 46}",
+        "S1,C001,E1,RN,2025-01-01,8,{'RN': 46}", "S6,C001,E1,RN,2025-01-01,8,{'LPN': 'x'}",
+    ],
+    "gbp_reviews": ["G1,C001,2025-01-01,5,fine,,", "G2,C001,2025-01-01,99999999999,big,,", "G3,C001,2025-01-01,NaN,odd,,", "G4,C001,2025-01-01,five,odd,,"],
+    "pcc_incidents": ["I1,R1,C001,2025-01-01,Fall,3,E1", "I2,R1,C001,2025-01-01,Fall,high,E1"],
+    "pcc_residents": ["R1,C001,A,B,1940-01-01,F,2025-01-01,,AL,3,walks", "R2,C001,A,B,1940-01-01,F,2025-01-01,,AL,-,walks"],
+    "yardi_leases": ["L1,R1,U1,C001,2025-01-01,,,4000", "L2,R1,U1,C001,2025-01-01,,,Infinity"],
+    "yardi_units": ["U1,C001,AL,lots,2025-01-01", "U2,C001,AL,7,2025-01-01"],
+}
+
+
+@pytest.mark.parametrize("corrected", [False, True])
+def test_quarantine_keeps_the_run_going(spark, tmp_path, corrected):
+    write(tmp_path / "raw", "2025_01", BAD_NUMBERS)
+    tables = run_pipeline(spark, str(tmp_path / "raw"), str(tmp_path / "lake"), AS_OF, quarantine_rows=True, corrected=corrected)
+    kept = {f: sorted(r[0] for r in tables.silver[f].collect()) for f in BAD_NUMBERS}
+    assert kept == {
+        "adp_shifts": ["S1", "S6"], "gbp_reviews": ["G1"], "pcc_incidents": ["I1"], "pcc_residents": ["R1"], "yardi_leases": ["L1"], "yardi_units": ["U2"],
+    }
+    rejected = json.loads(json.dumps(_log(tmp_path / "lake", spark)[0]))["rows_rejected"]
+    assert rejected == {
+        "adp_shifts": 5, "gbp_reviews": 3, "pcc_incidents": 1, "pcc_residents": 1, "yardi_leases": 1, "yardi_units": 1, "hubspot_leads": 0,
+        "pcc_care_history": 0,
+    }
     refused = spark.read.parquet(f"{tmp_path}/lake/runs/*/quarantine/yardi_units")
     assert [(r["unit_id"], r["broken_rules"]) for r in refused.collect()] == [("U1", ["Unreadable monthly_rent"])]
-
-
-def test_unreadable_rates_can_be_split_off(spark):
-    raw = spark.createDataFrame(
-        [("S1", "C1", "E1", "RN", "2025-01-01", "8", "{'RN': 46}"), ("S2", "C1", "E1", "RN", "2025-01-01", "8", "46/h")],
-        feed_schema("adp_shifts"),
-    ).selectExpr("*", "'f' AS source_file", "TIMESTAMP '2025-01-01' AS ingestion_timestamp")
-    good, bad = split_unreadable_rates(raw)
-    assert [r["shift_id"] for r in bad.collect()] == ["S2"]
-    assert [r["hourly_rate"] for r in clean_shifts(good).collect()] == [46.0]
+    checks = {r["Check"]: (r["Status"], r["Details"]) for r in tables.checks.collect()}
+    assert checks["Row Count - fact_labor"] == ("PASS", "Bronze=8, Silver=2, Gold=2, Rejected=5, Repeated=1")
+    assert {name: status for name, (status, _) in checks.items() if status != "PASS"} == {}
 
 
 # parameterised queries

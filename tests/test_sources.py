@@ -1,6 +1,5 @@
 import pytest
 from feeddata import FEBRUARY, HEADERS, JANUARY, write
-from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from carelens.plans.silver import CLEANERS
@@ -41,10 +40,46 @@ def test_read_by_name_accepts_drifted_headers(spark, tmp_path, rows):
 def test_a_file_without_the_key_header_fails(spark, tmp_path):
     write(tmp_path, "2025_01", {"yardi_units": ["U1,C001,AL,4000,2025-01-01"]})
     (tmp_path / "yardi_units_2025_02.csv").write_text("unit,community_id\nU2,C002\n")
-    with pytest.raises(PySparkException, match="no unit_id header in yardi_units_2025_02.csv"):
+    with pytest.raises(ValueError, match="no unit_id header in yardi_units_2025_02.csv"):
         feeds.read_feed(spark, str(tmp_path), "yardi_units").collect()
 
 
+def test_cells_that_look_like_a_header_are_data(spark, tmp_path, rows):
+    write(tmp_path, "2025_01", {"gbp_reviews": ["G1,C001,2025-01-01,5,fine,,", "G2,C001,2025-01-01,5,Review ID,,", "review_id,C001,,1,,,"]})
+    got = feeds.read_feed(spark, str(tmp_path), "gbp_reviews")
+    assert rows(got, "review_id", "review_text") == [("G1", "fine"), ("G2", "Review ID"), ("review_id", None)]
+
+
+def test_headers_of_any_width_and_spelling(spark, tmp_path, rows):
+    extra = [f"Extra column {i} with a long name" for i in range(40)]
+    cells = ",".join("x" for _ in extra)
+    (tmp_path / "yardi_units_2025_01.csv").write_text(
+        "\ufeff\n\nUnit ID," + ",".join(extra) + ',"Monthly-Rent",  SNAPSHOT_DATE  ,unit_id\n' + f'U1,{cells},"4,000",2025-01-01,second\n'
+    )
+    (tmp_path / "yardi_units_2025_02.csv").write_text("snapshot_date,unit_id\n2025-02-01,U2\n")
+    (tmp_path / "yardi_units_2025_03.csv").write_text("")
+    (tmp_path / "yardi_units 2025%20_04.csv").write_text("unit_id\nnot of this feed\n")
+    (tmp_path / "yardi_units_%41 b.csv").write_text("snapshot_date,unit_id\n2025-03-01,U3\n")
+    got = feeds.read_feed(spark, str(tmp_path), "yardi_units")
+    assert rows(got, "unit_id", "monthly_rent", "snapshot_date", "community_id") == [
+        ("U1", "4,000", "2025-01-01", None), ("U2", None, "2025-02-01", None), ("U3", None, "2025-03-01", None)
+    ]
+
+
+def test_one_scan_without_a_shuffle(spark, tmp_path):
+    for month in ("01", "02", "03"):
+        write(tmp_path, f"2025_{month}", {"yardi_units": [f"U{month},C001,AL,4000,2025-{month}-01"]})
+    plan = feeds.read_feed(spark, str(tmp_path), "yardi_units")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Exchange" not in plan and "Join" not in plan
+
+
+def test_line_breaks_can_be_declared_absent(spark, tmp_path):
+    write(tmp_path, "2025_01", {"gbp_reviews": ["G1,C001,2025-01-01,5,fine,,"]})
+    assert feeds.csv_options("gbp_reviews")["multiLine"] == "true"
+    assert feeds.csv_options("gbp_reviews", line_breaks=False)["multiLine"] == "false"
+    assert feeds.read_feed(spark, str(tmp_path), "gbp_reviews", line_breaks=False).count() == 1
+
+
 def test_strict_read_is_equal_on_clean_files_and_fails_on_drift(spark, tmp_path, rows):
     write(tmp_path, "2025_01", {"yardi_units": JANUARY["yardi_units"]})
     columns = [*HEADERS["yardi_units"].split(","), "source_file"]
@@ -97,7 +132,7 @@ def test_a_batch_that_is_repeated_replaces_its_own_rows(spark, tmp_path):
     write(raw, "2025_01", JANUARY)
     _load(spark, tmp_path)
     # a lost commit makes the stream run batch 0 again
-    for commit in (tmp_path / "ledger" / "yardi_leases" / "commits").iterdir():
+    for commit in (tmp_path / "ledger" / "yardi_leases" / "first" / "commits").iterdir():
         commit.unlink()
     assert _load(spark, tmp_path)["yardi_leases"].count() == 5
 
@@ -128,12 +163,34 @@ def test_files_of_one_load_are_ordered_by_month(spark, tmp_path):
     assert {r["last_name"] for r in CLEANERS["pcc_residents"](bronze).collect()} == {"New", "Same"}
 
 
-def test_full_reload_replaces(spark, tmp_path):
-    write(tmp_path / "raw", "2025_01", JANUARY)
-    for _ in range(2):
-        feeds.full_reload(spark, str(tmp_path / "raw"), str(tmp_path / "bronze"), ("yardi_units", "gbp_reviews"))
-    assert ing.read_bronze(spark, str(tmp_path / "bronze"), "yardi_units").count() == 3
-    assert ing.read_bronze(spark, str(tmp_path / "bronze"), "gbp_reviews").count() == 3
+def test_full_reload_replaces_and_ingest_goes_on(spark, tmp_path):
+    raw, count = tmp_path / "raw", lambda f: ing.read_bronze(spark, f"{tmp_path}/bronze", f).count()
+    feeds_ = ("pcc_residents", "yardi_leases")
+    write(raw, "2025_01", JANUARY)
+    _load(spark, tmp_path)
+    write(raw, "2025_02", FEBRUARY)
+    _load(spark, tmp_path)
+    assert (count("pcc_residents"), count("yardi_leases")) == (3, 6)
+    (raw / "yardi_leases_2025_01.csv").write_text(HEADERS["yardi_leases"] + "\nL9,R1,U1,C001,2025-01-01,,,10\n")  # delivered again
+    ing.full_reload(spark, str(raw), f"{tmp_path}/bronze", f"{tmp_path}/ledger", feeds_)
+    assert (count("pcc_residents"), count("yardi_leases")) == (3, 2)
+    _load(spark, tmp_path)
+    assert (count("pcc_residents"), count("yardi_leases")) == (3, 2)
+    write(raw, "2025_03", {"yardi_leases": ["L10,R1,U1,C001,2025-03-01,,,10"]})
+    _load(spark, tmp_path)
+    assert (count("pcc_residents"), count("yardi_leases")) == (3, 3)
+    ing.full_reload(spark, str(raw), f"{tmp_path}/bronze", f"{tmp_path}/ledger", feeds_)
+    assert count("yardi_leases") == 3
+
+
+def test_a_failed_reload_changes_nothing(spark, tmp_path):
+    raw = tmp_path / "raw"
+    write(raw, "2025_01", JANUARY)
+    before = _load(spark, tmp_path)["yardi_leases"].count()
+    (raw / "yardi_leases_2025_02.csv").write_text("unit,community_id\nU2,C002\n")
+    with pytest.raises(Exception, match="no lease_id header"):
+        ing.full_reload(spark, str(raw), f"{tmp_path}/bronze", f"{tmp_path}/ledger", ("yardi_leases",))
+    assert ing.read_bronze(spark, f"{tmp_path}/bronze", "yardi_leases").count() == before
 
 
 def test_region_table(spark):
