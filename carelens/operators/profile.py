@@ -29,30 +29,25 @@ def describe_schema(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFr
     )
 
 
-def column_profile(df: DataFrame) -> DataFrame:
-    """Rows, NULLs, distinct values, smallest and largest value (as text) of every column.
+def column_profile(df: DataFrame, distinct: list[str] | None = None) -> DataFrame:
+    """Rows, NULLs, smallest and largest value (as text) of every column, in one pass of plain aggregates.
 
-    Every distinct count is exact. The frame is turned into (column, value) pairs that are combined before
-    the shuffle, so all columns are profiled in one scan and no column needs a scan of its own.
+    Columns in ``distinct`` (default: none) also get their exact number of distinct values, else that is NULL. Those are turned
+    into (column, value) pairs that are combined before the shuffle, in one scan for all of them.
     """
-    pairs = df.select(
-        F.explode(
-            F.array(
-                *[
-                    F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"))
-                    for c in df.columns
-                ]
-            )
-        ).alias("_p")
-    ).select("_p.*")
-    per_value = pairs.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("_n"))
-    return per_value.groupBy("column_name").agg(
-        F.sum("_n").alias("row_count"),
-        F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("_n"))), F.lit(0)).alias("null_count"),
-        F.count("value").alias("distinct_count"),
-        F.min("value").alias("min_value"),
-        F.max("value").alias("max_value"),
-    )
+    text = {c: F.col(c).cast("string") for c in df.columns}
+    sums = [
+        F.struct(F.count(F.lit(1)).alias("row_count"), F.count_if(v.isNull()).alias("null_count"), F.min(v).alias("min_value"), F.max(v).alias("max_value")).alias(c)
+        for c, v in text.items()
+    ]
+    rows = [F.struct(F.lit(c).alias("column_name"), F.col(c)["row_count"].alias("row_count"), F.col(c)["null_count"].alias("null_count"),
+                     F.col(c)["min_value"].alias("min_value"), F.col(c)["max_value"].alias("max_value")) for c in text]
+    base = df.agg(*sums).select(F.inline(F.array(*rows)))
+    if not distinct:
+        return base.withColumn("distinct_count", F.lit(None).cast("long"))
+    pairs = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), text[c].alias("value")) for c in distinct])))
+    counts = pairs.distinct().groupBy("column_name").agg(F.count("value").alias("distinct_count"))
+    return base.join(counts, "column_name", "left")
 
 
 def distinct_values(df: DataFrame, column: str) -> DataFrame:

@@ -15,19 +15,14 @@ class Principal:
     community_id: str | None = None
 
 
-# Roles, and the demo access keys that resolve to them.
+# Roles.
 CORPORATE = "corporate_admin"
 REGIONAL = "regional_director"
 EXECUTIVE = "executive_director"
-ACCESS_KEYS = {
-    "corp-admin-key": Principal(CORPORATE),
-    "region-pnw-key": Principal(REGIONAL, region="Pacific Northwest"),
-    "community-c001-key": Principal(EXECUTIVE, community_id="C001"),
-}
 
 
-def resolve_principal(access_key: str | None, directory: dict[str, Principal] = ACCESS_KEYS) -> Principal:
-    """The principal of an access key; a missing or unknown key is refused."""
+def resolve_principal(access_key: str | None, directory: dict[str, Principal]) -> Principal:
+    """The principal of an access key in the caller's directory; a missing or unknown key is refused."""
     if not access_key:
         raise PermissionError("missing access key")
     if access_key not in directory:
@@ -81,9 +76,18 @@ def entitlements(principals: DataFrame, communities: DataFrame, regions: DataFra
     return corporate.unionByName(regional).unionByName(executive).distinct()
 
 
+def rows_by_principal(df: DataFrame, granted: DataFrame, key: str = "community_id") -> DataFrame:
+    """Every row once for each principal that may see it, with ``principal``, in one scan of ``df``.
+
+    Grants are gathered per key, so the join meets one row per key; those for "all" are one list for the whole table.
+    """
+    everywhere = granted.filter(F.col(key).isNull()).agg(F.collect_set("principal")).scalar()
+    listed = granted.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("_key")).agg(F.collect_set("principal").alias("_seen_by"))
+    none = F.array().cast("array<string>")
+    seen_by = F.array_union(F.coalesce("_seen_by", none), F.coalesce(everywhere, none))
+    return df.join(listed, F.col(key) == F.col("_key"), "left").select(*df.columns, F.explode(seen_by).alias("principal"))
+
+
 def rows_for(df: DataFrame, granted: DataFrame, principal: str, key: str = "community_id") -> DataFrame:
     """Rows one principal may see, looked up in an entitlement table."""
-    mine = granted.filter(F.col("principal") == principal)
-    sees_all = mine.agg(F.coalesce(F.bool_or(F.col(key).isNull()), F.lit(False))).scalar()
-    listed = mine.filter(F.col(key).isNotNull()).select(key)
-    return df.filter(sees_all).unionByName(df.filter(~sees_all).join(listed, key, "left_semi").select(*df.columns))
+    return rows_by_principal(df, granted.filter(F.col("principal") == principal), key).drop("principal")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -116,11 +118,13 @@ def with_region(facts: DataFrame, communities: DataFrame, regions: DataFrame) ->
 
 
 def revenue_by_region(fact_revenue: DataFrame, communities: DataFrame, regions: DataFrame) -> DataFrame:
-    """Revenue and distinct residents per region. Communities without a region form the NULL group."""
-    rows = with_region(fact_revenue, communities, regions)
-    return rows.groupBy("region").agg(
-        F.sum("monthly_rate").alias("revenue"), F.count_distinct("resident_key").alias("resident_count")
-    )
+    """Revenue and distinct residents per region. Communities without a region form the NULL group.
+
+    The fact is reduced to one row per (community, resident) before it is joined.
+    """
+    per_resident = fact_revenue.groupBy("community_key", "resident_key").agg(F.sum("monthly_rate").alias("revenue"))
+    rows = with_region(per_resident, communities, regions)
+    return rows.groupBy("region").agg(F.sum("revenue").alias("revenue"), F.count_distinct("resident_key").alias("resident_count"))
 
 
 def pair_counts(df: DataFrame, first: str, second: str) -> DataFrame:
@@ -145,17 +149,19 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
 def lease_metrics(
     fact_revenue: DataFrame, dates: DataFrame, communities: DataFrame, regions: DataFrame
 ) -> DataFrame:
-    """Average rent, revenue (both in cents) and lease count per region and month, reduced per (community, day)
-    first."""
+    """Average rent, revenue and lease count per region and month, reduced per (community, day) first.
+
+    Rates are summed as decimals, so that the sum does not depend on the order of rows, and only results are rounded.
+    """
     daily = fact_revenue.groupBy("community_key", "date_key").agg(
-        F.sum("monthly_rate").alias("revenue"), F.count("monthly_rate").alias("rates"),
+        F.sum(F.col("monthly_rate").cast("decimal(18,4)")).cast("decimal(28,4)").alias("revenue"), F.count("monthly_rate").alias("rates"),
         F.count(F.lit(1)).alias("leases"),
     )
     rows = with_region(daily.join(dates.select("date_key", "year", "month"), "date_key"), communities, regions)
-    revenue = round2(F.sum("revenue"))
+    revenue = F.sum("revenue").cast("double")
     return rows.groupBy("region", "year", "month").agg(
         round2(ratio(revenue, F.sum("rates"))).alias("avg_monthly_rent"),
-        revenue.alias("revenue"),
+        round2(revenue).alias("revenue"),
         F.sum("leases").alias("leases"),
     )
 
@@ -167,9 +173,10 @@ def monthly_trends(
     dates: DataFrame,
     communities: DataFrame,
 ) -> DataFrame:
-    """Occupancy, revenue and incidents per community and month; a month with only one of them is kept.
+    """Occupancy, revenue, census and incidents per community and month; a month with only one of them is kept.
 
-    Each fact is reduced to community months before the three are brought together.
+    Census and incident rate are the report's measures in that month: distinct residents with revenue, and incidents per 100
+    resident-days, where the days are those of the date dimension. Each fact is reduced to community months before they meet.
     """
     parts = [
         (fact_occupancy, {"total_units": F.count(F.lit(1)), "occupied_units": F.sum("occupied_flag")}),
@@ -177,9 +184,21 @@ def monthly_trends(
         (fact_incidents, {"incidents": F.count(F.lit(1))}),
     ]
     months = [by_community_month(fact, dates, communities, sums) for fact, sums in parts]
-    rows = months[0].unionByName(months[1], allowMissingColumns=True).unionByName(months[2], allowMissingColumns=True)
-    names = [name for _, sums in parts for name in sums]
-    return rows.groupBy("community_id", "year", "month").agg(*[F.max(name).alias(name) for name in names])
+    present = fact_revenue.select("community_key", "date_key", "resident_key").distinct()
+    residents = present.join(dates.select("date_key", "year", "month"), "date_key").groupBy("community_key", "year", "month").agg(
+        F.count_distinct("resident_key").alias("avg_daily_census")
+    )
+    months.append(
+        residents.join(communities.select("community_key", "community_id"), "community_key").groupBy("community_id", "year", "month").agg(
+            F.sum("avg_daily_census").alias("avg_daily_census")
+        )
+    )
+    rows = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), months)
+    names = [*[name for _, sums in parts for name in sums], "avg_daily_census"]
+    merged = rows.groupBy("community_id", "year", "month").agg(*[F.max(name).alias(name) for name in names])
+    days = dates.groupBy("year", "month").agg(F.count(F.lit(1)).alias("_days"))
+    rate = ratio(F.col("incidents") * 100.0, F.col("avg_daily_census") * F.col("_days"))
+    return merged.join(days, ["year", "month"], "left").withColumn("incident_rate_per_100", rate).drop("_days")
 
 
 def duration_buckets(df: DataFrame, days: str, bounds: list[int] | None = None) -> DataFrame:

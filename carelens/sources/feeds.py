@@ -7,6 +7,7 @@ from functools import reduce
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -83,6 +84,37 @@ def feed_pattern(feed: str) -> str:
     return f"{feed}_*.csv"
 
 
+def profile_files(spark: SparkSession, folder: str, sample: int = 3) -> DataFrame:
+    """One row per CSV file: file_name, feed, row_count, column_count, column_names, samples (its first lines of data), problem.
+
+    A file of no known feed, and one whose header lacks the feed's key, is reported in ``problem`` and not counted. Rows
+    are counted as the feed's reader sees them; samples come from the first block of a file.
+    """
+    files = discover_files(spark, folder)
+    lines = spark.read.option("pathGlobFilter", "*.csv").text(folder).select(
+        F.col("_metadata.file_name").alias("file_name"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"), "value"
+    )
+    ranked = lines.filter("block = 0 AND trim(value) <> ''").withColumn("line", F.row_number().over(W.partitionBy("file_name").orderBy("at")))
+    first = ranked.filter(F.col("line") <= sample + 1).groupBy("file_name").agg(F.sort_array(F.collect_list(F.struct("line", "value"))).alias("lines"))
+    header = F.transform(F.split(F.regexp_replace(F.get("lines", F.lit(0))["value"], "^\ufeff", ""), ","), lambda n: normalise_header(F.replace(n, F.lit('"'))))
+    known = files.join(first.select("file_name", header.alias("column_names"), F.transform(F.slice("lines", 2, sample), lambda x: x["value"]).alias("samples")), "file_name", "left")
+    key = F.coalesce(*[F.when(F.col("feed") == f, F.lit(columns[0])) for f, columns in FEEDS.items()])
+    problem = F.when(F.col("feed").isNull(), F.lit("no known feed")).when(
+        ~F.coalesce(F.array_contains("column_names", key), F.lit(False)), F.concat(F.lit("no "), key, F.lit(" header"))
+    )
+    known = known.withColumn("problem", problem)
+    readable = known.filter("problem IS NULL").select("feed").distinct().collect()  # at most one row per feed
+    bad = {r["file_name"] for r in known.filter("problem IS NOT NULL AND feed IS NOT NULL").select("file_name").collect()}
+    counts = [
+        read_files(spark, folder, r["feed"], feed_pattern(r["feed"]), skip=bad).groupBy("source_file").agg(F.count(F.lit(1)).alias("row_count")) for r in readable
+    ]
+    counted = reduce(DataFrame.union, counts) if counts else spark.createDataFrame([], "source_file string, row_count long")
+    return known.join(counted, F.col("file_name") == F.col("source_file"), "left").select(
+        "file_name", "feed", F.when(F.col("problem").isNull(), F.coalesce("row_count", F.lit(0))).alias("row_count"),
+        F.when(F.col("column_names").isNotNull(), F.size("column_names")).alias("column_count"), "column_names", "samples", "problem",
+    )
+
+
 def csv_options(feed: str, line_breaks: bool | None = None) -> dict[str, str]:
     """Reader options of a feed; ``line_breaks`` says whether quoted text holds any (default: :data:`FREE_TEXT_FEEDS`)."""
     multi_line = feed in FREE_TEXT_FEEDS if line_breaks is None else line_breaks
@@ -123,17 +155,24 @@ def with_lineage(df: DataFrame, feed: str) -> DataFrame:
     return df.select(*FEEDS[feed], "source_file", F.current_timestamp().alias("ingestion_timestamp"))
 
 
-def read_files(spark: SparkSession, paths: list[str] | str, feed: str, pattern: str | None = None, line_breaks: bool | None = None) -> DataFrame:
+def read_files(
+    spark: SparkSession, paths: list[str] | str, feed: str, pattern: str | None = None, line_breaks: bool | None = None,
+    skip: frozenset[str] | set[str] = frozenset(),
+) -> DataFrame:
     """Files (or folders) of one feed, each read by its own header.
 
     Headers are matched after :func:`normalise_header`, so order, case, width and extra columns may differ from file to file; of two
     equal names the first counts. Files with the same header are one scan; there are as many scans as different headers. A file
-    without the feed's key column fails the read: its rows cannot be placed and must not vanish.
+    without the feed's key column fails the read: its rows cannot be placed and must not vanish. File names in ``skip`` are passed
+    over.
     """
     glob = {} if pattern is None else {"pathGlobFilter": pattern}
     layouts = header_layouts(spark.read.options(**glob).text(paths))
+    if skip:
+        wanted = {names: [f for f in files if f.rsplit("/", 1)[-1] not in skip] for names, files in layouts.items()}
+        layouts = {names: files for names, files in wanted.items() if files}
     options = csv_options(feed, line_breaks) | glob
-    if len(layouts) == 1:
+    if len(layouts) == 1 and not skip:
         found = [read_layout(spark, paths, *layouts, feed, options)]
     else:
         found = [read_layout(spark, files, names, feed, options) for names, files in layouts.items()]

@@ -23,10 +23,11 @@ from carelens.operators.latest import first_copy_of_text, latest_per_key
 from carelens.operators.security import Principal, apply_row_security
 from carelens.plans import measures as m
 from carelens.session import scratch_path
-from carelens.sources.export import export_tables
-from carelens.sources.feeds import read_feed
-from carelens.streaming.ingest import file_count_differences, processed_files, read_bronze, repeated_loads, start_feed
-from carelens.workload.feeds import bronze, load
+from carelens.plans.silver import clean_shifts, unreadable_rules
+from carelens.sources.export import RUN_LOG_SCHEMA, append_run_log, export_checks, export_tables
+from carelens.sources.feeds import discover_files, profile_files, read_feed
+from carelens.streaming.ingest import file_count_differences, full_reload, processed_files, read_bronze, repeated_loads, start_feed
+from carelens.workload.feeds import DERIVED, bronze, load
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 
@@ -94,14 +95,23 @@ def _distinct_event_rows(s: Source) -> DataFrame:
 @register(
     "safe_dates",
     "SELECT o_orderkey, TRY_CAST(CASE o_orderkey % 10 WHEN 0 THEN 'tbd' WHEN 1 THEN strftime(o_orderdate, '%Y/%m/%d') "
+    "WHEN 2 THEN strftime(o_orderdate, '%Y') WHEN 3 THEN strftime(o_orderdate, '%Y-%m') WHEN 4 THEN strftime(o_orderdate, '%Y/%m') "
+    "WHEN 5 THEN '+' || strftime(o_orderdate, '%Y-%m-%d') WHEN 6 THEN strftime(o_orderdate, '%Y-%m-%dTfoo') "
+    "WHEN 7 THEN strftime(o_orderdate, ' %Y-%m-%d %H:%M:%S') "
     "ELSE strftime(o_orderdate, '%Y-%m-%d') END AS DATE) AS order_day FROM orders",
 )
 def _safe_dates(s: Source) -> DataFrame:
-    kind = F.col("o_orderkey") % 10
+    kind, day = F.col("o_orderkey") % 10, F.date_format("o_orderdate", "yyyy-MM-dd")
     text = (
         F.when(kind == 0, "tbd")
         .when(kind == 1, F.date_format("o_orderdate", "yyyy/MM/dd"))
-        .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
+        .when(kind == 2, F.date_format("o_orderdate", "yyyy"))
+        .when(kind == 3, F.date_format("o_orderdate", "yyyy-MM"))
+        .when(kind == 4, F.date_format("o_orderdate", "yyyy/MM"))
+        .when(kind == 5, F.concat(F.lit("+"), day))
+        .when(kind == 6, F.concat(day, F.lit("Tfoo")))
+        .when(kind == 7, F.date_format("o_orderdate", " yyyy-MM-dd HH:mm:ss"))
+        .otherwise(day)
     )
     return s.orders.select("o_orderkey", safe_date(text).alias("order_day"))
 
@@ -718,7 +728,7 @@ def _reconcile_sums(s: Source) -> DataFrame:
     ),
 )
 def _profile_columns(s: Source) -> DataFrame:
-    return profile.column_profile(s.customer)
+    return profile.column_profile(s.customer, s.customer.columns)
 
 
 @register("distinct_values", "SELECT DISTINCT c_mktsegment FROM customer")
@@ -761,8 +771,10 @@ def _dedupe_business_rows(s: Source) -> DataFrame:
 # sources and sinks
 
 
-def _land(frame: DataFrame, folder: str) -> None:
-    frame.drop("source_file", "ingestion_timestamp").write.mode("append").option("header", True).csv(folder)
+def _land(frame: DataFrame, folder: str, feed: str = "yardi_leases") -> None:
+    """Deliver rows as CSV files that carry the feed's name."""
+    writer = frame.drop("source_file", "ingestion_timestamp").write.mode("append").option("header", True)
+    writer.option("mapreduce.output.basename", f"{feed}_delivery").csv(folder)
 
 
 _BY_MONTH = (
@@ -778,15 +790,22 @@ def _by_month(df: DataFrame) -> DataFrame:
     )
 
 
+def _deliveries(s: Source) -> list[DataFrame]:
+    """The leases in two deliveries; the second has its columns reversed, spelt differently, and many more beside them."""
+    leases = bronze(s.spark, s.sf_dir, "yardi_leases").drop("source_file", "ingestion_timestamp")
+    early = F.col("move_in_date") < "1998-01-01"
+    extra = [F.lit("lease_id").alias(f"Note {i} of a wide delivery") for i in range(40)]
+    drifted = leases.filter(~early).select(*reversed(leases.columns), *extra)
+    return [leases.filter(early), drifted.toDF(*[c.title().replace("_", " ") for c in drifted.columns])]
+
+
 def _ingest_twice(s: Source) -> DataFrame:
     """Land the leases as CSV in two deliveries and load after each; a third load finds nothing new."""
-    leases = bronze(s.spark, s.sf_dir, "yardi_leases")
     raw, out, ledger = (scratch_path(s.spark, label) for label in ("raw", "bronze", "ledger"))
-    early = F.col("move_in_date") < "1998-01-01"
-    for delivery in (leases.filter(early), leases.filter(~early), None):
+    for delivery in (*_deliveries(s), None):
         if delivery is not None:
             _land(delivery, raw)
-        start_feed(s.spark, raw, out, ledger, "yardi_leases", pattern="*.csv").awaitTermination()
+        start_feed(s.spark, raw, out, ledger, "yardi_leases").awaitTermination()
     return read_bronze(s.spark, out, "yardi_leases")
 
 
@@ -800,30 +819,156 @@ def _processed_files(s: Source) -> DataFrame:
     return ledger.withColumn("repeated", repeated_loads(loaded).agg(_rows()).scalar())
 
 
-register(
+@register(
     "file_count_differences",
-    "SELECT strftime(o_orderdate, '%Y-%m') AS source_file, count(*) AS loaded, count(*) - count(*) FILTER "
-    "(o_orderstatus = 'P' AND o_orderdate < '1996-01-01') AS delivered FROM orders GROUP BY 1 HAVING loaded <> delivered",
-)(
-    lambda s: file_count_differences(
-        *[
-            rows.select(F.date_format("o_orderdate", "yyyy-MM").alias("source_file"))
-            for rows in (s.orders, s.orders.filter("NOT (o_orderstatus = 'P' AND o_orderdate < '1996-01-01')"))
-        ]
-    )
+    "SELECT strftime(o_orderdate, '%Y-%m') AS period, count(*) AS missing FROM orders WHERE o_orderstatus = 'P' GROUP BY 1",
 )
+def _file_count_differences(s: Source) -> DataFrame:
+    """A load that lost the pending leases, held against the files it came from; the missing rows per month."""
+    raw = scratch_path(s.spark, "raw")
+    _land(bronze(s.spark, s.sf_dir, "yardi_leases").repartition(F.substring("move_in_date", 1, 7)), raw)
+    delivered = read_feed(s.spark, raw, "yardi_leases")
+    pending = s.orders.filter("o_orderstatus = 'P'").select(F.concat(F.lit("L"), F.col("o_orderkey").cast("string")).alias("lease_id"))
+    loaded = delivered.join(pending, "lease_id", "left_anti")
+    differ = file_count_differences(loaded, delivered)
+    lost = delivered.join(pending, "lease_id", "left_semi").groupBy("source_file", F.substring("move_in_date", 1, 7).alias("period")).agg(_rows().alias("missing"))
+    # a file's difference must be the sum of what is missing from it
+    per_file = lost.groupBy("source_file").agg(F.sum("missing").alias("gone"))
+    right = differ.join(per_file, "source_file").filter("delivered - loaded = gone").select("source_file")
+    return lost.join(right, "source_file", "left_semi").groupBy("period").agg(F.sum("missing").alias("missing"))
 
 
 @register("full_reload", _BY_MONTH)
 def _full_reload(s: Source) -> DataFrame:
-    """Two deliveries with different column order, case and an extra column, read by name."""
-    leases = bronze(s.spark, s.sf_dir, "yardi_leases").drop("source_file", "ingestion_timestamp")
+    """Two loads, a reload of everything, and one more load, which finds nothing new."""
+    raw, out, ledger = (scratch_path(s.spark, label) for label in ("raw", "bronze", "ledger"))
+    for delivery in _deliveries(s):
+        _land(delivery, raw)
+        start_feed(s.spark, raw, out, ledger, "yardi_leases").awaitTermination()
+    full_reload(s.spark, raw, out, ledger, ("yardi_leases",))
+    start_feed(s.spark, raw, out, ledger, "yardi_leases").awaitTermination()
+    return _by_month(read_bronze(s.spark, out, "yardi_leases"))
+
+
+@register(
+    "read_by_name_reviews",
+    "SELECT event_type, count(*) AS row_count, count(*) FILTER (event_id % 3 = 0) AS like_a_header FROM events GROUP BY event_type",
+)
+def _read_by_name_reviews(s: Source) -> DataFrame:
+    """Reviews whose text is the name of the key column, in a quoted text with a line break or alone."""
+    reviews = bronze(s.spark, s.sf_dir, "gbp_reviews").drop("source_file", "ingestion_timestamp")
+    number = F.substring("review_id", 2, 20).cast("long")
+    name = F.when(number % 2 == 0, "Review ID").otherwise("Review\nID")
+    kept = reviews.withColumn("response_text", F.trim("review_text")).withColumn("review_text", F.when(number % 3 == 0, name).otherwise("other"))
     raw = scratch_path(s.spark, "raw")
-    early = F.col("move_in_date") < "1998-01-01"
-    _land(leases.filter(early), raw)
-    drifted = leases.filter(~early).select(*reversed(leases.columns), F.lit("x").alias("Note"))
-    _land(drifted.toDF(*[c.title().replace("_", " ") for c in drifted.columns]), raw)
-    return _by_month(read_feed(s.spark, raw, "yardi_leases", pattern="*.csv"))
+    _land(kept, raw, "gbp_reviews")
+    got = read_feed(s.spark, raw, "gbp_reviews")
+    alike = F.count_if(F.lower(F.translate("review_text", " \n", "__")) == "review_id").alias("like_a_header")
+    return got.groupBy(F.regexp_replace("response_text", " visit$", "").alias("event_type")).agg(_rows().alias("row_count"), alike)
+
+
+@register(
+    "file_discovery",
+    "SELECT feed, files > 0 AS found FROM (VALUES ('yardi_leases', 1), ('yardi_units', 1), (NULL, 1)) AS t(feed, files)",
+)
+def _file_discovery(s: Source) -> DataFrame:
+    raw = scratch_path(s.spark, "raw")
+    for name, feed in (("yardi_leases", "yardi_leases"), ("yardi_units", "yardi_units"), ("notes", "yardi_units")):
+        _land(bronze(s.spark, s.sf_dir, feed), raw, name)
+    return discover_files(s.spark, raw).groupBy("feed").agg((_rows() > 0).alias("found"))
+
+
+@register(
+    "feed_profile",
+    "SELECT 'yardi_leases' AS feed, (SELECT count(*) FROM orders)::BIGINT AS row_count, 8 AS column_count, "
+    "'lease_id,resident_id,unit_id,community_id,move_in_date,move_out_date,move_out_reason,monthly_rate' AS names, NULL::VARCHAR AS problem "
+    "UNION ALL SELECT NULL, NULL, 5, 'unit_id,community_id,unit_type,monthly_rent,snapshot_date', 'no known feed' "
+    "UNION ALL SELECT 'yardi_units', NULL, 1, 'monthly_rent', 'no unit_id header'",
+)
+def _feed_profile(s: Source) -> DataFrame:
+    raw = scratch_path(s.spark, "raw")
+    units = bronze(s.spark, s.sf_dir, "yardi_units")
+    _land(bronze(s.spark, s.sf_dir, "yardi_leases"), raw)
+    _land(units, raw, "notes")
+    _land(units.select("monthly_rent"), raw, "yardi_units")
+    got = profile_files(s.spark, raw)
+    sampled = F.when((F.size("samples") > 0) & (F.size("samples") <= 3), F.array_join("column_names", ","))
+    return got.groupBy("feed", "column_count", sampled.alias("names"), "problem").agg(F.sum("row_count").alias("row_count"))
+
+
+_BAD_RATES = "CASE WHEN l_partkey % 11 = 0 THEN '{RN: 4 6}' WHEN l_partkey % 13 = 0 THEN '46/h' ELSE 'ok' END"
+_BAD_HOURS = "CASE WHEN l_orderkey % 7 = 0 THEN 'abc' WHEN l_orderkey % 17 = 0 THEN 'NaN' ELSE 'ok' END"
+_NO_KEY = "l_orderkey % 19 = 0"
+
+
+@register(
+    "quarantined_shifts",
+    f"SELECT 'Missing shift_id' AS reason, count(*) AS row_count FROM lineitem WHERE {_NO_KEY} UNION ALL "
+    f"SELECT 'Unreadable hours_worked', count(*) FROM lineitem WHERE {_BAD_HOURS} <> 'ok' UNION ALL "
+    f"SELECT 'Unreadable hourly_rate', count(*) FROM lineitem WHERE {_BAD_RATES} <> 'ok' UNION ALL "
+    f"SELECT 'accepted', count(*) FROM lineitem WHERE NOT ({_NO_KEY}) AND {_BAD_HOURS} = 'ok' AND {_BAD_RATES} = 'ok'",
+)
+def _quarantined_shifts(s: Source) -> DataFrame:
+    """Shifts with bad rates, bad hours and missing keys: why rows are refused, and that all accepted ones can be cleaned."""
+    hours, rates = DERIVED["adp_shifts"][1]["hours_worked"], DERIVED["adp_shifts"][1]["hourly_rate"]
+    columns = DERIVED["adp_shifts"][1] | {
+        "shift_id": f"CASE WHEN NOT ({_NO_KEY}) THEN {DERIVED['adp_shifts'][1]['shift_id']} END",
+        "hours_worked": f"CASE WHEN {_BAD_HOURS} = 'ok' THEN {hours} ELSE {_BAD_HOURS} END",
+        "hourly_rate": f"CASE WHEN {_BAD_RATES} = 'ok' THEN {rates} ELSE {_BAD_RATES} END",
+    }
+    raw = s.lineitem.selectExpr(*[f"{expr} AS {name}" for name, expr in columns.items()])
+    kept, refused = quality.quarantine(raw, unreadable_rules("adp_shifts"))
+    accepted = clean_shifts(kept, dedupe=None).groupBy(F.lit("accepted").alias("reason")).agg(F.count("hours_worked").alias("row_count"))
+    reasons = refused.select(F.explode("broken_rules").alias("reason")).groupBy("reason").agg(_rows().alias("row_count"))
+    return reasons.unionByName(accepted)
+
+
+@register(
+    "run_log",
+    "SELECT status, files_processed, l_returnflag, row_count FROM (SELECT 'SUCCESS' AS status, 1::BIGINT AS files_processed), "
+    "(SELECT l_returnflag, count(*) AS row_count FROM lineitem GROUP BY 1)",
+)
+def _run_log(s: Source) -> DataFrame:
+    """Counts of a table written as a run's log row and read back."""
+    path = scratch_path(s.spark, "log")
+    loaded = {r["l_returnflag"]: r["n"] for r in s.lineitem.groupBy("l_returnflag").agg(_rows().alias("n")).collect()}
+    empty = {"rows_rejected": {}, "tables_loaded": {}, "duration_seconds": 0.0, "finished_at": None, "error": None}
+    append_run_log(s.spark, {"run_id": "r", "run_timestamp": "t", "status": "SUCCESS", "files_processed": 1, "files_skipped": 0, "rows_loaded": loaded, **empty}, path)
+    log = s.spark.read.schema(RUN_LOG_SCHEMA).json(path)
+    return log.select("status", "files_processed", F.explode("rows_loaded").alias("l_returnflag", "row_count"))
+
+
+@register(
+    "report_export",
+    "SELECT 3::BIGINT AS total_checks, (discounts = 0)::INTEGER + (quantities = 0)::INTEGER + (lines = 0)::INTEGER AS passed FROM (SELECT "
+    "count(*) FILTER (l_discount > 0.09) AS discounts, count(*) FILTER (l_quantity < 0) AS quantities, count(*) FILTER (l_linenumber > 99) AS lines FROM lineitem)",
+)
+def _report_export(s: Source) -> DataFrame:
+    """Check results of a table written as CSV and JSON, and their summary read back."""
+    rules = [
+        quality.Rule("discounts", "l_discount > 0.09D", "Low", "None"),
+        quality.Rule("quantities", "l_quantity < 0", "Low", "None"),
+        quality.Rule("lines", "l_linenumber > 99", "Low", "None"),
+    ]
+    out = scratch_path(s.spark, "reports")
+    export_checks(quality.evaluate_rules(s.lineitem, rules), out)
+    summary = s.spark.read.json(f"{out}/validation_summary_json")
+    rows = s.spark.read.option("header", True).csv(f"{out}/validation_summary_csv").agg(_rows().alias("total_checks"))
+    return rows.select("total_checks", summary.select(F.col("Passed").cast("int")).scalar().alias("passed"))
+
+
+@register(
+    "described_schema",
+    "SELECT 'customer' AS table_name, unnest(['c_custkey', 'c_name', 'c_nationkey', 'c_acctbal', 'c_mktsegment']) AS column_name, "
+    "unnest(['bigint', 'string', 'int', 'double', 'string']) AS data_type, unnest([1, 2, 3, 4, 5]) AS position",
+)
+def _described_schema(s: Source) -> DataFrame:
+    return profile.describe_schema(s.spark, {"customer": s.customer}).select("table_name", "column_name", "data_type", "position")
+
+
+register("sampled_rows", "SELECT least(count(*), 3)::BIGINT AS sampled, 0::BIGINT AS none FROM customer")(
+    lambda s: profile.sample_rows(s.customer).agg(_rows().alias("sampled")).withColumn("none", profile.sample_rows(s.customer, 0).agg(_rows()).scalar())
+)
 
 
 @register(

@@ -17,7 +17,7 @@ from carelens.functions.numbers import round2
 from carelens.operators import profile, quality
 from carelens.operators.census import census_intervals, daily_census, resident_days
 from carelens.operators.latest import conflicting_keys
-from carelens.operators.security import apply_row_security, entitlements, resolve_principal, rows_for
+from carelens.operators.security import apply_row_security, entitlements, resolve_principal, rows_by_principal, rows_for
 from carelens.plans import gold as g
 from carelens.plans import measures as m
 from carelens.plans import reports as r
@@ -29,6 +29,7 @@ from carelens.sources.feeds import FEEDS, LINEAGE
 from carelens.sources.reference_data import dim_community_region
 from carelens.workload.feeds import AS_OF, DERIVED, derive, load
 from carelens.workload.oracle import sql
+from carelens.workload.principals import ACCESS_KEYS
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -168,9 +169,9 @@ def register(name: str, oracle: str | None):
     return add
 
 
-CORPORATE = resolve_principal("corp-admin-key")
-REGIONAL = resolve_principal("region-pnw-key")
-EXECUTIVE = resolve_principal("community-c001-key")
+CORPORATE = resolve_principal("corp-admin-key", ACCESS_KEYS)
+REGIONAL = resolve_principal("region-pnw-key", ACCESS_KEYS)
+EXECUTIVE = resolve_principal("community-c001-key", ACCESS_KEYS)
 
 # cleaned tables
 
@@ -323,7 +324,7 @@ register("row_security_one", f"{_LEASES} WHERE community_id = 'C001'")(
 )
 
 
-def _entitled(t: Layers, principal: str) -> DataFrame:
+def _grants(t: Layers) -> DataFrame:
     people = t.spark.createDataFrame(
         [
             ("chief", "corporate_admin", None, None),
@@ -332,7 +333,19 @@ def _entitled(t: Layers, principal: str) -> DataFrame:
         ],
         "principal string, role string, region string, community_id string",
     )
-    return rows_for(_leases(t), entitlements(people, t.communities, t.regions), principal)
+    return entitlements(people, t.communities, t.regions)
+
+
+def _entitled(t: Layers, principal: str) -> DataFrame:
+    return rows_for(_leases(t), _grants(t), principal)
+
+
+register(
+    "row_security_all_principals",
+    "SELECT principal, community_id, count(*) AS row_count FROM s_yardi_leases JOIN (SELECT 'house7' AS principal, 'C007' AS c "
+    "UNION ALL SELECT 'south', community_id FROM dim_community_region WHERE region = 'South' "
+    "UNION ALL SELECT DISTINCT 'chief', community_id FROM s_yardi_leases) ON community_id = c GROUP BY ALL",
+)(lambda t: rows_by_principal(_leases(t), _grants(t)).groupBy("principal", "community_id").agg(F.count(F.lit(1)).alias("row_count")))
 
 
 register(
@@ -508,10 +521,14 @@ register(
 
 # census from stays: the corrected forms of occupancy, average census and resident-days
 
-_FIRST, _LAST = "1999-01-01", "1999-06-30"
+_FIRST = "(SELECT min(admit_date) FROM s_pcc_residents WHERE discharge_date IS NULL OR discharge_date >= admit_date)"
+_LAST = (
+    "(SELECT max(greatest(admit_date, coalesce(discharge_date, admit_date))) FROM s_pcc_residents "
+    "WHERE discharge_date IS NULL OR discharge_date >= admit_date)"
+)
 _DAILY = f"""
 SELECT community_id, day, count(*) AS census
-FROM (SELECT unnest(generate_series(DATE '{_FIRST}', DATE '{_LAST}', INTERVAL 1 DAY))::DATE AS day)
+FROM (SELECT unnest(generate_series({_FIRST}, {_LAST}, INTERVAL 1 DAY))::DATE AS day)
 JOIN s_pcc_residents ON admit_date <= day AND (discharge_date IS NULL OR discharge_date >= day)
 WHERE discharge_date IS NULL OR discharge_date >= admit_date GROUP BY ALL"""
 
@@ -520,22 +537,25 @@ def _valid_stays(t: Layers) -> DataFrame:
     return t.silver("pcc_residents").filter("discharge_date IS NULL OR discharge_date >= admit_date")
 
 
-def _span():
-    return F.lit(_FIRST).cast("date"), F.lit(_LAST).cast("date")
+def _span(t: Layers):
+    """First and last day that the stays have."""
+    day = F.greatest("admit_date", F.coalesce("discharge_date", "admit_date"))
+    first, last = _valid_stays(t).agg(F.min("admit_date"), F.max(day)).first()
+    return F.lit(first).cast("date"), F.lit(last).cast("date")
 
 
 register("census_daily", _DAILY)(
     lambda t: daily_census(
-        census_intervals(_valid_stays(t), ["community_id"], "admit_date", "discharge_date"), ["community_id"], *_span()
+        census_intervals(_valid_stays(t), ["community_id"], "admit_date", "discharge_date"), ["community_id"], *_span(t)
     ).filter("census > 0")
 )
 register(
     "census_average",
     f"SELECT community_id, CAST(sum(census) AS BIGINT) AS resident_days, sum(census)::DOUBLE / "
-    f"(DATE '{_LAST}' - DATE '{_FIRST}' + 1) AS avg_daily_census FROM ({_DAILY}) GROUP BY community_id",
+    f"({_LAST} - {_FIRST} + 1) AS avg_daily_census FROM ({_DAILY}) GROUP BY community_id",
 )(
     lambda t: resident_days(
-        census_intervals(_valid_stays(t), ["community_id"], "admit_date", "discharge_date"), ["community_id"], *_span()
+        census_intervals(_valid_stays(t), ["community_id"], "admit_date", "discharge_date"), ["community_id"], *_span(t)
     )
 )
 register(
@@ -544,7 +564,7 @@ register(
     f"FROM ({_DAILY}) JOIN (SELECT community_id, count(DISTINCT unit_id) AS units FROM s_yardi_units "
     "GROUP BY community_id) USING (community_id)",
 )(
-    lambda t: v.census_occupancy(_valid_stays(t), t.silver("yardi_units", dedupe=None), *_span()).filter("census > 0")
+    lambda t: v.census_occupancy(_valid_stays(t), t.silver("yardi_units", dedupe=None), *_span(t)).filter("census > 0")
 )
 
 # report pages
@@ -569,8 +589,8 @@ register("page_incident_severity", "SELECT severity, count(*) AS row_count FROM
 register(
     "page_lease_metrics",
     "SELECT region, CAST(year(date_key) AS INTEGER) AS year, CAST(month(date_key) AS INTEGER) AS month, "
-    "round(round(sum(monthly_rate), 2) / count(monthly_rate), 2) AS avg_monthly_rent, "
-    "round(sum(monthly_rate), 2) AS revenue, count(*) AS leases "
+    "round(sum(monthly_rate::DECIMAL(18,4))::DOUBLE / count(monthly_rate), 2) AS avg_monthly_rent, "
+    "round(sum(monthly_rate::DECIMAL(18,4))::DOUBLE, 2) AS revenue, count(*) AS leases "
     "FROM fact_revenue JOIN dim_community USING (community_key) LEFT JOIN dim_community_region USING (community_id) "
     "GROUP BY ALL",
 )(
@@ -585,17 +605,30 @@ register(
 )(lambda t: m.duration_buckets(t.revenue, "lease_duration_days"))
 register(
     "page_trends",
-    "SELECT community_id, year, month, total_units, occupied_units, round(revenue, 2) AS revenue, incidents FROM v_occupancy "
+    "SELECT community_id, year, month, total_units, occupied_units, round(revenue, 2) AS revenue, incidents, avg_daily_census, "
+    "incidents * 100.0::DOUBLE / (avg_daily_census * days) AS incident_rate_per_100 FROM v_occupancy "
     "FULL JOIN (SELECT community_id, CAST(year(date_key) AS INTEGER) AS year, CAST(month(date_key) AS INTEGER) AS month, "
-    "sum(monthly_rate) AS revenue FROM fact_revenue JOIN dim_community USING (community_key) GROUP BY ALL) "
+    "sum(monthly_rate) AS revenue, count(DISTINCT resident_key) AS avg_daily_census FROM fact_revenue JOIN dim_community "
+    "USING (community_key) GROUP BY ALL) "
     "USING (community_id, year, month) FULL JOIN (SELECT community_id, CAST(year(date_key) AS INTEGER) AS year, "
     "CAST(month(date_key) AS INTEGER) AS month, count(*) AS incidents FROM fact_incidents JOIN dim_community "
-    "USING (community_key) GROUP BY ALL) USING (community_id, year, month)",
+    "USING (community_key) GROUP BY ALL) USING (community_id, year, month) LEFT JOIN (SELECT CAST(year AS INTEGER) AS year, "
+    "CAST(month AS INTEGER) AS month, count(*) AS days FROM dim_date GROUP BY ALL) USING (year, month)",
 )(
     lambda t: m.monthly_trends(t.occupancy, t.revenue, t.incidents, t.dates, t.communities).withColumn(
         "revenue", round2("revenue")
     )
 )
+register(
+    "page_trends_of_a_community_and_month",
+    "SELECT community_id, year, month, total_units, occupied_units FROM v_occupancy WHERE community_id = 'C003' AND month = 4",
+)(
+    lambda t: m.slice_rows(
+        m.monthly_trends(t.occupancy, t.revenue, t.incidents, t.dates, t.communities), community_id="c003", month=4
+    )
+    .filter("total_units IS NOT NULL")
+    .select("community_id", "year", "month", "total_units", "occupied_units")
+)
 register(
     "validation_expected_dedupe",
     "SELECT 'Row Count - dim_resident' AS \"Check\", CASE WHEN s = g THEN 'PASS' ELSE 'FAIL' END AS \"Status\", "

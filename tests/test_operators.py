@@ -8,6 +8,7 @@ from carelens.operators import aggregates, census, history, keys, latest, profil
 from carelens.operators.keys import slot, slot_part
 from carelens.operators.neighbours import with_neighbour
 from carelens.operators.skew import hot_keys
+from carelens.workload.principals import ACCESS_KEYS
 
 D = date
 
@@ -280,7 +281,9 @@ def test_census_equals_a_day_by_day_count(spark):
 
 def test_column_profile_counts_exactly(spark):
     df = spark.createDataFrame([("a", 1), ("a", None), (None, 3)], "x string, y int")
-    got = {r["column_name"]: tuple(r)[1:] for r in profile.column_profile(df).collect()}
+    names = ("row_count", "null_count", "distinct_count", "min_value", "max_value")
+    assert {r["distinct_count"] for r in profile.column_profile(df).collect()} == {None}
+    got = {r["column_name"]: tuple(r[n] for n in names) for r in profile.column_profile(df, df.columns).collect()}
     assert got == {"x": (3, 1, 1, "a", "a"), "y": (3, 1, 2, "1", "3")}
 
 
@@ -354,14 +357,14 @@ def _secured(spark):
 )
 def test_row_security_by_access_key(spark, access_key, seen):
     data, regions = _secured(spark)
-    got = security.apply_row_security(data, security.resolve_principal(access_key), regions)
+    got = security.apply_row_security(data, security.resolve_principal(access_key, ACCESS_KEYS), regions)
     assert sorted(r["v"] for r in got.collect()) == seen
 
 
 @pytest.mark.parametrize("access_key", [None, "", "guess"])
 def test_missing_and_unknown_keys_are_refused(access_key):
     with pytest.raises(PermissionError):
-        security.resolve_principal(access_key)
+        security.resolve_principal(access_key, ACCESS_KEYS)
 
 
 def test_unknown_role_sees_nothing(spark):
@@ -383,3 +386,5 @@ def test_entitlement_table(spark):
     granted = security.entitlements(people, communities, regions)
     seen = {p: sorted(r["v"] for r in security.rows_for(data, granted, p).collect()) for p in ("chief", "sw", "one", "odd", "none")}
     assert seen == {"chief": [1, 2, 3, 4], "sw": [2], "one": [1], "odd": [], "none": []}
+    every = security.rows_by_principal(data, granted)
+    assert sorted((r["principal"], r["v"]) for r in every.collect()) == [("chief", 1), ("chief", 2), ("chief", 3), ("chief", 4), ("one", 1), ("sw", 2)]

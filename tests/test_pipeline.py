@@ -6,7 +6,7 @@ import pytest
 from feeddata import FEBRUARY, JANUARY, write
 from pyspark.sql import functions as F
 
-from carelens.operators.security import ACCESS_KEYS
+from carelens.workload.principals import ACCESS_KEYS
 from carelens.plans import measures, reports
 from carelens.plans.pipeline import open_latest, run_pipeline
 from carelens.plans.validation import validate
