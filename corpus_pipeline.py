@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from carelens.llm import byte_bpe, decontaminate, importance, line_dedup, simhash
-from carelens.llm.common import ship
+from carelens.llm.common import quoted, ship
 from carelens.llm.queries import tokenizer_file, tokenizer_pattern
 from carelens.session import materialise
 
@@ -33,7 +33,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines and sentences that an earlier document (or line) has are cut out; every document stays."""
     ship(spark)
-    return line_dedup.remove_repeats(docs).select(*docs.columns)
+    return line_dedup.remove_repeats(docs).select(*map(quoted, docs.columns))
 
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
