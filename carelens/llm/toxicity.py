@@ -15,6 +15,7 @@ import re
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,12 +35,8 @@ FOLDS = 5
 _WORD = re.compile(r"[^\W\d_]+")
 
 
-def word_features(text: str) -> set[int]:
-    """Buckets of the distinct words of the whole text and of their first 4 and 5 letters."""
-    return {b for w in set(_WORD.findall(text.lower())) for b in _buckets(w)}
-
-
 def _buckets(word: str) -> list[int]:
+    """Buckets of a word and of its first 4 and 5 letters."""
     names = [f"={word}"]
     if len(word) > 4:
         names.append(f"^{word[:4]}")
@@ -114,22 +111,33 @@ def _train(rows: np.ndarray, columns: np.ndarray, earlier: np.ndarray, target: n
     return Link(dict(zip(chosen.tolist(), weight[:split].tolist())), float(weight[-1]), tuple(weight[split:-1].tolist()))
 
 
-def train_chain(features: list[set[int]], targets: np.ndarray, folds: np.ndarray, limit: int = MAX_FEATURES) -> Chain:
-    """Fit the links one after the other; ``targets`` has a column of 0/1 per category, ``folds`` a number per document."""
-    rows = np.repeat(np.arange(len(features)), [len(f) for f in features])
-    columns = np.fromiter((b for f in features for b in f), np.int64, len(rows))
-    earlier, links = np.zeros((len(features), 0)), []
-    out = np.zeros(len(features))
+def _predict(link: Link, rows: np.ndarray, columns: np.ndarray, earlier: np.ndarray) -> np.ndarray:
+    """A link's probabilities for many documents at once."""
+    weight = np.zeros(BUCKETS)
+    weight[list(link.weight)] = list(link.weight.values())
+    score = np.bincount(rows, weight[columns], len(earlier)) + link.bias
+    if link.earlier:
+        score = score + earlier @ np.array(link.earlier)
+    return 1 / (1 + np.exp(-np.clip(score, -30, 30)))
+
+
+def train_chain(rows: np.ndarray, columns: np.ndarray, targets: np.ndarray, folds: np.ndarray, limit: int = MAX_FEATURES) -> Chain:
+    """Fit the links one after the other.
+
+    ``rows`` and ``columns``: document number and bucket of each feature; ``targets`` has a column of 0/1 per category, ``folds`` a
+    number per document.
+    """
+    earlier, links = np.zeros((len(targets), 0)), []
+    out = np.zeros(len(targets))
     for category in range(targets.shape[1]):
         target = targets[:, category].astype(float)
-        out = np.zeros(len(features))
+        out = np.zeros(len(targets))
         for fold in np.unique(folds):
             seen = folds != fold
             index = np.cumsum(seen) - 1
             mine = seen[rows]
             link = _train(index[rows[mine]], columns[mine], earlier[seen], target[seen], limit) if seen.any() else _EMPTY
-            for i in np.flatnonzero(~seen):
-                out[i] = link.probability(features[i], earlier[i].tolist())
+            out[~seen] = _predict(link, rows, columns, earlier)[~seen]
         links.append(_train(rows, columns, earlier, target, limit))
         earlier = np.column_stack((earlier, out))
     # the last category's out-of-fold probabilities tell where to cut
@@ -174,13 +182,15 @@ def training_rows(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED)
 
 def fit(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED) -> Chain:
     """Train on the labelled sample; the driver gets the distinct features of at most ``limit`` documents."""
-    rows = training_rows(docs, labels, limit).toPandas().sort_values("doc_id", kind="stable")
-    if rows.empty:
+    table = training_rows(docs, labels, limit).toArrow().sort_by("doc_id").combine_chunks()
+    if not table.num_rows:
         return Chain(tuple(_EMPTY for _ in CATEGORIES))
-    toxic = rows["toxic"].to_numpy() == 1
-    seeds = np.array(rows["seeds"].tolist(), bool).reshape(len(rows), -1) & toxic[:, None]
+    toxic = table["toxic"].to_numpy() == 1
+    seeds = np.array(table["seeds"].to_pylist(), bool).reshape(len(toxic), -1) & toxic[:, None]
     targets = np.column_stack((seeds, toxic & ~seeds.any(axis=1), toxic))
-    return train_chain([set(f) for f in rows["features"]], targets, rows["doc_id"].to_numpy() % FOLDS)
+    sizes = pc.list_value_length(table["features"]).to_numpy()
+    columns = pc.list_flatten(table["features"]).to_numpy().astype(np.int64)
+    return train_chain(np.repeat(np.arange(len(toxic)), sizes), columns, targets, table["doc_id"].to_numpy() % FOLDS)
 
 
 def classify(df: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", limit: int = MAX_LABELLED) -> DataFrame:

@@ -242,7 +242,9 @@ def test_chain_feeds_earlier_probabilities():
         a, b = rng.random() < 0.3, rng.random() < 0.3
         features.append(set(([10] if a else []) + ([20] if b else []) + [rng.randrange(100, 400) for _ in range(20)]))
         targets.append((a, a or b))
-    chain = toxicity.train_chain(features, np.array(targets, int), np.arange(400) % 5)
+    rows = np.repeat(np.arange(400), [len(f) for f in features])
+    columns = np.array([b for f in features for b in f])
+    chain = toxicity.train_chain(rows, columns, np.array(targets, int), np.arange(400) % 5)
     assert len(chain.links[0].earlier) == 0 and len(chain.links[1].earlier) == 1
     p = np.array([chain.probabilities(f) for f in features])
     assert ((p >= 0.5) == np.array(targets)).mean() > 0.98
