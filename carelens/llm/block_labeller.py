@@ -169,7 +169,7 @@ def main_text(df: DataFrame, page_id: str = "page_id", url: str = "url", html: s
         return {"text": out}
 
     rows = df.select(quoted(page_id).alias("page_id"), quoted(url).alias("url"), text_of(html).alias("html"))
-    return map_texts(rows, run, "text string", ("page_id", "url"), "html").withColumn("n_chars", F.length("text").cast("long"))
+    return map_texts(rows, run, "text string", ("page_id", "url"), "html", holds=True).withColumn("n_chars", F.length("text").cast("long"))
 
 
 # Training
@@ -198,7 +198,8 @@ def _open(rng: Random, spec: str) -> tuple[str, str]:
     value = rng.choice(("-", "_", " ")).join(names)
     if rng.random() < 0.3:
         value += rng.choice(("-1", " block", " wrapper", "-box", " wide", "-container", " clearfix"))
-    return f"<{tag} {rng.choice(('class', 'class', 'class', 'id'))}={rng.choice(('\"', '\"', chr(39)))}{value}\"".replace("'" + value + '"', "'" + value + "'") + ">", f"</{tag}>"
+    kind, quote = rng.choice(("class", "class", "class", "id")), rng.choice(('"', '"', "'"))
+    return f"<{tag} {kind}={quote}{value}{quote}>", f"</{tag}>"
 
 
 def _words(rng: Random, n: int) -> list[str]:
