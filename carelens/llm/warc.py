@@ -9,7 +9,8 @@ order, checked for gaps and against the total length, and joined; then the HTTP
 framing decoded. Only segmented records are shuffled.
 
 Files are written by Spark's text writer (a record's end is its line separator) and read by its binary reader, so they
-may lie in any store Spark reaches. A file is read by one task: ``file_records`` and ``segment_bytes`` bound its size.
+may lie in any store Spark reaches. Each file is one gzip stream. It is read by one task: ``file_records`` and
+``segment_bytes`` bound its size.
 """
 
 from __future__ import annotations
@@ -158,7 +159,8 @@ def write(pages: DataFrame, path: str, revisit_bytes: int = REVISIT_BYTES, segme
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["value"])
 
     lines = ready.mapInArrow(run, "value binary").select(F.col("value").cast("string").alias("value"))
-    lines.write.option("lineSep", END.decode()).option("maxRecordsPerFile", file_records).text(path)
+    writer = lines.write.option("lineSep", END.decode()).option("maxRecordsPerFile", file_records)
+    writer.option("compression", "gzip").text(path)
 
 
 def split_records(content: bytes) -> Iterator[tuple[dict[str, str], bytes, bool]]:
