@@ -10,8 +10,8 @@ tokens are taken over as soon as ``longest`` of them in a row come out the same.
 from __future__ import annotations
 
 import base64
+from array import array
 from hashlib import sha256
-from itertools import chain
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -61,14 +61,14 @@ def halves(ranks: dict[bytes, int]) -> dict[int, tuple[int, int]]:
 class PrefixEncoder:
     """Encodes pieces with the ranks of a vocabulary that holds all 256 single bytes, each ranked before every join."""
 
-    def __init__(self, ranks: dict[bytes, int], built: dict[int, tuple[int, int]] | None = None, remember: int = 300_000):
+    def __init__(self, ranks: dict[bytes, int], built: dict[int, tuple[int, int]] | None = None):
         self.ranks = ranks
         self.built = halves(ranks) if built is None else built
         self.string = {rank: text for text, rank in ranks.items()}
         self.longest = max(map(len, ranks))
         self.alone = {text: rank for text, rank in ranks.items() if rank in self.built}
-        self.pair = Remembered(self._pair, 400_000)
-        self.piece = Remembered(self._piece, remember)
+        self.pair = Remembered(self._pair, 200_000)
+        self.form = "H" if max(self.string) < 1 << 16 else "I"
 
     def _pair(self, key: int) -> bool:
         """Whether the joined bytes of two tokens encode as these two.
@@ -90,16 +90,11 @@ class PrefixEncoder:
             else:
                 before, right = right + 1, inner_right
 
-    def _piece(self, piece: str) -> tuple[int, ...]:
+    def of_piece(self, piece: str) -> bytes:
+        """The ids of a piece, packed. A piece that is itself in the vocabulary is that token."""
         data = piece.encode("utf-8", "replace")
         whole = self.ranks.get(data)
-        return (whole,) if whole is not None else tuple(Prefixes(self, data).ids())
-
-    def of_chunk(self, pieces: list[str]) -> tuple[int, ...]:
-        """The ids of the pieces of a chunk. A piece that is itself in the vocabulary is that token."""
-        if len(pieces) == 1:
-            return self.piece[pieces[0]]
-        return tuple(chain.from_iterable(map(self.piece.__getitem__, pieces)))
+        return array(self.form, (whole,) if whole is not None else Prefixes(self, data).ids()).tobytes()
 
 
 class Prefixes:
@@ -154,13 +149,13 @@ class Prefixes:
 class TextCodec:
     """Whole texts to ids and back; ordinary text only, no special tokens."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, built: dict[int, tuple[int, int]] | None = None):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, built: dict[int, tuple[int, int]] | None = None, remember: int = 400_000):
         self.encoder = PrefixEncoder(ranks, built)
-        self.pieces = Pieces(pattern, self.encoder.of_chunk, 500_000)
+        self.pieces = Pieces(pattern, Remembered(self.encoder.of_piece, 50_000).__getitem__, b"".join, remember)
         self.decimal = {rank: str(rank) for rank in ranks.values()}
 
     def encode(self, text: str) -> list[int]:
-        return list(chain.from_iterable(self.pieces(text)))
+        return array(self.encoder.form, b"".join(self.pieces(text))).tolist()
 
     def decode(self, ids: list[int]) -> bytes:
         """The bytes of the ids. Raises KeyError for an id that is not in the vocabulary."""
@@ -175,7 +170,7 @@ def _with_codec(df: DataFrame, ranks: dict[bytes, int], pattern: str, function,
     def run(values):
         return function(per_worker(name, lambda: TextCodec(shared.value[0], shared.value[1], shared.value[2])), values)
 
-    return map_texts(df, run, schema, keep, text)
+    return map_texts(df, run, schema, keep, text, holds=True)
 
 
 def encode(df: DataFrame, ranks: dict[bytes, int], pattern: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import zipfile
 from collections.abc import Callable, Hashable, Iterator
@@ -64,10 +65,10 @@ def blocks(texts: list[bytes], limit: int = BLOCK_BYTES) -> Iterator[tuple[int,
         yield start, len(texts)
 
 
-def map_texts(df: DataFrame, function: Callable[[list], dict[str, list]], schema: str, keep: tuple[str, ...], text: str = "text") -> DataFrame:
+def map_texts(df: DataFrame, function: Callable[[list], dict[str, list]], schema: str, keep: tuple[str, ...], text: str = "text", holds: bool = False) -> DataFrame:
     """Columns ``keep`` of ``df`` plus the columns that ``function(texts)`` returns, one value per text.
 
-    Rows stay in their partition and are handled an Arrow batch at a time.
+    Rows stay in their partition and are handled an Arrow batch at a time. ``holds`` says that the function uses :func:`per_worker`.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -77,6 +78,8 @@ def map_texts(df: DataFrame, function: Callable[[list], dict[str, list]], schema
     arrow = to_arrow_schema(out_schema)
 
     def run(batches):
+        if not holds:
+            release()
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -114,14 +117,20 @@ _HELD: dict[str, object] = {}
 
 
 def per_worker(name: str, make: Callable[[], object]) -> object:
-    """What ``make`` returns, kept by this worker process for its next tasks; one object per kind, named by its content."""
+    """What ``make`` returns, kept by this worker process for its next tasks; one object at a time, named by its content."""
     if name not in _HELD:
-        if len(_HELD) >= 4:
-            _HELD.clear()
+        release()
         _HELD[name] = make()
     return _HELD[name]
 
 
+def release() -> None:
+    """Forget what :func:`per_worker` holds, so that the next operator's tasks find the worker's memory free."""
+    if _HELD:
+        _HELD.clear()
+        gc.collect()
+
+
 _SHIPPED: set[str] = set()
 
 

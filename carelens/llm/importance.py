@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from carelens.llm.common import blocks, documents, free_name, map_texts, quoted, row_version, text_of
+from carelens.llm.common import blocks, documents, free_name, map_texts, quoted, release, row_version, text_of
 from carelens.llm.hashing import BY_KIND, joined, mix, words
 from carelens.session import materialise
 
@@ -81,6 +81,7 @@ def fit(docs: DataFrame, sample: DataFrame, buckets: int = BUCKETS) -> Model:
     marked = docs.join(F.broadcast(sample), "doc_id", "left").select("text", F.coalesce(F.col("good") == 1, F.lit(False)).alias("good"))
 
     def count(batches):
+        release()
         sums = np.zeros((2, buckets), np.int64)
         for batch in batches:
             texts = [t.encode("utf-8", "replace") for t in batch.column(0).to_pylist()]

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from carelens.llm.common import documents, free_name, quoted, row_version, text_of
+from carelens.llm.common import documents, free_name, quoted, release, row_version, text_of
 from carelens.session import materialise
 
 MIN_WORDS = 10
@@ -83,6 +83,7 @@ def all_units(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """One row per unit of (doc_id, text, version): digest as two longs, doc_id, version, start, end."""
 
     def run(batches):
+        release()
         for batch in batches:
             made = [[], [], [], [], []]
             for row, text in enumerate(batch.column(0).to_pylist()):
@@ -147,6 +148,7 @@ def remove_repeats(df: DataFrame, min_words: int = MIN_WORDS, doc_id: str = "doc
     numbered = joined.toDF(*(f"c{i}" for i in range(len(names))))  # whatever their names, such as with dots
 
     def run(batches):
+        release()
         for batch in batches:
             texts = batch.column(position).to_pylist()
             made = [outermost([(s["start"], s["end"]) for s in spans or []]) for spans in batch.column(batch.num_columns - 1).to_pylist()]

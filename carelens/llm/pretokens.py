@@ -26,12 +26,20 @@ class Pieces:
     The pattern always begins a new match at a space that is followed by a character other than white space: no
     alternative holds such a space except as its first character, and ``\\s+(?!\\S)`` stops before it. So a text is cut
     there first, at little cost, and the pattern runs only on chunks (mostly words) that were not seen lately.
+
+    ``of_piece`` gives the result of a piece, ``joined`` that of several. A piece that is a word after a space is remembered as
+    the chunk of this word, so it is held once.
     """
 
-    def __init__(self, pattern: str, of_chunk: Callable[[list[str]], object], size: int = 250_000):
-        find = compiled(pattern).findall
-        self.first = lambda chunk: of_chunk(find(chunk))
-        self.later = Remembered(lambda chunk: of_chunk(find(" " + chunk)), size)
+    def __init__(self, pattern: str, of_piece: Callable[[str], object], joined: Callable[[list], object], size: int):
+        self.find, self.of_piece, self.joined = compiled(pattern).findall, of_piece, joined
+        self.later = Remembered(lambda chunk: self._chunk(" " + chunk), size)
+
+    def _chunk(self, chunk: str):
+        pieces = self.find(chunk)
+        if len(pieces) == 1:
+            return self.of_piece(chunk)
+        return self.joined([self.later[p[1:]] if p[0] == " " and p[1:].strip() else self.of_piece(p) for p in pieces])
 
     def __call__(self, text: str) -> list:
         """The results of the text's chunks, in order."""
@@ -39,4 +47,4 @@ class Pieces:
             head, *rest = text.split(" ")
         else:
             head, *rest = _BEFORE_WORD.split(text)
-        return [self.first(head), *map(self.later.__getitem__, rest)]
+        return [self._chunk(head), *map(self.later.__getitem__, rest)]

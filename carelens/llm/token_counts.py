@@ -110,7 +110,7 @@ def load_vocabulary(path: str, pattern: str) -> Vocabulary:
 class Counter:
     """Counts the tokens of whole texts."""
 
-    def __init__(self, vocabulary: Vocabulary, remember: int = 300_000):
+    def __init__(self, vocabulary: Vocabulary, remember: int = 500_000):
         letters = byte_letters()
         table = [letters[b] for b in range(256)]
 
@@ -118,8 +118,8 @@ class Counter:
             return merge_count("".join(map(table.__getitem__, piece.encode("utf-8", "replace"))), vocabulary.rank)
 
         whole = dict.fromkeys(vocabulary.proven, 1)
-        tokens = Remembered(merge_rest, remember, whole)
-        self.pieces = Pieces(vocabulary.pattern, lambda pieces: sum(map(tokens.__getitem__, pieces)), 700_000)
+        tokens = Remembered(merge_rest, 50_000, whole)
+        self.pieces = Pieces(vocabulary.pattern, tokens.__getitem__, sum, remember)
         self.special = compiled("|".join(map(regex.escape, vocabulary.special))) if vocabulary.special else None
 
     def __call__(self, text: str) -> int:
@@ -144,5 +144,5 @@ def token_counts(
         return {"n_tokens": list(map(per_worker(name, lambda: Counter(shared.value)), texts))}
 
     rows = documents(df, doc_id, text).withColumn("n_bytes", F.octet_length("text").cast("long"))
-    counted = map_texts(rows, run, "n_tokens long", ("doc_id", "n_bytes"))
+    counted = map_texts(rows, run, "n_tokens long", ("doc_id", "n_bytes"), holds=True)
     return counted.withColumn("over_limit", F.col("n_tokens") > limit)
