@@ -1,8 +1,12 @@
-"""Substring deduplication by hashing lines, and the sentences within lines.
+"""Substring deduplication by hashing lines, the sentences within lines, and passages wherever they stand.
 
-A unit is a line, or a sentence of a line that has several. Normalised units (lower case, white space as one space) of at
-least ``min_words`` words are grouped by digest over all documents. The first occurrence, by (doc_id, place in the text),
-stays; every other one is cut out. Cut spans are reported with their offsets in the original text.
+A unit is a line, a sentence of a line that has several, or a passage: :data:`WINDOW` neighbouring words,
+whatever line breaks lie between them. Passages begin where their hash is the least of :data:`SPREAD` neighbouring ones, a rule on the
+content alone, so a text of ``WINDOW + SPREAD - 1`` words (27) gives a common unit wherever it stands; of a longer one at most
+``SPREAD - 1`` words (11) stay at either end. In scripts without spaces each character is a word.
+
+Normalised units (lower case, white space as one space; lines and sentences of at least :data:`MIN_WORDS` words) are grouped by digest over all documents. The first occurrence,
+by (doc_id, place in the text), stays; every other one is cut out. Cut spans are reported with their offsets in the original text.
 """
 
 from __future__ import annotations
@@ -12,16 +16,92 @@ from collections.abc import Iterator
 from hashlib import blake2b
 from itertools import accumulate
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from carelens.llm.common import documents, free_name, quoted, release, row_version, text_of
+from carelens.llm.hashing import mix
 from carelens.session import materialise
 
 MIN_WORDS = 10
+WINDOW, SPREAD = 16, 12
+#: Code points handled in one go; a word that is longer is handled whole.
+PIECE = 1 << 19
 _SENTENCE_END = re.compile(r"(?<=[.!?])\s+")
+#: Scripts written without spaces: Thai, Lao, Burmese, Khmer, Japanese, Chinese.
+_UNSPACED = ((0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3001, 0x30FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0xFF01, 0xFF9F), (0x20000, 0x3FFFF))
+_UNSPACED_SET = "".join(f"{chr(a)}-{chr(b)}" for a, b in _UNSPACED)
+_LINE_TEXT = re.compile(r"[^\s](?:[^\n]*[^\s])?")
+_BREAK = re.compile(rf"[\s{_UNSPACED_SET}]")
+_SPACE = np.array([chr(c).isspace() for c in range(0x3001)])
+
+
+def lowered(text: str) -> str:
+    """Lower case of the same length, so that offsets stay."""
+    low = text.lower()
+    return low if len(low) == len(text) else "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
+
+
+def word_hashes(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end (code points) and a 64-bit hash of each word; a character of an unspaced script is a word."""
+    low, begin, out = lowered(text), 0, []
+    while begin < len(low):
+        found = _BREAK.search(low, begin + PIECE) if len(low) - begin > PIECE else None
+        stop = found.start() if found else len(low)
+        points = np.frombuffer(low[begin:stop].encode("utf-32-le", "surrogatepass"), np.uint32)
+        kind = np.ones(len(points) + 2, np.int8)
+        kind[0] = kind[-1] = 0
+        inner = kind[1:-1]
+        inner[_SPACE[np.minimum(points, 0x3000)] & (points <= 0x3000)] = 0
+        if int(points.max()) >= _UNSPACED[0][0]:
+            for a, b in _UNSPACED:
+                inner[(points >= a) & (points <= b)] = 2
+        start = np.flatnonzero((inner != 0) & ((kind[:-2] != inner) | (inner == 2)))
+        end = np.flatnonzero((inner != 0) & ((kind[2:] != inner) | (inner == 2))) + 1
+        if len(start):
+            lead = int(start[0])
+            points, inner, at = points[lead:], inner[lead:], start - lead
+            place = np.arange(len(points)) - np.repeat(at, np.diff(at, append=len(points)))
+            value = mix(points.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + place.astype(np.uint64))
+            value[inner == 0] = 0
+            out.append((start + begin, end + begin, mix(np.add.reduceat(value, at))))
+        begin = stop
+    if not out:
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64)
+    return tuple(np.concatenate(x) for x in zip(*out))
+
+
+def _sliding(x: np.ndarray, n: int, of: np.ufunc) -> np.ndarray:
+    """``of`` (minimum or maximum) over each ``n`` neighbours."""
+    width = 1
+    while 2 * width <= n:
+        x = of(x[:-width], x[width:])
+        width *= 2
+    return of(x[: len(x) - (n - width)], x[n - width :]) if width < n else x
+
+
+def passages(text: str) -> Iterator[tuple[int, int, int, int]]:
+    """Two halves of the digest, start and end of the passages of a text. A text that only repeats itself, passage over
+    passage, is one passage."""
+    start, end, words = word_hashes(text)
+    n = len(words) - WINDOW + 1
+    if n < 1:
+        return
+    d1, d2 = np.zeros(n, np.uint64), np.zeros(n, np.uint64)
+    for i in range(WINDOW):
+        d1 = d1 * np.uint64(0xD6E8FEB86659FD93) + words[i : i + n]
+        d2 = d2 * np.uint64(0xC2B2AE3D27D4EB4F) + words[i : i + n]
+    d1, d2 = mix(d1), mix(d2 ^ np.uint64(0x165667B19E3779F9))
+    near = min(SPREAD, n)
+    least = np.pad(_sliding(d1, near, np.minimum), near - 1)
+    picked = np.flatnonzero(_sliding(least, near, np.maximum) == d1)
+    same = (d1[picked][1:] == d1[picked][:-1]) & (np.diff(picked) < WINDOW)
+    first = picked[np.concatenate(([True], ~same))]
+    last = picked[np.concatenate((~same, [True]))] + WINDOW - 1
+    yield from zip(d1[first].view(np.int64).tolist(), d2[first].view(np.int64).tolist(), start[first].tolist(), end[last].tolist())
 
 
 def sentences(line: str) -> list[tuple[int, int]]:
@@ -35,20 +115,30 @@ def sentences(line: str) -> list[tuple[int, int]]:
     return out
 
 
-def units(text: str, min_words: int = MIN_WORDS) -> Iterator[tuple[bytes, int, int]]:
-    """Digest, start and end (code points) of each unit: every line, and the sentences of lines that have several."""
+def _digest(words: list[str]) -> tuple[int, int]:
+    made = blake2b(" ".join(words).encode("utf-8", "replace"), digest_size=16).digest()
+    return int.from_bytes(made[:8], "big", signed=True), int.from_bytes(made[8:], "big", signed=True)
+
+
+def units(text: str, min_words: int | None = None) -> Iterator[tuple[int, int, int, int, bool]]:
+    """Digest in two halves, start and end (code points) of each unit, and whether it is a passage, whose span may overlap
+    others. With ``min_words`` only the lines and sentences of at least so many words."""
+    floor = MIN_WORDS if min_words is None else min_words
     lines = text.split("\n")
     for line, start in zip(lines, accumulate((len(x) + 1 for x in lines), initial=0)):
         words = line.lower().split()
-        if len(words) < min_words:
+        if len(words) < floor:
             continue
-        yield blake2b(" ".join(words).encode("utf-8", "replace"), digest_size=16).digest(), start, start + len(line)
+        yield *_digest(words), start, start + len(line), False
         parts = sentences(line)
         if len(parts) > 1:
             for a, b in parts:
                 words = line[a:b].lower().split()
-                if len(words) >= min_words:
-                    yield blake2b(" ".join(words).encode("utf-8", "replace"), digest_size=16).digest(), start + a, start + b
+                if len(words) >= floor:
+                    yield *_digest(words), start + a, start + b, False
+    if min_words is None:
+        for unit in passages(text):
+            yield *unit, True
 
 
 def cut(text: str, spans: list[tuple[int, int]]) -> str:
@@ -79,59 +169,59 @@ def cut(text: str, spans: list[tuple[int, int]]) -> str:
     return "\n".join(out)
 
 
-def all_units(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """One row per unit of (doc_id, text, version): digest as two longs, doc_id, version, start, end."""
+def all_units(docs: DataFrame, min_words: int | None = None) -> DataFrame:
+    """One row per unit of (doc_id, text, version): digest as two longs, doc_id, version, start, end, passage."""
 
     def run(batches):
         release()
         for batch in batches:
-            made = [[], [], [], [], []]
+            made = [[], [], [], [], [], []]
             for row, text in enumerate(batch.column(0).to_pylist()):
-                for digest, start, end in units(text, min_words):
-                    made[0].append(int.from_bytes(digest[:8], "big", signed=True))
-                    made[1].append(int.from_bytes(digest[8:], "big", signed=True))
-                    made[2].append(row)
-                    made[3].append(start)
-                    made[4].append(end)
-            rows = pa.array(made[2], pa.int64())
+                for unit in units(text, min_words):
+                    for column, value in zip(made, (*unit, row)):
+                        column.append(value)
+            rows = pa.array(made[5], pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(made[0], pa.int64()), pa.array(made[1], pa.int64()),
                     batch.column(1).take(rows), batch.column(2).take(rows),
-                    pa.array(made[3], pa.int32()), pa.array(made[4], pa.int32()),
+                    pa.array(made[2], pa.int32()), pa.array(made[3], pa.int32()), pa.array(made[4], pa.bool_()),
                 ],
-                ["d1", "d2", "doc_id", "version", "start", "end"],
+                ["d1", "d2", "doc_id", "version", "start", "end", "passage"],
             )
 
     schema = T.StructType(
         [T.StructField("d1", T.LongType()), T.StructField("d2", T.LongType()), docs.schema["doc_id"], docs.schema["version"],
-         T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]
+         T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()), T.StructField("passage", T.BooleanType())]
     )
     return docs.select("text", "doc_id", "version").mapInArrow(run, schema)
 
 
-def repeats(df: DataFrame, min_words: int = MIN_WORDS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Spans to cut: doc_id, version (of the text), spans (array of start, end in order).
+def repeats(df: DataFrame, min_words: int | None = None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Spans to cut: doc_id, version (of the text), spans (array of start, end, passage in order).
 
-    Counts and first occurrences are combined before the shuffle, so a line that a third of all documents share is one
-    row per task there. Marking its occurrences is a join against one row per repeated digest, whose large partitions Spark splits.
+    Half digests are counted first, combined before the shuffle, and only units whose half repeats are written; making
+    all units again is cheaper than keeping them. First occurrences are combined before the shuffle as well, so a line that a third
+    of all documents share is one row per task there. Marking occurrences is a join against one row per repeated digest, whose large partitions Spark splits.
     """
     docs = documents(df, doc_id, text).withColumn("version", row_version(F.col("text")))
-    found = materialise(all_units(docs, min_words), "units")
+    every = all_units(docs, min_words)
+    halves = materialise(every.groupBy("d1").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("d1"), "halves")
+    found = materialise(every.join(halves, "d1", "left_semi"), "units")
     rank = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id"), F.col("version"), F.col("start"))
     first = found.groupBy("d1", "d2").agg(F.min(rank).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
     later = found.join(first, ["d1", "d2"]).filter(~rank.eqNullSafe(F.col("first")))
-    # a sentence inside a line that is cut anyway is left out by the merge of spans in `cut`
-    return later.groupBy("doc_id", "version").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans"))
+    return later.groupBy("doc_id", "version").agg(F.sort_array(F.collect_list(F.struct("start", "end", "passage"))).alias("spans"))
 
 
-def remove_repeats(df: DataFrame, min_words: int = MIN_WORDS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def remove_repeats(df: DataFrame, min_words: int | None = None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """All rows and columns of ``df`` with repeats cut out of the text, plus ``removed``: the cut spans.
 
     ``removed`` (named ``_removed`` if the column exists) holds non-overlapping (start, end) offsets in code points of
     the original text, empty if nothing was cut. Null texts stay null, and texts without a repeat stay as they are, byte for byte;
     a text that consists of repeats becomes empty, its row stays. Rows equal in id and text are one document and treated
-    alike. Null ids rank last. An empty table gives an empty table.
+    alike. Null ids rank last. An empty table gives an empty table. With ``min_words`` only lines and sentences of at least
+    so many words are compared, no passages.
     """
     spans = repeats(df, min_words, doc_id, text)
     id_, version, removed = free_name(df, "unit_id"), free_name(df, "unit_version"), free_name(df, "removed")
@@ -146,19 +236,23 @@ def remove_repeats(df: DataFrame, min_words: int = MIN_WORDS, doc_id: str = "doc
     position = df.columns.index(text)
     names = joined.columns
     numbered = joined.toDF(*(f"c{i}" for i in range(len(names))))  # whatever their names, such as with dots
+    plain = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))
+    inner = numbered.columns
+    schema = T.StructType([*numbered.schema.fields[:-1], T.StructField(inner[-1], plain)])
 
     def run(batches):
         release()
         for batch in batches:
             texts = batch.column(position).to_pylist()
-            made = [outermost([(s["start"], s["end"]) for s in spans or []]) for spans in batch.column(batch.num_columns - 1).to_pylist()]
+            given = batch.column(batch.num_columns - 1).to_pylist()
+            made = [all_spans(t, [tuple(s.values()) for s in spans or []]) for t, spans in zip(texts, given)]
             new = [t if t is None else cut(t, s) for t, s in zip(texts, made)]
             columns = list(batch.columns)
             columns[position] = pa.array(new, batch.schema.field(position).type)
-            columns[-1] = pa.array([[{"start": a, "end": b} for a, b in s] for s in made], batch.schema.field(batch.num_columns - 1).type)
-            yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
+            columns[-1] = pa.array([[{"start": a, "end": b} for a, b in s] for s in made], pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))
+            yield pa.RecordBatch.from_arrays(columns, inner)
 
-    return numbered.mapInArrow(run, numbered.schema).toDF(*names)
+    return numbered.mapInArrow(run, schema).toDF(*names)
 
 
 def outermost(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -168,3 +262,28 @@ def outermost(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
         if not out or b > out[-1][1]:
             out.append((a, b))
     return out
+
+
+def all_spans(text: str | None, spans: list[tuple[int, int, bool]]) -> list[tuple[int, int]]:
+    """Spans to cut, in order and apart: whole lines and sentences as they are, and of passages what lies outside
+    these, line by line."""
+    whole = outermost([(a, b) for a, b, passage in spans if not passage])
+    wide: list[list[int]] = []
+    for a, b in sorted((a, b) for a, b, passage in spans if passage):
+        if wide and a <= wide[-1][1]:
+            wide[-1][1] = max(wide[-1][1], b)
+        else:
+            wide.append([a, b])
+    out, i = list(whole), 0
+    for a, b in wide:
+        while i < len(whole) and whole[i][1] <= a:
+            i += 1
+        k, pieces = i, []
+        while k < len(whole) and whole[k][0] < b:
+            pieces.append((a, whole[k][0]))
+            a = whole[k][1]
+            k += 1
+        pieces.append((a, b))
+        for c, d in pieces:
+            out += [(c + m.start(), c + m.end()) for m in _LINE_TEXT.finditer(text[c:d])] if c < d else []
+    return sorted(out)

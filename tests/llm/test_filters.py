@@ -167,6 +167,41 @@ def test_line_dedup_of_odd_rows(documents):
     assert line_dedup.remove_repeats(documents([])).collect() == []
 
 
+def test_passages_go_inside_lines_and_without_sentence_ends(documents):
+    rng = random.Random(5)
+    words = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    shared = {n: words(n) for n in (line_dedup.WINDOW + line_dedup.SPREAD - 1, 60, 400)}
+    rows, own = [], {}
+    for n, passage in shared.items():
+        for k in range(30):
+            before, after = words(rng.randint(1, 20)), words(rng.randint(1, 20))
+            i = len(rows)
+            own[i] = (n, k, before, after)
+            rows.append((i, " ".join([*before, *[w.upper() if k % 2 else w for w in passage], *after])))
+    for row in line_dedup.remove_repeats(documents(rows)).collect():
+        n, k, before, after = own[row.doc_id]
+        left = row.text.split()
+        if k == 0:
+            assert row.text == rows[row.doc_id][1] and not row._removed
+        else:
+            assert left[: len(before)] == before and left[-len(after) :] == after
+            assert len(left) - len(before) - len(after) <= min(n - line_dedup.WINDOW, 2 * (line_dedup.SPREAD - 1))
+            assert row.text == line_dedup.cut(rows[row.doc_id][1], [tuple(s) for s in row._removed])
+
+
+def test_passages_of_odd_texts():
+    assert list(line_dedup.passages("")) == [] and list(line_dedup.passages(" ".join("abc" * 5))) == []
+    assert [p[2:] for p in line_dedup.passages("z " * 5000)] == [(0, 9999)]
+    text = " ".join(str(i) for i in range(200)) + " \u0130x \U00020000\U00020001\u3000y " + "\u65e5\u672c" * 30
+    start, end, hashes = line_dedup.word_hashes(text)
+    assert [text[a:b] for a, b in zip(start, end)][198:206] == ["198", "199", "\u0130x", "\U00020000", "\U00020001", "y", "\u65e5", "\u672c"]
+    piece, line_dedup.PIECE = line_dedup.PIECE, 9
+    try:
+        assert all((a == b).all() for a, b in zip(line_dedup.word_hashes(text), (start, end, hashes)))
+    finally:
+        line_dedup.PIECE = piece
+
+
 # decontamination
 
 
