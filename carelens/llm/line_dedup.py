@@ -1,11 +1,11 @@
-"""Substring deduplication by hashing lines, the sentences within lines, and passages wherever they stand.
+"""Substring deduplication by hashing lines, paragraphs, the sentences within lines, and passages wherever they stand.
 
-A unit is a line, a sentence of a line that has several, or a passage: :data:`WINDOW` neighbouring words,
+A unit is a line, a paragraph of several lines, a sentence of a line that has several, or a passage: :data:`WINDOW` neighbouring words,
 whatever line breaks lie between them. Passages begin where their hash is the least of :data:`SPREAD` neighbouring ones, a rule on the
 content alone, so a text of ``WINDOW + SPREAD - 1`` words (27) gives a common unit wherever it stands; of a longer one at most
 ``SPREAD - 1`` words (11) stay at either end. In scripts without spaces each character is a word.
 
-Normalised units (lower case, white space as one space; lines and sentences of at least :data:`MIN_WORDS` words) are grouped by digest over all documents. The first occurrence,
+Normalised units (lower case, white space as one space; lines, paragraphs and sentences of at least :data:`MIN_WORDS` words) are grouped by digest over all documents. The first occurrence,
 by (doc_id, place in the text), stays; every other one is cut out. Cut spans are reported with their offsets in the original text.
 """
 
@@ -121,12 +121,23 @@ def _digest(words: list[str]) -> tuple[int, int]:
 
 
 def units(text: str, min_words: int | None = None) -> Iterator[tuple[int, int, int, int, bool]]:
-    """Digest in two halves, start and end (code points) of each unit, and whether it is a passage, whose span may overlap
-    others. With ``min_words`` only the lines and sentences of at least so many words."""
+    """Digest in two halves, start and end (code points) of each unit, and whether it is a paragraph or passage, whose span
+    may overlap others. With ``min_words`` only the lines and sentences of at least so many words."""
     floor = MIN_WORDS if min_words is None else min_words
     lines = text.split("\n")
-    for line, start in zip(lines, accumulate((len(x) + 1 for x in lines), initial=0)):
+    paragraph: list[str] = []
+    begin = end = rows = 0
+    for line, start in zip([*lines, ""], accumulate((len(x) + 1 for x in lines), initial=0)):
         words = line.lower().split()
+        if min_words is None:
+            if words:
+                begin = begin if rows else start
+                paragraph += words
+                end, rows = start + len(line), rows + 1
+            else:
+                if rows > 1 and len(paragraph) >= floor:
+                    yield *_digest(paragraph), begin, end, True
+                paragraph, rows = [], 0
         if len(words) < floor:
             continue
         yield *_digest(words), start, start + len(line), False
@@ -221,7 +232,7 @@ def remove_repeats(df: DataFrame, min_words: int | None = None, doc_id: str = "d
     the original text, empty if nothing was cut. Null texts stay null, and texts without a repeat stay as they are, byte for byte;
     a text that consists of repeats becomes empty, its row stays. Rows equal in id and text are one document and treated
     alike. Null ids rank last. An empty table gives an empty table. With ``min_words`` only lines and sentences of at least
-    so many words are compared, no passages.
+    so many words are compared, no paragraphs or passages.
     """
     spans = repeats(df, min_words, doc_id, text)
     id_, version, removed = free_name(df, "unit_id"), free_name(df, "unit_version"), free_name(df, "removed")
@@ -265,8 +276,8 @@ def outermost(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def all_spans(text: str | None, spans: list[tuple[int, int, bool]]) -> list[tuple[int, int]]:
-    """Spans to cut, in order and apart: whole lines and sentences as they are, and of passages what lies outside
-    these, line by line."""
+    """Spans to cut, in order and apart: whole lines and sentences as they are, and of paragraphs and passages what lies
+    outside these, line by line."""
     whole = outermost([(a, b) for a, b, passage in spans if not passage])
     wide: list[list[int]] = []
     for a, b in sorted((a, b) for a, b, passage in spans if passage):

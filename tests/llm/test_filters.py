@@ -189,6 +189,20 @@ def test_passages_go_inside_lines_and_without_sentence_ends(documents):
             assert row.text == line_dedup.cut(rows[row.doc_id][1], [tuple(s) for s in row._removed])
 
 
+def test_wrapped_passages_go(documents):
+    rng = random.Random(6)
+    words = [f"w{rng.randrange(10**6)}" for _ in range(60)]
+    wrap = lambda n, given=words: "\n".join(" ".join(given[i : i + n]) for i in range(0, len(given), n))
+    short = wrap(4, words[:12])
+    rows = [(0, f"one begin\n\n{wrap(8)}\n\none end"), (1, f"two begin\n\n{wrap(8)}\n\ntwo end"), (2, f"three begin\n\n{wrap(5)}\n \nthree end"), (3, f"four\n\n{short}\n\nfour x")]
+    rows += [(4, f"five {wrap(7)} five"), (5, f"six\n\n{wrap(6, words[:12])}\n\nsix x"), (6, f"seven\n{wrap(9)}\nseven x")]
+    out = {r.doc_id: r.text for r in line_dedup.remove_repeats(documents(rows)).collect()}
+    assert out[0] == rows[0][1] and out[3] == rows[3][1]
+    assert out[1] == "two begin\n\n\ntwo end" and out[2] == "three begin\n\n \nthree end" and out[5] == "six\n\n\nsix x"
+    for i in (4, 6):
+        assert len(out[i].split()) <= 3 + 2 * (line_dedup.SPREAD - 1) and out[i].split()[0] == rows[i][1].split()[0]
+
+
 def test_passages_of_odd_texts():
     assert list(line_dedup.passages("")) == [] and list(line_dedup.passages(" ".join("abc" * 5))) == []
     assert [p[2:] for p in line_dedup.passages("z " * 5000)] == [(0, 9999)]
