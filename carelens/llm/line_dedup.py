@@ -5,7 +5,8 @@ whatever line breaks lie between them. Passages begin where their hash is the le
 content alone, so a text of ``WINDOW + SPREAD - 1`` words (27) gives a common unit wherever it stands; of a longer one at most
 ``SPREAD - 1`` words (11) stay at either end. In scripts without spaces each character is a word.
 
-Normalised units (lower case, white space as one space; lines, paragraphs and sentences of at least :data:`MIN_WORDS` words) are grouped by digest over all documents. The first occurrence,
+Normalised units (lower case, white space as one space; of lines all that are not empty, of paragraphs and sentences within
+lines those of at least :data:`MIN_WORDS` words) are grouped by digest over all documents. The first occurrence,
 by (doc_id, place in the text), stays; every other one is cut out. Cut spans are reported with their offsets in the original text.
 """
 
@@ -26,6 +27,7 @@ from carelens.llm.common import documents, free_name, quoted, release, row_versi
 from carelens.llm.hashing import mix
 from carelens.session import materialise
 
+#: Paragraphs, and sentences within a line. Shorter sentences are alike by chance.
 MIN_WORDS = 10
 WINDOW, SPREAD = 16, 12
 #: Code points handled in one go; a word that is longer is handled whole.
@@ -138,7 +140,7 @@ def units(text: str, min_words: int | None = None) -> Iterator[tuple[int, int, i
                 if rows > 1 and len(paragraph) >= floor:
                     yield *_digest(paragraph), begin, end, True
                 paragraph, rows = [], 0
-        if len(words) < floor:
+        if len(words) < (min_words or 1):
             continue
         yield *_digest(words), start, start + len(line), False
         parts = sentences(line)

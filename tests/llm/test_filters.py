@@ -203,6 +203,17 @@ def test_wrapped_passages_go(documents):
         assert len(out[i].split()) <= 3 + 2 * (line_dedup.SPREAD - 1) and out[i].split()[0] == rows[i][1].split()[0]
 
 
+def test_short_lines_and_unspaced_scripts(documents):
+    rng = random.Random(7)
+    shared = "".join(chr(rng.randrange(0x4E00, 0x9FFF)) for _ in range(80))
+    thai = "".join(chr(rng.randrange(0x0E01, 0x0E2F)) for _ in range(60))
+    rows = [(0, f"Read more\nzero\n甲{shared}乙"), (1, f"one is here. Read more. x\nread  MORE\n丙丁{shared}戊"), (2, f"Read more\nzero\n{shared}"), (3, f"a{thai}b"), (4, f"cd {thai} e")]
+    out = {r.doc_id: r.text for r in line_dedup.remove_repeats(documents(rows)).collect()}
+    assert out[0] == rows[0][1] and out[3] == rows[3][1]
+    assert out[1].startswith("one is here. Read more. x\n丙丁") and out[1].endswith("戊") and len(out[1]) < 26 + 3 + 23
+    assert len(out[2]) <= 22 and "zero" not in out[2] and out[4].startswith("cd") and len(out[4]) < 4 + 24
+
+
 def test_passages_of_odd_texts():
     assert list(line_dedup.passages("")) == [] and list(line_dedup.passages(" ".join("abc" * 5))) == []
     assert [p[2:] for p in line_dedup.passages("z " * 5000)] == [(0, 9999)]
