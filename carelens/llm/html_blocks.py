@@ -15,8 +15,12 @@ BLOCK = frozenset(
 )
 #: Elements without content.
 VOID = frozenset("area base basefont bgsound br col embed frame hr img input keygen link meta param source track wbr".split())
-#: Elements whose content is not text of the page, up to their end tag.
-RAW = frozenset("script style title textarea iframe noembed noframes xmp template svg math object canvas audio video".split())
+#: Elements whose content is not markup, up to their end tag, and not text of the page.
+RAW = frozenset("script style title textarea iframe noembed noframes xmp".split())
+#: Elements whose text is a block of its own, with them on its path.
+OWN = frozenset("template svg object canvas audio video".split())
+#: Elements in which ``/>`` ends an element, and only scripts and styles are raw.
+FOREIGN = ("svg", "math")
 #: An open element that a start tag of one of these ends.
 ENDED_BY = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "tbody", "tfoot"}, "td": {"td", "th", "tr", "tbody", "tfoot"},
@@ -56,27 +60,36 @@ def blocks(html: str) -> list[Block]:
     stack: list[tuple[str, ...]] = []
     text: list[str] = []
     opened: Counter[str] = Counter()
+    owners: list[int] = []  # where the open elements of OWN are in the stack
+    held: tuple[int, tuple[tuple[str, ...], ...]] | None = None  # of text in one of OWN: which, and its path
     linked, at, size = 0, 0, len(html)
 
     def pop() -> None:
         opened[stack.pop()[0]] -= 1
+        if owners and owners[-1] == len(stack):
+            owners.pop()
 
     def add(piece: str) -> None:
-        nonlocal linked
+        nonlocal linked, held
         if piece:
+            if (owners or held) and not piece.isspace():
+                if (held[0] if held else -1) != (owners[-1] if owners else -1):
+                    flush(len(stack) if held else owners[0])
+                held = (owners[-1], tuple(stack)) if owners else None
             piece = unescape(piece) if "&" in piece else piece
             text.append(piece)
             if opened["a"]:
                 linked += len(piece)
 
-    def flush() -> None:
-        nonlocal linked
+    def flush(depth: int | None = None) -> None:
+        nonlocal linked, held
         if text:
             joined = " ".join("".join(text).split())
             if joined:
-                out.append(Block(tuple(stack[-DEPTH:]), joined, linked))
+                path = held[1] if held else stack[:depth]
+                out.append(Block(tuple(path[-DEPTH:]), joined, linked))
             text.clear()
-        linked = 0
+        linked, held = 0, None
 
     while at < size:
         found = _TAG.search(html, at)
@@ -90,20 +103,23 @@ def blocks(html: str) -> list[Block]:
             continue
         tag, attributes = tag.lower(), found[3] or found[6] or ""
         if not (found[1] or found[4]):  # a start tag
-            if tag in RAW:
+            foreign = tag in FOREIGN or opened["svg"] or opened["math"]
+            if tag in RAW and (not foreign or tag in ("script", "style")):
                 if not attributes.endswith("/"):
                     end = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(html, at)
                     at = end.end() if end else size
                 continue
             if tag in BLOCK:
                 flush()
-                while stack and stack[-1][0] not in BLOCK:  # inline elements left open
+                while stack and stack[-1][0] not in BLOCK and stack[-1][0] not in OWN:  # inline elements left open
                     pop()
                 while stack and tag in ENDED_BY.get(stack[-1][0], ()):
                     pop()
             elif tag == "br":
                 text.append("\n")
-            if tag not in VOID:
+            if tag not in VOID and not (attributes.endswith("/") and (foreign or tag in OWN)):
+                if tag in OWN:
+                    owners.append(len(stack))
                 stack.append(_element(tag, attributes))
                 opened[tag] += 1
         elif opened[tag]:
@@ -114,7 +130,7 @@ def blocks(html: str) -> list[Block]:
                     while len(stack) > i:
                         pop()
                     break
-                if tag not in BLOCK and stack[i][0] in BLOCK:
+                if tag not in BLOCK and tag not in OWN and stack[i][0] in BLOCK:
                     break
     flush()
     return out

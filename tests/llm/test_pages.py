@@ -153,3 +153,19 @@ def test_main_text(spark):
     main = "The head & line\nFirst paragraph, with a break.\nSecond.\nOne point."
     assert sorted(((r.page_id or 0, r.text[:70], r.n_chars) for r in got if r.page_id != 3)) == [(0, "", 0), (1, main, len(main)), (1, main, len(main)), (2, "", 0)]
     assert block_labeller.main_text(df.limit(0)).collect() == []
+
+
+def test_embedded_elements_are_on_the_path():
+    for tag in ("object", "video", "audio", "canvas", "svg", "template", "math"):
+        for end in (f"</{tag}>", ""):  # closed and left open
+            html = f"<div><article><p>before</p><{tag} id=x><p>inside</p>{end}<p>behind</p></article></div><p>last</p>"
+            got = {b.text: [e[0] for e in b.path] for b in html_blocks.blocks(html)}
+            assert list(got) == ["before", "inside", "behind", "last"]
+            assert got["before"] == ["div", "article", "p"] and got["last"] == ["p"]
+            assert tag == "math" or got["inside"] == ["div", "article", tag, "p"]
+            assert not end or got["behind"] == ["div", "article", "p"]
+    got = html_blocks.blocks('<p>If <math><mi>x</mi><mo/>=<mn>1</mn></math> holds <svg><path d="m"/><title>Icon</title></svg> then<video/> <a>so <canvas>old</canvas> on</a></p>')
+    assert [(b.text, [e[0] for e in b.path][:2], b.linked) for b in got] == [
+        ("If x=1 holds", ["p"], 0), ("Icon", ["p", "svg"], 0), ("then so", ["p", "a"], 3), ("old", ["p", "a"], 3), ("on", ["p"], 3)
+    ]
+    assert [b.text for b in html_blocks.blocks("<p>a <svg><path d='m'/></svg> b</p><script>x<p>y</script><xmp><p>z</xmp><p>c")] == ["a b", "c"]
