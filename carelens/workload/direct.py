@@ -462,14 +462,17 @@ _CENSUS = (
 )
 
 
-def _jan(day: int):
-    return F.lit(f"2024-01-{day:02d}").cast("date")
+def _span(stays: DataFrame):
+    """First and last day that the stays have."""
+    first, last = stays.agg(F.min("first_day"), F.max("last_day")).first()
+    return F.lit(first).cast("date"), F.lit(last).cast("date")
 
 
 @register("census_intervals", _CENSUS)
 def _census_intervals(s: Source) -> DataFrame:
-    intervals = census_intervals(_stays(s), ["event_type"], "first_day", "last_day")
-    return daily_census(intervals, ["event_type"], _jan(1), _jan(30)).filter("census > 0")
+    stays = _stays(s)
+    intervals = census_intervals(stays, ["event_type"], "first_day", "last_day")
+    return daily_census(intervals, ["event_type"], *_span(stays)).filter("census > 0")
 
 
 @register(
@@ -478,8 +481,8 @@ def _census_intervals(s: Source) -> DataFrame:
     f"FROM ({_CENSUS}) GROUP BY event_type",
 )
 def _avg_daily_census(s: Source) -> DataFrame:
-    intervals = census_intervals(_stays(s), ["event_type"], "first_day", "last_day")
-    return resident_days(intervals, ["event_type"], _jan(1), _jan(30))
+    stays = _stays(s)
+    return resident_days(census_intervals(stays, ["event_type"], "first_day", "last_day"), ["event_type"], *_span(stays))
 
 
 @register(

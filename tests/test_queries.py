@@ -1,5 +1,7 @@
 """Every registered query against its SQL statement on the smallest tables."""
 
+from datetime import datetime, timedelta
+
 import duckdb
 import pytest
 
@@ -46,3 +48,16 @@ def test_entry(spark):
     df = registry.entry(spark)
     assert df.columns == ["n_name", "year", "month", "total_lines", "kept_lines", "kept_pct"]
     assert df.count() > 0
+
+
+def test_census_covers_all_days_of_the_events(spark, tmp_path):
+    seen = "event_type string, user_id long, ts timestamp_ntz"
+    rows = [("a", 1, "2023-12-30"), ("a", 1, "2024-02-02"), ("a", 2, "2024-02-01"), ("b", 3, "2024-02-03")]
+    events = spark.createDataFrame([(e, u, datetime.fromisoformat(d)) for e, u, d in rows], seen)
+    events.write.parquet(f"{tmp_path}/events.parquet")
+    got = registry.queries()["census_intervals"](spark, str(tmp_path)).collect()
+    first = datetime(2023, 12, 30).date()
+    expected = {("a", first + timedelta(i)): 1 for i in range(35)} | {("a", datetime(2024, 2, 1).date()): 2, ("b", datetime(2024, 2, 3).date()): 1}
+    assert {(r.event_type, r.day): r.census for r in got} == expected and len(got) == len(expected)
+    average = registry.queries()["avg_daily_census"](spark, str(tmp_path)).collect()
+    assert {r.event_type: (r.resident_days, r.avg_daily_census) for r in average} == {"a": (36, 1.0), "b": (1, 1 / 36)}
