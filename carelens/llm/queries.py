@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelens.llm import block_labeller, byte_bpe, decontaminate, importance, line_dedup, simhash, sketches, token_counts, toxicity, warc
+from carelens.llm import block_labeller, byte_bpe, decontaminate, importance, line_dedup, simhash, sketches, suffix_dedup, token_counts, toxicity, warc
 from carelens.llm.common import ship
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -123,3 +123,15 @@ def _toxicity(table):
 @register("op7_block_labeller")
 def _block_labeller(table):
     return block_labeller.main_text(table("pages"))
+
+
+@register("op12_suffix_dedup")
+def _suffix_dedup(table):
+    out = suffix_dedup.remove_repeats(table("documents").select("doc_id", "text"))
+    return out.select(
+        "doc_id",
+        (F.octet_length(F.coalesce("text", F.lit("")))).cast("long").alias("n_bytes"),
+        (F.octet_length(F.coalesce("text", F.lit(""))) - F.octet_length("kept")).cast("long").alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
