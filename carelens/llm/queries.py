@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelens.llm import block_labeller, byte_bpe, decontaminate, importance, line_dedup, simhash, sketches, suffix_dedup, token_counts, toxicity, warc
+from carelens.llm import alignment, block_labeller, byte_bpe, decontaminate, importance, line_dedup, simhash, sketches, suffix_dedup, token_counts, toxicity, warc
 from carelens.llm.common import ship
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -135,3 +135,9 @@ def _suffix_dedup(table):
         F.size("removed").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+@register("op13_alignment")
+def _alignment(table):
+    files = (tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model"))
+    return alignment.align_documents(table("documents"), alignment.Vocabularies.load(*files))
