@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelens.llm import alignment, block_labeller, byte_bpe, decontaminate, importance, line_dedup, simhash, sketches, suffix_dedup, token_counts, toxicity, warc
+from carelens.llm import alignment, block_labeller, byte_bpe, decontaminate, importance, line_dedup, simhash, sketches, spelling, suffix_dedup, token_counts, toxicity, warc
 from carelens.llm.common import ship
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -141,3 +141,46 @@ def _suffix_dedup(table):
 def _alignment(table):
     files = (tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model"))
     return alignment.align_documents(table("documents"), alignment.Vocabularies.load(*files))
+
+
+SPELLING_SQL = r"""
+WITH RECURSIVE crc_table AS (
+  SELECT list(v ORDER BY i) AS t FROM (
+    SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v
+    FROM (SELECT unnest(range(256)) AS i))),
+runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                           '[A-Za-z\x{C0}-\x{FF}]+')) AS run FROM documents),
+per_doc AS (SELECT doc_id, run, count(*) AS n FROM runs GROUP BY ALL),
+bytes_of AS (
+  SELECT doc_id, run, n, flatten(list_transform(string_split(CAST(doc_id AS VARCHAR) || ':' || run, ''), lambda c:
+    CASE WHEN unicode(c) < 128 THEN [CAST(unicode(c) AS BIGINT)] ELSE [195, CAST(unicode(c) - 64 AS BIGINT)] END)) AS b FROM per_doc),
+hashed AS (
+  SELECT run, n, xor(list_reduce(list_prepend(4294967295, b), lambda c, x: xor(c >> 8, t[xor(c, x) % 256 + 1])), 4294967295) AS h
+  FROM bytes_of, crc_table),
+taken AS (
+  SELECT n, CASE WHEN h % 97 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word FROM hashed),
+words AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM taken WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+cut AS (
+  SELECT word, n, i, length(word) AS len, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)),
+near AS (
+  SELECT a.word, b.word AS other, b.n AS other_n FROM cut a JOIN cut b USING (i, len, rest) WHERE a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM cut a JOIN words b ON a.rest = b.word
+  UNION SELECT b.word, a.word, a.n FROM cut a JOIN words b ON a.rest = b.word),
+counted AS (SELECT word, count(*) AS n_near FROM near GROUP BY word),
+top AS (SELECT word, other, other_n FROM near QUALIFY row_number() OVER (PARTITION BY word ORDER BY other_n DESC, encode(other)) = 1),
+known AS (
+  SELECT w.word, w.n, CAST(coalesce(c.n_near, 0) AS BIGINT) AS n_near,
+         CASE WHEN t.other_n >= 2 * w.n THEN t.other END AS form, CASE WHEN t.other_n >= 2 * w.n THEN t.other_n END AS form_n
+  FROM words w LEFT JOIN counted c USING (word) LEFT JOIN top t USING (word)),
+path AS (
+  SELECT word, word AS here, form FROM known
+  UNION ALL SELECT p.word, k.word, k.form FROM path p JOIN known k ON k.word = p.form)
+SELECT k.word, k.n, k.n_near, k.form, k.form_n, p.here AS root FROM known k JOIN path p ON p.word = k.word AND p.form IS NULL
+"""
+
+
+@register("op11_spelling_variants", SPELLING_SQL)
+def _spelling(table):
+    return spelling.group_variants(spelling.words(table("documents"), every=97))
