@@ -11,11 +11,10 @@ text is the sequence of its chunks between these places, and a chunk's alignment
 from __future__ import annotations
 
 import re
-from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from hashlib import sha256
-from itertools import accumulate
+from itertools import accumulate, compress
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +35,7 @@ BLOCK_BYTES = 1 << 20
 REMEMBERED = 128
 _CUT = re.compile(r"(?<=\S) ")
 _LOOSE = re.compile(r"(?:\A|\s) ")
+_LOW = (1 << 40) - 1
 _BYTE = re.compile(r"<0x([0-9A-F]{2})>")
 
 
@@ -52,28 +52,18 @@ class Vocabularies:
             return Vocabularies(a.read(), b.read())
 
 
-def align(a_ends: list[int], b_ends: list[int]) -> list[tuple[int, int, int, int]]:
-    """Groups as index ranges (of A from, to, of B from, to) between the offsets at which both end a token."""
-    a_at = {end: i + 1 for i, end in enumerate(a_ends)}
-    b_at = {end: i + 1 for i, end in enumerate(b_ends)}
-    out, a, b = [], 0, 0
-    for end in sorted(a_at.keys() & b_at.keys()):
-        out.append((a, a_at[end], b, b_at[end]))
-        a, b = a_at[end], b_at[end]
-    return out
+def align(a_ends: list[int], b_ends: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """How many A and B tokens end up to each offset at which both end: the groups' bounds in either id list."""
+    a_at = dict(zip(a_ends, range(1, len(a_ends) + 1)))
+    b_at = dict(zip(b_ends, range(1, len(b_ends) + 1)))
+    common = sorted(a_at.keys() & b_at.keys())
+    return tuple(np.fromiter(map(at.__getitem__, common), np.int64, len(common)) for at in (a_at, b_at))
 
 
-def links(a_ends: list[int], b_ends: list[int], group: tuple[int, int, int, int]) -> list[tuple[int, int]]:
-    """Index pairs of a group's tokens whose byte ranges overlap."""
-    i, a_to, j, b_to = group
-    out = []
-    while i < a_to and j < b_to:
-        out.append((i, j))
-        if a_ends[i] <= b_ends[j]:
-            i, j = i + 1, j + (a_ends[i] == b_ends[j])
-        else:
-            j += 1
-    return out
+def links(a_ends: np.ndarray, b_ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs of the tokens whose byte ranges overlap, in order: one for each stretch between neighbouring ends of any token."""
+    ends = np.union1d(a_ends, b_ends)
+    return np.searchsorted(a_ends, ends), np.searchsorted(b_ends, ends)
 
 
 class Aligner:
@@ -91,32 +81,52 @@ class Aligner:
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.b_bytes = [bytes([int(m[1], 16)]) if (m := _BYTE.fullmatch(p)) else p.replace("▁", " ").encode() for p in pieces]
         self.cuttable = not any(re.search("[^▁]▁", p) for p in pieces)
+        ids = range(max(len(self.a_bytes), len(pieces)))
+        self.decimal, self.a_last, self.b_last = (np.array([f"{i}{sign}" for i in ids], object) for sign in ",|;")
         self.space = self.b.piece_to_id("▁")
         self.remember, self.young, self.old = remember, {}, {}
 
-    def encode(self, rests: list[str]) -> Iterator[tuple[list[int], list[int]]]:
-        """Ids of a space and each text. The piece tokenizer adds the space itself, but not to nothing."""
-        a = self.a.encode_batch_fast([" " + r for r in rests], add_special_tokens=False)
-        b = self.b.encode(rests, num_threads=1) if rests else []
-        return ((x.ids, y if r else [self.space]) for x, y, r in zip(a, b, rests))
-
-    def chunk(self, rest: str, a_ids: list[int], b_ids: list[int]) -> tuple[int, int, int, str, bytes] | None:
-        """Number of A ids, B ids and groups, the groups as text and the linked pairs as packed 64-bit numbers; None where the tokens'
-        bytes are not the text's. All of it is text and numbers, so that Python's collector has nothing to walk through."""
+    def encode(self, rest: str) -> tuple[list[int], list[int], list[int], list[int]] | None:
+        """Ids and ends by A and B of a space and the text; None where the tokens' bytes are not the text's. The piece tokenizer adds
+        the space itself, but not to nothing."""
+        a_ids, b_ids = self.a.encode(" " + rest, add_special_tokens=False).ids, self.b.encode(rest) if rest else [self.space]
         a, b, whole = [self.a_bytes[i] for i in a_ids], [self.b_bytes[i] for i in b_ids], b" " + rest.encode()
         if b"".join(a) != whole or b"".join(b) != whole:
             return None
-        a_ends, b_ends = list(accumulate(map(len, a))), list(accumulate(map(len, b)))
-        groups, pairs = [], []
-        for group in align(a_ends, b_ends):
-            i, j, k, m = group
-            if j - i == 1 == m - k:
-                groups.append(f"{a_ids[i]}|{b_ids[k]}")
-                pairs.append(a_ids[i] << 32 | b_ids[k])
-            else:
-                groups.append(f"{','.join(map(str, a_ids[i:j]))}|{','.join(map(str, b_ids[k:m]))}")
-                pairs += [a_ids[x] << 32 | b_ids[y] for x, y in links(a_ends, b_ends, group)]
-        return len(a), len(b), len(groups), ";".join(groups), array("q", pairs).tobytes()
+        return a_ids, b_ids, list(accumulate(map(len, a))), list(accumulate(map(len, b)))
+
+    def aligned(self, rests: list[str]) -> Iterator[tuple[str, tuple | None]]:
+        """Each chunk with its alignment. Chunks between which both tokenizers end a token are encoded as one text."""
+        plain = [bool(r) and not r[-1].isspace() and "▁" not in r for r in rests] if self.cuttable else [False] * len(rests)
+        together, apart = list(compress(rests, plain)), [r for r, p in zip(rests, plain) if not p]
+        found = self.encode(" ".join(together)) if together else None
+        if found is not None:
+            yield from zip(together, self.sliced(*found, np.cumsum([len(r.encode()) + 1 for r in together])))
+        for rest in rests if together and found is None else apart:
+            found = self.encode(rest)
+            yield rest, found and next(self.sliced(*found, np.array(found[2][-1:])))
+
+    def sliced(self, a_ids: list[int], b_ids: list[int], a_ends: list[int], b_ends: list[int], stops: np.ndarray) -> Iterator[tuple[int, str, bytes]]:
+        """For the text up to each of ``stops``, from the one before: number of A ids, B ids and groups (40 bits each), the groups as text
+        and the linked pairs as packed 64-bit numbers."""
+        a_to, b_to = align(a_ends, b_ends)
+        a, b, a_ends, b_ends = np.array(a_ids), np.array(b_ids), np.array(a_ends), np.array(b_ends)
+        # A's ids of a group come first, then B's; the last of each has another sign behind it
+        place_a = np.arange(len(a)) + np.repeat(np.concatenate(([0], b_to[:-1])), np.diff(a_to, prepend=0))
+        place_b = np.arange(len(b)) + np.repeat(a_to, np.diff(b_to, prepend=0))
+        text = np.empty(len(a) + len(b), object)
+        text[place_a], text[place_b] = self.decimal[a], self.decimal[b]
+        text[place_a[a_to - 1]], text[place_b[b_to - 1]] = self.a_last[a[a_to - 1]], self.b_last[b[b_to - 1]]
+        text = text.tolist()
+        i, j = links(a_ends, b_ends)
+        pairs = a[i] << 32 | b[j]
+        group = np.searchsorted(a_ends[a_to - 1], stops) + 1
+        link = np.searchsorted(np.minimum(a_ends[i], b_ends[j]), stops, "right")
+        n_a, n_b = a_to[group - 1], b_to[group - 1]
+        x = y = z = w = 0
+        for x2, y2, z2, w2 in zip(n_a.tolist(), n_b.tolist(), group.tolist(), link.tolist()):
+            yield (x2 - x) | (y2 - y) << 40 | (z2 - z) << 80, "".join(text[x + y : x2 + y2])[:-1], pairs[w:w2].tobytes()
+            x, y, z, w = x2, y2, z2, w2
 
     def chunks(self, text: str) -> list[str]:
         """The text cut at the spaces where both tokenizers end a token; each chunk without the space before it."""
@@ -133,7 +143,7 @@ class Aligner:
         wanted = set().union(*cut).difference(known)
         known.update((r, old[r]) for r in wanted if r in old)
         new = [r for r in wanted if r not in old]
-        known.update((r, self.chunk(r, *ids)) for r, ids in zip(new, self.encode(new)))
+        known.update(self.aligned(new))
         out = [self._whole([known[r] for r in rests] or [None]) for rests in cut]
         for r in wanted:
             if len(r) > REMEMBERED:
@@ -143,8 +153,9 @@ class Aligner:
     def _whole(self, found: list) -> tuple[int, int, int, str, np.ndarray]:
         if None in found:
             return 0, 0, 0, "", np.empty(0, np.int64)
-        n_a, n_b, n_groups, groups, pairs = zip(*found)
-        return sum(n_a), sum(n_b), sum(n_groups), ";".join(groups), np.frombuffer(b"".join(pairs), np.int64)
+        counts, groups, pairs = zip(*found)
+        n = sum(counts)
+        return n & _LOW, n >> 40 & _LOW, n >> 80, ";".join(groups), np.frombuffer(b"".join(pairs), np.int64)
 
 
 def _blocks(texts: pa.Array) -> Iterator[tuple[int, int]]:
