@@ -51,7 +51,7 @@ def _token_counts(table):
 
 @register("op3_line_dedup")
 def _line_dedup(table):
-    out = line_dedup.remove_repeats(table("documents").select("doc_id", "text"))
+    out = line_dedup.remove_repeats(table("documents").select("doc_id", "text"), line_words=line_dedup.LINE_WORDS)
     return out.select("doc_id", "text", "removed", F.size("removed").cast("long").alias("n_removed"))
 
 

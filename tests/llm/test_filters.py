@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as registry
 from carelens.llm import decontaminate, importance, line_dedup, toxicity
 
 
@@ -138,6 +139,129 @@ def test_repeats_equal_brute_force(spark, documents):
         assert row.text == line_dedup.cut(text, spans)
 
 
+MASK = (1 << 64) - 1
+
+
+def plain_mix(x):
+    x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 & MASK
+    x = (x ^ x >> 27) * 0x94D049BB133111EB & MASK
+    return x ^ x >> 31
+
+
+def plain_words(text):
+    """(begin, end, word) in lower case; a character of a script without spaces is a word."""
+    unspaced = lambda c: any(a <= ord(c) <= b for a, b in line_dedup._UNSPACED)
+    out, at = [], 0
+    for part in re.findall(r"\s+|\S+", text):
+        begin = at
+        for i, c in enumerate(part):
+            if c.isspace():
+                continue
+            if out and i and not unspaced(c) and not unspaced(part[i - 1]):
+                out[-1] = (out[-1][0], at + i + 1, out[-1][2] + line_dedup.lowered(c))
+            else:
+                out.append((at + i, at + i + 1, line_dedup.lowered(c)))
+        at = begin + len(part)
+    return out
+
+
+def plain_units(text, line_words):
+    """(key, start, end, may overlap) of every unit; equal keys are equal texts."""
+    floor, window, spread = line_dedup.MIN_WORDS, line_dedup.WINDOW, line_dedup.SPREAD
+    out, lines, at = [], [], 0
+    for number, line in enumerate(text.split("\n")):
+        words = plain_words(line)
+        if words:
+            lines.append((number, at, at + len(line), words, line))
+        at += len(line) + 1
+
+    def key(begin, end):
+        return "line", " ".join(line_dedup.lowered(text[begin:end]).split())
+
+    def run(i, j):
+        out.append((key(lines[i][1], lines[j][2]), lines[i][1], lines[j][2], True))
+
+    size = [len(line[3]) for line in lines]
+    for i, (number, begin, end, words, line) in enumerate(lines):
+        if size[i] >= line_words:
+            out.append((key(begin, end), begin, end, False))
+        else:
+            for j in range(i, len(lines)):
+                if sum(size[i : j + 1]) >= floor:
+                    run(i, j)
+                    break
+            for j in range(i, -1, -1):
+                if sum(size[j : i + 1]) >= floor:
+                    run(j, i)
+                    break
+            if sum(size) < floor:
+                run(0, len(lines) - 1)
+        if not i or lines[i - 1][0] < number - 1:
+            j = i
+            while j + 1 < len(lines) and lines[j + 1][0] == lines[j][0] + 1:
+                j += 1
+            if j > i and sum(size[i : j + 1]) >= floor:
+                run(i, j)
+        cuts = [0] + [k + 1 for k in range(len(words) - 1) if words[k][2][-1] in ".!?" and words[k + 1][0] > words[k][1]] + [len(words)]
+        for a, b in zip(cuts, cuts[1:]):
+            if len(cuts) > 2 and b - a >= floor:
+                out.append((key(begin + words[a][0], begin + words[b - 1][1]), begin + words[a][0], begin + words[b - 1][1], False))
+    words = plain_words(text)
+    base, salt, odd = 0x9E3779B97F4A7C15, 0x2545F4914F6CDD1D, 0x9E3779B97F4A7C15
+    hashes = [plain_mix(sum(plain_mix((ord(c) * odd + i) & MASK) for i, c in enumerate(w[2])) & MASK) for w in words]
+    n = len(words) - window + 1
+    digest = [plain_mix(sum((h ^ salt) * pow(base, k, 1 << 64) for k, h in enumerate(hashes[i : i + window])) + window & MASK) for i in range(n)]
+    near = min(spread, n)
+    picked = sorted({i for a in range(n - near + 1) for i in range(a, a + near) if digest[i] == min(digest[a : a + near])}) if n > 0 else []
+    k = 0
+    while k < len(picked):
+        m = k
+        while m + 1 < len(picked) and digest[picked[m + 1]] == digest[picked[k]] and picked[m + 1] - picked[m] < window:
+            m += 1
+        passage = tuple(w[2] for w in words[picked[k] : picked[k] + window])
+        out.append((("passage", passage), words[picked[k]][0], words[picked[m] + window - 1][1], True))
+        k = m + 1
+    return out
+
+
+def brute_all_units(rows, line_words):
+    """{(doc_id, text): spans to cut} with lines, runs, paragraphs, sentences and passages."""
+    found = [(key, (i is None, i, text), start, end, wide) for i, text in set(rows) for key, start, end, wide in plain_units(text or "", line_words)]
+    first = {}
+    for key, doc, start, _, _ in found:
+        first[key] = min(first.get(key, (doc, start)), (doc, start))
+    spans = {}
+    for key, doc, start, end, wide in found:
+        if first[key] != (doc, start):
+            spans.setdefault(doc[1:], []).append((start, end, wide))
+    return {k: line_dedup.all_spans(k[1], v) for k, v in spans.items()}
+
+
+@pytest.mark.parametrize("line_words", [1, line_dedup.LINE_WORDS])
+def test_all_units_equal_brute_force(documents, line_words):
+    rng = random.Random(8)
+    word = lambda: rng.choice(["alpha", "Beta", "of.", "gamma!", "δέλτα", "日本語", "x1", "zeta", "eta?", "theta"]) + rng.choice(["", "", str(rng.randrange(30))])
+    line = lambda: " ".join(word() for _ in range(rng.choice([1, 2, 3, 6, 11, 25])))
+    pool = [line() for _ in range(25)] + ["\n".join(line() for _ in range(4)) for _ in range(6)]
+    rows = []
+    for i in range(120):
+        parts = [rng.choice(pool) if rng.random() < 0.5 else line() for _ in range(rng.randint(0, 7))]
+        rows.append((i, "".join(p + rng.choice(["\n", "\n\n", " ", "\n \n"]) for p in parts)))
+    rows += [(500, rows[3][1].upper()), (501, "of."), (502, "Of."), (503, "ab " * 300), (504, "")]
+    expected = brute_all_units(rows, line_words)
+    for row in line_dedup.remove_repeats(documents(rows), line_words=line_words).collect():
+        spans = expected.get((row.doc_id, dict(rows)[row.doc_id]), [])
+        assert [tuple(s) for s in row._removed] == spans, row.doc_id
+        assert row.text == line_dedup.cut(dict(rows)[row.doc_id], spans)
+
+
+def test_registered_line_query_equals_brute_force(spark, sf):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    expected = brute_all_units(rows, line_dedup.LINE_WORDS)
+    got = {r.doc_id: ([tuple(s) for s in r.removed], r.n_removed) for r in registry.queries()["op3_line_dedup"](spark, sf).collect()}
+    assert got == {i: (spans, len(spans)) for i, t in rows for spans in [expected.get((i, t), [])]}
+
+
 def test_cut():
     text = "first line\nsecond line. And more. End\n\nlast"
     assert line_dedup.cut(text, []) == text
