@@ -33,7 +33,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines, sentences and passages that an earlier document (or line) has are cut out; every document stays."""
     ship(spark)
-    return line_dedup.remove_repeats(docs).select(*map(quoted, docs.columns))
+    return line_dedup.remove_repeats(docs, line_words=line_dedup.LINE_WORDS).select(*map(quoted, docs.columns))
 
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
