@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from html import unescape
 from typing import NamedTuple
 
@@ -16,7 +16,9 @@ BLOCK = frozenset(
 #: Elements without content.
 VOID = frozenset("area base basefont bgsound br col embed frame hr img input keygen link meta param source track wbr".split())
 #: Elements whose content is not markup, up to their end tag, and not text of the page.
-RAW = frozenset("script style title textarea iframe noembed noframes xmp".split())
+RAW = frozenset("script style title textarea iframe noembed noframes".split())
+#: The same, but shown as it stands.
+SHOWN = "xmp"
 #: Elements whose text is a block of its own, with them on its path.
 OWN = frozenset("template svg object canvas audio video".split())
 #: Elements in which ``/>`` ends an element, and only scripts and styles are raw.
@@ -30,13 +32,61 @@ ENDED_BY = {
 #: Elements of a path that describe a block; text is kept at any depth.
 DEPTH = 64
 
-_TAG = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>"']*(?:"[^"]*"[^>"']*|'[^']*'[^>"']*)*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?/][^>]*>""", re.S
-)
+_NAME = re.compile(r"[a-zA-Z][^\s/>]*+")
+_BARE = re.compile(r"""[^>"']*+""")
 _NAMES = re.compile(r"""\b(?:class|id|role|itemprop|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _PART = re.compile(r"[a-z]+|[A-Z]+(?![a-z])|[A-Z][a-z]+")
 
 
+class Tags:
+    """Finds the tags of a page in time linear in its length, whatever the page.
+
+    A tag ends at the first ``>`` outside quotes, or, if there is none because a quote is left open, at the first ``>``. From
+    a given opening quote on, the way to the tag's end does not depend on where the tag began; so the quotes from which no end was
+    found are remembered, and no later tag goes that way again.
+    """
+
+    def __init__(self, html: str):
+        self.html, self.last, self.lost = html, html.rfind(">"), set()
+
+    def next(self, at: int) -> tuple[int, int, bool, str, str] | None:
+        """Begin and end of the next tag, comment or declaration, whether it is an end tag, its name (lower case; empty if none) and attributes."""
+        html = self.html
+        at = html.find("<", at)
+        while 0 <= at:
+            if html.startswith("<!--", at):
+                end = html.find("-->", at + 4)
+                return at, end + 3 if end >= 0 else len(html), False, "", ""
+            if at > self.last:  # no tag ends behind this place
+                at = html.find("<!--", at)
+                continue
+            closing = html.startswith("/", at + 1)
+            name = _NAME.match(html, at + 1 + closing)
+            if name:
+                begin = name.end()
+                end = self._end(begin)
+                return at, end + 1, closing, name[0].lower(), html[begin:end]
+            if html[at + 1 : at + 2] in ("!", "?", "/"):
+                return at, html.index(">", at) + 1, False, "", ""
+            at = html.find("<", at + 1)
+        return None
+
+    def _end(self, begin: int) -> int:
+        html, passed, at = self.html, [], begin
+        while True:
+            at = _BARE.match(html, at).end()
+            if at >= len(html) or at in self.lost:
+                break
+            if html[at] == ">":
+                return at
+            passed.append(at)
+            at = html.find(html[at], at + 1) + 1
+            if not at:
+                break
+        self.lost.update(passed)
+        return html.index(">", begin)
+
+
 class Block(NamedTuple):
     """``path``: names of the (at most :data:`DEPTH` innermost) elements above, outermost first, each a tag with words of its class and id; ``text`` with single
     spaces; ``linked``: how many of its characters stand in links."""
@@ -61,22 +111,27 @@ def blocks(html: str) -> list[Block]:
     text: list[str] = []
     opened: Counter[str] = Counter()
     owners: list[int] = []  # where the open elements of OWN are in the stack
+    places: dict[str, list[int]] = defaultdict(list)  # where the open elements of each tag are in the stack
+    lines: list[int] = []  # where those of BLOCK are
     held: tuple[int, tuple[tuple[str, ...], ...]] | None = None  # of text in one of OWN: which, and its path
-    linked, at, size = 0, 0, len(html)
+    linked, at, size, tags = 0, 0, len(html), Tags(html)
 
     def pop() -> None:
-        opened[stack.pop()[0]] -= 1
-        if owners and owners[-1] == len(stack):
-            owners.pop()
-
-    def add(piece: str) -> None:
+        tag = stack.pop()[0]
+        places[tag].pop()
+        opened[tag] -= 1
+        for some in (owners, lines):
+            if some and some[-1] == len(stack):
+                some.pop()
+
+    def add(piece: str, shown: bool = False) -> None:
         nonlocal linked, held
         if piece:
             if (owners or held) and not piece.isspace():
                 if (held[0] if held else -1) != (owners[-1] if owners else -1):
                     flush(len(stack) if held else owners[0])
-                held = (owners[-1], tuple(stack)) if owners else None
-            piece = unescape(piece) if "&" in piece else piece
+                held = (owners[-1], tuple(stack[-DEPTH:])) if owners else None
+            piece = unescape(piece) if "&" in piece and not shown else piece
             text.append(piece)
             if opened["a"]:
                 linked += len(piece)
@@ -86,28 +141,41 @@ def blocks(html: str) -> list[Block]:
         if text:
             joined = " ".join("".join(text).split())
             if joined:
-                path = held[1] if held else stack[:depth]
-                out.append(Block(tuple(path[-DEPTH:]), joined, linked))
+                depth = len(stack) if depth is None else depth
+                path = held[1] if held else tuple(stack[max(0, depth - DEPTH) : depth])
+                out.append(Block(path, joined, linked))
             text.clear()
         linked, held = 0, None
 
+    def raw_end(tag: str) -> tuple[int, int]:
+        """Where the content of a raw element ends, and where its end tag does; the end of the page if it has none."""
+        found = re.compile(rf"</{re.escape(tag)}\b", re.I).search(html, at)
+        end = html.find(">", found.end()) if found else -1
+        return (found.start(), end + 1) if end >= 0 else (size, size)
+
     while at < size:
-        found = _TAG.search(html, at)
+        found = tags.next(at)
         if found is None:
             add(html[at:])
             break
-        add(html[at : found.start()])
-        at = found.end()
-        tag = found[2] or found[5]
+        add(html[at : found[0]])
+        at, closing, tag, attributes = found[1:]
         if not tag:  # a comment or declaration
             continue
-        tag, attributes = tag.lower(), found[3] or found[6] or ""
-        if not (found[1] or found[4]):  # a start tag
+        if not closing:
             foreign = tag in FOREIGN or opened["svg"] or opened["math"]
             if tag in RAW and (not foreign or tag in ("script", "style")):
                 if not attributes.endswith("/"):
-                    end = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(html, at)
-                    at = end.end() if end else size
+                    at = raw_end(tag)[1]
+                continue
+            if tag == SHOWN and not foreign:
+                flush()
+                stack.append(_element(tag, attributes))
+                stop, after = raw_end(tag)
+                add(html[at:stop], shown=True)
+                flush()
+                stack.pop()
+                at = after
                 continue
             if tag in BLOCK:
                 flush()
@@ -120,17 +188,17 @@ def blocks(html: str) -> list[Block]:
             if tag not in VOID and not (attributes.endswith("/") and (foreign or tag in OWN)):
                 if tag in OWN:
                     owners.append(len(stack))
+                if tag in BLOCK:
+                    lines.append(len(stack))
+                places[tag].append(len(stack))
                 stack.append(_element(tag, attributes))
                 opened[tag] += 1
         elif opened[tag]:
             if tag in BLOCK:
                 flush()
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == tag:
-                    while len(stack) > i:
-                        pop()
-                    break
-                if tag not in BLOCK and tag not in OWN and stack[i][0] in BLOCK:
-                    break
+            place = places[tag][-1]
+            if tag in BLOCK or tag in OWN or not lines or lines[-1] < place:  # else it is not open in this block
+                while len(stack) > place:
+                    pop()
     flush()
     return out

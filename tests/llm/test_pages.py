@@ -2,6 +2,7 @@
 
 import gzip
 from hashlib import sha256
+from time import process_time
 
 import pytest
 from pyspark.sql import functions as F
@@ -169,3 +170,28 @@ def test_embedded_elements_are_on_the_path():
         ("If x=1 holds", ["p"], 0), ("Icon", ["p", "svg"], 0), ("then so", ["p", "a"], 3), ("old", ["p", "a"], 3), ("on", ["p"], 3)
     ]
     assert [b.text for b in html_blocks.blocks("<p>a <svg><path d='m'/></svg> b</p><script>x<p>y</script><xmp><p>z</xmp><p>c")] == ["a b", "c"]
+
+
+SHAPES = ["<a", "<a '\"", "<p x= ", '<b ">" ', "<", '<a ">', "<div>x", "<!-", "<script></script", "<svg>x<i>", "<!--", "</p", "<li><b>", "&amp;<", "<textarea></textarea "]
+
+
+@pytest.mark.parametrize("unit", SHAPES)
+def test_hostile_pages_take_linear_time(unit):
+    html = unit * (1_000_000 // len(unit))
+    for page in (html, html + ">", ">" + html, "<b><div>" + html + "</b>" * 9):
+        begin = process_time()
+        html_blocks.blocks(page)
+        assert process_time() - begin < 20  # a quadratic scan takes an hour
+
+
+def test_end_tags_of_elements_outside_the_block_are_passed_over_at_once():
+    begin = process_time()
+    found = html_blocks.blocks("<b><div>" + "<i>" * 100_000 + "</b>" * 100_000 + "text")
+    assert process_time() - begin < 20 and [b.text for b in found] == ["text"]
+
+
+def test_quotes_and_tags():
+    page = """<p title="a > b">one</p><p title='x>two</p><a href="q>three</a> < four <!x> five </ > six"""
+    assert [b.text for b in html_blocks.blocks(page)] == ["one", "two", "three < four five six"]
+    assert html_blocks.blocks("<xmp>a <b>&amp;</b>\n c</XMP ><p>d")[0] == ((("xmp",),), "a <b>&amp;</b> c", 0)
+    assert [b.text for b in html_blocks.blocks("x<xmp>open <p>y")] == ["x", "open <p>y"]
