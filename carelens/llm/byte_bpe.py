@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import base64
 from array import array
+from collections.abc import Iterator
 from hashlib import sha256
 
 import numpy as np
@@ -21,6 +22,7 @@ from carelens.llm.pretokens import Pieces
 
 #: Two tokens as one number: left * PAIR + right. Above every id.
 PAIR = 1 << 24
+_SHORT = (2, 1)
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -67,6 +69,11 @@ class PrefixEncoder:
         self.string = {rank: text for text, rank in ranks.items()}
         self.longest = max(map(len, ranks))
         self.alone = {text: rank for text, rank in ranks.items() if rank in self.built}
+        tails: dict[bytes, set[int]] = {}
+        for text in self.alone:
+            if len(text) > 2:
+                tails.setdefault(text[-3:], set(_SHORT)).add(len(text))
+        self.sizes = {tail: tuple(sorted(found, reverse=True)) for tail, found in tails.items()}  # of strings that end so, longest first
         self.pair = Remembered(self._pair, 200_000)
         self.form = "H" if max(self.string) < 1 << 16 else "I"
 
@@ -105,10 +112,13 @@ class Prefixes:
         self.append(data)
 
     def _extend(self, end: int, until: int) -> None:
-        """Append the last tokens of the prefixes of lengths end + 1 to until."""
-        data, last, find, pair, longest = self.data, self.last, self.encoder.alone.get, self.encoder.pair, self.encoder.longest
+        """Append the last tokens of the prefixes of lengths end + 1 to until, trying the longest strings of the vocabulary first."""
+        data, last, find, pair, sizes = self.data, self.last, self.encoder.alone.get, self.encoder.pair, self.encoder.sizes.get
         for stop in range(end + 1, until + 1):
-            for start in range(stop - longest if stop > longest else 0, stop):
+            for size in sizes(data[stop - 3 : stop], _SHORT) if stop > 2 else _SHORT:
+                if size > stop:
+                    continue
+                start = stop - size
                 token = find(data[start:stop])
                 if token is not None and (not start or pair[last[start - 1] * PAIR + token]):
                     last.append(token)
@@ -147,15 +157,42 @@ class Prefixes:
 
 
 class TextCodec:
-    """Whole texts to ids and back; ordinary text only, no special tokens."""
+    """Whole texts to ids and back; ordinary text only, no special tokens. A chunk is remembered with its ids packed and in decimal."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, built: dict[int, tuple[int, int]] | None = None, remember: int = 400_000):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, built: dict[int, tuple[int, int]] | None = None, remember: int = 300_000):
         self.encoder = PrefixEncoder(ranks, built)
-        self.pieces = Pieces(pattern, Remembered(self.encoder.of_piece, 50_000).__getitem__, b"".join, remember)
         self.decimal = {rank: str(rank) for rank in ranks.values()}
+        self.pieces = Pieces(pattern, Remembered(self._piece, 50_000).__getitem__, self._joined, remember)
+        strings = [self.encoder.string.get(i, b"") for i in range(max(self.encoder.string) + 1)]
+        self.bytes = np.frombuffer(b"".join(strings), np.uint8)
+        self.size = np.fromiter(map(len, strings), np.int64, len(strings))
+        self.begin = np.cumsum(self.size) - self.size
+
+    def _piece(self, piece: str) -> tuple[bytes, str]:
+        packed = self.encoder.of_piece(piece)
+        return packed, ",".join(map(self.decimal.__getitem__, array(self.encoder.form, packed)))
+
+    @staticmethod
+    def _joined(found: list[tuple[bytes, str]]) -> tuple[bytes, str]:
+        packed, decimal = zip(*found) if found else ((), ())
+        return b"".join(packed), ",".join(decimal)
+
+    def pack(self, text: str) -> tuple[np.ndarray, str]:
+        """The ids of a text, and as decimal numbers with commas."""
+        found = self.pieces(text)
+        packed, decimal = self._joined(found if found[0][0] else found[1:])  # nothing before a space at the begin
+        return np.frombuffer(packed, np.uint16 if self.encoder.form == "H" else np.uint32), decimal
 
     def encode(self, text: str) -> list[int]:
-        return array(self.encoder.form, b"".join(self.pieces(text))).tolist()
+        return self.pack(text)[0].tolist()
+
+    def unpack(self, ids: np.ndarray) -> Iterator[bytes]:
+        """The bytes of ids made by :meth:`pack`, some at a time, each looked up in the vocabulary's strings."""
+        for at in range(0, len(ids), 1 << 16):
+            some = ids[at : at + (1 << 16)]
+            size = self.size[some]
+            place = np.arange(int(size.sum())) + np.repeat(self.begin[some] - (np.cumsum(size) - size), size)
+            yield self.bytes[place].tobytes()
 
     def decode(self, ids: list[int]) -> bytes:
         """The bytes of the ids. Raises KeyError for an id that is not in the vocabulary."""
@@ -204,15 +241,17 @@ def round_trip(
     """
 
     def run(codec, texts):
-        decimal = codec.decimal
         out = {"n_tokens": [], "ids_sha256": [], "decoded_sha256": [], "ids": []}
         for value in texts:
-            ids = codec.encode(value)
+            ids, decimal = codec.pack(value)
+            decoded = sha256()
+            for part in codec.unpack(ids):
+                decoded.update(part)
             out["n_tokens"].append(len(ids))
-            out["ids_sha256"].append(sha256(",".join(map(decimal.__getitem__, ids)).encode()).hexdigest())
-            out["decoded_sha256"].append(sha256(codec.decode(ids)).hexdigest())
+            out["ids_sha256"].append(sha256(decimal.encode()).hexdigest())
+            out["decoded_sha256"].append(decoded.hexdigest())
             if with_ids:
-                out["ids"].append(np.array(ids, np.int32))
+                out["ids"].append(ids.astype(np.int32))
         return out
 
     schema = "n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
