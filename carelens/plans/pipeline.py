@@ -28,7 +28,7 @@ from carelens.plans.views import build_views
 from carelens.sources.export import RUN_LOG_SCHEMA, WRITERS, append_run_log, export_checks, export_tables, replace_table
 from carelens.sources.feeds import FEEDS
 from carelens.sources.reference_data import dim_community_region
-from carelens.streaming.ingest import MAX_FILES, ingest, processed_files, read_bronze
+from carelens.streaming.ingest import MAX_FILES, ingest, processed_files, read_bronze, read_refused
 
 
 @dataclass
@@ -149,7 +149,8 @@ def run_pipeline(
 ) -> Tables:
     """Load new files from ``raw`` and rebuild everything under ``root`` (both on shared storage).
 
-    A failure is recorded in the run log and raised.
+    A failure is recorded in the run log and raised. ``rows_rejected`` counts, per feed, the delivered rows whose cells do not fit their
+    header, which never reach a raw table, and the quarantined ones.
     """
     started, run_id = time.time(), uuid.uuid4().hex
     log = {
@@ -170,24 +171,29 @@ def run_pipeline(
         begun = spark.range(1).select(F.current_timestamp().alias("t")).first()["t"]
         ingest(spark, raw, f"{root}/bronze", f"{root}/checkpoints", max_files_per_batch=max_files_per_batch)
         tables.bronze = {feed: read_bronze(spark, f"{root}/bronze", feed) for feed in FEEDS}
-        ledger = replace_table(processed_files(tables.bronze), f"{home}/processed_files")
+        broken = {feed: read_refused(spark, f"{root}/bronze", feed) for feed in FEEDS}
+        ledger = replace_table(processed_files(tables.bronze, broken), f"{home}/processed_files")
         is_new = F.col("processed_at") >= F.lit(begun)
         per_feed = ledger.groupBy("dataset").agg(
             F.count_if(is_new).alias("new"),
             F.count_if(~is_new).alias("seen"),
             F.coalesce(F.sum(F.when(is_new, F.col("rows_loaded"))), F.lit(0)).alias("loaded"),
             F.sum("rows_loaded").alias("held"),
+            F.sum("rows_rejected").alias("rejected"),
         )
         for row in per_feed.collect():  # one row per feed
             log["files_processed"] += row["new"]
             log["files_skipped"] += row["seen"]
             log["rows_loaded"][row["dataset"]] = row["loaded"]
             log["tables_loaded"][row["dataset"]] = row["held"]
+            if row["rejected"]:
+                log["rows_rejected"][row["dataset"]] = row["rejected"]
 
         accepted, refused = accepted_rows(tables.bronze, f"{home}/quarantine") if quarantine_rows else (tables.bronze, None)
         if refused:
             counts = [df.agg(F.lit(feed).alias("feed"), F.count(F.lit(1)).alias("n")) for feed, df in refused.items()]
-            log["rows_rejected"] = {r["feed"]: r["n"] for r in reduce(DataFrame.union, counts).collect()}
+            for row in reduce(DataFrame.union, counts).collect():  # one row per feed
+                log["rows_rejected"][row["feed"]] = log["rows_rejected"].get(row["feed"], 0) + row["n"]
         silver = build_silver(accepted, f"{home}/silver", corrected)
         tables.silver = {name.removeprefix("silver_"): df for name, df in silver.items()}
 

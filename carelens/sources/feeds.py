@@ -42,6 +42,9 @@ FEEDS = {
 #: Columns added to every raw row.
 LINEAGE = ("source_file", "ingestion_timestamp")
 
+#: Columns beside them that say why a row was refused, and the row as it was delivered; NULL in accepted rows.
+REFUSAL = ("problem", "raw_line")
+
 #: Feeds whose quoted text may contain line breaks. Their files are read whole, one task per file, unless the delivery is
 #: declared to be free of them (``line_breaks=False``).
 FREE_TEXT_FEEDS = frozenset({"gbp_reviews"})
@@ -56,6 +59,14 @@ def bronze_schema(feed: str) -> T.StructType:
     return feed_schema(feed).add("source_file", T.StringType()).add("ingestion_timestamp", T.TimestampType())
 
 
+def landed_schema(feed: str) -> T.StructType:
+    """Raw rows and, beside them, those that were refused."""
+    schema = bronze_schema(feed)
+    for name in REFUSAL:
+        schema = schema.add(name, T.StringType())
+    return schema
+
+
 def normalise_header(name: str | Column) -> str | Column:
     """Strip, lower-case, and turn blanks and dashes into underscores; for a name or a column of names."""
     if isinstance(name, Column):
@@ -118,7 +129,9 @@ def profile_files(spark: SparkSession, folder: str, sample: int = 3) -> DataFram
 def csv_options(feed: str, line_breaks: bool | None = None) -> dict[str, str]:
     """Reader options of a feed; ``line_breaks`` says whether quoted text holds any (default: :data:`FREE_TEXT_FEEDS`)."""
     multi_line = feed in FREE_TEXT_FEEDS if line_breaks is None else line_breaks
-    return {"header": "true", "enforceSchema": "true", "escape": '"', "multiLine": str(multi_line).lower(), "mode": "PERMISSIVE"}
+    return {"header": "true", "enforceSchema": "true", "escape": '"', "multiLine": str(multi_line).lower(), "mode": "PERMISSIVE",
+            "columnPruning": "false"}  # else cells are only counted where all columns are asked for
+
 
 
 def header_layouts(lines: DataFrame) -> dict[tuple[str, ...], list[str]]:
@@ -145,21 +158,57 @@ def read_layout(spark: SparkSession, paths: list[str] | str, names: tuple[str, .
     if key not in names:
         some = paths if isinstance(paths, str) else ", ".join(p.rsplit("/", 1)[-1] for p in paths[:5])
         raise ValueError(f"no {key} header in {some}")
-    schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(len(names))])
-    raw = spark.read.options(**options).schema(schema).csv(paths)
+    schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(len(names))]).add(_LINE, T.StringType())
+    raw = spark.read.options(**options, columnNameOfCorruptRecord=_LINE).schema(schema).csv(paths)
     columns = [(F.col(f"_c{names.index(c)}") if c in names else F.lit(None).cast("string")).alias(c) for c in FEEDS[feed]]
-    return raw.select(*columns, F.col("_metadata.file_name").alias("source_file"))
+    return raw.select(*columns, F.col("_metadata.file_name").alias("source_file"), *_refusal(F.col(f"_c{names.index(key)}"), len(names)))
+
+
+#: The reader puts a row here as it was delivered if its cells are not as many as the header's.
+_LINE = "_line"
+
+
+def _refusal(key: Column, width: int) -> list[Column]:
+    """:data:`REFUSAL` of a row read with ``width`` columns. Also a quote that opens a cell and never ends is a problem where it
+    happens to leave the right number of cells."""
+    bare = F.regexp_replace(_LINE, '"[^"]*"', "")
+    cells = F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
+    # the key is named too, because a scan of nothing but the reader's own column is not allowed
+    seen = F.col(_LINE).isNotNull() & (F.coalesce(F.length(key), F.lit(0)) >= 0)
+    problem = F.when(F.contains(bare, F.lit('"')), "unclosed quote").when(cells > width, "too many cells").when(cells < width, "too few cells")
+    return [F.when(seen, F.coalesce(problem, F.lit("unreadable"))).alias("problem"), F.col(_LINE).alias("raw_line")]
 
 
 def with_lineage(df: DataFrame, feed: str) -> DataFrame:
-    return df.select(*FEEDS[feed], "source_file", F.current_timestamp().alias("ingestion_timestamp"))
+    return df.select(*FEEDS[feed], "source_file", F.current_timestamp().alias("ingestion_timestamp"), *REFUSAL)
+
+
+def accepted(landed: DataFrame) -> DataFrame:
+    """The raw rows that were not refused, without :data:`REFUSAL`."""
+    return landed.filter("problem IS NULL").drop(*REFUSAL)
+
+
+def refused(landed: DataFrame) -> DataFrame:
+    """source_file, ingestion_timestamp, problem and raw_line of the refused rows."""
+    return landed.filter("problem IS NOT NULL").select(*LINEAGE, *REFUSAL)
 
 
 def read_files(
     spark: SparkSession, paths: list[str] | str, feed: str, pattern: str | None = None, line_breaks: bool | None = None,
     skip: frozenset[str] | set[str] = frozenset(),
 ) -> DataFrame:
-    """Files (or folders) of one feed, each read by its own header.
+    """The accepted rows of :func:`land_files`."""
+    return accepted(land_files(spark, paths, feed, pattern, line_breaks, skip))
+
+
+def land_files(
+    spark: SparkSession, paths: list[str] | str, feed: str, pattern: str | None = None, line_breaks: bool | None = None,
+    skip: frozenset[str] | set[str] = frozenset(),
+) -> DataFrame:
+    """Files (or folders) of one feed, each read by its own header, and the rows that cannot be placed.
+
+    A row with more or fewer cells than its file's header, or with a quote that never ends, is refused: its cells cannot be told
+    apart. Such rows are kept with their ``problem`` and ``raw_line``; no cell is cut off and none is made up.
 
     Headers are matched after :func:`normalise_header`, so order, case, width and extra columns may differ from file to file; of two
     equal names the first counts. Files with the same header are one scan; there are as many scans as different headers. A file
@@ -177,7 +226,7 @@ def read_files(
     else:
         found = [read_layout(spark, files, names, feed, options) for names, files in layouts.items()]
     if not found:
-        return spark.createDataFrame([], bronze_schema(feed))
+        return spark.createDataFrame([], landed_schema(feed))
     return with_lineage(reduce(DataFrame.union, found), feed)
 
 
@@ -193,5 +242,6 @@ def read_feed(
     if by_name:
         return read_files(spark, folder, feed, pattern, line_breaks)
     options = csv_options(feed, line_breaks) | {"enforceSchema": "false", "pathGlobFilter": pattern}
-    strict = spark.read.options(**options).schema(feed_schema(feed)).csv(folder)
-    return with_lineage(strict.select("*", F.col("_metadata.file_name").alias("source_file")), feed)
+    strict = spark.read.options(**options, columnNameOfCorruptRecord=_LINE).schema(feed_schema(feed).add(_LINE, T.StringType())).csv(folder)
+    placed = strict.select(*FEEDS[feed], F.col("_metadata.file_name").alias("source_file"), *_refusal(F.col(FEEDS[feed][0]), len(FEEDS[feed])))
+    return accepted(with_lineage(placed, feed))

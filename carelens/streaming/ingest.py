@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from carelens.sources.feeds import FEEDS, bronze_schema, feed_pattern, read_files
+from carelens.sources.feeds import FEEDS, accepted, feed_pattern, land_files, landed_schema, refused
 
 #: Files loaded in one batch; a run with more loads them in several.
 MAX_FILES = 10_000
@@ -56,7 +56,7 @@ def start_feed(
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         paths = [r["path"] for r in batch.collect()]  # at most max_files_per_batch names
         if paths:
-            read_files(batch.sparkSession, paths, feed, line_breaks=line_breaks).write.mode("overwrite").parquet(
+            land_files(batch.sparkSession, paths, feed, line_breaks=line_breaks).write.mode("overwrite").parquet(
                 f"{bronze}/{feed}/{version}/batch_id={batch_id}"
             )
 
@@ -101,9 +101,8 @@ def full_reload(
         switched.write.mode("append").json(f"{bronze}/versions/{feed}")
 
 
-def read_bronze(spark: SparkSession, bronze: str, feed: str) -> DataFrame:
-    """The raw table of a feed; empty when none of its files has arrived yet."""
-    schema = bronze_schema(feed)
+def _landed(spark: SparkSession, bronze: str, feed: str) -> DataFrame:
+    schema = landed_schema(feed)
     try:
         return spark.read.schema(schema).parquet(f"{bronze}/{feed}/{current_version(spark, bronze, feed)}").select(*schema.names)
     except AnalysisException as error:
@@ -112,15 +111,31 @@ def read_bronze(spark: SparkSession, bronze: str, feed: str) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
-def processed_files(tables: dict[str, DataFrame]) -> DataFrame:
-    """The ledger as a table: ``(file_name, dataset, processed_at, rows_loaded)``, derived from raw rows."""
-    ledgers = [
-        df.groupBy(F.col("source_file").alias("file_name"))
-        .agg(F.min("ingestion_timestamp").alias("processed_at"), F.count(F.lit(1)).alias("rows_loaded"))
-        .select("file_name", F.lit(feed).alias("dataset"), "processed_at", "rows_loaded")
-        for feed, df in tables.items()
-    ]
-    return reduce(DataFrame.unionByName, ledgers)
+def read_bronze(spark: SparkSession, bronze: str, feed: str) -> DataFrame:
+    """The raw table of a feed; empty when none of its files has arrived yet."""
+    return accepted(_landed(spark, bronze, feed))
+
+
+def read_refused(spark: SparkSession, bronze: str, feed: str) -> DataFrame:
+    """The rows of a feed's files that could not be placed: source_file, ingestion_timestamp, problem, raw_line."""
+    return refused(_landed(spark, bronze, feed))
+
+
+def processed_files(tables: dict[str, DataFrame], rejected: dict[str, DataFrame] | None = None) -> DataFrame:
+    """The ledger as a table: ``(file_name, dataset, processed_at, rows_loaded)``, derived from raw rows.
+
+    With the refused rows of the feeds also ``rows_rejected``; a file of which every row was refused is then listed too.
+    """
+
+    def ledger(feed: str) -> DataFrame:
+        marks = tables[feed].select("source_file", "ingestion_timestamp", F.lit(False).alias("bad"))
+        if rejected is not None:
+            marks = marks.unionAll(rejected[feed].select("source_file", "ingestion_timestamp", F.lit(True)))
+        counts = [F.count_if(~F.col("bad")).alias("rows_loaded"), F.count_if("bad").alias("rows_rejected")]
+        rows = marks.groupBy(F.col("source_file").alias("file_name")).agg(F.min("ingestion_timestamp").alias("processed_at"), *counts)
+        return rows.select("file_name", F.lit(feed).alias("dataset"), "processed_at", "rows_loaded", *["rows_rejected"] * (rejected is not None))
+
+    return reduce(DataFrame.unionByName, map(ledger, tables))
 
 
 def repeated_loads(ledger_rows: DataFrame) -> DataFrame:

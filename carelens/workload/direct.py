@@ -26,7 +26,7 @@ from carelens.session import scratch_path
 from carelens.plans.silver import clean_shifts, unreadable_rules
 from carelens.sources.export import RUN_LOG_SCHEMA, append_run_log, export_checks, export_tables
 from carelens.sources.feeds import discover_files, profile_files, read_feed
-from carelens.streaming.ingest import file_count_differences, full_reload, processed_files, read_bronze, repeated_loads, start_feed
+from carelens.streaming.ingest import file_count_differences, full_reload, processed_files, read_bronze, read_refused, repeated_loads, start_feed
 from carelens.workload.feeds import DERIVED, bronze, load
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -822,6 +822,36 @@ def _processed_files(s: Source) -> DataFrame:
     return ledger.withColumn("repeated", repeated_loads(loaded).agg(_rows()).scalar())
 
 
+_LINES = {  # how a lease's line is delivered -> (which leases, the line, why it is refused)
+    "a cell more": ("o_orderkey % 11 = 0", "concat(line, ',x')", "too many cells"),
+    "cells missing": ("o_orderkey % 13 = 0", "substring_index(line, ',', 6)", "too few cells"),
+    "a quote left open": ("o_orderkey % 17 = 0", "replace(line, ',U', ',\"U')", "unclosed quote"),
+    "a quoted comma": ("o_orderkey % 19 = 0", "replace(line, ',U', ',\"a,b \"\"c\"\"\",U')", "too many cells"),
+}
+_LINE_KIND = "CASE " + " ".join(f"WHEN {which} THEN '{problem}'" for which, _, problem in _LINES.values()) + " END"
+
+
+@register(
+    "refused_rows",
+    f"SELECT coalesce(problem, 'accepted') AS problem, count(*) AS row_count, count(problem) AS with_line FROM (SELECT {_LINE_KIND} AS problem FROM orders) GROUP BY problem "
+    f"UNION ALL SELECT 'ledger', count(*) FILTER (problem IS NULL), count(problem) FROM (SELECT {_LINE_KIND} AS problem FROM orders)",
+)
+def _refused_rows(s: Source) -> DataFrame:
+    """Leases landed as lines, some of them ragged or with an open quote: what each load accepts and refuses, and what the ledger says."""
+    raw, out, ledger = (scratch_path(s.spark, label) for label in ("raw", "bronze", "ledger"))
+    leases = bronze(s.spark, s.sf_dir, "yardi_leases").drop("source_file", "ingestion_timestamp")
+    lines = leases.select(F.concat_ws(",", *[F.coalesce(c, F.lit("")) for c in leases.columns]).alias("line"), F.substring("lease_id", 2, 20).cast("long").alias("o_orderkey"))
+    made = "CASE " + " ".join(f"WHEN {which} THEN {line}" for which, line, _ in _LINES.values()) + " ELSE line END"
+    plain = {"header": True, "sep": "\u0001", "quote": "\u0000", "escapeQuotes": False, "mapreduce.output.basename": "yardi_leases_delivery"}
+    lines.select(F.expr(made).alias(",".join(leases.columns))).write.options(**plain).csv(raw)
+    start_feed(s.spark, raw, out, ledger, "yardi_leases").awaitTermination()
+    loaded, refused = read_bronze(s.spark, out, "yardi_leases"), read_refused(s.spark, out, "yardi_leases")
+    files = processed_files({"yardi_leases": loaded}, {"yardi_leases": refused}).agg(F.sum("rows_loaded").alias("row_count"), F.sum("rows_rejected").alias("with_line"))
+    reasons = refused.groupBy("problem").agg(_rows().alias("row_count"), F.count(F.when(F.startswith("raw_line", F.lit("L")), 1)).alias("with_line"))
+    right = loaded.filter("lease_id LIKE 'L%' AND length(move_in_date) = 10").agg(F.lit("accepted").alias("problem"), _rows().alias("row_count"), F.lit(0).cast("long").alias("with_line"))
+    return reasons.unionByName(right).unionByName(files.withColumn("problem", F.lit("ledger")))
+
+
 @register(
     "file_count_differences",
     "SELECT strftime(o_orderdate, '%Y-%m') AS period, count(*) AS missing FROM orders WHERE o_orderstatus = 'P' GROUP BY 1",

@@ -213,6 +213,14 @@ BAD_NUMBERS = {
 }
 
 
+def test_rows_that_do_not_fit_their_header_are_counted(spark, tmp_path):
+    write(tmp_path / "raw", "2025_01", {"yardi_units": ["U1,C001,AL,7,2025-01-01", "U2,C001,AL,7,2025-01-01,more", "U3"], "pcc_incidents": ["I1,R1"]})
+    tables = run_pipeline(spark, str(tmp_path / "raw"), str(tmp_path / "lake"), AS_OF)
+    log = _log(tmp_path / "lake", spark)[0]
+    assert (log["status"], log["rows_rejected"]) == ("SUCCESS", {"yardi_units": 2, "pcc_incidents": 1})
+    assert log["rows_loaded"]["yardi_units"] == 1 and [r["unit_id"] for r in tables.silver["yardi_units"].collect()] == ["U1"]
+
+
 @pytest.mark.parametrize("corrected", [False, True])
 def test_quarantine_keeps_the_run_going(spark, tmp_path, corrected):
     write(tmp_path / "raw", "2025_01", BAD_NUMBERS)

@@ -104,6 +104,49 @@ def _load(spark, root, feeds_=("pcc_residents", "yardi_leases")):
     return {f: ing.read_bronze(spark, f"{root}/bronze", f) for f in feeds_}
 
 
+BROKEN = {
+    "U1,C001,AL,4000,2025-01-01": None,
+    "U2,C001,AL,4000,2025-01-01,": "too many cells",
+    "U3,C001,AL": "too few cells",
+    'U4,C001,"AL,4000,2025-01-01': "unclosed quote",
+    'U5,C001,AL,"4,000",2025-01-01': None,
+    'U6,"C ""1""",AL,,': None,
+    'U7,C001,"A,L",4000': "too few cells",
+    ",,,,": None,
+    "U8": "too few cells",
+}
+
+
+def test_rows_that_do_not_fit_their_header_are_refused_whole(spark, tmp_path, rows):
+    raw = tmp_path / "raw"
+    write(raw, "2025_01", {"yardi_units": list(BROKEN)})
+    (raw / "yardi_units_2025_02.csv").write_text("snapshot_date,unit_id\n2025-02-01,U9\n2025-02-01,U10,x\n")
+    (raw / "yardi_units_2025_03.csv").write_text("unit_id,monthly_rent\nU11\n")
+    good = [line.split(",")[0] or None for line, problem in BROKEN.items() if problem is None] + ["U9"]
+    assert rows(feeds.read_feed(spark, str(raw), "yardi_units"), "unit_id") == sorted(((u,) for u in good), key=lambda r: (r[0] is not None, str(r[0])))
+    assert feeds.read_feed(spark, str(raw), "yardi_units").count() == len(good)
+
+    ing.ingest(spark, str(raw), f"{tmp_path}/bronze", f"{tmp_path}/ledger", ("yardi_units",))
+    loaded, refused = ing.read_bronze(spark, f"{tmp_path}/bronze", "yardi_units"), ing.read_refused(spark, f"{tmp_path}/bronze", "yardi_units")
+    assert loaded.columns == [*HEADERS["yardi_units"].split(","), *feeds.LINEAGE] and loaded.count() == len(good)
+    assert {(r.raw_line, r.problem) for r in refused.collect()} == {
+        *((line, problem) for line, problem in BROKEN.items() if problem), ("2025-02-01,U10,x", "too many cells"), ("U11", "too few cells")
+    }
+    ledger = ing.processed_files({"yardi_units": loaded}, {"yardi_units": refused})
+    assert rows(ledger, "file_name", "rows_loaded", "rows_rejected") == [
+        ("yardi_units_2025_01.csv", 4, 5), ("yardi_units_2025_02.csv", 1, 1), ("yardi_units_2025_03.csv", 0, 1)
+    ]
+
+
+def test_broken_rows_of_free_text_and_strict_reads(spark, tmp_path, rows):
+    write(tmp_path, "2025_01", {"gbp_reviews": ['G1,C001,2025-01-01,5,"two\nlines",,', "G2,C001,2025-01-01", "G3,C001,2025-01-01,4,fine,,", 'G4,C001,2025-01-01,4,"open,,']})
+    landed = feeds.land_files(spark, str(tmp_path), "gbp_reviews")
+    assert rows(feeds.accepted(landed), "review_id", "review_text") == [("G1", "two\nlines"), ("G3", "fine")]
+    assert [(r.problem, r.raw_line[:2]) for r in feeds.refused(landed).orderBy("raw_line").collect()] == [("too few cells", "G2"), ("unclosed quote", "G4")]
+    write(tmp_path, "2025_01", {"yardi_units": list(BROKEN)})
+    assert feeds.read_feed(spark, str(tmp_path), "yardi_units", by_name=False).count() == 4
+
+
 def test_incremental_ingest(spark, tmp_path, rows):
     raw = tmp_path / "raw"
     write(raw, "2025_01", JANUARY)
