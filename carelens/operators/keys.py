@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+from functools import reduce
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from carelens.session import materialise
 
@@ -39,6 +44,49 @@ def dense_key(df: DataFrame, name: str, order: list[Column | str]) -> DataFrame:
     return placed.join(starts, "_part").select((F.col("_start") + position + 1).alias(name), *df.columns)
 
 
+def stored_keys(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The key table at ``path``; empty if nothing was numbered yet."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def _same(left: DataFrame, right: DataFrame, columns: list[str]) -> Column:
+    return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in columns])
+
+
+def extend_keys(ids: DataFrame, name: str, columns: list[str], path: str) -> DataFrame:
+    """The key table at ``path``, extended by the ids it lacks: ``name`` and ``columns``.
+
+    A number once given stays. Unseen ids (found by an anti join) are numbered in their sort order after the highest number, so
+    numbers stay dense. New rows are appended in one job; repeating it after a failure finds what is stored and adds the rest. Ids
+    may be null. One writer at a time.
+    """
+    wanted = ids.select(*columns).distinct()
+    schema = T.StructType([T.StructField(name, T.LongType()), *wanted.schema.fields])
+    known = stored_keys(ids.sparkSession, path, schema)
+    unseen = dense_key(wanted.join(known, _same(wanted, known, columns), "left_anti"), name, columns)
+    highest = known.agg(F.coalesce(F.max(name), F.lit(0))).scalar()
+    materialise(unseen.withColumn(name, F.col(name) + highest), f"new-{name}").write.mode("append").parquet(path)
+    return stored_keys(ids.sparkSession, path, schema)
+
+
+def kept_key(folder: str) -> Callable[[DataFrame, str, list[str]], DataFrame]:
+    """An alternative to :func:`dense_key` whose numbers stay from run to run: key tables lie under ``folder``, one per key name.
+
+    Rows that agree in the ordering columns share a number.
+    """
+
+    def keyed(df: DataFrame, name: str, order: list[str]) -> DataFrame:
+        table = extend_keys(df, name, order, f"{folder}/{name}")
+        return df.join(table, _same(df, table, order), "left").select(table[name], *[df[c] for c in df.columns])
+
+    return keyed
+
+
 def hash_key(*columns: str) -> Column:
     """A key that depends on the row's content only: equal on every run, on every cluster.
 

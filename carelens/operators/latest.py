@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from carelens.session import materialise
+
 
 def latest_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """Keep the first row of each key under ``order`` (give a total order for a stable result).
@@ -51,3 +54,47 @@ def conflicting_keys(df: DataFrame, keys: list[str], lineage: list[str]) -> Data
         .agg(F.count(F.lit(1)).alias("versions"))
         .filter("versions > 1")
     )
+
+
+class LatestState:
+    """One winner per key, kept under ``path`` and merged with what arrives, instead of reading all deliveries again.
+
+    A winner of winners is the winner of all, so deliveries may come in any order, late, or twice. Keys are dealt to ``buckets`` by a hash.
+    A merge reads and rewrites only the buckets of the keys that arrived, as a new version; a row of the log then makes the version
+    valid, so a merge that fails changes nothing and can be repeated. ``order`` must be total. One writer at a time.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, schema: str, keys: list[str], order: list[Column], buckets: int = 64):
+        self.spark, self.path, self.schema, self.keys, self.order, self.buckets = spark, path, schema, keys, order, buckets
+
+    def versions(self) -> dict[int, int]:
+        """The valid version of each bucket that holds anything: at most ``buckets`` numbers."""
+        try:
+            log = self.spark.read.schema("version long, bucket int").json(f"{self.path}/log")
+            return {r["bucket"]: r["version"] for r in log.groupBy("bucket").agg(F.max("version").alias("version")).collect()}
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return {}
+
+    def read(self, only: set[int] | None = None) -> DataFrame:
+        """The winners, of some buckets or all."""
+        names = self.spark.createDataFrame([], self.schema).columns
+        valid = {b: v for b, v in self.versions().items() if only is None or b in only}
+        if not valid:
+            return self.spark.createDataFrame([], self.schema)
+        folders = [f"{self.path}/data/version={v}/bucket={b}" for b, v in sorted(valid.items())]
+        return self.spark.read.schema(self.schema).parquet(*folders).select(*names)
+
+    def merge(self, batch: DataFrame) -> set[int]:
+        """Take over the rows of a delivery that win; returns the buckets that were rewritten."""
+        bucket = F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
+        arrived = materialise(latest_per_key(batch, self.keys, self.order), "arrived")
+        touched = {r["b"] for r in arrived.select(bucket.alias("b")).distinct().collect()}  # at most ``buckets``
+        if touched:
+            version = max(self.versions().values(), default=0) + 1
+            winners = latest_per_key(self.read(touched).unionByName(arrived), self.keys, self.order).withColumn("bucket", bucket)
+            winners.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/data/version={version}")
+            rows = self.spark.createDataFrame([(version, b) for b in sorted(touched)], "version long, bucket int")
+            rows.coalesce(1).write.mode("append").json(f"{self.path}/log")
+        return touched

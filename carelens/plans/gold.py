@@ -2,7 +2,7 @@
 
 Dimension keys are dense numbers by default (``dense_key`` writes the dimension once). Pass
 ``keyed=content_key`` for keys computed from the business key alone: nothing is written, and they are equal on
-every run.
+every run. ``keyed=kept_key(folder)`` gives dense numbers that stay: ids that arrive later are numbered after the others.
 
 Facts look dimensions up with plain left joins. No broadcast is forced: Spark broadcasts a dimension whose
 stored size is below its threshold and otherwise uses a sort-merge join, whose skewed partitions AQE splits.

@@ -20,6 +20,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from carelens.operators.keys import dense_key, kept_key
 from carelens.operators.quality import quarantine
 from carelens.plans import gold as g
 from carelens.plans.silver import CLEANERS, repeated_rows, unreadable_rules
@@ -75,21 +76,26 @@ def _dedupe_of(corrected: bool) -> str:
 
 
 def build_gold(
-    spark: SparkSession, silver: dict[str, DataFrame], folder: str, as_of=None, corrected: bool = False
+    spark: SparkSession, silver: dict[str, DataFrame], folder: str, as_of=None, corrected: bool = False, keys: str | None = None
 ) -> dict[str, DataFrame]:
-    """Write the star schema: independent dimensions first, then residents, then all facts."""
+    """Write the star schema: independent dimensions first, then residents, then all facts.
+
+    With ``keys``, a folder, the numbers of communities, residents and employees stay from run to run. Rows of the history are numbered anew:
+    a later change closes an interval, which is then another row.
+    """
+    keyed = kept_key(keys) if keys else dense_key
     dims = write_all(
         {
-            "dim_community": lambda: g.dim_community(silver),
+            "dim_community": lambda: g.dim_community(silver, keyed),
             "dim_resident_scd": lambda: g.dim_resident_scd(silver["pcc_care_history"]),
             "dim_date": lambda: g.dim_date(silver, corrected),
-            "dim_employee": lambda: g.dim_employee(silver["adp_shifts"]),
+            "dim_employee": lambda: g.dim_employee(silver["adp_shifts"], keyed),
             "dim_community_region": lambda: dim_community_region(spark),
         },
         folder,
     )
     communities, dates = dims["dim_community"], dims["dim_date"]
-    dims |= write_all({"dim_resident": lambda: g.dim_resident(silver["pcc_residents"], communities)}, folder)
+    dims |= write_all({"dim_resident": lambda: g.dim_resident(silver["pcc_residents"], communities, keyed)}, folder)
     residents = dims["dim_resident"]
     facts = write_all(
         {
@@ -146,11 +152,13 @@ def run_pipeline(
     export_to: str | None = None,
     quarantine_rows: bool = False,
     max_files_per_batch: int = MAX_FILES,
+    stable_keys: bool = False,
 ) -> Tables:
     """Load new files from ``raw`` and rebuild everything under ``root`` (both on shared storage).
 
     A failure is recorded in the run log and raised. ``rows_rejected`` counts, per feed, the delivered rows whose cells do not fit their
-    header, which never reach a raw table, and the quarantined ones.
+    header, which never reach a raw table, and the quarantined ones. With ``stable_keys`` dimension numbers are kept under
+    ``keys``, so that facts of different runs can be joined.
     """
     started, run_id = time.time(), uuid.uuid4().hex
     log = {
@@ -197,7 +205,7 @@ def run_pipeline(
         silver = build_silver(accepted, f"{home}/silver", corrected)
         tables.silver = {name.removeprefix("silver_"): df for name, df in silver.items()}
 
-        tables.gold = build_gold(spark, tables.silver, f"{home}/gold", as_of, corrected)
+        tables.gold = build_gold(spark, tables.silver, f"{home}/gold", as_of, corrected, f"{root}/keys" if stable_keys else None)
         publish_views(tables)
         expected = {}
         if refused or corrected:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from carelens.operators.quality import summarise
 
@@ -31,6 +32,25 @@ def export_tables(
     return chosen
 
 
+def export_by_month(df: DataFrame, day: str, path: str) -> DataFrame:
+    """Export a fact under ``year=/month=`` folders of its date column and return the exported table.
+
+    Only the months that ``df`` holds are replaced, so a month can be exported again alone; rows without a date have a folder of their
+    own. Months are balanced by Spark before they are written: a large one is split over tasks, small ones share a task.
+    """
+    dated = df.withColumns({"year": F.year(day), "month": F.month(day)})
+    writer = dated.hint("rebalance", "year", "month").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("year", "month").parquet(path)
+    return df.sparkSession.read.schema(dated.schema).parquet(path)
+
+
+def in_months(exported: DataFrame, dates: DataFrame) -> DataFrame:
+    """The rows of an exported fact in the months (columns year and month) of ``dates``. The months found there prune the folders that are
+    read, while the query runs."""
+    months = dates.select("year", "month").distinct()
+    return exported.join(months, ["year", "month"]).select(*exported.columns)
+
+
 def export_catalog_tables(spark: SparkSession, out: str, prefixes=("dim_", "fact_")) -> list[str]:
     """The same for tables and views of the session's current database."""
     names = [t.name for t in spark.catalog.listTables()]

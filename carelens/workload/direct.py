@@ -18,13 +18,13 @@ from carelens.operators import profile, quality
 from carelens.operators.aggregates import distinct_union, share_by, since_latest, topk_share
 from carelens.operators.census import census_intervals, daily_census, resident_days
 from carelens.operators.history import changes_within, scd2
-from carelens.operators.keys import dense_key, hash_key
-from carelens.operators.latest import first_copy_of_text, latest_per_key
+from carelens.operators.keys import dense_key, hash_key, kept_key
+from carelens.operators.latest import LatestState, first_copy_of_text, latest_per_key
 from carelens.operators.security import Principal, apply_row_security
 from carelens.plans import measures as m
 from carelens.session import scratch_path
 from carelens.plans.silver import clean_shifts, unreadable_rules
-from carelens.sources.export import RUN_LOG_SCHEMA, append_run_log, export_checks, export_tables
+from carelens.sources.export import RUN_LOG_SCHEMA, append_run_log, export_by_month, export_checks, export_tables, in_months
 from carelens.sources.feeds import discover_files, profile_files, read_feed
 from carelens.streaming.ingest import file_count_differences, full_reload, processed_files, read_bronze, read_refused, repeated_loads, start_feed
 from carelens.workload.feeds import DERIVED, bronze, load
@@ -176,6 +176,39 @@ def _dim_dense_key(s: Source) -> DataFrame:
     return dense_key(distinct_union([s.customer.select("c_custkey"), s.orders.select("o_custkey")], "id"), "id_key", ["id"])
 
 
+_EARLY = "o_orderdate < DATE '1995-06-01' AND o_custkey % 3 <> 0"
+
+
+@register(
+    "kept_keys",
+    f"WITH early AS (SELECT DISTINCT o_custkey AS id FROM orders WHERE {_EARLY}), late AS (SELECT id FROM ({_CUSTOMER_IDS}) WHERE id NOT IN (SELECT id FROM early)) "
+    "SELECT id, row_number() OVER (ORDER BY id) AS id_key FROM early "
+    "UNION ALL SELECT id, (SELECT count(*) FROM early) + row_number() OVER (ORDER BY id) FROM late",
+)
+def _kept_keys(s: Source) -> DataFrame:
+    """Customers numbered in three runs: some of them, then all, among them ids below and between the first, then all again."""
+    folder = scratch_path(s.spark, "keys")
+    every = distinct_union([s.customer.select("c_custkey"), s.orders.select("o_custkey")], "id")
+    for ids in (s.orders.filter(_EARLY).select(F.col("o_custkey").alias("id")).distinct(), every, every):
+        numbered = kept_key(folder)(ids, "id_key", ["id"])
+    return numbered.select("id", "id_key")
+
+
+@register(
+    "latest_by_merge",
+    "SELECT o_custkey, o_orderkey, o_orderdate::DATE AS order_day, o_orderpriority FROM orders "
+    "QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1",
+)
+def _latest_by_merge(s: Source) -> DataFrame:
+    """The same winners as by reading everything, from deliveries out of order, one of them twice."""
+    rows = s.orders.select("o_custkey", "o_orderkey", _day("o_orderdate").alias("order_day"), "o_orderpriority")
+    schema = "o_custkey long, o_orderkey long, order_day date, o_orderpriority string"
+    state = LatestState(s.spark, scratch_path(s.spark, "latest"), schema, ["o_custkey"], [F.col("order_day").desc(), F.col("o_orderkey").desc()], buckets=8)
+    for part in (2, 0, 3, 2, 1):
+        state.merge(rows.filter(F.pmod(F.col("o_orderkey"), F.lit(4)) == part))
+    return state.read()
+
+
 @register(
     "dim_hash_key",
     f"SELECT id, md5('=' || id) AS id_key FROM ({_CUSTOMER_IDS})",
@@ -1004,6 +1037,25 @@ register("sampled_rows", "SELECT least(count(*), 3)::BIGINT AS sampled, 0::BIGIN
 )
 
 
+@register(
+    "monthly_export",
+    "SELECT o_orderpriority, year(o_orderdate) AS year, month(o_orderdate) AS month, count(*) AS row_count, "
+    "round(sum(CASE WHEN strftime(o_orderdate, '%Y-%m') = '1996-02' THEN 2 ELSE 1 END * o_totalprice), 2) AS total FROM orders "
+    "WHERE year(o_orderdate) = 1996 AND month(o_orderdate) <= 3 GROUP BY 1, 2, 3",
+)
+def _monthly_export(s: Source) -> DataFrame:
+    """Orders exported by month, one month exported again with other prices, and the months of a date table read back."""
+    out = scratch_path(s.spark, "export")
+    export_by_month(s.orders, "o_orderdate", out)
+    again = s.orders.filter("date_format(o_orderdate, 'yyyy-MM') = '1996-02'").withColumn("o_totalprice", F.col("o_totalprice") * 2)
+    exported = export_by_month(again, "o_orderdate", out)
+    days = s.orders.filter("o_orderdate >= DATE '1996-01-01' AND o_orderdate < DATE '1996-04-01'").select(F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month"))
+    found = in_months(exported, days).groupBy("o_orderpriority", "year", "month")
+    return found.agg(_rows().alias("row_count"), round2(F.sum("o_totalprice")).alias("total")).select(
+        "o_orderpriority", F.col("year").cast("long").alias("year"), F.col("month").cast("long").alias("month"), "row_count", "total"
+    )
+
+
 @register(
     "parquet_export",
     "SELECT c_nationkey, count(*) AS row_count, round(sum(c_acctbal), 2) AS balance FROM customer GROUP BY c_nationkey",

@@ -388,3 +388,46 @@ def test_entitlement_table(spark):
     assert seen == {"chief": [1, 2, 3, 4], "sw": [2], "one": [1], "odd": [], "none": []}
     every = security.rows_by_principal(data, granted)
     assert sorted((r["principal"], r["v"]) for r in every.collect()) == [("chief", 1), ("chief", 2), ("chief", 3), ("chief", 4), ("one", 1), ("sw", 2)]
+
+
+def test_kept_keys_stay_and_new_ones_follow(spark, tmp_path):
+    rng, known, keyed = random.Random(3), {}, keys.kept_key(str(tmp_path / "keys"))
+    for _ in range(4):
+        ids = {rng.choice([None, *range(40)]) for _ in range(12)}
+        df = spark.createDataFrame([(i, "x") for i in sorted(ids, key=str)], "k int, name string")
+        got = {r["k"]: r["n"] for r in keyed(df, "n", ["k"]).collect()}
+        new = sorted(ids - known.keys(), key=lambda k: (k is None, k))
+        known |= {k: len(known) + i for i, k in enumerate(new, 1)}
+        assert got == {k: known[k] for k in ids}
+    again = keyed(df, "n", ["k"])
+    assert again.columns == ["n", "k", "name"] and {r["k"]: r["n"] for r in again.collect()} == got
+    assert keyed(df.limit(0), "n", ["k"]).count() == 0
+    table = keys.stored_keys(spark, str(tmp_path / "keys" / "n"), again.select("n", "k").schema)
+    assert sorted(r["n"] for r in table.collect()) == list(range(1, len(known) + 1))
+
+
+def test_latest_by_merge_does_not_depend_on_the_deliveries(spark, tmp_path):
+    rng = random.Random(4)
+    rows = [(rng.choice([None, "a", "b", "c", "d"]), rng.choice([None, 1, 2, 3]), i) for i in range(60)]
+    schema, order = "k string, at int, i int", [F.col("at").desc_nulls_last(), F.col("i")]
+    expected = sorted(map(tuple, latest.latest_per_key(spark.createDataFrame(rows, schema), ["k"], order).collect()), key=str)
+    for run in range(2):
+        rng.shuffle(rows)
+        state = latest.LatestState(spark, str(tmp_path / str(run)), schema, ["k"], order, buckets=5)
+        assert state.read().count() == 0 and state.merge(spark.createDataFrame([], schema)) == set()
+        for part in (rows[:25], rows[20:], rows[:5]):
+            state.merge(spark.createDataFrame(part, schema))
+        assert sorted(map(tuple, state.read().collect()), key=str) == expected
+
+
+def test_a_merge_rewrites_the_buckets_that_it_touches(spark, tmp_path):
+    schema, order = "k int, at int", [F.col("at").desc()]
+    state = latest.LatestState(spark, str(tmp_path), schema, ["k"], order, buckets=8)
+    state.merge(spark.createDataFrame([(k, 1) for k in range(50)], schema))
+    before = state.versions()
+    touched = state.merge(spark.createDataFrame([(7, 2)], schema))
+    after = state.versions()
+    assert len(touched) == 1 and {b for b in after if after[b] != before.get(b)} == touched and len(before) == 8
+    # a version that the log does not name is not read
+    spark.createDataFrame([(7, 9)], schema).withColumn("bucket", F.lit(min(touched))).write.partitionBy("bucket").parquet(f"{tmp_path}/data/version=99")
+    assert {r["k"]: r["at"] for r in state.read().collect()} == {k: 2 if k == 7 else 1 for k in range(50)}

@@ -251,3 +251,27 @@ def test_export_takes_dimensions_and_facts_only(spark, tmp_path):
     assert not (tmp_path / "silver_c.parquet").exists()
     spark.range(2).createOrReplaceTempView("dim_temp_view")
     assert "dim_temp_view" in export.export_catalog_tables(spark, str(tmp_path / "catalog"))
+
+
+def test_a_month_is_exported_again_alone(spark, tmp_path):
+    rows_ = [(i, f"2025-0{1 + i % 3}-0{1 + i % 7}" if i % 10 else None) for i in range(60)]
+    df = spark.createDataFrame(rows_, "i int, day string").withColumn("day", F.col("day").cast("date"))
+    exported = export.export_by_month(df, "day", str(tmp_path / "fact"))
+    assert exported.count() == 60 and exported.filter("year IS NULL").count() == 6
+    files = lambda: {p.parent.name + p.parent.parent.name + p.name for p in (tmp_path / "fact").rglob("*.parquet")}
+    before = files()
+    exported = export.export_by_month(df.filter("month(day) = 2").withColumn("i", F.col("i") + 100), "day", str(tmp_path / "fact"))
+    assert {f for f in before ^ files()} == {f for f in before | files() if f.startswith("month=2year=2025")}
+    months = spark.createDataFrame([(2025, 2, "a"), (2025, 2, "b")], "year int, month int, note string")
+    got = export.in_months(exported, months)
+    assert sorted(r["i"] for r in got.collect()) == sorted(i + 100 for i, d in rows_ if d and d.startswith("2025-02"))
+    assert got.columns == ["i", "day", "year", "month"]
+
+
+def test_months_prune_the_folders_while_the_query_runs(spark, tmp_path):
+    df = spark.range(3000).select("id", F.expr("date_add(DATE '2024-01-01', cast(id % 700 as int))").alias("day"))
+    exported = export.export_by_month(df, "day", str(tmp_path / "fact"))
+    spark.range(24).select((2024 + F.col("id") / 12).cast("int").alias("year"), (F.col("id") % 12 + 1).cast("int").alias("month"), F.concat(F.lit("Q"), (F.col("id") % 12 / 3).cast("int")).alias("quarter")).write.parquet(str(tmp_path / "months"))
+    wanted = spark.read.parquet(str(tmp_path / "months")).filter("quarter = 'Q0'")
+    plan = export.in_months(exported, wanted)._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruningexpression" in plan
