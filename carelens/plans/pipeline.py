@@ -15,16 +15,15 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
-from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from carelens.operators.keys import dense_key, kept_key
-from carelens.operators.quality import quarantine
+from carelens.operators.quality import quarantine, row_count
 from carelens.plans import gold as g
 from carelens.plans.silver import CLEANERS, repeated_rows, unreadable_rules
-from carelens.plans.validation import validate
+from carelens.plans.validation import GOLD_OF_FEED, layer_metrics, validate
 from carelens.plans.views import build_views
 from carelens.sources.export import RUN_LOG_SCHEMA, WRITERS, append_run_log, export_checks, export_tables, replace_table
 from carelens.sources.feeds import FEEDS
@@ -43,21 +42,33 @@ class Tables:
     checks: DataFrame | None = None
 
 
-def write_all(builders: dict[str, Callable[[], DataFrame]], folder: str) -> dict[str, DataFrame]:
-    """Build and write independent tables side by side; returns them read back."""
+def write_all(
+    builders: dict[str, Callable[[], DataFrame]], folder: str, metrics: dict[str, dict[str, Column]] | None = None, measured: dict | None = None
+) -> dict[str, DataFrame]:
+    """Build and write independent tables side by side; returns them read back. ``metrics`` of a table go into ``measured``."""
+    metrics = metrics or {}
+
+    def write(name: str) -> DataFrame:
+        return replace_table(builders[name](), f"{folder}/{name}", metrics=metrics.get(name), measured=measured)
+
     with ThreadPoolExecutor(WRITERS) as pool:
-        pending = {n: pool.submit(lambda b=b, n=n: replace_table(b(), f"{folder}/{n}")) for n, b in builders.items()}
+        pending = {name: pool.submit(write, name) for name in builders}
         return {name: job.result() for name, job in pending.items()}
 
 
-def accepted_rows(bronze: dict[str, DataFrame], folder: str) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+def accepted_rows(
+    bronze: dict[str, DataFrame], folder: str, measured: dict | None = None
+) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
     """Raw rows that can be cleaned, and the others, which are written under ``folder`` with the rules they break."""
     split = {feed: quarantine(bronze[feed], unreadable_rules(feed)) for feed in FEEDS}
-    refused = write_all({feed: lambda feed=feed: split[feed][1] for feed in FEEDS}, folder)
+    counts = {feed: {f"Rejected_{feed}": row_count()} for feed in FEEDS} if measured is not None else None
+    refused = write_all({feed: lambda feed=feed: split[feed][1] for feed in FEEDS}, folder, counts, measured)
     return {feed: kept for feed, (kept, _) in split.items()}, refused
 
 
-def build_silver(bronze: dict[str, DataFrame], folder: str, corrected: bool = False) -> dict[str, DataFrame]:
+def build_silver(
+    bronze: dict[str, DataFrame], folder: str, corrected: bool = False, metrics: dict[str, dict[str, Column]] | None = None, measured: dict | None = None
+) -> dict[str, DataFrame]:
     """Clean and write every feed; text that is not a number fails the job.
 
     ``corrected`` counts rows repeated in several files once and orders resident snapshots by their month.
@@ -68,7 +79,7 @@ def build_silver(bronze: dict[str, DataFrame], folder: str, corrected: bool = Fa
             return CLEANERS[feed](bronze[feed], by_snapshot_month=corrected)
         return CLEANERS[feed](bronze[feed], dedupe=_dedupe_of(corrected))
 
-    return write_all({f"silver_{feed}": lambda feed=feed: build(feed) for feed in FEEDS}, folder)
+    return write_all({f"silver_{feed}": lambda feed=feed: build(feed) for feed in FEEDS}, folder, metrics, measured)
 
 
 def _dedupe_of(corrected: bool) -> str:
@@ -76,7 +87,8 @@ def _dedupe_of(corrected: bool) -> str:
 
 
 def build_gold(
-    spark: SparkSession, silver: dict[str, DataFrame], folder: str, as_of=None, corrected: bool = False, keys: str | None = None
+    spark: SparkSession, silver: dict[str, DataFrame], folder: str, as_of=None, corrected: bool = False, keys: str | None = None,
+    metrics: dict[str, dict[str, Column]] | None = None, measured: dict | None = None,
 ) -> dict[str, DataFrame]:
     """Write the star schema: independent dimensions first, then residents, then all facts.
 
@@ -92,10 +104,10 @@ def build_gold(
             "dim_employee": lambda: g.dim_employee(silver["adp_shifts"], keyed),
             "dim_community_region": lambda: dim_community_region(spark),
         },
-        folder,
-    )
+        folder, metrics, measured,
+    )
     communities, dates = dims["dim_community"], dims["dim_date"]
-    dims |= write_all({"dim_resident": lambda: g.dim_resident(silver["pcc_residents"], communities, keyed)}, folder)
+    dims |= write_all({"dim_resident": lambda: g.dim_resident(silver["pcc_residents"], communities, keyed)}, folder, metrics, measured)
     residents = dims["dim_resident"]
     facts = write_all(
         {
@@ -108,8 +120,8 @@ def build_gold(
             "fact_occupancy": lambda: g.fact_occupancy(silver["yardi_units"], communities, dates),
             "fact_incidents": lambda: g.fact_incidents(silver["pcc_incidents"], residents, communities, dates),
         },
-        folder,
-    )
+        folder, metrics, measured,
+    )
     return dims | facts
 
 
@@ -197,21 +209,26 @@ def run_pipeline(
             if row["rejected"]:
                 log["rows_rejected"][row["dataset"]] = row["rejected"]
 
-        accepted, refused = accepted_rows(tables.bronze, f"{home}/quarantine") if quarantine_rows else (tables.bronze, None)
-        if refused:
-            counts = [df.agg(F.lit(feed).alias("feed"), F.count(F.lit(1)).alias("n")) for feed, df in refused.items()]
-            for row in reduce(DataFrame.union, counts).collect():  # one row per feed
-                log["rows_rejected"][row["feed"]] = log["rows_rejected"].get(row["feed"], 0) + row["n"]
-        silver = build_silver(accepted, f"{home}/silver", corrected)
+        # what the checks need of a table is taken while it is written; the ledger has counted the raw rows
+        measured = {f"Bronze_{feed}": log["tables_loaded"].get(feed, 0) for feed in FEEDS}
+        accepted, refused = tables.bronze, None
+        if quarantine_rows:
+            accepted, refused = accepted_rows(tables.bronze, f"{home}/quarantine", measured)
+            for feed in FEEDS:
+                log["rows_rejected"][feed] = log["rows_rejected"].get(feed, 0) + measured[f"Rejected_{feed}"]
+        of_table = layer_metrics(as_of, adjusted=bool(refused or corrected))
+        silver_metrics = {f"silver_{feed}": of_table["Silver", feed] for feed in GOLD_OF_FEED}
+        gold_metrics = {table: of_table["Gold", feed] for feed, table in GOLD_OF_FEED.items()}
+        silver = build_silver(accepted, f"{home}/silver", corrected, silver_metrics, measured)
         tables.silver = {name.removeprefix("silver_"): df for name, df in silver.items()}
 
-        tables.gold = build_gold(spark, tables.silver, f"{home}/gold", as_of, corrected, f"{root}/keys" if stable_keys else None)
+        tables.gold = build_gold(spark, tables.silver, f"{home}/gold", as_of, corrected, f"{root}/keys" if stable_keys else None, gold_metrics, measured)
         publish_views(tables)
         expected = {}
         if refused or corrected:
             repeats = {f: repeated_rows(accepted[f], f, _dedupe_of(corrected)) for f in FEEDS if f != "pcc_residents"}
             expected = {"expected_dedupe": ("pcc_residents",), "rejected": refused or {}, "repeats": repeats}
-        checks = validate(tables.bronze, tables.silver, tables.gold, as_of, **expected)
+        checks = validate(tables.bronze, tables.silver, tables.gold, as_of, measured=measured, **expected)
         tables.checks = replace_table(checks, f"{home}/checks")
         export_checks(tables.checks, f"{home}/reports")
         if export_to:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from carelens.functions.dates import parse_day
@@ -61,6 +61,22 @@ def future_rule(as_of=None) -> Rule:
     return _fill(FUTURE_RULE, as_of=today)
 
 
+def layer_metrics(as_of=None, acuity_bounds: tuple[int, int] = ACUITY_BOUNDS, adjusted: bool = False) -> dict[tuple[str, str], dict[str, Column]]:
+    """What the checks need of each table, by (layer, feed): aggregates by name. ``adjusted`` as rows are left out on purpose."""
+    discharge, acuity = resident_rules(acuity_bounds)
+    extra = {
+        ("Silver" if adjusted else "Bronze", "adp_shifts"): {"raw_hours": total(F.col("hours_worked").cast("double"))},
+        ("Gold", "adp_shifts"): {"fact_hours": total("hours_worked"), "negative_hours": violations(HOURS_RULE)},
+        ("Silver", "yardi_leases"): {"silver_revenue": total("monthly_rate")},
+        ("Gold", "yardi_leases"): {"fact_revenue": total("monthly_rate")},
+        ("Silver", "pcc_incidents"): {"future": violations(future_rule(as_of))},
+        ("Gold", "gbp_reviews"): {"rating": violations(RATING_RULE)},
+        ("Gold", "pcc_residents"): {"discharge": violations(discharge), "acuity": violations(acuity)},
+    }
+    places = [(layer, feed) for feed in GOLD_OF_FEED for layer in ("Bronze", "Silver", "Gold")]
+    return {(layer, feed): {f"{layer}_{feed}": row_count(), **extra.get((layer, feed), {})} for layer, feed in places}
+
+
 def validate(
     bronze: dict[str, DataFrame],
     silver: dict[str, DataFrame],
@@ -70,8 +86,10 @@ def validate(
     expected_dedupe: tuple[str, ...] = (),
     rejected: dict[str, DataFrame] | None = None,
     repeats: dict[str, DataFrame] | None = None,
+    measured: dict[str, float] | None = None,
 ) -> DataFrame:
-    """All checks as one DataFrame in report order; every table is scanned once for all its checks.
+    """All checks as one DataFrame in report order; every table is scanned once for all its checks, and not at all for what
+    ``measured`` already has (values of :func:`layer_metrics` taken while the tables were written).
 
     Feeds in ``expected_dedupe`` shrink from raw to cleaned by design (monthly snapshots of the same resident):
     only their cleaned and gold counts are compared. By default all three layers must agree.
@@ -82,21 +100,14 @@ def validate(
     """
     adjusted = rejected is not None or repeats is not None
     rejected, repeats = rejected or {}, repeats or {}
+    measured = measured or {}
     discharge, acuity = resident_rules(acuity_bounds)
     future = future_rule(as_of)
-    extra = {
-        ("Silver" if adjusted else "Bronze", "adp_shifts"): {"raw_hours": total(F.col("hours_worked").cast("double"))},
-        ("Gold", "adp_shifts"): {"fact_hours": total("hours_worked"), "negative_hours": violations(HOURS_RULE)},
-        ("Silver", "yardi_leases"): {"silver_revenue": total("monthly_rate")},
-        ("Gold", "yardi_leases"): {"fact_revenue": total("monthly_rate")},
-        ("Silver", "pcc_incidents"): {"future": violations(future)},
-        ("Gold", "gbp_reviews"): {"rating": violations(RATING_RULE)},
-        ("Gold", "pcc_residents"): {"discharge": violations(discharge), "acuity": violations(acuity)},
-    }
+    of_table = layer_metrics(as_of, acuity_bounds, adjusted)
     tables = []
     for feed, table in GOLD_OF_FEED.items():
         for layer, df in (("Bronze", bronze[feed]), ("Silver", silver[feed]), ("Gold", gold[table])):
-            tables.append((df, {f"{layer}_{feed}": row_count(), **extra.get((layer, feed), {})}))
+            tables.append((df, of_table[layer, feed]))
 
         if feed in rejected:
             tables.append((rejected[feed], {f"Rejected_{feed}": row_count()}))
@@ -124,4 +135,7 @@ def validate(
         rule_check(HOURS_RULE, "negative_hours"),
         rule_check(RATING_RULE, "rating"),
     ]
-    return check_results(table_metrics(tables), checks).select(*RESULT_COLUMNS)
+    left = [(df, rest) for df, metrics in tables if (rest := {n: m for n, m in metrics.items() if n not in measured})]
+    spark = next(iter(silver.values())).sparkSession
+    row = (table_metrics(left) if left else spark.range(1)).withColumns({name: F.lit(value) for name, value in measured.items()})
+    return check_results(row, checks).select(*RESULT_COLUMNS)

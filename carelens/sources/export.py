@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from carelens.operators.quality import summarise
@@ -13,12 +13,22 @@ from carelens.operators.quality import summarise
 WRITERS = 4
 
 
-def replace_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
-    """Write a table, replacing it, and return it read back from Parquet (with true size statistics)."""
-    writer = df.write.mode("overwrite")
+def replace_table(
+    df: DataFrame, path: str, partition_by: tuple[str, ...] = (), metrics: dict[str, Column] | None = None, measured: dict | None = None
+) -> DataFrame:
+    """Write a table, replacing it, and return it read back from Parquet (with true size statistics).
+
+    ``metrics`` are aggregates of its rows, taken while the rows are written and put into ``measured`` by name. They are gathered in the
+    tasks that write, of which each counts once, however often it is tried.
+    """
+    observation = Observation() if metrics else None
+    observed = df.observe(observation, *[metric.alias(name) for name, metric in metrics.items()]) if metrics else df
+    writer = observed.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
+    if metrics:
+        measured.update(observation.get)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
