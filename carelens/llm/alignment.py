@@ -18,12 +18,11 @@ from itertools import accumulate, compress
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from carelens.llm.common import documents, per_worker
+from carelens.llm.common import documents, per_worker, row_blocks
 from carelens.llm.token_counts import byte_letters
 from carelens.session import materialise
 
@@ -158,17 +157,6 @@ class Aligner:
         return n & _LOW, n >> 40 & _LOW, n >> 80, ";".join(groups), np.frombuffer(b"".join(pairs), np.int64)
 
 
-def _blocks(texts: pa.Array) -> Iterator[tuple[int, int]]:
-    """Ranges of rows of at most :data:`BLOCK_BYTES` bytes, or one row."""
-    size = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
-    start = 0
-    while start < len(size):
-        limit = (size[start - 1] if start else 0) + BLOCK_BYTES
-        end = max(start + 1, int(np.searchsorted(size, limit, "right")))
-        yield start, end
-        start = end
-
-
 _LINKS = T.ArrayType(T.StructType([T.StructField("pair", T.LongType()), T.StructField("n", T.IntegerType())]))
 
 
@@ -184,7 +172,7 @@ def encoded(df: DataFrame, vocabularies: Vocabularies, with_groups: bool = False
 
     def run(batches):
         aligner = per_worker(name, lambda: Aligner(shared.value))
-        for batch in (b.slice(i, j - i) for b in batches for i, j in _blocks(b.column(1))):
+        for batch in (b.slice(i, j - i) for b in batches for i, j in row_blocks(b.column(1), BLOCK_BYTES)):
             rows, digests, texts, keys, times, ends = [], [], [], [], [], [0]
             for n_a, n_b, n_groups, groups, pairs in aligner(batch.column(1).to_pylist()):
                 key, n = np.unique(pairs, return_counts=True)

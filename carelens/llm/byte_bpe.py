@@ -159,7 +159,7 @@ class Prefixes:
 class TextCodec:
     """Whole texts to ids and back; ordinary text only, no special tokens. A chunk is remembered with its ids packed and in decimal."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, built: dict[int, tuple[int, int]] | None = None, remember: int = 300_000):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, built: dict[int, tuple[int, int]] | None = None, remember: int = 150_000):
         self.encoder = PrefixEncoder(ranks, built)
         self.decimal = {rank: str(rank) for rank in ranks.values()}
         self.pieces = Pieces(pattern, Remembered(self._piece, 50_000).__getitem__, self._joined, remember)

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import tempfile
 import zipfile
 from collections.abc import Callable, Hashable, Iterator
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -65,6 +68,19 @@ def blocks(texts: list[bytes], limit: int = BLOCK_BYTES) -> Iterator[tuple[int,
         yield start, len(texts)
 
 
+def row_blocks(texts: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[tuple[int, int]]:
+    """The same for an Arrow column; values that are no text or bytes go in ranges of 512."""
+    if pa.types.is_string(texts.type) or pa.types.is_binary(texts.type):
+        size = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
+    else:
+        size = np.arange(1, len(texts) + 1) * (limit // 512)
+    start = before = 0
+    while start < len(size):
+        end = max(start + 1, int(np.searchsorted(size, before + limit, "right")))
+        yield start, end
+        start, before = end, int(size[end - 1])
+
+
 def map_texts(df: DataFrame, function: Callable[[list], dict[str, list]], schema: str, keep: tuple[str, ...], text: str = "text", holds: bool = False) -> DataFrame:
     """Columns ``keep`` of ``df`` plus the columns that ``function(texts)`` returns, one value per text.
 
@@ -81,12 +97,12 @@ def map_texts(df: DataFrame, function: Callable[[list], dict[str, list]], schema
         if not holds:
             release()
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            made = function(batch.column(batch.schema.get_field_index(text)).to_pylist())
-            columns = [batch.column(batch.schema.get_field_index(k)).cast(arrow.field(k).type) for k in keep]
-            columns += [pa.array(made[f.name], type=f.type) for f in list(arrow)[len(keep):]]
-            yield pa.RecordBatch.from_arrays(columns, schema=arrow)
+            for i, j in row_blocks(batch.column(batch.schema.get_field_index(text))):
+                part = batch.slice(i, j - i)
+                made = function(part.column(part.schema.get_field_index(text)).to_pylist())
+                columns = [part.column(part.schema.get_field_index(k)).cast(arrow.field(k).type) for k in keep]
+                columns += [pa.array(made[f.name], type=f.type) for f in list(arrow)[len(keep):]]
+                yield pa.RecordBatch.from_arrays(columns, schema=arrow)
 
     return df.select(*dict.fromkeys((*keep, text))).mapInArrow(run, out_schema)
 
@@ -114,6 +130,12 @@ class Remembered(dict):
 
 
 _HELD: dict[str, object] = {}
+try:
+    _LIBC = ctypes.CDLL("libc.so.6")  # glibc keeps freed memory unless told
+except OSError:
+    _LIBC = None
+#: Rows of texts that Spark hands to Python at once (its default is 10,000, of whatever length).
+BATCH_ROWS = 2000
 
 
 def per_worker(name: str, make: Callable[[], object]) -> object:
@@ -125,18 +147,25 @@ def per_worker(name: str, make: Callable[[], object]) -> object:
 
 
 def release() -> None:
-    """Forget what :func:`per_worker` holds, so that the next operator's tasks find the worker's memory free."""
+    """Forget what :func:`per_worker` holds and give freed memory back to the system, so that the next operator finds it free."""
     if _HELD:
         _HELD.clear()
         gc.collect()
+    pa.default_memory_pool().release_unused()
+    if _LIBC is not None:
+        _LIBC.malloc_trim(0)
 
 
 _SHIPPED: set[str] = set()
 
 
 def ship(spark) -> None:
-    """Send this package to the executors once per application, so that Python tasks can import it wherever they run."""
+    """Send this package to the executors once per application, so that Python tasks can import it wherever they run, and let the
+    session hand over at most :data:`BATCH_ROWS` rows at once."""
     context = spark.sparkContext
+    rows = int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))
+    if not 0 < rows <= BATCH_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     if context.applicationId in _SHIPPED:
         return
     root = Path(__file__).resolve().parents[1]

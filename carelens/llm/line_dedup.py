@@ -20,12 +20,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from carelens.llm.common import documents, free_name, quoted, release, row_version, text_of
+from carelens.llm.common import documents, free_name, quoted, release, row_blocks, row_version, text_of
 from carelens.llm.hashing import _powers, mix
 from carelens.session import materialise
 
@@ -226,15 +225,6 @@ def cut(text: str, spans: list[tuple[int, int]]) -> str:
     return "\n".join(out)
 
 
-def slices(texts: pa.Array) -> Iterator[tuple[int, int]]:
-    """Ranges of rows of at most :data:`BLOCK` bytes, or one row."""
-    size, start, before = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False)), 0, 0
-    while start < len(size):
-        end = max(start + 1, int(np.searchsorted(size, before + BLOCK, "right")))
-        yield start, end
-        start, before = end, size[end - 1]
-
-
 def all_units(docs: DataFrame, min_words: int | None = None, line_words: int = 1, digests_only: bool = False) -> DataFrame:
     """One row per unit of (doc_id, text, version): digest as two longs, start, end, passage, doc_id, version; or the first long alone."""
     fields = [T.StructField("d1", T.LongType())]
@@ -246,7 +236,7 @@ def all_units(docs: DataFrame, min_words: int | None = None, line_words: int = 1
     def run(batches):
         release()
         for batch in batches:
-            for i, j in slices(batch.column(0)):
+            for i, j in row_blocks(batch.column(0), BLOCK):
                 part = batch.slice(i, j - i)
                 *made, text = units(part.column(0).to_pylist(), min_words, line_words)
                 columns = [pa.array(c) for c in (made[:1] if digests_only else made)]
