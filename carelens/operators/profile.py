@@ -50,6 +50,12 @@ def column_profile(df: DataFrame, distinct: list[str] | None = None) -> DataFram
     return base.join(counts, "column_name", "left")
 
 
+def describe_tables(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFrame:
+    """:func:`describe_schema` with the :func:`column_profile` of each table: its rows, NULLs, smallest and largest values."""
+    profiles = [column_profile(df).withColumn("table_name", F.lit(name)) for name, df in tables.items()]
+    return describe_schema(spark, tables).join(reduce(DataFrame.unionByName, profiles), ["table_name", "column_name"], "left")
+
+
 def distinct_values(df: DataFrame, column: str) -> DataFrame:
     return df.select(column).distinct()
 

@@ -7,6 +7,7 @@ before they are joined, so the joins handle groups instead of rows.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,11 +23,11 @@ from carelens.operators.keys import dense_key, hash_key, kept_key
 from carelens.operators.latest import LatestState, first_copy_of_text, latest_per_key
 from carelens.operators.security import Principal, apply_row_security
 from carelens.plans import measures as m
-from carelens.session import scratch_path
+from carelens.session import materialise, scratch_path
 from carelens.plans.silver import clean_shifts, unreadable_rules
 from carelens.sources.export import RUN_LOG_SCHEMA, append_run_log, export_by_month, export_checks, export_tables, in_months
-from carelens.sources.feeds import discover_files, profile_files, read_feed
-from carelens.streaming.ingest import file_count_differences, full_reload, processed_files, read_bronze, read_refused, repeated_loads, start_feed
+from carelens.sources.feeds import FEEDS, discover_files, profile_files, read_feed
+from carelens.streaming.ingest import file_count_differences, full_reload, ingest, processed_files, read_bronze, read_refused, repeated_loads, start_feed
 from carelens.workload.feeds import DERIVED, bronze, load
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -490,8 +491,8 @@ def _stays(s: Source) -> DataFrame:
 
 _STAYS = "SELECT event_type, user_id, min(ts)::DATE AS first_day, max(ts)::DATE AS last_day FROM events GROUP BY ALL"
 _CENSUS = (
-    "SELECT event_type, day, count(*) AS census FROM (SELECT unnest(generate_series(DATE '2024-01-01', DATE '2024-01-30', "
-    f"INTERVAL 1 DAY))::DATE AS day) JOIN ({_STAYS}) ON day BETWEEN first_day AND last_day GROUP BY ALL"
+    "SELECT event_type, day, count(*) AS census FROM (SELECT unnest(generate_series((SELECT min(ts)::DATE FROM events), "
+    f"(SELECT max(ts)::DATE FROM events), INTERVAL 1 DAY))::DATE AS day) JOIN ({_STAYS}) ON day BETWEEN first_day AND last_day GROUP BY ALL"
 )
 
 
@@ -510,8 +511,8 @@ def _census_intervals(s: Source) -> DataFrame:
 
 @register(
     "avg_daily_census",
-    f"SELECT event_type, CAST(sum(census) AS BIGINT) AS resident_days, sum(census)::DOUBLE / 30 AS avg_daily_census "
-    f"FROM ({_CENSUS}) GROUP BY event_type",
+    f"SELECT event_type, CAST(sum(census) AS BIGINT) AS resident_days, sum(census)::DOUBLE / (SELECT max(ts)::DATE - min(ts)::DATE + 1 FROM events) "
+    f"AS avg_daily_census FROM ({_CENSUS}) GROUP BY event_type",
 )
 def _avg_daily_census(s: Source) -> DataFrame:
     stays = _stays(s)
@@ -864,6 +865,25 @@ _LINES = {  # how a lease's line is delivered -> (which leases, the line, why it
 _LINE_KIND = "CASE " + " ".join(f"WHEN {which} THEN '{problem}'" for which, _, problem in _LINES.values()) + " END"
 
 
+@register(
+    "ingest_all_feeds",
+    " UNION ALL ".join(f"SELECT '{feed}' AS dataset, count(*) AS row_count, count(*) AS reloaded, 0::BIGINT AS repeated FROM {DERIVED[feed][0]}" for feed in FEEDS),
+)
+def _ingest_all_feeds(s: Source) -> DataFrame:
+    """All feeds landed as CSV, ingested twice and reloaded, by their default names; the ledger's counts of each."""
+    raw, out, ledger = (scratch_path(s.spark, label) for label in ("raw", "bronze", "ledger"))
+    for feed in FEEDS:
+        _land(bronze(s.spark, s.sf_dir, feed), raw, feed)
+    ingest(s.spark, raw, out, ledger)
+    ingest(s.spark, raw, out, ledger)
+    first = {feed: read_bronze(s.spark, out, feed) for feed in FEEDS}
+    full_reload(s.spark, raw, out, ledger)
+    again = {feed: read_bronze(s.spark, out, feed) for feed in FEEDS}
+    one, two = (processed_files(t).groupBy("dataset").agg(F.sum("rows_loaded").alias(n)) for t, n in ((first, "row_count"), (again, "reloaded")))
+    twice = [repeated_loads(again[f]).agg(F.lit(f).alias("dataset"), _rows().alias("repeated")) for f in FEEDS]
+    return one.join(two, "dataset").join(reduce(DataFrame.union, twice), "dataset").select("dataset", "row_count", "reloaded", "repeated")
+
+
 @register(
     "refused_rows",
     f"SELECT coalesce(problem, 'accepted') AS problem, count(*) AS row_count, count(problem) AS with_line FROM (SELECT {_LINE_KIND} AS problem FROM orders) GROUP BY problem "
@@ -935,13 +955,28 @@ def _read_by_name_reviews(s: Source) -> DataFrame:
 
 @register(
     "file_discovery",
-    "SELECT feed, files > 0 AS found FROM (VALUES ('yardi_leases', 1), ('yardi_units', 1), (NULL, 1)) AS t(feed, files)",
+    "SELECT o_orderstatus AS delivery, 'yardi_leases' AS feed, count(*) AS row_count, TRUE AS complete FROM orders GROUP BY o_orderstatus "
+    "UNION ALL SELECT 'notes', NULL, count(*), TRUE FROM orders",
 )
 def _file_discovery(s: Source) -> DataFrame:
+    """Leases delivered in files named by their order's status, and notes of no feed: the discovered files held against what was delivered."""
     raw = scratch_path(s.spark, "raw")
-    for name, feed in (("yardi_leases", "yardi_leases"), ("yardi_units", "yardi_units"), ("notes", "yardi_units")):
-        _land(bronze(s.spark, s.sf_dir, feed), raw, name)
-    return discover_files(s.spark, raw).groupBy("feed").agg((_rows() > 0).alias("found"))
+    leases = bronze(s.spark, s.sf_dir, "yardi_leases").drop("source_file", "ingestion_timestamp")
+    number = s.orders.select(F.concat(F.lit("L"), F.col("o_orderkey").cast("string")).alias("lease_id"), F.col("o_orderstatus").alias("delivery"))
+    status = materialise(leases.join(number, "lease_id"), "leases")
+    kinds = [r["delivery"] for r in status.select("delivery").distinct().collect()]  # three order states
+    for kind in kinds:
+        _land(status.filter(F.col("delivery") == kind).drop("delivery"), raw, f"yardi_leases_{kind}")
+    _land(leases, raw, "notes")
+    # bytes of a file: its header and its lines; the writer trims cells, and quotes empty ones that are not NULL
+    cells = [F.when(F.trim(c) == "", F.when(F.col(c) == "", '""').otherwise("")).otherwise(F.coalesce(F.trim(c), F.lit(""))) for c in leases.columns]
+    line = F.octet_length(F.concat_ws(",", *cells)) + 1
+    sent = status.groupBy("delivery").agg(F.sum(line).alias("bytes"), _rows().alias("row_count"))
+    sent = sent.unionByName(leases.agg(F.lit("notes").alias("delivery"), F.sum(line).alias("bytes"), _rows().alias("row_count")))
+    kind = F.when(F.startswith("file_name", F.lit("notes")), "notes").otherwise(F.regexp_extract("file_name", "^yardi_leases_([A-Z])_", 1))
+    body = F.col("length") - len(",".join(leases.columns)) - 1
+    found = discover_files(s.spark, raw).groupBy(kind.alias("delivery"), "feed").agg(F.sum(body).alias("found"))
+    return found.join(sent, "delivery").select("delivery", "feed", "row_count", (F.col("found") == F.col("bytes")).alias("complete"))
 
 
 @register(
@@ -1023,13 +1058,20 @@ def _report_export(s: Source) -> DataFrame:
     return rows.select("total_checks", summary.select(F.col("Passed").cast("int")).scalar().alias("passed"))
 
 
+_CUSTOMER_COLUMNS = {"c_custkey": "bigint", "c_name": "string", "c_nationkey": "int", "c_acctbal": "double", "c_mktsegment": "string"}
+
+
 @register(
     "described_schema",
-    "SELECT 'customer' AS table_name, unnest(['c_custkey', 'c_name', 'c_nationkey', 'c_acctbal', 'c_mktsegment']) AS column_name, "
-    "unnest(['bigint', 'string', 'int', 'double', 'string']) AS data_type, unnest([1, 2, 3, 4, 5]) AS position",
+    " UNION ALL ".join(
+        f"SELECT 'customer' AS table_name, '{name}' AS column_name, '{kind}' AS data_type, {i} AS position, count(*) AS row_count, "
+        f"count(*) - count({name}) AS null_count FROM customer"
+        for i, (name, kind) in enumerate(_CUSTOMER_COLUMNS.items(), 1)
+    ),
 )
 def _described_schema(s: Source) -> DataFrame:
-    return profile.describe_schema(s.spark, {"customer": s.customer}).select("table_name", "column_name", "data_type", "position")
+    described = profile.describe_tables(s.spark, {"customer": s.customer})
+    return described.select("table_name", "column_name", "data_type", "position", "row_count", "null_count")
 
 
 register("sampled_rows", "SELECT least(count(*), 3)::BIGINT AS sampled, 0::BIGINT AS none FROM customer")(

@@ -11,6 +11,7 @@ from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from carelens.functions.numbers import round2
@@ -24,7 +25,7 @@ from carelens.plans import reports as r
 from carelens.plans import validation as val
 from carelens.plans import views as v
 from carelens.plans.silver import CLEANERS
-from carelens.session import materialise
+from carelens.session import materialise, scratch_path
 from carelens.sources.feeds import FEEDS, LINEAGE
 from carelens.sources.reference_data import dim_community_region
 from carelens.workload.feeds import AS_OF, DERIVED, derive, load
@@ -281,6 +282,21 @@ register(
     f"SELECT * FROM v_occupancy WHERE {_PNW} AND make_date(year, month, 1) BETWEEN DATE '1996-11-01' AND DATE '1998-02-01' "
     "ORDER BY year, month, community_id",
 )(lambda t: r.occupancy(t.occupancy_view(), t.regions, REGIONAL, start="1996-11", end="1998-02"))
+
+
+def _in_written_order(report: DataFrame, label: str) -> DataFrame:
+    """A report as it was written, with each row's place: the files of a sorted table hold its ranges in order."""
+    path = scratch_path(report.sparkSession, label)
+    report.withColumn("_place", F.monotonically_increasing_id()).write.parquet(path)
+    written = report.sparkSession.read.parquet(path)
+    return written.withColumn("position", F.row_number().over(W.orderBy("_place"))).drop("_place")  # a report, bounded by its months
+
+
+register(
+    "report_occupancy_order",
+    f"SELECT *, row_number() OVER (ORDER BY year, month, community_id) AS position FROM v_occupancy WHERE {_PNW} "
+    "AND make_date(year, month, 1) BETWEEN DATE '1996-11-01' AND DATE '1998-02-01'",
+)(lambda t: _in_written_order(r.occupancy(t.occupancy_view(), t.regions, REGIONAL, start="1996-11", end="1998-02"), "report"))
 register(
     "report_labor_cost",
     "SELECT * FROM v_labor WHERE lower(community_id) = 'c007' AND year = 1997 AND month = 6",
