@@ -23,7 +23,9 @@ _DAY = r"^(\d{1,4})([-/ ])(\d{1,2})\2(\d{1,2})(?:[ T]\d{1,2}:\d{2}:\d{2}(?:\.\d+
 def safe_date(c) -> Column:
     """Parse year-first text with ``-``, ``/`` or a space; anything unreadable, such as a year or a month alone, becomes NULL."""
     text = F.trim(_col(c))
-    return F.when(text.rlike(_DAY), F.regexp_replace(text, _DAY, "000$1-$3-$4").try_cast("date"))
+    # the usual shape needs no pattern
+    usual = (F.length(text) == 10) & (F.substring(text, 5, 1) == "-") & (F.substring(text, 8, 1) == "-")
+    return F.when(usual, text.try_cast("date")).when(text.rlike(_DAY), F.regexp_replace(text, _DAY, "000$1-$3-$4").try_cast("date"))
 
 
 def month_index(c) -> Column:

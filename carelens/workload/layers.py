@@ -11,12 +11,12 @@ from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from carelens.functions.numbers import round2
 from carelens.operators import profile, quality
 from carelens.operators.census import census_intervals, daily_census, resident_days
+from carelens.operators.keys import dense_key
 from carelens.operators.latest import conflicting_keys
 from carelens.operators.security import apply_row_security, entitlements, resolve_principal, rows_by_principal, rows_for
 from carelens.plans import gold as g
@@ -288,8 +288,7 @@ def _in_written_order(report: DataFrame, label: str) -> DataFrame:
     """A report as it was written, with each row's place: the files of a sorted table hold its ranges in order."""
     path = scratch_path(report.sparkSession, label)
     report.withColumn("_place", F.monotonically_increasing_id()).write.parquet(path)
-    written = report.sparkSession.read.parquet(path)
-    return written.withColumn("position", F.row_number().over(W.orderBy("_place"))).drop("_place")  # a report, bounded by its months
+    return dense_key(report.sparkSession.read.parquet(path), "position", ["_place"]).drop("_place")
 
 
 register(
