@@ -23,6 +23,10 @@ from carelens.llm.pretokens import Pieces
 #: Two tokens as one number: left * PAIR + right. Above every id.
 PAIR = 1 << 24
 _SHORT = (2, 1)
+#: Chunks remembered in each of two generations, about 250 bytes each.
+REMEMBERED = 500_000
+#: Bytes of a beginning whose last tokens are remembered.
+HEAD = 6
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -75,6 +79,7 @@ class PrefixEncoder:
                 tails.setdefault(text[-3:], set(_SHORT)).add(len(text))
         self.sizes = {tail: tuple(sorted(found, reverse=True)) for tail, found in tails.items()}  # of strings that end so, longest first
         self.pair = Remembered(self._pair, 200_000)
+        self.heads = Remembered(lambda head: tuple(Prefixes(self, head).last), 50_000)
         self.form = "H" if max(self.string) < 1 << 16 else "I"
 
     def _pair(self, key: int) -> bool:
@@ -108,8 +113,10 @@ class Prefixes:
     """A byte string with the last token of each of its prefixes."""
 
     def __init__(self, encoder: PrefixEncoder, data: bytes = b""):
-        self.encoder, self.data, self.last = encoder, b"", []
-        self.append(data)
+        self.encoder, self.data, self.last = encoder, data, []
+        if len(data) > HEAD:  # what other strings with this beginning have already is the same here
+            self.last = list(encoder.heads[data[:HEAD]])
+        self._extend(len(self.last), len(data))
 
     def _extend(self, end: int, until: int) -> None:
         """Append the last tokens of the prefixes of lengths end + 1 to until, trying the longest strings of the vocabulary first."""
@@ -159,7 +166,7 @@ class Prefixes:
 class TextCodec:
     """Whole texts to ids and back; ordinary text only, no special tokens. A chunk is remembered with its ids packed and in decimal."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, built: dict[int, tuple[int, int]] | None = None, remember: int = 150_000):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, built: dict[int, tuple[int, int]] | None = None, remember: int = REMEMBERED):
         self.encoder = PrefixEncoder(ranks, built)
         self.decimal = {rank: str(rank) for rank in ranks.values()}
         self.pieces = Pieces(pattern, Remembered(self._piece, 50_000).__getitem__, self._joined, remember)
@@ -199,13 +206,13 @@ class TextCodec:
         return b"".join(map(self.encoder.string.__getitem__, ids))
 
 
-def _with_codec(df: DataFrame, ranks: dict[bytes, int], pattern: str, function, schema: str, keep: tuple[str, ...], text: str) -> DataFrame:
+def _with_codec(df: DataFrame, ranks: dict[bytes, int], pattern: str, function, schema: str, keep: tuple[str, ...], text: str, remember: int = REMEMBERED) -> DataFrame:
     made = (ranks, pattern, halves(ranks))
     shared = df.sparkSession.sparkContext.broadcast(made)  # bounded by the vocabulary
     name = sha256(repr((sorted(ranks.items()), pattern)).encode()).hexdigest()
 
     def run(values):
-        return function(per_worker(name, lambda: TextCodec(shared.value[0], shared.value[1], shared.value[2])), values)
+        return function(per_worker(name, lambda: TextCodec(*shared.value, remember=remember)), values)
 
     return map_texts(df, run, schema, keep, text, holds=True)
 
@@ -232,12 +239,12 @@ def decode(df: DataFrame, ranks: dict[bytes, int], doc_id: str = "doc_id", ids:
 
 
 def round_trip(
-    df: DataFrame, ranks: dict[bytes, int], pattern: str, doc_id: str = "doc_id", text: str = "text", with_ids: bool = False
+    df: DataFrame, ranks: dict[bytes, int], pattern: str, doc_id: str = "doc_id", text: str = "text", with_ids: bool = False, remember: int = REMEMBERED
 ) -> DataFrame:
     """Encode, then decode the ids, in one pass that moves no ids between tasks.
 
     Per row: doc_id, n_tokens, ids_sha256 (decimal ids joined by commas), decoded_sha256 (bytes that the ids decode to), and
-    on request ids. Null texts are empty, ids may be null or repeat; rows are handled one by one.
+    on request ids. ``remember`` bounds the chunks each worker holds, which changes memory and time only. Null texts are empty, ids may be null or repeat; rows are handled one by one.
     """
 
     def run(codec, texts):
@@ -255,4 +262,4 @@ def round_trip(
         return out
 
     schema = "n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
-    return _with_codec(documents(df, doc_id, text), ranks, pattern, run, schema, ("doc_id",), "text")
+    return _with_codec(documents(df, doc_id, text), ranks, pattern, run, schema, ("doc_id",), "text", remember)
