@@ -45,7 +45,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of what is left, with the digests of ids and decoded bytes."""
     ship(spark)
     ranks = byte_bpe.load_ranks(tokenizer_file("byte_bpe_multi_50k.tiktoken"))
-    return byte_bpe.round_trip(docs, ranks, tokenizer_pattern(), with_ids=True)
+    return byte_bpe.round_trip(docs, ranks, tokenizer_pattern(), with_ids=True, remember=100_000)  # other stages' memory is not all given back
 
 
 STAGES = [
