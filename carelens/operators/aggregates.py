@@ -90,3 +90,21 @@ def bucket(c: Column, bounds: list[int], unit: str = "") -> Column:
         expr = (F if expr is None else expr).when(c <= high, F.lit(f"{low}-{high}{unit}"))
         low = high + 1
     return F.when(c.isNotNull(), expr.otherwise(F.lit(f"{low}+{unit}")))
+
+
+def distinct_bitmaps(df: DataFrame, by: list[str], key: str) -> DataFrame:
+    """The distinct values of an integer key per group as bitmaps that merge: ``by``, ``key_range`` and ``bitmap``.
+
+    One row per group and range of 32,768 neighbouring keys, 4 KB each: as many bytes per group as its keys' range has eighths, so keys should
+    be dense (:func:`~carelens.operators.keys.dense_key`). NULL keys are not counted. Built once, it answers any coarser grouping
+    exactly (:func:`distinct_from`), where ``count(DISTINCT)`` would shuffle (group, key) pairs again for each.
+    """
+    known = df.filter(F.col(key).isNotNull())
+    at = F.bitmap_bucket_number(key).alias("key_range")
+    return known.groupBy(*by, at).agg(F.bitmap_construct_agg(F.bitmap_bit_position(key)).alias("bitmap"))
+
+
+def distinct_from(bitmaps: DataFrame, by: list[str], name: str) -> DataFrame:
+    """Number of distinct keys per group of ``by``, columns that the bitmaps were built with (none: over all)."""
+    merged = bitmaps.groupBy(*by, "key_range").agg(F.bitmap_or_agg("bitmap").alias("bitmap"))
+    return merged.groupBy(*by).agg(F.coalesce(F.sum(F.bitmap_count("bitmap")), F.lit(0)).alias(name))

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from carelens.functions.dates import OPEN_END
+from carelens.operators.latest import KeyedState
 from carelens.operators.neighbours import with_neighbour
 from carelens.operators.skew import HOT_ROWS
 
@@ -34,6 +35,27 @@ def scd2(
     )
 
 
+class HistoryState(KeyedState):
+    """Validity intervals kept per key, into which later and late changes are spliced.
+
+    A change that arrives cuts the interval it falls into, or opens a new last one; intervals of other buckets are not read. Equal changes count
+    once, so a delivery may come twice. The result is that of :func:`scd2` over the distinct changes of all deliveries.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, keys: str, value: str, at: str, buckets: int = 64, hot_rows: int = HOT_ROWS):
+        """``keys`` and ``value`` are columns with types, such as ``"resident_id string"``; ``at`` names the day of a change."""
+        self.names = [part.split()[0] for part in keys.split(",")]
+        self.value, self.at, self.hot_rows = value.split()[0], at, hot_rows
+        super().__init__(spark, path, f"{keys}, {value}, effective_start_date date, effective_end_date date, current_flag boolean", self.names, buckets)
+
+    def prepare(self, batch: DataFrame) -> DataFrame:
+        return batch.select(*self.names, self.value, self.at).distinct()
+
+    def combine(self, kept: DataFrame, arrived: DataFrame) -> DataFrame:
+        before = kept.select(*self.names, self.value, F.col("effective_start_date").alias(self.at))
+        return scd2(before.union(arrived).distinct(), self.names, self.value, self.at, hot_rows=self.hot_rows)
+
+
 def changes_within(
     history: DataFrame,
     keys: list[str],

@@ -56,16 +56,23 @@ def conflicting_keys(df: DataFrame, keys: list[str], lineage: list[str]) -> Data
     )
 
 
-class LatestState:
-    """One winner per key, kept under ``path`` and merged with what arrives, instead of reading all deliveries again.
+class KeyedState:
+    """Rows kept per key under ``path`` and merged with what arrives, instead of reading all deliveries again.
 
-    A winner of winners is the winner of all, so deliveries may come in any order, late, or twice. Keys are dealt to ``buckets`` by a hash.
-    A merge reads and rewrites only the buckets of the keys that arrived, as a new version; a row of the log then makes the version
-    valid, so a merge that fails changes nothing and can be repeated. ``order`` must be total. One writer at a time.
+    Keys are dealt to ``buckets`` by a hash. A merge reads and rewrites only the buckets of the keys that arrived, as a new version; a row of
+    the log then makes the version valid, so a merge that fails changes nothing and can be repeated. One writer at a time.
+    Subclasses say how arrived rows are prepared and combined with the kept ones of the same keys; deliveries may come in any
+    order, late, or twice if that does not depend on it.
     """
 
-    def __init__(self, spark: SparkSession, path: str, schema: str, keys: list[str], order: list[Column], buckets: int = 64):
-        self.spark, self.path, self.schema, self.keys, self.order, self.buckets = spark, path, schema, keys, order, buckets
+    def __init__(self, spark: SparkSession, path: str, schema: str, keys: list[str], buckets: int = 64):
+        self.spark, self.path, self.schema, self.keys, self.buckets = spark, path, schema, keys, buckets
+
+    def prepare(self, batch: DataFrame) -> DataFrame:
+        return batch
+
+    def combine(self, kept: DataFrame, arrived: DataFrame) -> DataFrame:
+        raise NotImplementedError
 
     def versions(self) -> dict[int, int]:
         """The valid version of each bucket that holds anything: at most ``buckets`` numbers."""
@@ -78,23 +85,37 @@ class LatestState:
             return {}
 
     def read(self, only: set[int] | None = None) -> DataFrame:
-        """The winners, of some buckets or all."""
-        names = self.spark.createDataFrame([], self.schema).columns
+        """The kept rows, of some buckets or all."""
+        empty = self.spark.createDataFrame([], self.schema)
         valid = {b: v for b, v in self.versions().items() if only is None or b in only}
         if not valid:
-            return self.spark.createDataFrame([], self.schema)
+            return empty
         folders = [f"{self.path}/data/version={v}/bucket={b}" for b, v in sorted(valid.items())]
-        return self.spark.read.schema(self.schema).parquet(*folders).select(*names)
+        return self.spark.read.schema(self.schema).parquet(*folders).select(*empty.columns)
 
     def merge(self, batch: DataFrame) -> set[int]:
-        """Take over the rows of a delivery that win; returns the buckets that were rewritten."""
+        """Take over the rows of a delivery; returns the buckets that were rewritten."""
         bucket = F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
-        arrived = materialise(latest_per_key(batch, self.keys, self.order), "arrived")
+        arrived = materialise(self.prepare(batch), "arrived")
         touched = {r["b"] for r in arrived.select(bucket.alias("b")).distinct().collect()}  # at most ``buckets``
         if touched:
             version = max(self.versions().values(), default=0) + 1
-            winners = latest_per_key(self.read(touched).unionByName(arrived), self.keys, self.order).withColumn("bucket", bucket)
-            winners.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/data/version={version}")
-            rows = self.spark.createDataFrame([(version, b) for b in sorted(touched)], "version long, bucket int")
-            rows.coalesce(1).write.mode("append").json(f"{self.path}/log")
+            rows = self.combine(self.read(touched), arrived).withColumn("bucket", bucket)
+            rows.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/data/version={version}")
+            log = self.spark.createDataFrame([(version, b) for b in sorted(touched)], "version long, bucket int")
+            log.coalesce(1).write.mode("append").json(f"{self.path}/log")
         return touched
+
+
+class LatestState(KeyedState):
+    """One winner per key under a total order: a winner of winners is the winner of all."""
+
+    def __init__(self, spark: SparkSession, path: str, schema: str, keys: list[str], order: list[Column], buckets: int = 64):
+        super().__init__(spark, path, schema, keys, buckets)
+        self.order = order
+
+    def prepare(self, batch: DataFrame) -> DataFrame:
+        return latest_per_key(batch, self.keys, self.order)
+
+    def combine(self, kept: DataFrame, arrived: DataFrame) -> DataFrame:
+        return latest_per_key(kept.unionByName(arrived), self.keys, self.order)

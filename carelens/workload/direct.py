@@ -16,9 +16,9 @@ from carelens.functions.dates import calendar_parts, safe_date
 from carelens.functions.numbers import percent, positive_flag, rate_for, ratio, round2, whole_number
 from carelens.functions.text import canonical, clean, clean_upper, has_text, present_flag, same_text
 from carelens.operators import profile, quality
-from carelens.operators.aggregates import distinct_union, share_by, since_latest, topk_share
+from carelens.operators.aggregates import distinct_bitmaps, distinct_from, distinct_union, share_by, since_latest, topk_share
 from carelens.operators.census import census_intervals, daily_census, resident_days
-from carelens.operators.history import changes_within, scd2
+from carelens.operators.history import HistoryState, changes_within, scd2
 from carelens.operators.keys import dense_key, hash_key, kept_key
 from carelens.operators.latest import LatestState, first_copy_of_text, latest_per_key
 from carelens.operators.security import Principal, apply_row_security
@@ -298,6 +298,20 @@ def _scd2(s: Source) -> DataFrame:
     return rows.withColumn("effective_start_date", F.col("effective_start_date").cast("timestamp_ntz"))
 
 
+@register(
+    "scd2_by_merge",
+    "SELECT user_id, event_type, day AS effective_start_date, coalesce(nxt - 1, DATE '9999-12-31') AS effective_end_date, nxt IS NULL AS current_flag FROM "
+    "(SELECT *, lead(day) OVER (PARTITION BY user_id ORDER BY day, event_type) AS nxt FROM (SELECT DISTINCT user_id, event_type, ts::DATE AS day FROM events))",
+)
+def _scd2_by_merge(s: Source) -> DataFrame:
+    """Histories spliced from deliveries that arrive out of order, one of them twice."""
+    state = HistoryState(s.spark, scratch_path(s.spark, "history"), "user_id long", "event_type string", "day", buckets=8)
+    changes = s.events.select("user_id", "event_type", _day("ts").alias("day"), "event_id")
+    for part in (1, 0, 1, 2):
+        state.merge(changes.filter(F.pmod("event_id", F.lit(3)) == part))
+    return state.read()
+
+
 @register(
     "changes_within_days",
     "SELECT user_id, event_id, before AS previous_value, event_type, CAST(ts::DATE - since::DATE AS INTEGER) AS "
@@ -473,6 +487,21 @@ def _distinct_ratio(s: Source) -> DataFrame:
     return m.current_occupancy(rows, ["period"], "l_partkey")
 
 
+@register(
+    "distinct_by_bitmaps",
+    "SELECT 'month' AS slice, strftime(l_shipdate, '%Y-%m') AS name, count(DISTINCT l_partkey) AS parts FROM lineitem GROUP BY ALL "
+    "UNION ALL SELECT 'flag', l_returnflag, count(DISTINCT l_partkey) FROM lineitem GROUP BY ALL "
+    "UNION ALL SELECT 'all', NULL, count(DISTINCT l_partkey) FROM lineitem",
+)
+def _distinct_by_bitmaps(s: Source) -> DataFrame:
+    """Distinct parts by month, by flag and in all, from one table of bitmaps."""
+    rows = s.lineitem.select(F.date_format("l_shipdate", "yyyy-MM").alias("month"), F.col("l_returnflag").alias("flag"), "l_partkey")
+    bitmaps = materialise(distinct_bitmaps(rows, ["month", "flag"], "l_partkey"), "bitmaps")
+    slices = [distinct_from(bitmaps, [c], "parts").select(F.lit(c).alias("slice"), F.col(c).alias("name"), "parts") for c in ("month", "flag")]
+    whole = distinct_from(bitmaps, [], "parts").select(F.lit("all").alias("slice"), F.lit(None).cast("string").alias("name"), "parts")
+    return reduce(DataFrame.unionByName, [*slices, whole])
+
+
 @register(
     "avg_daily_census_as_written",
     "SELECT event_type, CAST(count(DISTINCT user_id) AS DOUBLE) AS avg_daily_census FROM events GROUP BY event_type",

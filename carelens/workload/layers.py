@@ -170,9 +170,9 @@ def register(name: str, oracle: str | None):
     return add
 
 
-CORPORATE = resolve_principal("corp-admin-key", ACCESS_KEYS)
-REGIONAL = resolve_principal("region-pnw-key", ACCESS_KEYS)
-EXECUTIVE = resolve_principal("community-c001-key", ACCESS_KEYS)
+CORPORATE = resolve_principal("demo-everything", ACCESS_KEYS)
+REGIONAL = resolve_principal("demo-one-region", ACCESS_KEYS)
+EXECUTIVE = resolve_principal("demo-one-community", ACCESS_KEYS)
 
 # cleaned tables
 

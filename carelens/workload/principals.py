@@ -4,7 +4,7 @@ from carelens.operators.security import CORPORATE, EXECUTIVE, REGIONAL, Principa
 
 # Fixed values.
 ACCESS_KEYS = {
-    "corp-admin-key": Principal(CORPORATE),
-    "region-pnw-key": Principal(REGIONAL, region="Pacific Northwest"),
-    "community-c001-key": Principal(EXECUTIVE, community_id="C001"),
+    "demo-everything": Principal(CORPORATE),
+    "demo-one-region": Principal(REGIONAL, region="Pacific Northwest"),
+    "demo-one-community": Principal(EXECUTIVE, community_id="C001"),
 }

@@ -243,7 +243,7 @@ def test_quarantine_keeps_the_run_going(spark, tmp_path, corrected):
 
 # parameterised queries
 
-CORPORATE, REGIONAL, EXECUTIVE = (ACCESS_KEYS[k] for k in ("corp-admin-key", "region-pnw-key", "community-c001-key"))
+CORPORATE, REGIONAL, EXECUTIVE = (ACCESS_KEYS[k] for k in ("demo-everything", "demo-one-region", "demo-one-community"))
 
 
 def test_reports(run):

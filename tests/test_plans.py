@@ -24,7 +24,7 @@ def tree(df) -> str:
 # queries that write files first; their reads are simple scans
 EAGER = {
     "incremental_ingest", "processed_files", "full_reload", "parquet_export", "file_count_differences", "read_by_name_reviews", "file_discovery",
-    "feed_profile", "run_log", "report_export", "refused_rows", "ingest_all_feeds", "latest_by_merge", "monthly_export", "kept_keys",
+    "feed_profile", "run_log", "report_export", "refused_rows", "ingest_all_feeds", "latest_by_merge", "monthly_export", "kept_keys", "scd2_by_merge",
 }
 LAZY = sorted({**direct.QUERIES, **layers.QUERIES}.keys() - EAGER)
 
