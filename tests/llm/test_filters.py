@@ -85,6 +85,17 @@ def test_gumbel_top_k_draws_by_weight(spark, documents):
     assert drawn.cutoff == keys[99]
 
 
+def test_noisy_keys_draw_in_proportion_to_the_weights(spark):
+    """The exponential race: of weights 3, 2 and 1 the first key is the largest in three of six draws, and so on."""
+    ids = spark.range(60_000).withColumn("weight", 3 - F.col("id") % 3)
+    key = F.log("weight") + importance.gumbel(F.col("id"), F.xxhash64(F.col("id").cast("string")))
+    race = ids.withColumn("key", key).groupBy((F.col("id") / 3).cast("long").alias("race")).agg(F.max_by("weight", "key").alias("first"), F.min_by("weight", "key").alias("last"))
+    share = {r["first"]: r["n"] / 20_000 for r in race.groupBy("first").agg(F.count("race").alias("n")).collect()}
+    assert all(abs(share[w] - w / 6) < 0.015 for w in (1, 2, 3))
+    last = {r["last"]: r["n"] / 20_000 for r in race.groupBy("last").agg(F.count("race").alias("n")).collect()}
+    assert abs(last[3] - (2 / 6 * 1 / 4 + 1 / 6 * 2 / 5)) < 0.015  # after 2 comes 1, or after 1 comes 2
+
+
 def test_resampling_of_odd_rows(spark, documents):
     labels = spark.createDataFrame([(1, 1, 0), (None, 0, 0), (2, None, 0), (3, 0, 1), (3, 1, 1)], "doc_id long, quality int, toxic int")
     rows = [(1, "fine words " * 30), (1, "fine words " * 30), (None, None), (None, ""), (3, "*** ### " * 50), (4, "w" * 200_000)]
