@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -55,11 +57,12 @@ def positive_flag(c) -> Column:
 
 def is_unreadable(c, kind: str) -> Column:
     """True for text that is present but is no finite number, or for kind ``"int"`` none that rounds into the range of INT."""
-    number = F.trim(_col(c)).try_cast("double")
-    wrong = number.isNull() | F.isnan(number) | (F.abs(number) == float("inf"))
+    number = F.trim(_col(c)).try_cast("double")  # used once, because filters work out each use anew; NaN is above all numbers
     if kind == "int":
-        wrong = wrong | ~F.round(number).between(-(2**31), 2**31 - 1)
-    return _col(c).isNotNull() & F.coalesce(wrong, F.lit(True))
+        right = F.round(number).between(-(2**31), 2**31 - 1)
+    else:
+        right = F.abs(number) <= sys.float_info.max
+    return _col(c).isNotNull() & ~F.coalesce(right, F.lit(False))
 
 
 def rate_entries(text) -> Column:
@@ -69,6 +72,8 @@ def rate_entries(text) -> Column:
     return F.when(flat, F.from_json(as_json, "map<string,string>", {"allowSingleQuotes": "true"}))
 
 
+#: Dictionaries whose entries are all readable, as they are usually written: plain numbers of at most 15 digits on either side, or None.
+_READABLE = r"^\{'[A-Za-z ]+': ?(?:None|(?:0|[1-9]\d{0,14})(?:\.\d{1,15})?)(?:, ?'[A-Za-z ]+': ?(?:None|(?:0|[1-9]\d{0,14})(?:\.\d{1,15})?))*\}$"
 _PLAIN = r"^\{'[A-Za-z ]+': \d+(?:\.\d+)?(?:, '[A-Za-z ]+': \d+(?:\.\d+)?)*\}$"
 
 
@@ -104,9 +109,16 @@ def rate_for(text, key, lenient: bool = False) -> Column:
 
 
 def rate_is_unreadable(text, key=None) -> Column:
-    """True for rate text that is present but is not a dictionary, or whose entry for ``key`` is no finite number."""
-    entries = rate_entries(text)
-    wrong = entries.isNull()
-    if key is not None:
-        wrong = wrong | F.coalesce(is_unreadable(F.try_element_at(entries, _col(key)), "double"), F.lit(False))
-    return _col(text).isNotNull() & wrong
+    """True for rate text that is present but is not a dictionary, or whose entry for ``key`` is no finite number.
+
+    A dictionary in the usual spelling, with nothing but readable entries, need not be parsed.
+    """
+
+    def wrong(entries: Column) -> Column:
+        if key is None:
+            return entries.isNull()
+        return entries.isNull() | F.coalesce(is_unreadable(F.try_element_at(entries, _col(key)), "double"), F.lit(False))
+
+    usual = F.coalesce(_col(text).rlike(_READABLE), F.lit(True))  # absent text is not unreadable
+    parsed = F.get(F.transform(F.array(rate_entries(text)), wrong), F.lit(0))  # parsed once, used twice
+    return F.when(usual, False).otherwise(parsed)

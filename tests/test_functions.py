@@ -188,3 +188,14 @@ def test_unreadable_rates_are_detected(spark):
     assert one(spark, numbers.rate_is_unreadable("a"), a="{'RN' 46") is True
     assert one(spark, numbers.rate_is_unreadable("a"), a="{'RN': 46}") is False
     assert one(spark, numbers.rate_is_unreadable("a"), a=None) is False
+
+
+@pytest.mark.parametrize(
+    ("raw", "bad"),
+    [("{'RN': 46, 'Med Tech': None}", False), ("{'RN':46,'LPN':30.25}", False), ("{'RN': 046}", True), ("{'RN': 46.}", True), ("{'RN': -46}", False), ("{'RN': 4 6}", True),
+     ("{'RN': 1" + "0" * 400 + "}", True), ("{'RN': Nonesuch}", True), ("{'RN': 'x'}", True), ("{'LPN': 'x', 'RN': 46}", False), ("{}", False), (" {'RN': 46} ", False), (None, False)],
+)
+def test_usual_rates_need_no_parser_and_others_one(spark, raw, bad):
+    assert one(spark, numbers.rate_is_unreadable("a", F.lit("RN")), a=raw) is bad
+    text = spark.createDataFrame([(raw,)], "a string").filter(numbers.rate_is_unreadable("a", F.lit("RN")))._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("from_json") == 1 and text.index("RLIKE") < text.index("from_json")

@@ -319,6 +319,17 @@ def test_quarantine_splits_without_loss(spark, rows):
     assert [(r["v"], r["broken_rules"]) for r in refused.orderBy("v").collect()] == [(-1, ["low", "range"]), (9, ["range"])]
 
 
+def test_quarantine_filters_by_plain_conditions(spark, rows):
+    df = spark.createDataFrame([(1, None), (None, 2), (9, 3), (-1, None)], "v int, w int")
+    kept, refused = quality.quarantine(df, [*RULES, quality.Rule("low", F.col("w").isNull(), "High", "Fix")])
+    assert rows(kept) == [(None, 2)]
+    assert rows(refused) == [(-1, None, ["low", "range", "low"]), (1, None, ["low"]), (9, 3, ["range"])]
+    for part in (kept, refused):
+        filters = [line for line in part._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Filter" in line]
+        assert filters and not any("lambda" in line or "array" in line for line in filters)
+    assert [part.count() for part in quality.quarantine(df, [])] == [4, 0]
+
+
 def test_reconciliation(spark, rows):
     a, b = spark.range(3), spark.range(4)
     got = quality.reconcile_counts({"t": {"Bronze": a, "Silver": a, "Gold": b}, "u": {"Bronze": a, "Silver": a, "Gold": a}})
