@@ -78,15 +78,15 @@ _PLAIN = r"^\{'[A-Za-z ]+': \d+(?:\.\d+)?(?:, '[A-Za-z ]+': \d+(?:\.\d+)?)*\}$"
 
 
 def _cut_rate(text: Column, key: Column) -> tuple[Column, Column]:
-    """Whether a dictionary has only names and plain numbers, the key once at most, so that it can be cut instead of parsed; and the cut.
+    """Whether a dictionary has only names and plain numbers or None, the key once at most, so that it can be cut instead of parsed; and the cut.
 
     Quotes stand only around names there, so the quoted key with its colon can only be found where an entry begins.
     """
-    quoted = F.concat(F.lit("'"), key, F.lit("': "))
+    quoted = F.concat(F.lit("'"), key, F.lit("':"))
     at = F.position(quoted, text)
     number = F.substring_index(F.substring_index(F.substr(text, at + F.length(quoted)), ",", 1), "}", 1)
     once = (at == 0) | (F.position(quoted, text, at + 1) == 0)
-    return text.rlike(_PLAIN) & once, F.when(at > 0, number.try_cast("double"))
+    return (text.rlike(_READABLE) | text.rlike(_PLAIN)) & once, F.when(at > 0, number.try_cast("double"))
 
 
 def rate_for(text, key, lenient: bool = False) -> Column:
@@ -96,16 +96,13 @@ def rate_for(text, key, lenient: bool = False) -> Column:
     """
     whole, name = _col(text), _col(key)
 
-    def of(entries: Column) -> Column:
-        value = F.trim(F.try_element_at(entries, name))
-        if lenient:
-            return value.try_cast("double")
-        refuse = F.raise_error(F.concat(F.lit("unreadable rate: "), whole)).cast("double")
-        return F.when(whole.isNotNull() & entries.isNull(), refuse).otherwise(value.cast("double"))
-
+    entries = rate_entries(whole)
+    if not lenient:
+        refuse = F.raise_error(F.concat(F.lit("unreadable rate: "), whole)).cast("map<string,string>")
+        entries = F.coalesce(entries, F.when(whole.isNotNull(), refuse))  # parsed once, without a lambda that is not compiled
+    value = F.trim(F.try_element_at(entries, name))
     plain, cut = _cut_rate(whole, name)
-    parsed = F.get(F.transform(F.array(rate_entries(text)), of), F.lit(0))  # parsed once, used twice
-    return F.when(plain, cut).otherwise(parsed)
+    return F.when(plain, cut).otherwise(value.try_cast("double") if lenient else value.cast("double"))
 
 
 def rate_is_unreadable(text, key=None) -> Column:

@@ -199,3 +199,12 @@ def test_usual_rates_need_no_parser_and_others_one(spark, raw, bad):
     assert one(spark, numbers.rate_is_unreadable("a", F.lit("RN")), a=raw) is bad
     text = spark.createDataFrame([(raw,)], "a string").filter(numbers.rate_is_unreadable("a", F.lit("RN")))._jdf.queryExecution().optimizedPlan().toString()
     assert text.count("from_json") == 1 and text.index("RLIKE") < text.index("from_json")
+
+
+def test_rates_are_read_by_compiled_expressions(spark):
+    rows = [("{'RN': 46, 'Med Tech': None}", "RN", 46.0), ("{'RN': 46, 'Med Tech': None}", "Med Tech", None), ("{'RN':46.5,'LPN':None}", "RN", 46.5),
+            ("{'RN': 046}", "RN", 46.0), ("{'RN': 4, 'RN': 5}", "RN", 4.0), ("{'RN': '7'}", "RN", 7.0), ("{'RN': 46}", None, None), (None, "RN", None)]
+    df = spark.createDataFrame(rows, "a string, k string, expected double")
+    got = df.withColumn("rate", numbers.rate_for("a", "k"))
+    assert "lambda" not in got._jdf.queryExecution().optimizedPlan().toString()
+    assert [r["a"] for r in got.collect() if r["rate"] != r["expected"]] == []
