@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import csv
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -49,6 +50,9 @@ REFUSAL = ("problem", "raw_line")
 #: declared to be free of them (``line_breaks=False``).
 FREE_TEXT_FEEDS = frozenset({"gbp_reviews"})
 
+#: Bytes from which on a file's header is read by a job of its own, rather than in one scan of all lines of many files.
+LARGE_FILE = 16 << 20
+
 
 def feed_schema(feed: str) -> T.StructType:
     """All feed columns as text: raw data is kept as delivered and typed later."""
@@ -140,28 +144,83 @@ def header_layouts(lines: DataFrame) -> dict[tuple[str, ...], list[str]]:
     A file's header is its first line that is not blank, whatever it says. Only the first block of a file is looked at, and one
     line per file reaches the driver, which lists the files for the read anyway.
     """
+    return _by_header(_first_lines(lines))
+
+
+def _first_lines(lines: DataFrame) -> list[tuple[str, str]]:
     at = lines.select(
         F.col("_metadata.file_path").alias("path"), F.monotonically_increasing_id().alias("at"), "value",
         F.col("_metadata.file_block_start").alias("block"),
     )
     first = at.filter("block = 0 AND trim(value) <> ''").groupBy("path").agg(F.min_by("value", "at").alias("line"))
+    return [(unquote(path), line) for path, line in sorted(first.collect())]
+
+
+def first_lines(spark: SparkSession, sizes: dict[str, int]) -> list[tuple[str, str]]:
+    """The header lines of files whose sizes are known, as ``(file, line)``. A large file is read no further than its header, by a
+    job of its own; the small ones are one scan."""
+
+    def of_one(path: str) -> list[tuple[str, str]]:
+        lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("path"), "value", F.col("_metadata.file_block_start").alias("block"))
+        return [(unquote(r["path"]), r["value"]) for r in lines.filter("block = 0 AND trim(value) <> ''").take(1)]
+
+    large = sorted(path for path, size in sizes.items() if size >= LARGE_FILE)
+    small = [path for path in sizes if sizes[path] < LARGE_FILE]
+    with ThreadPoolExecutor(4) as pool:
+        found = [line for lines in pool.map(of_one, large) for line in lines]
+    return sorted(found + (_first_lines(spark.read.text(small)) if small else []))
+
+
+def _by_header(lines: list[tuple[str, str]]) -> dict[tuple[str, ...], list[str]]:
     layouts: dict[tuple[str, ...], list[str]] = {}
-    for path, line in sorted(first.collect()):
+    for path, line in lines:
         names = next(csv.reader([line.lstrip("\ufeff")]), [])
-        layouts.setdefault(tuple(map(normalise_header, names)), []).append(unquote(path))
+        layouts.setdefault(tuple(map(normalise_header, names)), []).append(path)
     return layouts
 
 
 def read_layout(spark: SparkSession, paths: list[str] | str, names: tuple[str, ...], feed: str, options: dict[str, str]) -> DataFrame:
     """Files of one header, of any width, in one scan: the feed's columns by name (missing ones NULL) and ``source_file``."""
+    _check_key(paths, names, feed)
+    raw = spark.read.options(**options, columnNameOfCorruptRecord=_LINE).schema(_cells_schema(names)).csv(paths)
+    columns = [(F.col(f"_c{names.index(c)}") if c in names else F.lit(None).cast("string")).alias(c) for c in FEEDS[feed]]
+    key = F.col(f"_c{names.index(FEEDS[feed][0])}")
+    return raw.select(*columns, F.col("_metadata.file_name").alias("source_file"), *_refusal(key, len(names)))
+
+
+def _check_key(paths: list[str] | str, names: tuple[str, ...], feed: str) -> None:
     key = FEEDS[feed][0]
     if key not in names:
         some = paths if isinstance(paths, str) else ", ".join(p.rsplit("/", 1)[-1] for p in paths[:5])
         raise ValueError(f"no {key} header in {some}")
-    schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(len(names))]).add(_LINE, T.StringType())
-    raw = spark.read.options(**options, columnNameOfCorruptRecord=_LINE).schema(schema).csv(paths)
-    columns = [(F.col(f"_c{names.index(c)}") if c in names else F.lit(None).cast("string")).alias(c) for c in FEEDS[feed]]
-    return raw.select(*columns, F.col("_metadata.file_name").alias("source_file"), *_refusal(F.col(f"_c{names.index(key)}"), len(names)))
+
+
+def _cells_schema(names: tuple[str, ...]) -> T.StructType:
+    return T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(len(names))]).add(_LINE, T.StringType())
+
+
+def _read_lines(spark: SparkSession, paths: list[str], headers: set[str], names: tuple[str, ...], feed: str, dropped: Observation) -> DataFrame:
+    """What :func:`read_layout` gives for files without line breaks in cells, from their lines: one without quotes is cut at its
+    commas, others are parsed. Lines of a first block that read like one of ``headers`` are left out and counted in ``dropped``."""
+    _check_key(paths, names, feed)
+    options = csv_options(feed, line_breaks=False) | {"columnNameOfCorruptRecord": _LINE}
+    text, width = F.col("value"), len(names)
+    lines = spark.read.text(paths).select("value", F.col("_metadata.file_name").alias("source_file"), F.col("_metadata.file_block_start").alias("block"))
+    marked = lines.select("value", "source_file", ((F.col("block") == 0) & text.isin(sorted(headers))).alias("header")).observe(dropped, F.count_if("header").alias("lines"))
+    # blank lines are no rows: for the CSV reader these hold nothing above U+0020
+    rows = marked.filter(~F.col("header") & (F.contains(text, F.lit(",")) | F.rlike(text, F.lit(r"[^\x00-\x20]"))))
+    quoted = F.contains(text, F.lit('"'))
+    parsed = F.when(quoted, F.from_csv(text, _cells_schema(names).toDDL(), options))
+    cut = rows.select("value", "source_file", parsed.alias("parsed"), F.when(~quoted, F.split(text, ",")).alias("cells"))
+
+    def cell(i: int) -> Column:
+        plain = F.get("cells", F.lit(i))
+        return F.when(F.col("cells").isNull(), F.col(f"parsed._c{i}")).when(plain != "", plain)
+
+    unfit = F.when(F.col("cells").isNull(), F.col(f"parsed.{_LINE}")).when(F.size("cells") != width, F.make_valid_utf8(text))
+    columns = [(cell(names.index(c)) if c in names else F.lit(None).cast("string")).alias(c) for c in FEEDS[feed]]
+    placed = cut.select(*columns, "source_file", unfit.alias(_LINE))
+    return placed.select(*FEEDS[feed], "source_file", *_refusal(F.col(FEEDS[feed][0]), width))
 
 
 #: The reader puts a row here as it was delivered if its cells are not as many as the header's.
@@ -230,6 +289,28 @@ def land_files(
     return with_lineage(reduce(DataFrame.union, found), feed)
 
 
+def write_files(spark: SparkSession, sizes: dict[str, int], feed: str, path: str, line_breaks: bool | None = None) -> None:
+    """Write :func:`land_files` of files whose sizes are known to ``path``, in place of what is there.
+
+    Lines are cut rather than parsed where cells hold no line breaks. A line of data that reads like a header cannot be told
+    from it then; the number of lines left out shows whether there was any, and if so the CSV reader writes the files anew.
+    """
+    options = csv_options(feed, line_breaks)
+    lines = first_lines(spark, sizes)
+    layouts, header = _by_header(lines), dict(lines)
+
+    def write(found: list[DataFrame]) -> None:
+        landed = with_lineage(reduce(DataFrame.union, found), feed) if found else spark.createDataFrame([], landed_schema(feed))
+        landed.write.mode("overwrite").parquet(path)
+
+    if options["multiLine"] == "false" and layouts and not any("\ufffd" in line for line in header.values()):
+        dropped = [Observation() for _ in layouts]
+        write([_read_lines(spark, files, {header[f] for f in files}, names, feed, n) for (names, files), n in zip(layouts.items(), dropped, strict=True)])
+        if [n.get["lines"] for n in dropped] == [len(files) for files in layouts.values()]:
+            return
+    write([read_layout(spark, files, names, feed, options) for names, files in layouts.items()])
+
+
 def read_feed(
     spark: SparkSession, folder: str, feed: str, by_name: bool = True, pattern: str | None = None, line_breaks: bool | None = None
 ) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from carelens.sources.feeds import FEEDS, accepted, feed_pattern, land_files, landed_schema, refused
+from carelens.sources.feeds import FEEDS, accepted, feed_pattern, landed_schema, refused, write_files
 
 #: Files loaded in one batch; a run with more loads them in several.
 MAX_FILES = 10_000
@@ -51,14 +51,12 @@ def start_feed(
     """Start loading the unseen files of one feed into a version (default: the current one); the query ends when they are loaded."""
     version = version or current_version(spark, bronze, feed)
     files = spark.readStream.format("binaryFile").schema(_FILES).option("pathGlobFilter", pattern or feed_pattern(feed))
-    names = files.option("maxFilesPerTrigger", max_files_per_batch).load(folder).select("path")
+    names = files.option("maxFilesPerTrigger", max_files_per_batch).load(folder).select("path", "length")
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        paths = [r["path"] for r in batch.collect()]  # at most max_files_per_batch names
-        if paths:
-            land_files(batch.sparkSession, paths, feed, line_breaks=line_breaks).write.mode("overwrite").parquet(
-                f"{bronze}/{feed}/{version}/batch_id={batch_id}"
-            )
+        sizes = {r["path"]: r["length"] for r in batch.collect()}  # at most max_files_per_batch names
+        if sizes:
+            write_files(batch.sparkSession, sizes, feed, f"{bronze}/{feed}/{version}/batch_id={batch_id}", line_breaks)
 
     return (
         names.writeStream.queryName(f"ingest_{feed}_{uuid.uuid4().hex}")

@@ -147,6 +147,62 @@ def test_broken_rows_of_free_text_and_strict_reads(spark, tmp_path, rows):
     assert feeds.read_feed(spark, str(tmp_path), "yardi_units", by_name=False).count() == 4
 
 
+_ODD_LINES = [  # as units: five cells
+    *BROKEN, "", "   ", "\t", "\x00", " , ,\t,\x01,", "U1,C001,AL,4000,2025-01-01", '"U\u00e9","",AL,"4,0""00", x ', 'U1"2,a"b"c,d,e,f', '"a"b,c,d,e,f', "#1,\\,\\,',\u2028",
+    '"a,b,c,d,e', 'a,b,c,d,"', "a,b,c,d,e\x85", ",", ",,,,,", '""', "\x1f", "U\x00,C,\x00,\x00,", '"U\x00,",C,"",,\u3000',
+]
+
+
+@pytest.mark.parametrize("large_file", [feeds.LARGE_FILE, 1])
+def test_lines_are_cut_as_the_csv_reader_cuts_them(spark, tmp_path, monkeypatch, large_file):
+    head = HEADERS["yardi_units"]
+    files = {
+        "a": "\ufeff\n  \n" + "\n".join([head, *_ODD_LINES]) + "\n", "b": head + "\r\n" + "\r\n".join(_ODD_LINES),
+        "c": "Snapshot-Date,Unit ID,x,unit_id\n1,U2,,\n,,,\n1,U3\n", "d": '"unit_id"\n\nU4\n""\n\t\nU5,\n', "e": "", "f": head, "%41 g": head + "\nU6,,,,\n",
+    }
+    paths = {n: tmp_path / "raw" / f"yardi_units_{n}.csv" for n in files}
+    (tmp_path / "raw").mkdir()
+    for n, text in files.items():
+        paths[n].write_bytes(text.encode())
+    with paths["b"].open("ab") as f:
+        f.write(b"\r\nU\xff7,\xc3,\xe2\x82,\xed\xa0\x80,\xf0\x9f\x98\r\nU8\xff,\xe2\x82\xc3")
+    feeds.land_files(spark, str(tmp_path / "raw"), "yardi_units").write.parquet(str(tmp_path / "csv"))
+    monkeypatch.setattr(feeds, "LARGE_FILE", large_file)
+    monkeypatch.setattr(feeds, "read_layout", None)  # nothing here needs the slower reader
+    feeds.write_files(spark, {str(p): p.stat().st_size for p in paths.values()}, "yardi_units", str(tmp_path / "lines"))
+    key = lambda rows_: sorted(rows_, key=str)
+    got, expected = (key(tuple(r) for r in spark.read.parquet(str(tmp_path / n)).drop("ingestion_timestamp").collect()) for n in ("lines", "csv"))
+    assert got == expected and len(got) > 50
+    landed = spark.read.schema(feeds.landed_schema("yardi_units")).parquet(str(tmp_path / "lines"))
+    assert {r["problem"] for r in feeds.refused(landed).collect()} >= {"too many cells", "too few cells", "unclosed quote"}
+
+
+def test_lines_of_data_that_equal_a_header_are_kept(spark, tmp_path):
+    head, other = HEADERS["yardi_units"], "Unit ID,community_id,unit_type,monthly_rent,snapshot_date"
+    write(tmp_path, "2025_01", {"yardi_units": ["U1,C001,AL,1,x", head, head]})
+    (tmp_path / "yardi_units_2025_02.csv").write_text(f"{other}\n{head}\nU2,C001,AL,1,x\n")
+    sizes = {str(p): p.stat().st_size for p in tmp_path.glob("*.csv")}
+    feeds.write_files(spark, sizes, "yardi_units", str(tmp_path / "out"))
+    ids = sorted(r["unit_id"] for r in feeds.accepted(spark.read.schema(feeds.landed_schema("yardi_units")).parquet(str(tmp_path / "out"))).collect())
+    assert ids == ["U1", "U2", "unit_id", "unit_id", "unit_id"]
+
+
+def test_a_large_file_is_read_no_further_than_its_header(spark, tmp_path, monkeypatch):
+    write(tmp_path, "2025_01", {"yardi_units": [f"U{i},C001,AL,1,x" for i in range(200_000)]})
+    path = str(next(tmp_path.glob("*.csv")))
+    monkeypatch.setattr(feeds, "_first_lines", None)
+    monkeypatch.setattr(feeds, "LARGE_FILE", 1 << 20)
+    assert feeds.first_lines(spark, {path: 3 << 20}) == [(f"file:{path}", HEADERS["yardi_units"])]
+
+
+def test_feeds_are_ingested_from_folders_of_their_own(spark, tmp_path):
+    write(tmp_path / "raw" / "one", "2025_01", {"yardi_units": JANUARY["yardi_units"]})
+    write(tmp_path / "raw" / "two", "2025_02", {"yardi_units": ["U1,C001,AL,1,x"]})
+    for _ in range(2):
+        ing.ingest(spark, f"{tmp_path}/raw/*", f"{tmp_path}/bronze", f"{tmp_path}/ledger", ("yardi_units",))
+        assert ing.read_bronze(spark, f"{tmp_path}/bronze", "yardi_units").count() == len(JANUARY["yardi_units"]) + 1
+
+
 def test_incremental_ingest(spark, tmp_path, rows):
     raw = tmp_path / "raw"
     write(raw, "2025_01", JANUARY)
