@@ -5,6 +5,9 @@ are two disjoint ones of these with the least total frequency, chosen by dynamic
 bigrams whole, so of two near words the one whose prefix ends at the rarer bigram has a pivot in the other's prefix. The
 position limits of one edit say where: everything on one side of that bigram is equal, and the lengths differ by at most one. Pivots and
 prefixes meet in a join on the gram with that side and the length; the words that meet are then verified.
+
+No join broadcasts: Spark takes the keys of a word for one row and Parquet's bytes for those in memory, so it would send the driver
+tables many times the size of its threshold.
 """
 
 from __future__ import annotations
@@ -154,7 +157,7 @@ def near_pairs(table: DataFrame) -> DataFrame:
 
     x, y = keyed(True).alias("x"), keyed(False).alias("y")
     near = (F.col("x.last") <= F.col("y.last")) & (F.col("x.word") != F.col("y.word")) & (F.levenshtein("x.word", "y.word", EDITS) == EDITS)
-    met = x.join(y, (F.col("x.key") == F.col("y.key")) & near)
+    met = x.join(y.hint("merge"), (F.col("x.key") == F.col("y.key")) & near)
     one, two = (F.struct(F.col(f"{t}.word").alias("w"), F.col(f"{t}.n").alias("n")) for t in "xy")
     pairs = met.select(F.least(one, two).alias("a"), F.greatest(one, two).alias("b"))
     return pairs.select(F.col("a.w").alias("a"), F.col("a.n").alias("a_n"), F.col("b.w").alias("b"), F.col("b.n").alias("b_n")).distinct()
@@ -166,7 +169,7 @@ def _roots(forms: DataFrame) -> DataFrame:
     current = materialise(forms.select("word", F.col("form").alias("root")), "forms")
     while True:
         on = current.select(F.col("word").alias("via"), F.col("root").alias("on"))
-        step = current.join(on, F.col("root") == F.col("via"), "left")
+        step = current.join(on.hint("merge"), F.col("root") == F.col("via"), "left")
         moved = materialise(step.select("word", F.coalesce("on", "root").alias("root"), F.col("on").isNotNull().alias("moved")), "roots")
         current = moved.drop("moved")
         if not moved.filter("moved").limit(1).count():
@@ -185,12 +188,12 @@ def group_variants(table: DataFrame) -> DataFrame:
     both = pairs.select(F.col("a").alias("word_"), F.col("b").alias("other"), F.col("b_n").alias("other_n")).unionAll(pairs.select("b", "a", "a_n"))
     best = both.groupBy("word_").agg(F.count(F.lit(1)).alias("n_near"), F.min(F.struct((-F.col("other_n")).alias("n"), F.col("other").alias("word"))).alias("best"))
     chosen = -F.col("best.n") >= 2 * F.col("n")
-    known = table.join(best, F.col("word") == F.col("word_"), "left").select(
+    known = table.join(best.hint("merge"), F.col("word") == F.col("word_"), "left").select(
         "word", "n", F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"),
         F.when(chosen, F.col("best.word")).alias("form"), F.when(chosen, -F.col("best.n")).alias("form_n"),
     )
     known = materialise(known, "variants")
     roots = _roots(known.filter("form is not null")).withColumnRenamed("word", "word_")
-    return known.join(roots, F.col("word") == F.col("word_"), "left").select(
+    return known.join(roots.hint("merge"), F.col("word") == F.col("word_"), "left").select(
         "word", "n", "n_near", "form", "form_n", F.coalesce("root", "word").alias("root")
     )

@@ -10,6 +10,7 @@ import pytest
 
 import __spark_entry__ as registry
 from carelens.llm import spelling
+from carelens.session import materialise
 
 
 def one_edit(a, b):
@@ -79,6 +80,21 @@ def test_roots_follow_long_chains(spark):
     assert got == brute(counts) and {v[-1] for v in got.values()} == {"a" * 19 + "bcdef"}
 
 
+def test_no_join_broadcasts_words(spark, monkeypatch):
+    plans = []
+
+    def written(df, label):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return materialise(df, label)
+
+    monkeypatch.setattr(spelling, "materialise", written)
+    got = spelling.group_variants(spark.createDataFrame([("abcdef", 9), ("abcdeg", 2), ("bcdeg", 1)], "word string, n long"))
+    plans.append(got._jdf.queryExecution().executedPlan().toString())
+    joins = [plan for plan in plans if "Join" in plan]
+    assert len(joins) >= 4 and not any("Broadcast" in plan for plan in joins)  # keys, counts, roots, result
+    assert grouped(got) == brute({"abcdef": 9, "abcdeg": 2, "bcdeg": 1})
+
+
 def test_words_of_texts(documents, rows):
     texts = [(i, "Straße straße STRASSE Ångström's ångström ×÷× o'clock x_y Wörter2Wörter " * 9) for i in range(60)]
     texts += [(7, None), (8, ""), (None, "nullid " * 50), (3, "the the THE theory theory Theory"), (3, "theory")]
