@@ -54,6 +54,14 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/carelens/{label}-{uuid.uuid4().hex}"
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a folder made by :func:`scratch_path` that nothing reads any more; any other path is refused."""
+    if not path.startswith(f"{shared_root(spark)}/carelens/") or ".." in path:
+        raise ValueError(f"{path} is no scratch folder")
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def materialise(df: DataFrame, label: str = "table") -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and return the table read back.
 

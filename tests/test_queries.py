@@ -1,11 +1,13 @@
 """Every registered query against its SQL statement on the smallest tables."""
 
 from datetime import datetime, timedelta
+from pathlib import Path
 
 import duckdb
 import pytest
 
 import __spark_entry__ as registry
+from carelens import session
 from carelens.workload import direct, layers
 
 SF = "/root/testdata/sf0.001"
@@ -61,3 +63,54 @@ def test_census_covers_all_days_of_the_events(spark, tmp_path):
     assert {(r.event_type, r.day): r.census for r in got} == expected and len(got) == len(expected)
     average = registry.queries()["avg_daily_census"](spark, str(tmp_path)).collect()
     assert {r.event_type: (r.resident_days, r.avg_daily_census) for r in average} == {"a": (36, 1.0), "b": (1, 1 / 36)}
+
+
+@pytest.fixture
+def small(spark, tmp_path):
+    """A folder of the tables that feeds come from: three lines (two of them equal), two orders, two events."""
+    day = datetime(1997, 3, 5)
+    line = (1, 2, 3, 1, 5.0, 10.0, 0.0, 0.0, "A", "O", day)
+    tables = {
+        "lineitem": ([line, line, (2, 3, 4, 1, 7.0, 10.0, 0.0, 0.0, "R", "F", None)],
+            "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, "
+            "l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"),
+        "orders": ([(1, 1, "O", 100.0, day, "5-LOW"), (2, 1, "F", 50.0, day, "1-URGENT")],
+            "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string"),
+        "events": ([(1, day, 1, "view", 1.0, "{}"), (2, day, 2, "error", None, None)],
+            "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"),
+    }
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{tmp_path}/{name}.parquet")
+    return str(tmp_path)
+
+
+def test_ingest_of_all_feeds_holds_a_feed_of_each_table_at_most(spark, small, monkeypatch):
+    scratch, land, at_once = Path(session.shared_root(spark).removeprefix("file:")) / "carelens", direct._land, []
+    before = set(scratch.glob("*"))
+
+    def held():
+        new = [p for p in scratch.glob("*") if p not in before]
+        return {f.name.split("_delivery")[0] for p in new for f in p.rglob("*_delivery*.csv")}, [p for p in new if p.name.startswith(("raw-", "bronze-"))]
+
+    def landed(*args):
+        land(*args)
+        at_once.append(len(held()[0]))
+
+    monkeypatch.setattr(direct, "_land", landed)
+    got = registry.queries()["ingest_all_feeds"](spark, small)
+    assert len(at_once) == 8 and max(at_once) <= 3 and held() == (set(), [])
+    source = {"lineitem": 3, "orders": 2, "events": 2}
+    expected = sorted((feed, source[table], source[table], 0) for feed, (table, _) in layers.DERIVED.items())
+    assert sorted(map(tuple, got.collect())) == expected
+
+
+def test_only_scratch_folders_are_discarded(spark, tmp_path):
+    made = session.scratch_path(spark, "made")
+    spark.range(3).write.parquet(made)
+    session.discard(spark, made)
+    assert not Path(made.removeprefix("file:")).exists()
+    spark.range(3).write.parquet(f"{tmp_path}/kept")
+    for path in (f"{tmp_path}/kept", f"{made}/../../kept", session.shared_root(spark)):
+        with pytest.raises(ValueError):
+            session.discard(spark, path)
+    assert spark.read.parquet(f"{tmp_path}/kept").count() == 3
