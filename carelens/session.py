@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -62,13 +64,32 @@ def discard(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def materialise(df: DataFrame, label: str = "table") -> DataFrame:
+_FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def freed_shuffles(spark: SparkSession) -> Iterator[None]:
+    """For steps that write large tables one after another: the shuffle files of a job are removed when it ends. By default they
+    stay until the driver collects its garbage."""
+    before = spark.conf.get(_FREE_SHUFFLES, None)
+    spark.conf.set(_FREE_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_FREE_SHUFFLES)
+        else:
+            spark.conf.set(_FREE_SHUFFLES, before)
+
+
+def materialise(df: DataFrame, label: str = "table", compression: str | None = None) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and return the table read back.
 
     It cuts the lineage (a lost executor re-reads files instead of recomputing), freezes non-deterministic
     columns, and gives the optimizer a true size, so that a later join broadcasts it only below
-    ``spark.sql.autoBroadcastJoinThreshold`` and is a sort-merge join beyond that.
+    ``spark.sql.autoBroadcastJoinThreshold`` and is a sort-merge join beyond that. ``compression`` (default: the session's) is for
+    tables that are not the small side of a join: the stronger it is, the lower that size.
     """
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)

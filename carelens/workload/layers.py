@@ -25,7 +25,7 @@ from carelens.plans import reports as r
 from carelens.plans import validation as val
 from carelens.plans import views as v
 from carelens.plans.silver import CLEANERS
-from carelens.session import materialise, scratch_path
+from carelens.session import freed_shuffles, materialise, scratch_path
 from carelens.sources.feeds import FEEDS, LINEAGE
 from carelens.sources.reference_data import dim_community_region
 from carelens.workload.feeds import AS_OF, DERIVED, derive, load
@@ -48,10 +48,10 @@ class Layers:
         self._written: dict[str, DataFrame] = {}
 
     def write_silver(self) -> dict[str, DataFrame]:
-        """Write every cleaned feed, side by side."""
+        """Write every cleaned feed, two at a time: more would hold the shuffle files of all feeds at once."""
         cleaned = {feed: self.silver(feed) for feed in FEEDS}
-        with ThreadPoolExecutor(len(FEEDS)) as pool:
-            self._written = dict(zip(FEEDS, pool.map(lambda f: materialise(cleaned[f], f), FEEDS), strict=True))
+        with freed_shuffles(self.spark), ThreadPoolExecutor(2) as pool:
+            self._written = dict(zip(FEEDS, pool.map(lambda f: materialise(cleaned[f], f, "zstd"), FEEDS), strict=True))
         return self._written
 
     def bronze(self, feed: str) -> DataFrame:
@@ -375,17 +375,18 @@ register("row_security_entitlements_all", _LEASES)(lambda t: _entitled(t, "chief
 def _tables(t: Layers) -> tuple[dict, dict, dict]:
     raw = {f: t.bronze(f) for f in FEEDS}
     cleaned = t.write_silver()
-    t.prepare("communities", "dates", "employees")
-    labor = materialise(t.labor, "fact_labor")
-    facts = {
-        "fact_labor": labor,
-        "fact_reviews": t.reviews,
-        "fact_leads": t.leads,
-        "fact_incidents": t.incidents,
-        "fact_occupancy": t.occupancy,
-        "fact_revenue": t.revenue,
-        "dim_resident": t.residents,
-    }
+    with freed_shuffles(t.spark):
+        t.prepare("communities", "dates", "employees")
+        labor = materialise(t.labor, "fact_labor", "zstd")
+        facts = {
+            "fact_labor": labor,
+            "fact_reviews": t.reviews,
+            "fact_leads": t.leads,
+            "fact_incidents": t.incidents,
+            "fact_occupancy": t.occupancy,
+            "fact_revenue": t.revenue,
+            "dim_resident": t.residents,
+        }
     return raw, cleaned, facts
 
 

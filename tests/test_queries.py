@@ -1,5 +1,7 @@
 """Every registered query against its SQL statement on the smallest tables."""
 
+import threading
+import time
 from datetime import datetime, timedelta
 from pathlib import Path
 
@@ -114,3 +116,48 @@ def test_only_scratch_folders_are_discarded(spark, tmp_path):
         with pytest.raises(ValueError):
             session.discard(spark, path)
     assert spark.read.parquet(f"{tmp_path}/kept").count() == 3
+
+
+def shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString(" ").split()
+    return {f for f in files if f.rsplit("/", 1)[-1].startswith("shuffle_") and f.endswith(".data")}
+
+
+def test_validation_holds_the_shuffle_files_of_two_feeds_at_most(spark, small, monkeypatch):
+    setting, write, lock = session._FREE_SHUFFLES, layers.materialise, threading.Lock()
+    before, default, running, seen = shuffle_files(spark), spark.conf.get(setting, None), [], []
+
+    def written(df, label, *args):
+        with lock:
+            running.append(label)
+            seen.append(len(running))
+        try:
+            return write(df, label, *args)
+        finally:
+            with lock:
+                running.remove(label)
+
+    monkeypatch.setattr(layers, "materialise", written)
+    cleaned = layers.Layers(spark, small).write_silver()
+    assert len(seen) == 8 and max(seen) <= 2 and spark.conf.get(setting, None) == default
+    assert {f: cleaned[f].count() for f in ("adp_shifts", "yardi_units", "pcc_residents", "yardi_leases")} == {
+        "adp_shifts": 2, "yardi_units": 2, "pcc_residents": 1, "yardi_leases": 2,
+    }
+    before |= shuffle_files(spark)
+    _, _, facts = layers._tables(layers.Layers(spark, small))
+    deadline = time.time() + 20  # files are removed by another thread
+    while shuffle_files(spark) - before and time.time() < deadline:
+        time.sleep(0.2)
+    assert not shuffle_files(spark) - before and spark.conf.get(setting, None) == default
+    assert facts["fact_labor"].count() == 2
+
+
+def test_shuffle_setting_comes_back(spark):
+    setting = session._FREE_SHUFFLES
+    before = spark.conf.get(setting, None)
+    with pytest.raises(KeyError), session.freed_shuffles(spark):
+        with session.freed_shuffles(spark):
+            assert spark.conf.get(setting) == "true"
+        assert spark.conf.get(setting) == "true"
+        raise KeyError
+    assert spark.conf.get(setting, None) == before
